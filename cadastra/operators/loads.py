@@ -58,24 +58,22 @@ LOADS: Mapping[str, Load] = {
     "dim_geography": Load("history", ("commune_id",)),
     "dim_zip_codes": Load("history", ("id",)),
     "dim_neighbour_communes": Load("history", ("parcel_id", "neighbor_id")),
-    "bridge_communes_zip_codes": Load("history", ("commune_id", "zip_code_id")),
+    "bridge_communes_zip_codes": Load("append", ("commune_id", "zip_code_id")),
     "dim_monument": Load("history", ("reference",)),
     "bridge_monument_communes": Load("append", ("monument_reference", "commune_code")),
-    "dim_commune_monument_stats": Load("reload"),
-    "fact_classification_history": Load(
-        "append", ("monument_reference", "event_date", "new_protection_level")
-    ),
+    "fact_classification_history": Load("append", ("monument_reference", "event_date")),
+    "dim_commune_monument_stats": Load("append", ("commune_id",)),
     "dim_criminality_indicateur": Load("history", ("indicateur_id",)),
-    "fact_criminality": Load("reload"),
-    "dim_equipment": Load("reload"),
-    "fact_equipment": Load("reload"),
-    "fact_population": Load("reload"),
-    "fact_salaries": Load("reload"),
-    "fact_unemployment": Load("reload"),
-    "fact_income": Load("reload"),
-    "dim_calendar": Load("reload"),
-    "dim_source": Load("reload"),
-    "bridge_source_links": Load("reload"),
+    "fact_criminality": Load("reload", ("commune_id", "annee", "indicateur_id")),
+    "dim_equipment": Load("append", ("equipment_code",)),
+    "fact_equipment": Load("reload", ("commune_id", "year", "equipment_type_id")),
+    "fact_population": Load("reload", ("id", "year")),
+    "fact_salaries": Load("reload", ("id", "year")),
+    "fact_unemployment": Load("reload", ("commune_code", "year")),
+    "fact_income": Load("reload", ("id", "year")),
+    "dim_calendar": Load("reload", ("date_id",)),
+    "dim_source": Load("reload", ("source_id",)),
+    "bridge_source_links": Load("reload", ("source_link_id",)),
 }
 
 
