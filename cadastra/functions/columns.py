@@ -30,24 +30,26 @@ def cast_text(df: DataFrame, source: str, typ: str) -> Column:
     return col.cast(typ)
 
 
+def choose(cases: Iterable[tuple[Column, Column]], otherwise: Column | None = None) -> Column:
+    """The value of the first case whose condition holds."""
+    chain = None
+    for condition, value in cases:
+        chain = F.when(condition, value) if chain is None else chain.when(condition, value)
+    if chain is None:
+        return otherwise if otherwise is not None else F.lit(None)
+    return chain if otherwise is None else chain.otherwise(otherwise)
+
+
 def crosswalk(col: Column, rules: Iterable[tuple[str, str]]) -> Column:
     """Map a code by the first pattern that matches; other codes pass unchanged."""
-    mapped = reduce(
-        lambda acc, rule: (F if acc is None else acc).when(col.rlike(rule[0]), F.lit(rule[1])),
-        rules,
-        None,
-    )
-    return col if mapped is None else mapped.otherwise(col)
+    return choose([(col.rlike(pattern), F.lit(code)) for pattern, code in rules], col)
 
 
 def crosswalk_ranges(
     number: Column, rules: Iterable[tuple[int, int, str]], otherwise: Column
 ) -> Column:
     """Map a number by the first closed range that holds it."""
-    mapped = None
-    for low, high, value in rules:
-        mapped = (mapped or F).when(number.between(low, high), F.lit(value))
-    return otherwise if mapped is None else mapped.otherwise(otherwise)
+    return choose([(number.between(low, high), F.lit(value)) for low, high, value in rules], otherwise)
 
 
 def flag(condition: Column) -> Column:
@@ -68,18 +70,14 @@ def tiers(
     ``closed="left"`` puts a value equal to a bound into the next tier (``[lo, hi)``),
     ``closed="right"`` keeps it (``(lo, hi]``). ``missing`` labels NULL.
     """
-    col = F.when(value.isNull(), F.lit(missing))
-    for upper, label in steps:
-        col = col.when(value <= upper if closed == "right" else value < upper, F.lit(label))
-    return col.otherwise(F.lit(otherwise))
+    below = (lambda bound: value <= bound) if closed == "right" else (lambda bound: value < bound)
+    cases = [(below(upper), F.lit(label)) for upper, label in steps]
+    return choose([(value.isNull(), F.lit(missing)), *cases], F.lit(otherwise))
 
 
 def tiers_from(value: Column, steps: Sequence[tuple[float, object]], otherwise: object) -> Column:
     """Label a number by descending lower bounds; NULL gets ``otherwise``."""
-    col = None
-    for lower, label in steps:
-        col = (col or F).when(value >= lower, F.lit(label))
-    return col.otherwise(F.lit(otherwise))
+    return choose([(value >= lower, F.lit(label)) for lower, label in steps], F.lit(otherwise))
 
 
 def not_blank(col: Column) -> Column:

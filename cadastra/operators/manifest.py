@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadastra.functions.columns import choose
 from cadastra.operators.windows import flag_extreme, latest_per_key
 
 CHUNK = 8 * 1024 * 1024
@@ -136,9 +137,7 @@ def unchanged_since(inputs: DataFrame, last_inputs: DataFrame) -> DataFrame:
 
 def route(files: DataFrame, patterns: Mapping[str, str], name: str = "filename") -> DataFrame:
     """Target of each file by the first pattern its name matches; unmatched files are dropped."""
-    target = None
-    for pattern, label in patterns.items():
-        target = (target or F).when(F.col(name).rlike(pattern), F.lit(label))
+    target = choose([(F.col(name).rlike(p), F.lit(label)) for p, label in patterns.items()])
     return files.withColumn("target", target).filter("target is not null")
 
 
