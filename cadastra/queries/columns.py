@@ -193,11 +193,11 @@ def harmonized_vintages(t: Tables):
 
 
 @query("empty_relation", """
-SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name AS label_name, CAST(NULL AS VARCHAR) AS label_type FROM region""")
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS label_name, CAST(NULL AS VARCHAR) AS label_type FROM customer""")
 def empty_relation(t: Tables):
     """A typed relation without rows fixes the schema of what is stacked onto it."""
     blank = C.empty(t.spark, "id string, label_name string, label_type string")
-    rows = t.region.select(F.col("r_regionkey").cast("string").alias("id"), F.col("r_name").alias("label_name"))
+    rows = t.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("label_name"))
     return union_all([blank, rows])
 
 

@@ -193,13 +193,13 @@ def last_value_lookup(t: Tables):
 
 
 @query("default_lookup", """
-SELECT n_name, coalesce(days, 0) AS days, coalesce(grp, '') AS grp FROM nation LEFT JOIN
- (VALUES ('NATION_3', 4, 'A'), ('NATION_7', 1, 'B')) v(k, days, grp) ON n_name = k""")
+SELECT c_custkey, coalesce(days, 0) AS days, coalesce(grp, '') AS grp FROM customer LEFT JOIN
+ (VALUES (3, 4, 'A'), (7, 1, 'B')) v(k, days, grp) ON c_nationkey = k""")
 def default_lookup(t: Tables):
     """Lookup with defaults for what is not listed."""
-    trips = t.spark.createDataFrame([("NATION_3", 4, "A"), ("NATION_7", 1, "B")], "n_name string, days int, grp string")
-    joined = t.nation.join(F.broadcast(trips), "n_name", "left")  # two literal rows
-    return joined.select("n_name", F.coalesce("days", F.lit(0)).alias("days"), F.coalesce("grp", F.lit("")).alias("grp"))
+    trips = t.spark.createDataFrame([(3, 4, "A"), (7, 1, "B")], "c_nationkey int, days int, grp string")
+    joined = t.customer.join(F.broadcast(trips), "c_nationkey", "left")  # two literal rows
+    return joined.select("c_custkey", F.coalesce("days", F.lit(0)).alias("days"), F.coalesce("grp", F.lit("")).alias("grp"))
 
 
 @query("requested_keys", """

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,33 +100,33 @@ def read_after_preamble(
 ) -> DataFrame:
     """Delimited text whose header stands on line ``skip`` (0-based) of each file.
 
-    Lines are numbered per file by their order in it; files are read whole per line block, and
-    only the header line of one file comes to the driver.
+    A task reads the block of a file in order, so the lines up to the header are dropped while
+    the first block streams by; later blocks pass whole. Only the first lines of one file come
+    to the driver, to name the columns.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
-    )
-    # A preamble is shorter than a block: only the first block of each file is ranked.
-    first = lines.filter("_block = 0")
-    starts = _preamble(first, skip)
     if columns is None:
-        head = first.join(F.broadcast(starts), "_file").filter("_at = _header").select("value").first()
-        columns = [c.strip().strip('"') for c in head[0].split(sep)]
-    data = lines.join(F.broadcast(starts), "_file").filter(
-        ((F.col("_block") > 0) | (F.col("_at") > F.col("_header"))) & (F.trim("value") != "")
+        head = spark.read.text(path).take(skip + 1)
+        if len(head) <= skip:
+            raise ValueError(f"{path}: no header on line {skip}")
+        columns = [c.strip().strip('"') for c in head[skip][0].split(sep)]
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return data.select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*")
-
 
-def _preamble(first: DataFrame, skip: int) -> DataFrame:
-    """Row id of the header line of each file."""
-    from pyspark.sql import Window
+    def body(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            place = batch.groupby("file").cumcount() + batch["file"].map(lambda f: seen.get(f, 0))
+            for file, n in batch["file"].value_counts().items():
+                seen[file] = seen.get(file, 0) + int(n)
+            kept = (batch["block"] > 0) | (place > skip)
+            yield batch.loc[kept & (batch["value"].str.strip() != ""), ["value"]]
 
-    ranked = first.withColumn("_n", F.row_number().over(Window.partitionBy("_file").orderBy("_at")))
-    return ranked.filter(F.col("_n") == skip + 1).select("_file", F.col("_at").alias("_header"))
+    data = lines.mapInPandas(body, "value string")
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return data.select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*")
 
 
 def query(spark: SparkSession, sql: str, params: Sequence | Mapping | None = None, limit: int | None = None) -> DataFrame:
