@@ -14,6 +14,8 @@ TABLES = [
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 DERIVED: dict[str, str] = {}
+# Intermediate results spelled out in SQL, for the checks of queries that build on them.
+CHECK_PARTS: dict[str, str] = {}
 
 
 class Tables:
@@ -60,21 +62,22 @@ def query(name: str, sql: str | None = None, needs: tuple[str, ...] = ()):
 
 
 def with_derived(sql: str, needs: tuple[str, ...]) -> str:
+    """``sql`` preceded by the tables it needs, in the order of their dependencies."""
     if not needs:
         return sql.strip()
+    texts = {**DERIVED, **CHECK_PARTS}
     ordered: list[str] = []
 
     def visit(name: str) -> None:
-        if name in ordered or name not in DERIVED:
+        if name in ordered or name not in texts:
             return
-        for inner in re.findall(r"\{(\w+)\}", DERIVED[name]):
+        for inner in re.findall(r"\{(\w+)\}", texts[name]):
             visit(inner)
         ordered.append(name)
 
     for name in needs:
         visit(name)
-    parts = [f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', DERIVED[n]).strip()})" for n in ordered]
+    parts = [f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', texts[n]).strip()})" for n in ordered]
     body = sql.strip()
-    if body[:5].upper() == "WITH ":
-        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    rest = ",\n" + body[5:] if body[:5].upper() == "WITH " else "\n" + body
+    return "WITH " + ",\n".join(parts) + rest
