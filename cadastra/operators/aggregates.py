@@ -74,7 +74,7 @@ def group_benchmark(
             for n, c in averages.items()
         ]
     )
-    return skew_join(df, stats, groups, "left")
+    return skew_join(df, stats, groups, "left", coarse=True)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -94,7 +94,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> D
     )
     # Copies of a value fold first; what is left of a heavy key differs in value and can be salted.
     counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-    held = skew_join(counted, bracket, keys, "inner", spread=[*keys, "_v"])
+    held = skew_join(counted, bracket, keys, "inner", spread=[*keys, "_v"], sketch=rows)
     below = F.col("_v") < F.col("_b")[0]
     within = F.col("_v").between(F.col("_b")[0], F.col("_b")[1])
     # Values outside the bracket fold into one row per key, so counts and candidates come

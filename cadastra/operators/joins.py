@@ -51,14 +51,17 @@ def interval_join(
     end: str = "end_date",
     bucket_days: int = 32,
     spread: Sequence[str] | None = None,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of dates to half-open intervals ``[start, end)``; an open end lasts on.
 
     Each interval is listed once per bucket of days it touches and the join is an equi join on
     the bucket with the exact test on top. A date lies in one bucket, so no match repeats; dates
-    in several intervals keep all matches. Crowded buckets are salted.
+    in several intervals keep all matches. Crowded buckets are salted. ``sketch`` may name a table
+    with the same dates that is cheaper to read than ``facts``.
     """
-    horizon = facts.agg(F.max(at).cast("date")).scalar()
+    source = facts if sketch is None else sketch
+    horizon = source.agg(F.max(at).cast("date")).scalar()
 
     def bucket(day: Column) -> Column:
         return F.floor(F.unix_date(day) / F.lit(bucket_days)).cast("bigint")
@@ -72,10 +75,12 @@ def interval_join(
         F.explode(F.sequence(bucket(low), F.greatest(bucket(low), bucket(last)))).alias("_bucket"),
     )
     dated = facts.withColumn("_bucket", bucket(F.col(at).cast("date")))
+    if sketch is not None:
+        sketch = sketch.select(bucket(F.col(at).cast("date")).alias("_bucket"))
     hit = lambda: (F.col(at) >= F.col("_start")) & (
         F.col("_end").isNull() | (F.col(at) < F.col("_end"))
     )
-    joined = skew_join(dated, listed, ["_bucket"], "left", spread=spread, condition=hit)
+    joined = skew_join(dated, listed, ["_bucket"], "left", spread=spread, condition=hit, sketch=sketch)
     return joined.drop("_bucket", "_start", "_end")
 
 
@@ -83,12 +88,13 @@ def mapped_join(
     df: DataFrame, column: str, mapping: Mapping[str, str], right: DataFrame, right_key: str
 ) -> DataFrame:
     """Inner join through a literal map of column value to right key. The map is an expression,
-    so only the lookup into ``right`` is a join."""
+    so only the lookup into ``right`` is a join; at most the mapped keys of it take part."""
     from cadastra.functions.columns import lookup
 
     keyed = df.withColumn("_mapped", lookup(F.col(column), mapping)).filter("_mapped is not null")
-    renamed = right.withColumnRenamed(right_key, "_mapped")
-    return skew_join(keyed, renamed, ["_mapped"], "inner").drop("_mapped")
+    wanted = right.filter(F.col(right_key).isin(sorted(set(mapping.values()))))
+    renamed = wanted.withColumnRenamed(right_key, "_mapped")
+    return skew_join(keyed, renamed, ["_mapped"], "inner", coarse=True).drop("_mapped")
 
 
 def not_in(

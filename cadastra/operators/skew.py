@@ -39,6 +39,8 @@ def skew_join(
     *,
     spread: Sequence[str] | None = None,
     condition: Callable[[], Column] | None = None,
+    coarse: bool = False,
+    sketch: DataFrame | None = None,
     share: float = HEAVY_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -47,6 +49,10 @@ def skew_join(
     ``how`` is inner, left, left_semi or left_anti. ``spread`` names left columns that tell
     rows of one key apart (default: all of them); the salt is a hash of them and so stays the
     same when a task runs again. ``condition`` adds a non-equi test on the other columns.
+
+    Heavy keys are looked for in ``sketch`` (default: the left side). Pass a table that is cheap
+    to read when the left side is the end of a long plan. With ``coarse`` nothing is looked for
+    and every key is salted: right for a right side with few rows, such as group statistics.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -54,27 +60,26 @@ def skew_join(
         shared = (set(left.columns) & set(right.columns)) - set(keys)
         if shared:
             raise ValueError(f"columns on both sides: {sorted(shared)}")
-    heavy = heavy_hashes(left, keys, share)
     on = list(keys)
-    if heavy:
-        spread = list(spread or left.columns)
-        hot = key_hash(keys).isin(heavy)
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
-        left = left.withColumn("_salt", F.when(hot, salt).otherwise(F.lit(0)))
+    if coarse:
+        hot = F.lit(True)
+    else:
+        heavy = heavy_hashes(left if sketch is None else sketch, keys, share)
+        hot = key_hash(keys).isin(heavy) if heavy else None
+    if hot is not None:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread or left.columns]), F.lit(salts))
+        left = left.withColumn("_salt", F.when(hot, salt.cast("int")).otherwise(F.lit(0)))
         every = F.sequence(F.lit(0), F.lit(salts - 1))
         right = right.withColumn(
             "_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0))))
         )
         on.append("_salt")
     if condition is None:
-        joined = left.join(right, on, how)
-    else:
-        renamed = right.select(
-            *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
-        )
-        test = condition()
-        for key in on:
-            test = (F.col(key) == F.col(f"_r_{key}")) & test
-        joined = left.join(renamed, test, how)
-        joined = joined.drop(*[f"_r_{c}" for c in on])
-    return joined.drop("_salt")
+        return left.join(right, on, how).drop("_salt")
+    renamed = right.select(
+        *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
+    )
+    test = condition()
+    for key in on:
+        test = (F.col(key) == F.col(f"_r_{key}")) & test
+    return left.join(renamed, test, how).drop("_salt", *[f"_r_{c}" for c in on])

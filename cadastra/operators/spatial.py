@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geo
 from cadastra.operators.skew import skew_join
+from cadastra.session import pin
 
 BOX = ["xmin", "ymin", "xmax", "ymax"]
 
@@ -94,7 +95,9 @@ def locate(
     """One shape per point: the smallest key where shapes overlap."""
     # Copies of one outline give the same answer; the smallest key of each is enough.
     unique = shapes.groupBy(F.col(geometry)).agg(F.min(key).alias(key))
-    hits = point_in_polygon(points.select(point_key, x, y), x, y, unique, key, geometry)
+    # Kept once: the points are read for heavy cells and for the join.
+    spots = pin(points.select(point_key, x, y))
+    hits = point_in_polygon(spots, x, y, unique, key, geometry)
     return hits.groupBy(point_key).agg(F.min(key).alias(key))
 
 
@@ -110,7 +113,7 @@ def zonal_stats(
         F.min(value).alias("_lo"), F.max(value).alias("_hi"),
         F.sum(v).alias("_sum"), F.count("*").alias("_n"),
     )
-    hits = point_in_polygon(folded, x, y, zones.select(key, geometry), key, geometry)
+    hits = point_in_polygon(pin(folded), x, y, zones.select(key, geometry), key, geometry)
     stats = hits.groupBy(key).agg(
         F.min("_lo").cast("int").alias("altitude_min"),
         F.max("_hi").cast("int").alias("altitude_max"),
@@ -132,8 +135,10 @@ def neighbours(shapes: DataFrame, key: str, geometry: str, same: list[str] | Non
     slim = boxes.select(key, *BOX)
     if same:
         slim = slim.join(attrs, key)
+    # Key and box of each shape, kept once: they are read for levels, heavy cells and both sides.
+    slim = pin(slim)
     home = cover(slim)
-    levels = levels_in_use(boxes)
+    levels = levels_in_use(slim)
     own = level_of(*[F.col(c) for c in BOX])
     every = F.filter(F.array(*[F.lit(lv) for lv in levels]), lambda lv: lv >= own)
     lv = F.col("level")

@@ -28,7 +28,13 @@ def latest_per_key(
 
 
 def flag_extreme(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, *, last: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    *,
+    last: bool = False,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Mark the first (or last) row of each key. ``order`` must tell the rows of a key apart.
 
@@ -38,7 +44,7 @@ def flag_extreme(
     pick = F.max if last else F.min
     rank = F.struct(*[F.col(c) for c in order])
     best = df.groupBy(*keys).agg(pick(rank).alias("_best"))
-    joined = skew_join(df, best, keys, "left", spread=[*keys, *order])
+    joined = skew_join(df, best, keys, "left", spread=[*keys, *order], sketch=sketch)
     return joined.withColumn(name, rank == F.col("_best")).drop("_best")
 
 

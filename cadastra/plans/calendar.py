@@ -22,12 +22,10 @@ def days(spark: SparkSession, first: str | Column = FIRST_DAY, last: str | Colum
     return spark.range(1).select(F.explode(F.sequence(start, end)).alias("date"))
 
 
-def calendar_parts(df: DataFrame) -> DataFrame:
-    """Date parts and names for a ``date`` column."""
-    d = F.col("date")
-    return df.select(
+def part_columns(d: Column) -> list[Column]:
+    return [
         date_key(d).alias("date_id"),
-        "date",
+        d.alias("date"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.day(d).alias("day"),
@@ -41,7 +39,12 @@ def calendar_parts(df: DataFrame) -> DataFrame:
         D.day_name(d, "en").alias("day_name_en"),
         D.month_name(d, "en").alias("month_name_en"),
         D.is_weekend(d).alias("is_weekend"),
-    )
+    ]
+
+
+def calendar_parts(df: DataFrame) -> DataFrame:
+    """Date parts and names for a ``date`` column."""
+    return df.select(*part_columns(F.col("date")))
 
 
 def christian_holidays(years: DataFrame) -> DataFrame:
@@ -98,20 +101,21 @@ def dim_calendar(
     ``terms`` maps an output column (``president`` …) to its interval table."""
     flags = [c for c in religious.columns if c != "date"]
     on_day = lambda df: df.withColumn("date", F.col("date").cast("date"))
+    # Terms are joined to the bare days first, where the plan is still short.
+    days_ = calendar.select("date")
+    for column, intervals in terms.items():
+        named = intervals.select("start_date", "end_date", F.col("name").alias(column))
+        days_ = interval_join(days_, named, "date", [column], spread=["date"], sketch=calendar)
     out = (
-        calendar_parts(calendar)
+        days_
         .join(on_day(public).select("date", "holiday_name", F.col("is_public_holiday").cast("boolean").alias("_p")), "date", "left")
         .join(on_day(market).select("date", F.col("is_market_holiday").cast("boolean").alias("_m")), "date", "left")
         .join(on_day(religious), "date", "left")
         .join(on_day(moon), "date", "left")
     )
-    for column, intervals in terms.items():
-        named = intervals.select("start_date", "end_date", F.col("name").alias(column))
-        out = interval_join(out, named, "date", [column], spread=["date"])
     no = F.lit(False)
-    parts = calendar_parts(calendar).columns
     return out.select(
-        *parts,
+        *part_columns(F.col("date")),
         F.coalesce("_p", no).alias("is_public_holiday"),
         F.coalesce("holiday_name", F.lit("")).alias("fete"),
         F.coalesce("_m", no).alias("is_market_holiday"),

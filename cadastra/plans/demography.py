@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,48 +10,26 @@ from pyspark.sql import functions as F
 from cadastra.functions.columns import (
     crosswalk, enforce, harmonize, number, prefixed, ratio, tiers_from, total_or_parts, year_key,
 )
-from cadastra.operators.aggregates import dedupe_first, long_to_wide, pivot_when, reconcile
-from cadastra.operators.joins import last_wins, left_join_all, prior_period
-from cadastra.operators.sets import key_spine, union_all
+from cadastra.operators.aggregates import dedupe_first, long_to_wide, pivot_when
+from cadastra.operators.joins import last_wins, prior_period
+from cadastra.operators.sets import union_all
 from cadastra.plans import constants as K
 
-OBSERVATION = [("GEO", "id", "string"), ("TIME_PERIOD", "year", "int")]
+def _whole(value: str) -> Column:
+    """Whole number from text, half up."""
+    return F.round(F.col(value).cast("decimal(38,6)"), 0).cast("int").cast("double")
 
 
-def _observed(df: DataFrame, value: str, *conditions: Column) -> DataFrame:
-    """Commune-level observations of one measure."""
-    wanted = reduce(lambda a, b: a & b, conditions, F.col("GEO_OBJECT") == "COM")
-    return enforce(df.filter(wanted), [*OBSERVATION, ("OBS_VALUE", value, "int")])
-
-
-def family_counts(family: DataFrame) -> DataFrame:
-    value = F.round(F.col("OBS_VALUE").cast("decimal(38,6)"), 0).cast("int")
-    cells = {
-        name: ((F.col("NCH") == nch) & (F.col("TFN") == tfn), value)
-        for name, (nch, tfn) in K.FAMILY_CELLS.items()
-    }
-    rows = family.filter(F.col("GEO_OBJECT") == "COM").withColumns(
-        {"id": F.col("GEO"), "year": F.col("TIME_PERIOD").cast("int")}
-    )
-    return pivot_when(rows, ["id", "year"], cells)
-
-
-def migration_counts(migration: DataFrame) -> DataFrame:
-    value = F.col("NB").cast("double")
-
-    def cell(origin: str | None, sex: str | None) -> tuple[Column, Column]:
-        cond = F.lit(True)
-        if origin:
-            cond = cond & (F.col("IMMI") == origin)
-        if sex:
-            cond = cond & (F.col("SEXE") == sex)
-        return cond, value
-
-    rows = migration.filter(F.col("NIVGEO") == "COM").withColumns(
-        {"id": F.col("CODGEO"), "year": F.lit(K.MIGRATION_YEAR)}
+def _part(
+    df: DataFrame, name: str, key: str, year: Column, value: Column,
+    first: str | None = None, second: str | None = None,
+) -> DataFrame:
+    """Rows of one source in the common shape ``(id, year, part, first, second, value)``."""
+    text = lambda c: (F.col(c) if c else F.lit(None)).cast("string")
+    return df.select(
+        F.col(key).alias("id"), year.cast("int").alias("year"), F.lit(name).alias("part"),
+        text(first).alias("first"), text(second).alias("second"), value.cast("double").alias("value"),
     )
-    cells = {name: cell(*parts) for name, parts in K.MIGRATION_CELLS.items()}
-    return pivot_when(rows, ["id", "year"], cells, how="sum")
 
 
 def fact_population(
@@ -65,32 +42,57 @@ def fact_population(
 ) -> DataFrame:
     """Population with its change to the year before, births, deaths, families and migration.
 
-    Each part is one row per commune and year (births and deaths with two values for a year keep
-    the higher), so the spine is never multiplied.
+    All sources are stacked in one narrow shape and folded by (commune, year) in one conditional
+    aggregate: a single shuffle, combined on the map side, instead of a key spine with a join per
+    source. The population enters a second time moved to the next year, as the value to compare
+    with; it makes no key of its own. Repeated values keep the highest.
     """
-    keys = ["id", "year"]
-    census = _observed(populations, "population")
-    abroad = enforce(
-        overseas,
-        [("commune_id", "id", "string"), ("year", "year", "int"), ("population", "population", "int")],
+    is_commune = F.col("GEO_OBJECT") == "COM"
+    census = populations.filter(is_commune)
+    period, observed = F.col("TIME_PERIOD"), _whole("OBS_VALUE")
+    lived = _part(census, "population", "GEO", period, observed).unionByName(
+        _part(overseas, "population", "commune_id", F.col("year"), _whole("population"))
     )
-    population = reconcile([census, abroad], keys, "population")
-    born = reconcile([_observed(births, "births", F.col("EC_MEASURE") == "LVB")], keys, "births")
-    died = reconcile(
-        [_observed(deaths, "deaths", F.col("EC_MEASURE") == "DTH", F.col("OBS_STATUS") == "A")],
-        keys, "deaths",
+    before = lived.withColumns({"part": F.lit("before"), "year": F.col("year") + 1})
+    born = births.filter(is_commune & (F.col("EC_MEASURE") == "LVB"))
+    died = deaths.filter(is_commune & (F.col("EC_MEASURE") == "DTH") & (F.col("OBS_STATUS") == "A"))
+    stacked = union_all(
+        [
+            lived,
+            before,
+            _part(born, "births", "GEO", period, observed),
+            _part(died, "deaths", "GEO", period, observed),
+            _part(family.filter(is_commune), "family", "GEO", period, observed, "NCH", "TFN"),
+            _part(
+                migration.filter(F.col("NIVGEO") == "COM"), "migration", "CODGEO",
+                F.lit(K.MIGRATION_YEAR), F.col("NB"), "IMMI", "SEXE",
+            ),
+        ]
     )
-    families, migrants = family_counts(family), migration_counts(migration)
-    parts = [population, born, died, families, migrants]
-
-    # The year before is read off the population series itself and joined together with it; a
-    # year without a population still sees the one before it through the shifted series.
-    before = population.select(
-        "id", (F.col("year") + 1).alias("year"), F.col("population").alias("previous")
+    part, value = F.col("part"), F.col("value")
+
+    def highest(condition: Column) -> Column:
+        return F.max(F.when(condition, value)).cast("int")
+
+    def cell(name: str, first: str | None, second: str | None) -> Column:
+        condition = part == name
+        if first:
+            condition = condition & (F.col("first") == first)
+        if second:
+            condition = condition & (F.col("second") == second)
+        return condition
+
+    folded = stacked.groupBy("id", "year").agg(
+        F.bool_or(part != "before").alias("_own"),
+        *[highest(part == name).alias(name) for name in ("population", "before", "births", "deaths")],
+        *[highest(cell("family", *codes)).alias(n) for n, codes in K.FAMILY_CELLS.items()],
+        *[
+            F.sum(F.when(cell("migration", *codes), value)).alias(n)
+            for n, codes in K.MIGRATION_CELLS.items()
+        ],
     )
-    wide = left_join_all(key_spine(parts, keys), keys, [population, before, born, died, families, migrants])
-    now, prev = F.col("population"), F.col("previous")
-    return wide.select(
+    now, prev = F.col("population"), F.col("before")
+    return folded.filter("_own").select(
         "id", "year", year_key(F.col("year")).alias("date_id"),
         "population",
         (now - prev).alias("year_evolution"),

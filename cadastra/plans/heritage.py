@@ -110,7 +110,10 @@ def bridge_monument_communes(monuments: DataFrame, communes: DataFrame) -> DataF
         .filter(F.col("commune_code").rlike("^[0-9A-B]{5}$"))
         .distinct()
     )
-    flagged = flag_extreme(pairs, ["monument_reference"], ["commune_code"], "is_primary")
+    flagged = flag_extreme(
+        pairs, ["monument_reference"], ["commune_code"], "is_primary",
+        sketch=monuments.select(F.col("reference").alias("monument_reference")),
+    )
     known = communes.select(F.col("id").alias("commune_code"), F.col("id").alias("_id"))
     return flagged.join(known, "commune_code", "left").select(
         "monument_reference", "commune_code", "is_primary", found(F.col("_id")).alias("commune_exists")

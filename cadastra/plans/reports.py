@@ -9,6 +9,7 @@ from cadastra.functions.columns import ratio, ratio_text, trend_text, thousands_
 from cadastra.operators.aggregates import exact_median, group_benchmark, members_of_top_groups, top
 from cadastra.operators.history import current
 from cadastra.operators.windows import latest_per_key
+from cadastra.session import pin
 from cadastra.sources.writers import collection_columns
 
 
@@ -98,12 +99,13 @@ def department_panel(communes: DataFrame, population: DataFrame) -> DataFrame:
 
 
 def latest_slice(panel: DataFrame) -> DataFrame:
+    """Rows of the newest year. Pass a stored panel: it is read twice."""
     return panel.filter(F.col("year") == panel.agg(F.max("year")).scalar())
 
 
 def panel_kpis(panel: DataFrame) -> DataFrame:
     """Total, mean, median and extremes of the newest year in one row."""
-    newest = latest_slice(panel)
+    newest = pin(latest_slice(pin(panel)))
     people = F.col("total_population")
     median = exact_median(newest, [], "total_population", "m").scalar()
     order = F.struct(people, F.col("department_code"))
@@ -120,11 +122,12 @@ def panel_kpis(panel: DataFrame) -> DataFrame:
 def panel_extremes(panel: DataFrame, k: int = 10, largest: bool = True) -> DataFrame:
     people = F.col("total_population")
     first = people.desc() if largest else people.asc()
-    return top(latest_slice(panel), k, first, F.col("department_code").asc())
+    return top(latest_slice(pin(panel)), k, first, F.col("department_code").asc())
 
 
 def panel_of_largest(panel: DataFrame, k: int = 5) -> DataFrame:
     """The full series of the departments largest in the newest year."""
+    panel = pin(panel)
     newest = panel.agg(F.max("year")).scalar()
     size = F.max(F.when(F.col("year") == newest, F.col("total_population")))
     return members_of_top_groups(panel, "department_code", size, k)

@@ -126,22 +126,21 @@ def not_in_null_aware(t: Tables):
     return clean.unionByName(holed)
 
 
-ERAS_SQL = """(SELECT min(CAST(o_orderdate AS DATE)) AS s, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE max(CAST(o_orderdate AS DATE)) END AS e, o_custkey AS era FROM orders GROUP BY o_custkey)"""
-
-
-@query("interval_join", f"""
-SELECT s_suppkey, day, era FROM
- (SELECT s_suppkey, DATE '1995-01-01' + CAST(s_suppkey * 23 % 2400 AS INTEGER) AS day FROM supplier) f
-LEFT JOIN {ERAS_SQL} i ON day >= s AND (day < e OR e IS NULL)""")
+@query("interval_join", """
+WITH f AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1),
+i AS (SELECT s_suppkey AS era, DATE '1995-01-01' + CAST(s_suppkey * 24 % 2400 AS INTEGER) AS s, CASE WHEN s_nationkey = 0 THEN NULL ELSE DATE '1995-01-01' + CAST(s_suppkey * 24 % 2400 + s_nationkey * 3 AS INTEGER) END AS e FROM supplier)
+SELECT day, n, era FROM f LEFT JOIN i ON day >= s AND (day < e OR e IS NULL)""")
 def interval_join(t: Tables):
     """Half-open intervals with open ends and overlaps; equi join on day buckets."""
-    day = F.col("o_orderdate").cast("date")
-    eras = t.orders.groupBy(F.col("o_custkey").alias("era")).agg(
-        F.min(day).alias("start_date"), F.max(day).alias("_end")
-    ).withColumn("end_date", F.when(F.col("era") % 5 != 0, F.col("_end")))
-    shift = (F.col("s_suppkey") * 23 % 2400).cast("int")
-    facts = t.supplier.select("s_suppkey", F.date_add(F.lit("1995-01-01").cast("date"), shift).alias("day"))
-    return J.interval_join(facts, eras, "day", ["era"])
+    days = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    offset = (F.col("s_suppkey") * 24 % 2400).cast("int")
+    first = F.lit("1995-01-01").cast("date")
+    eras = t.supplier.select(
+        F.col("s_suppkey").alias("era"), F.date_add(first, offset).alias("start_date"),
+        F.when(F.col("s_nationkey") > 0, F.date_add(first, offset + F.col("s_nationkey") * 3)).alias("end_date"),
+    )
+    dates = t.orders.select(F.col("o_orderdate").cast("date").alias("day"))
+    return J.interval_join(days, eras, "day", ["era"], sketch=dates)
 
 
 @query("interval_join_literal_eras", """

@@ -34,7 +34,7 @@ def shapes(t: Tables):
 def geography(t: Tables):
     return T.dim_geography(
         shapes(t), T.mountain_zones(t.mountain_perimeter), T.littoral(t.littoral_perimeter), t.altitude,
-        T.island_communes(communes(t)),
+        T.island_communes(stored_communes(t)),
     )
 
 
@@ -75,12 +75,17 @@ def monument_source(t: Tables):
     )
 
 
+def stored_communes(t: Tables):
+    return t.stored("communes", lambda: communes(t))
+
+
 def bridge(t: Tables):
-    return M.bridge_monument_communes(monument_source(t), communes(t))
+    return M.bridge_monument_communes(monument_source(t), stored_communes(t))
 
 
 def monuments(t: Tables):
-    return M.dim_monument(monument_source(t), communes(t), geography(t))
+    outlines = shapes(t).select(F.col("code").alias("commune_id"), "geometry")
+    return M.dim_monument(monument_source(t), stored_communes(t), outlines)
 
 
 CHECK_PARTS.update(
@@ -195,7 +200,7 @@ JOIN o_communes c ON c.id = a.commune_id JOIN o_communes d ON d.id = b.commune_i
 WHERE c.flag_corsica = d.flag_corsica AND c.flag_metropole = d.flag_metropole AND (c.flag_metropole = 0 OR c.department_code = d.department_code)""", ("o_geography", "o_communes"))
 def dim_neighbour_communes(t: Tables):
     """Touching communes of the same part of the territory."""
-    return T.dim_neighbour_communes(geography(t), communes(t))
+    return T.dim_neighbour_communes(geography(t), stored_communes(t))
 
 
 @query("dim_zip_codes", """
@@ -397,7 +402,7 @@ def bridge_monument_communes(t: Tables):
 @query("dim_commune_monument_stats", "SELECT * FROM o_stats", ("o_stats",))
 def dim_commune_monument_stats(t: Tables):
     """Monuments per commune by domain and protection (a part of the columns is compared)."""
-    table = M.dim_commune_monument_stats(communes(t), bridge(t), monuments(t))
+    table = M.dim_commune_monument_stats(stored_communes(t), bridge(t), monuments(t))
     return table.select(
         "commune_id", "total_monuments", "religious_count", "funerary_count", "civil_engineering_count", "other_count",
         "classified_count", "inscribed_count", "partial_protection_count",
@@ -636,7 +641,7 @@ def pay_gap_by_region(t: Tables):
 SELECT id, c.name, c.department_code, c.department_name, round(cx, 6) AS longitude, round(cy, 6) AS latitude, false AS visited, CAST(NULL AS DATE) AS visit_date, CAST(NULL AS VARCHAR) AS photo FROM o_communes c JOIN o_geography ON commune_id = id""", ("o_communes", "o_geography"))
 def commune_points(t: Tables):
     """One point per commune with columns to fill in."""
-    return R.commune_points(communes(t), geography(t)).withColumns({"longitude": F.round("longitude", 6), "latitude": F.round("latitude", 6)})
+    return R.commune_points(stored_communes(t), geography(t)).withColumns({"longitude": F.round("longitude", 6), "latitude": F.round("latitude", 6)})
 
 
 @query("monument_points", """
@@ -644,7 +649,7 @@ SELECT reference, m.name, protection_level, longitude, latitude, c.name AS commu
  (SELECT monument_reference, min(commune_code) AS code FROM o_bridge WHERE commune_exists AND (is_primary OR monument_reference NOT IN (SELECT monument_reference FROM o_bridge WHERE is_primary AND commune_exists)) GROUP BY 1) b ON reference = monument_reference JOIN o_communes c ON c.id = code""", ("o_monuments", "o_bridge", "o_communes"))
 def monument_points(t: Tables):
     """One point per monument with its primary commune that exists."""
-    points = R.monument_points(monuments(t), bridge(t), communes(t))
+    points = R.monument_points(monuments(t), bridge(t), stored_communes(t))
     return points.select("reference", "name", "protection_level", "longitude", "latitude", "commune_name", "department_code")
 
 
@@ -657,7 +662,7 @@ SELECT c.id, c.name, c.department_code, c.department_name, c.region_name, c.terr
 
 def master(t: Tables):
     visited = t.visits.withColumn("visited", F.lit(True))
-    return V.visited_master(communes(t), geography(t), population(t), visited, 1999, "https://t")
+    return V.visited_master(stored_communes(t), geography(t), population(t), visited, 1999, "https://t")
 
 
 @query("visited_master", "SELECT id, department_code, population, CASE WHEN visited THEN true END AS visited, visit_date, photo_thumbnail_url FROM o_master", ("o_master",))
@@ -713,8 +718,8 @@ SELECT v.*, round(visit_minutes::DOUBLE / 60, 2) AS visit_hours, CASE WHEN depar
 
 
 def timed(t: Tables):
-    stats = M.dim_commune_monument_stats(communes(t), bridge(t), monuments(t))
-    base = V.visit_base(communes(t), geography(t), stats, population(t), 1999)
+    stats = M.dim_commune_monument_stats(stored_communes(t), bridge(t), monuments(t))
+    base = V.visit_base(stored_communes(t), geography(t), stats, population(t), 1999)
     return V.with_overseas(V.visit_minutes(base))
 
 
@@ -776,7 +781,7 @@ def visit_tour_kpis(t: Tables):
 SELECT commune_id, total_monuments FROM o_stats ORDER BY total_monuments DESC, commune_id LIMIT 10""", ("o_stats",))
 def most_monuments(t: Tables):
     """The communes richest in monuments."""
-    stats = M.dim_commune_monument_stats(communes(t), bridge(t), monuments(t))
+    stats = M.dim_commune_monument_stats(stored_communes(t), bridge(t), monuments(t))
     return top(stats.select("commune_id", "total_monuments"), 10, F.col("total_monuments").desc(), F.col("commune_id").asc())
 
 

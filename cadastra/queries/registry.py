@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadastra.session import pin
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -25,6 +27,7 @@ class Tables:
         self.spark = spark
         self.folder = folder
         self._derived: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
@@ -33,6 +36,12 @@ class Tables:
             return self.derived(name)
         raise AttributeError(name)
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that several parts of one query read, computed once."""
+        if name not in self._stored:
+            self._stored[name] = pin(build())
+        return self._stored[name]
+
     def derived(self, name: str) -> DataFrame:
         if name not in self._derived:
             text = DERIVED[name]
