@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.operators.joins import mapped_join
+from cadastra.operators.skew import skew_join
 from cadastra.operators.windows import surrogate_id
 
 
@@ -62,9 +63,10 @@ def rows_from(
     df: DataFrame, key: Column, table: str, bridge_: DataFrame, sources: DataFrame
 ) -> DataFrame:
     """Rows of a table with the label of every source they come from."""
-    named = (
-        bridge_.filter(F.col("target_table") == table)
-        .join(sources.select("source_id", "source_name", "organization"), "source_id")
-        .select(F.col("target_key").alias("_key"), "source_name", "organization")
+    ours = bridge_.filter(F.col("target_table") == table).select("target_key", "source_id")
+    labels = sources.select("source_id", "source_name", "organization")
+    # Few sources, of which one may stand behind most rows.
+    named = skew_join(ours, labels, ["source_id"], "inner", coarse=True).select(
+        F.col("target_key").alias("_key"), "source_name", "organization"
     )
     return df.withColumn("_key", key.cast("string")).join(named, "_key").drop("_key")

@@ -13,8 +13,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_SHARE = 0.02
-SALTS = 16
+from cadastra.session import shuffle_partitions
+
+HEAVY_SHARE = 0.002
+COARSE_SALTS = 512
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -25,7 +27,7 @@ def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE)
     """Hashes of the keys that may hold at least ``share`` of the rows.
 
     The sketch keeps at most ``1/share`` entries, so what comes to the driver is bounded
-    by that, whatever the data.
+    by that, whatever the data. It may list lighter keys too, which does no harm.
     """
     found = df.select(key_hash(keys).alias("h")).stat.freqItems(["h"], share).first()
     return sorted(found[0] or [])
@@ -42,9 +44,10 @@ def skew_join(
     coarse: bool = False,
     sketch: DataFrame | None = None,
     share: float = HEAVY_SHARE,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Equi join on ``keys`` with the heavy left keys spread over ``salts`` tasks.
+    """Equi join on ``keys`` with the heavy left keys spread over ``salts`` tasks (default: as
+    many as there are shuffle partitions, so that even one key with most rows uses them all).
 
     ``how`` is inner, left, left_semi or left_anti. ``spread`` names left columns that tell
     rows of one key apart (default: all of them); the salt is a hash of them and so stays the
@@ -61,7 +64,9 @@ def skew_join(
         if shared:
             raise ValueError(f"columns on both sides: {sorted(shared)}")
     on = list(keys)
+    salts = salts or shuffle_partitions(left.sparkSession)
     if coarse:
+        salts = min(salts, COARSE_SALTS)
         hot = F.lit(True)
     else:
         heavy = heavy_hashes(left if sketch is None else sketch, keys, share)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.operators.skew import skew_join
+from cadastra.operators.skew import heavy_hashes, key_hash, skew_join
 from cadastra.session import pin, shuffle_partitions
 
 
@@ -79,6 +79,18 @@ def surrogate_id(
     return numbered.select((F.col("_before") + row + 1).alias(name), *df.columns)
 
 
+def _chunked(
+    df: DataFrame, keys: Sequence[str], chunk: Column, fine: Column | None, sketch: DataFrame | None
+) -> DataFrame:
+    """Add the chunk of each row; heavy keys take the finer cut if one is given. Chunks are only
+    compared within a key, so the two may differ in width (not in type)."""
+    if fine is not None:
+        heavy = heavy_hashes(df if sketch is None else sketch, keys)
+        if heavy:
+            chunk = F.when(key_hash(keys).isin(heavy), fine).otherwise(chunk)
+    return df.withColumn("_chunk", chunk)
+
+
 def previous_state(
     df: DataFrame,
     keys: Sequence[str],
@@ -86,14 +98,18 @@ def previous_state(
     order: Sequence[str],
     columns: Sequence[str],
     prefix: str = "previous_",
+    *,
+    fine: Column | None = None,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Values of ``columns`` in the row before, per key in ``chunk`` then ``order``.
 
-    ``chunk`` must grow with the order (a day, a page, a year). ``order`` needs a tiebreak.
+    ``chunk`` must grow with the order (a day, a page, a year); ``fine`` is a narrower cut for
+    heavy keys, which are looked for in ``sketch`` (default ``df``). ``order`` needs a tiebreak.
     """
     state = F.struct(*[F.col(c) for c in columns])
     rank = F.struct(*[F.col(c) for c in order])
-    rows = df.withColumn("_chunk", chunk)
+    rows = _chunked(df, keys, chunk, fine, sketch)
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     ends = rows.groupBy(*keys, "_chunk").agg(F.max_by(state, rank).alias("_end"))
     carried = ends.select(
@@ -117,10 +133,13 @@ def carry_forward(
     order: Sequence[str],
     column: str,
     name: str,
+    *,
+    fine: Column | None = None,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Last non-NULL value of ``column`` up to and including each row."""
     rank = F.struct(*[F.col(c) for c in order])
-    rows = df.withColumn("_chunk", chunk)
+    rows = _chunked(df, keys, chunk, fine, sketch)
     upto = Window.unboundedPreceding
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(upto, 0)
     known = F.col(column).isNotNull()

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.columns import crosswalk, enforce, ratio, slug, year_key
 from cadastra.operators.aggregates import pivot_when
+from cadastra.operators.skew import skew_join
 from cadastra.operators.windows import surrogate_id
 from cadastra.plans.constants import CITY_CODES
 
+MAX_INDICATORS = 1000
 EQUIPMENT = [
     "equipment_code", "equipment_name", "subdomain_code", "subdomain_name", "domain_code", "domain_name",
 ]
@@ -30,16 +32,12 @@ def fact_equipment(
         .groupBy("GEO", F.col("TIME_PERIOD").cast("int").alias("year"), "FACILITY_TYPE")
         .agg(F.sum(F.round(F.col("OBS_VALUE").cast("decimal(38,6)"), 0).cast("int")).alias("count"))
     )
-    return (
-        base.join(communes.select(F.col("id").alias("GEO"), F.col("id").alias("commune_id")), "GEO", "left")
-        .join(
-            equipment.select(F.col("equipment_code").alias("FACILITY_TYPE"), "equipment_type_id"),
-            "FACILITY_TYPE", "left",
-        )
-        .select(
-            "commune_id", "year", year_key(F.col("year")).alias("date_id"), "equipment_type_id",
-            source_id.cast("int").alias("source_id"), "count",
-        )
+    towns = communes.select(F.col("id").alias("GEO"), F.col("id").alias("commune_id"))
+    types = equipment.select(F.col("equipment_code").alias("FACILITY_TYPE"), "equipment_type_id")
+    typed = skew_join(base, types, ["FACILITY_TYPE"], "left", spread=["GEO", "year"], coarse=True)
+    return typed.join(towns, "GEO", "left").select(
+        "commune_id", "year", year_key(F.col("year")).alias("date_id"), "equipment_type_id",
+        source_id.cast("int").alias("source_id"), "count",
     )
 
 
@@ -75,7 +73,8 @@ def fact_criminality(recorded: DataFrame, indicators: DataFrame) -> DataFrame:
     )
     known = indicators.select("indicateur_id", F.col("name_fr").alias("indicateur"))
     per_thousand = lambda c: F.round(ratio(F.col(c) * F.lit(1000.0), F.col("insee_pop")), 2)
-    return summed.join(known, "indicateur").select(
+    named = skew_join(summed, known, ["indicateur"], "inner", spread=["commune_id", "annee"], coarse=True)
+    return named.select(
         "commune_id", "annee", "indicateur_id", "nombre",
         per_thousand("nombre").alias("taux_pour_mille"),
         F.when(F.col("_diffused"), "diff").otherwise("ndiff").alias("est_diffuse"),
@@ -86,11 +85,13 @@ def fact_criminality(recorded: DataFrame, indicators: DataFrame) -> DataFrame:
 
 
 def criminality_wide(facts: DataFrame, indicators: DataFrame) -> DataFrame:
-    """One column per indicator, named after the indicator table. That table is a fixed list of
-    some fifteen entries; its rows name the columns."""
-    listed = indicators.select("indicateur_id", slug(F.col("name_en")).alias("name")).orderBy("indicateur_id")
+    """One column per indicator, named after the indicator table: a fixed list of some fifteen
+    entries, whose names come to the driver."""
+    listed = indicators.select("indicateur_id", slug(F.col("name_en")).alias("name"))
+    rows = listed.orderBy("indicateur_id").limit(MAX_INDICATORS + 1).collect()
+    if len(rows) > MAX_INDICATORS:
+        raise ValueError(f"more than {MAX_INDICATORS} indicators cannot become columns")
     cells = {
-        r["name"]: (F.col("indicateur_id") == r["indicateur_id"], F.col("nombre"))
-        for r in listed.limit(200).collect()
+        r["name"]: (F.col("indicateur_id") == r["indicateur_id"], F.col("nombre")) for r in rows
     }
     return pivot_when(facts, ["commune_id", "annee"], cells)

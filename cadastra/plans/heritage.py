@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cadastra.functions.columns import crosswalk, enforce, found
 from cadastra.functions.dates import slashed_date
 from cadastra.operators.aggregates import distinct_buckets
+from cadastra.operators.skew import skew_join
 from cadastra.operators.spatial import locate
 from cadastra.operators.windows import flag_extreme, previous_state
 from cadastra.plans.constants import CITY_CODES, MONUMENT_DOMAINS
@@ -73,8 +74,9 @@ def dim_monument(monuments: DataFrame, communes: DataFrame, geography: DataFrame
         [*[(s, d, "string") for s, d in MONUMENT_FIELDS], ("_code", "_code", "string"),
          ("x", "longitude", "double"), ("y", "latitude", "double")],
     )
+    # One city may hold a third of the monuments; the communes are few.
     known = communes.select(F.col("id").alias("_code"), F.lit(True).alias("_known"))
-    coded = typed.join(known, "_code", "left")
+    coded = skew_join(typed, known, ["_code"], "left", spread=["reference"], coarse=True)
     lost = coded.filter(F.col("_known").isNull() & F.col("longitude").isNotNull())
     placed = locate(
         lost, "reference", "longitude", "latitude",
@@ -115,7 +117,10 @@ def bridge_monument_communes(monuments: DataFrame, communes: DataFrame) -> DataF
         sketch=monuments.select(F.col("reference").alias("monument_reference")),
     )
     known = communes.select(F.col("id").alias("commune_code"), F.col("id").alias("_id"))
-    return flagged.join(known, "commune_code", "left").select(
+    joined = skew_join(
+        flagged, known, ["commune_code"], "left", spread=["monument_reference"], coarse=True
+    )
+    return joined.select(
         "monument_reference", "commune_code", "is_primary", found(F.col("_id")).alias("commune_exists")
     )
 
@@ -184,9 +189,11 @@ def fact_classification_history(monuments: DataFrame) -> DataFrame:
         "_scope", F.coalesce("new_protection_scope", F.lit(""))
     )
     staged = previous_state(
-        events, ["monument_reference"], F.year("event_date"),
+        events, ["monument_reference"], F.trunc("event_date", "year"),
         ["event_date", "new_protection_level", "_scope"],
         ["new_protection_level", "new_protection_scope"], prefix="_before_",
+        fine=F.col("event_date"),
+        sketch=monuments.select(F.col("reference").alias("monument_reference")),
     )
     before = F.col("_before_new_protection_level")
     return staged.select(

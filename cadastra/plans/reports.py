@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cadastra.functions.columns import ratio, ratio_text, trend_text, thousands_text
 from cadastra.operators.aggregates import exact_median, group_benchmark, members_of_top_groups, top
 from cadastra.operators.history import current
+from cadastra.operators.skew import skew_join
 from cadastra.operators.windows import latest_per_key
 from cadastra.session import pin
 from cadastra.sources.writers import collection_columns
@@ -168,12 +169,12 @@ def commune_points(communes: DataFrame, geography: DataFrame) -> DataFrame:
 
 def monument_points(monuments: DataFrame, bridge: DataFrame, communes: DataFrame) -> DataFrame:
     """One point per monument with its primary commune (else the smallest code) that exists."""
-    placed = bridge.join(
-        communes.select(
-            F.col("id").alias("commune_code"), F.col("name").alias("commune_name"),
-            "department_code", "department_name",
-        ),
-        "commune_code",
+    towns = communes.select(
+        F.col("id").alias("commune_code"), F.col("name").alias("commune_name"),
+        "department_code", "department_name",
+    )
+    placed = skew_join(
+        bridge, towns, ["commune_code"], "inner", spread=["monument_reference"], coarse=True
     )
     first = latest_per_key(
         placed, ["monument_reference"], [F.col("is_primary").desc(), F.col("commune_code").asc()]

@@ -26,12 +26,15 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._given: dict[str, DataFrame] = {}
         self._derived: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            if name not in self._given:
+                self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self._given[name]
         if name in DERIVED:
             return self.derived(name)
         raise AttributeError(name)
