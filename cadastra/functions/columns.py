@@ -141,9 +141,30 @@ def rebase_path(path: Column, prefix: str, base: str) -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(path, "^" + prefix, ""))
 
 
+def round_exact(value: Column, decimals: int) -> Column:
+    """Round a double by its exact binary value, ties to even, as C and Python print numbers.
+
+    Spark rounds the shortest decimal form instead, which differs where that form ends in 5. The
+    rounding error of ``value * 10^decimals`` is recovered by splitting the factor in halves and
+    decides apparent ties.
+    """
+    scale = 10.0**decimals
+    x = value.cast("double")
+    product = x * F.lit(scale)
+    wide = x * F.lit(134217729.0)  # 2^27 + 1
+    high = wide - (wide - x)
+    error = (high * scale - product) + (x - high) * scale
+    whole = F.floor(product).cast("double")
+    rest = product - whole
+    odd = F.pmod(whole, F.lit(2.0)) == 1.0
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & odd)))
+    rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / F.lit(scale)
+    return F.when((rounded == 0) & (x < 0), F.lit(-0.0)).otherwise(rounded)
+
+
 def signed_text(value: Column, decimals: int = 1, suffix: str = "", thousands: bool = False) -> Column:
     pattern = f"%+{',' if thousands else ''}.{decimals}f"
-    return F.concat(F.format_string(pattern, value.cast("double")), F.lit(suffix))
+    return F.concat(F.format_string(pattern, round_exact(value, decimals)), F.lit(suffix))
 
 
 def trend_text(value: Column, decimals: int = 1, suffix: str = "", thousands: bool = False) -> Column:
@@ -158,7 +179,7 @@ def trend_text(value: Column, decimals: int = 1, suffix: str = "", thousands: bo
 
 
 def ratio_text(value: Column, decimals: int = 1) -> Column:
-    text = F.format_string(f"%.{decimals}f", value.cast("double"))
+    text = F.format_string(f"%.{decimals}f", round_exact(value, decimals))
     return F.when(value.isNull(), F.lit("—")).otherwise(text)
 
 
