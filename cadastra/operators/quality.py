@@ -103,7 +103,8 @@ def report(
         if rule.kind in ROW_RULES:
             continue
         keys = [F.col(c) for c in rule.columns]
-        known = reduce(lambda a, b: a & b, [k.isNotNull() for k in keys])
+        # Equal combinations count even if a part is NULL; a single NULL is not a value.
+        known = F.lit(True) if len(keys) > 1 else keys[0].isNotNull()
         folded = df.filter(known).groupBy(*rule.columns).agg(F.count("*").alias("n"))
         if rule.kind == "relationship":
             child = rule.columns[0]

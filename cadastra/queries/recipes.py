@@ -14,6 +14,7 @@ from cadastra.plans import heritage as M
 from cadastra.plans import names as N
 from cadastra.plans import provenance as PR
 from cadastra.plans import reports as R
+from cadastra.plans import rules as RULES
 from cadastra.plans import territory as T
 from cadastra.plans import visits as V
 from cadastra.queries import derived  # noqa: F401
@@ -220,6 +221,19 @@ def bridge_communes_zip_codes(t: Tables):
     return T.bridge_communes_zip_codes(zip_codes(t), communes(t))
 
 
+@query("rules_of_communes", """
+WITH l(rule, "column", failures) AS (
+ SELECT 'unique', 'id', count(*) FROM (SELECT 1 FROM o_communes GROUP BY id HAVING count(*) > 1)
+ UNION ALL SELECT 'not_null', v.c, count(*) FILTER (WHERE v.x IS NULL) FROM o_communes, LATERAL (SELECT * FROM (VALUES ('id', id), ('name', name), ('department_code', department_code), ('department_name', department_name)) q(c, x)) v GROUP BY v.c
+ UNION ALL SELECT 'accepted_values', 'territory_type', count(*) FILTER (WHERE territory_type NOT IN ('METROPOLE_DROM', 'COM')) FROM o_communes
+ UNION ALL SELECT 'accepted_values', v.c, count(*) FILTER (WHERE v.x NOT IN (0, 1)) FROM o_communes, LATERAL (SELECT * FROM (VALUES ('flag_corsica', flag_corsica), ('flag_metropole', flag_metropole), ('flag_prefecture', flag_prefecture),
+   ('flag_chef_lieu_arrondissement', flag_chef_lieu_arrondissement), ('flag_sous_prefecture', flag_sous_prefecture)) q(c, x)) v GROUP BY v.c)
+SELECT rule, "column", 'error' AS severity, failures FROM l""", ("o_communes",))
+def rules_of_communes(t: Tables):
+    """DQ1, DQ2, DQ4: the published rules of the commune table."""
+    return RULES.check_table("dim_communes", communes(t))
+
+
 # -- demography ------------------------------------------------------------------------------
 
 FAMILY_SQL = ", ".join(
@@ -381,6 +395,23 @@ def criminality_wide(t: Tables):
     return E.criminality_wide(E.fact_criminality(t.criminality, indicators(t)), indicators(t))
 
 
+@query("rules_of_criminality", """
+WITH l(rule, "column", severity, failures) AS (
+ SELECT 'unique_combination', 'commune_id,annee,indicateur_id', 'error', count(*) FROM (SELECT 1 FROM o_crime GROUP BY commune_id, annee, indicateur_id HAVING count(*) > 1)
+ UNION ALL SELECT 'not_null', v.c, 'error', count(*) FILTER (WHERE v.x IS NULL) FROM o_crime, LATERAL (SELECT * FROM (VALUES ('commune_id', commune_id), ('annee', CAST(annee AS VARCHAR)), ('indicateur_id', CAST(indicateur_id AS VARCHAR)), ('est_diffuse', est_diffuse)) q(c, x)) v GROUP BY v.c
+ UNION ALL SELECT 'relationship', 'indicateur_id', 'error', count(*) FILTER (WHERE indicateur_id NOT IN (1, 2)) FROM o_crime
+ UNION ALL SELECT 'accepted_range', 'annee', 'error', count(*) FILTER (WHERE annee NOT BETWEEN 2016 AND 2025) FROM o_crime
+ UNION ALL SELECT 'accepted_range', 'taux_pour_mille', 'warn', count(*) FILTER (WHERE taux_pour_mille NOT BETWEEN 0 AND 1000) FROM o_crime
+ UNION ALL SELECT 'accepted_range', 'insee_pop', 'warn', count(*) FILTER (WHERE insee_pop NOT BETWEEN 0 AND 3000000) FROM o_crime
+ UNION ALL SELECT 'accepted_range', 'insee_log', 'warn', count(*) FILTER (WHERE insee_log NOT BETWEEN 0 AND 1500000) FROM o_crime)
+SELECT * FROM l""", ("o_crime",))
+def rules_of_criminality(t: Tables):
+    """DQ1, DQ3, DQ5, DQ6: the published rules of the crime table (years break one, an indicator
+    missing from the parent another)."""
+    facts = E.fact_criminality(t.criminality, indicators(t))
+    return RULES.check_table("fact_criminality", facts, {"dim_criminality_indicateur": indicators(t).filter("indicateur_id < 3")})
+
+
 # -- heritage --------------------------------------------------------------------------------
 
 

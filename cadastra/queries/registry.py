@@ -80,6 +80,10 @@ def with_derived(sql: str, needs: tuple[str, ...]) -> str:
     texts = {**DERIVED, **CHECK_PARTS}
     ordered: list[str] = []
 
+    unknown = set(needs) - set(texts)
+    if unknown:
+        raise KeyError(f"not defined yet: {sorted(unknown)}")
+
     def visit(name: str) -> None:
         if name in ordered or name not in texts:
             return

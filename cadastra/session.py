@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # No call-site capture for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from cadastra.operators.loads import append_new
-from cadastra.session import pin
 
 
 def append_arrivals(
@@ -33,10 +32,10 @@ def append_arrivals(
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             existing = spark.createDataFrame([], schema)
-        fresh = batch.withColumn("_arrived", F.current_timestamp())
         # The batch is read for heavy keys and for the load itself.
-        rows = pin(fresh).drop("_arrived")
-        new = append_new(existing.select(*keys), rows, keys, F.current_timestamp())
+        batch.persist()
+        new = append_new(existing.select(*keys), batch, keys, F.current_timestamp())
         new.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        batch.unpersist()
 
     return arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

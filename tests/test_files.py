@@ -121,3 +121,21 @@ def test_arrivals(spark, tmp_path):
         query.awaitTermination(120)
     got = spark.read.parquet(table)
     assert sorted((r["id"], r["v"]) for r in got.collect()) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_build_and_check(spark, tmp_path):
+    from cadastra.plans import rules
+
+    good = spark.createDataFrame([("01001", "M1"), ("01002", "M1")], "commune_code string, monument_reference string")
+    assert rules.build_and_check("bridge_monument_communes", good, str(tmp_path / "b")).filter("failures > 0").isEmpty()
+    with pytest.raises(ValueError, match="unique_combination"):
+        rules.build_and_check("bridge_monument_communes", good.union(good), str(tmp_path / "b"))
+
+
+def test_rule_counts():
+    from collections import Counter
+
+    from cadastra.plans import rules
+
+    kinds = Counter(r.kind for table in rules.RULES.values() for r in table)
+    assert kinds["accepted_range"] == 94 and kinds["relationship"] == 13 and kinds["accepted_values"] == 8 and kinds["not_null"] == 68
