@@ -141,6 +141,18 @@ def rebase_path(path: Column, prefix: str, base: str) -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(path, "^" + prefix, ""))
 
 
+def round_sql(value: Column, decimals: int) -> Column:
+    """Round a double after scaling it, half away from zero, as SQL engines on doubles do."""
+    scale = F.lit(10.0**decimals)
+    return F.round(value.cast("double") * scale, 0) / scale
+
+
+def round_even(value: Column, decimals: int) -> Column:
+    """Round a double after scaling it, ties to even, as data-frame libraries do."""
+    scale = F.lit(10.0**decimals)
+    return F.rint(value.cast("double") * scale) / scale
+
+
 def round_exact(value: Column, decimals: int) -> Column:
     """Round a double by its exact binary value, ties to even, as C and Python print numbers.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cadastra.functions.columns import tiers
+from cadastra.functions.columns import round_exact, tiers
 
 # Day and month names.
 DAYS_FR = ["Lundi", "Mardi", "Mercredi", "Jeudi", "Vendredi", "Samedi", "Dimanche"]
@@ -123,7 +123,7 @@ def moon_phase_name(phase: Column) -> Column:
 def moon_illumination(phase: Column) -> Column:
     """Linear approximation: 1 at full moon (14), 0 at new moon, two decimals."""
     distance = F.abs(phase - F.lit(14.0)) / F.lit(14.0)
-    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - distance)), 2)
+    return round_exact(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - distance)), 2)
 
 
 def lunation(date: Column) -> Column:

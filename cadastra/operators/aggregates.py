@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.functions.columns import round_even, round_sql
 from cadastra.operators.skew import skew_join
 from cadastra.operators.windows import latest_per_key, running_sum
 
@@ -144,10 +145,10 @@ def describe(df: DataFrame, keys: Sequence[str], value: Column, decimals: int =
     return counts.groupBy(*keys).agg(
         F.sum("_c").alias("n"),
         F.min("_v").alias("min_value"),
-        F.round(s1 / n, decimals).alias("avg_value"),
+        round_sql(s1 / n, decimals).alias("avg_value"),
         F.percentile(v, F.lit(0.5), c).alias("median_value"),
         F.max("_v").alias("max_value"),
-        F.round(F.sqrt(variance), decimals).alias("stddev_value"),
+        round_sql(F.sqrt(variance), decimals).alias("stddev_value"),
     )
 
 
@@ -185,7 +186,7 @@ def completeness(df: DataFrame, groups: Sequence[str], done: Column) -> DataFram
     return (
         df.groupBy(*groups)
         .agg(hit.alias("n_done"), F.count("*").alias("n_total"))
-        .withColumn("pct_done", F.round(F.col("n_done") * 100.0 / F.col("n_total").cast("double"), 1))
+        .withColumn("pct_done", round_even(F.col("n_done") / F.col("n_total") * 100, 1))
         .withColumn("is_complete", F.col("n_done") == F.col("n_total"))
     )
 

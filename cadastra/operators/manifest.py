@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.functions.columns import choose
+from cadastra.functions.columns import choose, round_exact
 from cadastra.operators.windows import flag_extreme, latest_per_key
 
 CHUNK = 8 * 1024 * 1024
@@ -22,7 +22,7 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
         "path",
         F.element_at(F.split("path", "/"), -1).alias("filename"),
         F.col("length").alias("bytes"),
-        F.round(F.col("length") / F.lit(1048576.0), 2).alias("size_mb"),
+        round_exact(F.col("length") / F.lit(1048576.0), 2).alias("size_mb"),
         F.col("modificationTime").alias("modified_at"),
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions import geo
+from cadastra.functions.columns import round_exact
 from cadastra.operators.skew import skew_join
 from cadastra.session import pin
 
@@ -117,7 +118,7 @@ def zonal_stats(
     stats = hits.groupBy(key).agg(
         F.min("_lo").cast("int").alias("altitude_min"),
         F.max("_hi").cast("int").alias("altitude_max"),
-        F.round(F.sum("_sum").cast("double") / F.sum("_n"), 1).alias("altitude_moyenne"),
+        round_exact(F.sum("_sum").cast("double") / F.sum("_n"), 1).alias("altitude_moyenne"),
     )
     return zones.select(key).join(stats, key, "left")
 

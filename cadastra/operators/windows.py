@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadastra.functions.columns import round_sql
 from cadastra.operators.skew import heavy_hashes, key_hash, skew_join
 from cadastra.session import pin, shuffle_partitions
 
@@ -185,4 +186,4 @@ def share_of_total(df: DataFrame, column: str, name: str, decimals: int = 1) ->
     """Percent of the column total per row. The total is a scalar subquery: a one-row aggregate,
     not a window over an unpartitioned table."""
     total = df.agg(F.sum(column)).scalar().cast("double")
-    return df.withColumn(name, F.round(F.col(column) * F.lit(100.0) / total, decimals))
+    return df.withColumn(name, round_sql(F.col(column) * F.lit(100.0) / total, decimals))

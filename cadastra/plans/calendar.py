@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions import dates as D
-from cadastra.functions.columns import date_key
+from cadastra.functions.columns import date_key, round_exact
 from cadastra.operators.joins import interval_join
 from cadastra.operators.sets import membership
 
@@ -80,7 +80,7 @@ def lunar_phases(phases: DataFrame) -> DataFrame:
     name = D.moon_phase_name(phase)
     return phases.select(
         "date",
-        F.round(phase, 2).alias("moon_phase_value"),
+        round_exact(phase, 2).alias("moon_phase_value"),
         name.alias("moon_phase_name"),
         D.moon_illumination(phase).alias("moon_illumination_fraction"),
         (name == "Full Moon").alias("is_full_moon"),

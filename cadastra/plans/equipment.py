@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.functions.columns import crosswalk, enforce, ratio, slug, year_key
+from cadastra.functions.columns import crosswalk, enforce, ratio, round_sql, slug, year_key
 from cadastra.operators.aggregates import pivot_when
 from cadastra.operators.skew import skew_join
 from cadastra.operators.windows import surrogate_id
@@ -72,7 +72,7 @@ def fact_criminality(recorded: DataFrame, indicators: DataFrame) -> DataFrame:
         F.sum("insee_log").alias("insee_log"),
     )
     known = indicators.select("indicateur_id", F.col("name_fr").alias("indicateur"))
-    per_thousand = lambda c: F.round(ratio(F.col(c) * F.lit(1000.0), F.col("insee_pop")), 2)
+    per_thousand = lambda c: round_sql(ratio(F.col(c) * F.lit(1000.0), F.col("insee_pop")), 2)
     named = skew_join(summed, known, ["indicateur"], "inner", spread=["commune_id", "annee"], coarse=True)
     return named.select(
         "commune_id", "annee", "indicateur_id", "nombre",

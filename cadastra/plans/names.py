@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.functions.columns import tiers
+from cadastra.functions.columns import round_sql, tiers
 from cadastra.operators.aggregates import (
     describe, frequency, members_of_top_groups, pattern_tally, token_counts, top,
 )
@@ -92,5 +92,5 @@ def group_lengths(df: DataFrame, group: str, name: str = "name") -> DataFrame:
 def lengths_in_top_groups(df: DataFrame, group: str, k: int = 12, name: str = "name") -> DataFrame:
     """Name lengths of the groups with the longest mean name."""
     size = F.length(name)
-    rows = members_of_top_groups(df, group, F.round(F.avg(size), 1), k)
+    rows = members_of_top_groups(df, group, round_sql(F.avg(size), 1), k)
     return rows.select(group, size.alias("len"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.functions.columns import multiplier, rebase_path, tiers
+from cadastra.functions.columns import multiplier, rebase_path, round_even, round_exact, tiers
 from cadastra.operators.aggregates import badges, completeness
 from cadastra.operators.history import current
 from cadastra.plans import constants as K
@@ -53,10 +53,10 @@ def department_completeness(master: DataFrame) -> DataFrame:
     ).filter("n_done > 0")
 
 
-def map_points(master: DataFrame, digits: int = 4) -> DataFrame:
+def map_points(master: DataFrame, digits: int = 5) -> DataFrame:
     """Map dots: rounded position, name, population (0 if unknown) and layer."""
     return master.filter("latitude is not null and longitude is not null").select(
-        "id", F.round("latitude", digits).alias("latitude"), F.round("longitude", digits).alias("longitude"),
+        "id", round_exact(F.col("latitude"), digits).alias("latitude"), round_exact(F.col("longitude"), digits).alias("longitude"),
         "name", F.coalesce("population", F.lit(0)).alias("population"),
         F.coalesce("visited", F.lit(False)).alias("visited"),
     )
@@ -86,9 +86,9 @@ def visit_kpis(master: DataFrame) -> DataFrame:
     return per_region.agg(
         zero("n").alias("n_total"),
         zero("v").alias("n_visited"),
-        F.round(F.sum("v") * 100.0 / F.sum("n").cast("double"), 2).alias("pct_visited"),
+        round_exact(F.sum("v") / F.sum("n") * 100, 2).alias("pct_visited"),
         zero("population").alias("population_visited"),
-        F.round(F.sum("area").cast("double"), 0).alias("area_visited"),
+        round_exact(F.sum("area"), 0).alias("area_visited"),
         zero("departments").alias("n_departments"),
         F.count_if(F.col("v") > 0).alias("n_regions"),
         zero("complete").alias("departments_completed"),
@@ -155,7 +155,7 @@ def visit_minutes(base: DataFrame) -> DataFrame:
     )
     minutes = F.least(((stay + sights) * terrain + ferry).cast("bigint"), F.lit(K.MINUTES_PER_DAY))
     timed = base.withColumn("visit_minutes", minutes)
-    return timed.withColumn("visit_hours", F.round(F.col("visit_minutes") / 60, 2))
+    return timed.withColumn("visit_hours", round_even(F.col("visit_minutes") / 60, 2))
 
 
 def with_overseas(df: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def _hours(column: str = "visit_hours") -> Column:
 def department_summary(timed: DataFrame) -> DataFrame:
     dense = F.col("department_code").isin(K.DENSE_DEPARTMENTS)
     drive = F.when(dense, K.DENSE_DRIVE_MINUTES).otherwise(K.RURAL_DRIVE_MINUTES)
-    travel = F.round((F.col("n_towns") - 1) * drive / 60, 1)
+    travel = round_even((F.col("n_towns") - 1) * drive / 60, 1)
     total = F.col("total_visit_hours") + F.col("intra_travel_hours")
     return (
         timed.groupBy("department_code")
@@ -192,8 +192,8 @@ def department_summary(timed: DataFrame) -> DataFrame:
             F.max("overseas_travel_days").alias("overseas_travel_days"),
         )
         .withColumn("intra_travel_hours", travel)
-        .withColumn("total_hours", F.round(total, 1))
-        .withColumn("total_days", F.round(total / K.HOURS_PER_DAY, 1))
+        .withColumn("total_hours", round_even(total, 1))
+        .withColumn("total_days", round_even(total / K.HOURS_PER_DAY, 1))
     )
 
 
@@ -211,9 +211,9 @@ def region_summary(departments: DataFrame) -> DataFrame:
     )
     return rolled.select(
         "region_name", "n_towns",
-        F.round("_visit", 0).alias("visit_hours"),
-        F.round("_travel", 0).alias("travel_hours"),
-        F.round((F.col("_visit") + F.col("_travel")) / K.HOURS_PER_DAY, 1).alias("total_days"),
+        round_exact(F.col("_visit"), 0).alias("visit_hours"),
+        round_exact(F.col("_travel"), 0).alias("travel_hours"),
+        round_exact((F.col("_visit") + F.col("_travel")) / K.HOURS_PER_DAY, 1).alias("total_days"),
     )
 
 
@@ -228,7 +228,7 @@ def overseas_summary(timed: DataFrame) -> DataFrame:
         )
         .withColumn(
             "total_days",
-            F.round(F.col("total_visit_hours") / K.HOURS_PER_DAY + F.col("travel_days"), 1),
+            round_even(F.col("total_visit_hours") / K.HOURS_PER_DAY + F.col("travel_days"), 1),
         )
     )
 

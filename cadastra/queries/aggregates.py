@@ -102,7 +102,7 @@ def weighted_rate(t: Tables):
         F.bool_or(F.col("l_linestatus") == "O").alias("_open"),
     )
     return folded.select(
-        "l_partkey", F.round(C.ratio(F.col("d") * 1000.0, F.col("q")), 2).alias("rate"), "any_returned",
+        "l_partkey", C.round_sql(C.ratio(F.col("d") * 1000.0, F.col("q")), 2).alias("rate"), "any_returned",
         F.when(F.col("_open"), "open").otherwise("closed").alias("state"),
     )
 
@@ -195,7 +195,7 @@ def group_rollup(t: Tables):
 
 
 @query("group_completeness", """
-SELECT c_nationkey, c_mktsegment, n_done, n_total, round(n_done * 100.0::DOUBLE / n_total, 1) AS pct_done, n_done = n_total AS is_complete FROM (
+SELECT c_nationkey, c_mktsegment, n_done, n_total, round_even(n_done::DOUBLE / n_total * 100, 1) AS pct_done, n_done = n_total AS is_complete FROM (
  SELECT c_nationkey, c_mktsegment, count(*) FILTER (WHERE k IS NOT NULL) AS n_done, count(*) AS n_total
  FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice > 300000) ON c_custkey = k GROUP BY 1, 2)""")
 def group_completeness(t: Tables):
@@ -224,7 +224,7 @@ def global_kpis(t: Tables):
     )
     return folded.agg(
         F.sum("n").alias("n"), F.count("*").alias("customers"), F.sum("v").cast("double").alias("total"),
-        F.round(F.sum("f") * F.lit(100.0) / F.sum("n"), 2).alias("pct_f"),
+        C.round_sql(F.sum("f") * F.lit(100.0) / F.sum("n"), 2).alias("pct_f"),
     )
 
 

@@ -361,7 +361,7 @@ SELECT part, name, illumination, count(*) AS n FROM (
   CASE WHEN p < 1 THEN 'New Moon' WHEN p < 6 THEN 'Waxing Crescent' WHEN p < 8 THEN 'First Quarter'
        WHEN p < 13 THEN 'Waxing Gibbous' WHEN p < 15 THEN 'Full Moon' WHEN p < 20 THEN 'Waning Gibbous'
        WHEN p < 22 THEN 'Last Quarter' WHEN p < 27 THEN 'Waning Crescent' ELSE 'New Moon' END AS name,
-  round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1.0::DOUBLE - abs(p - 14.0::DOUBLE) / 14.0::DOUBLE)), 2) AS illumination
+  CAST(printf('%.2f', greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1.0::DOUBLE - abs(p - 14.0::DOUBLE) / 14.0::DOUBLE))) AS DOUBLE) AS illumination
  FROM (SELECT CAST(l_quantity AS DOUBLE) * 0.5625::DOUBLE AS p FROM lineitem)) GROUP BY ALL""")
 def moon_phases(t: Tables):
     """phase bands and the illumination triangle."""
@@ -401,7 +401,7 @@ def math_functions(t: Tables):
     factors = [(F.col("l_returnflag") == "R", 1.3), (F.col("l_linestatus") == "O", 1.5)]
     return t.lineitem.select(
         "l_orderkey", "l_linenumber",
-        F.round(F.col("l_extendedprice") / 7, 3).alias("r"),
+        C.round_sql(F.col("l_extendedprice") / 7, 3).alias("r"),
         F.least(quantity, F.lit(20.0), F.nullif("l_tax", F.lit(0.0))).alias("low"),
         (quantity / 3).cast("int").alias("truncated"),
         F.bround(quantity / 2, 0).cast("int").alias("half_even"),

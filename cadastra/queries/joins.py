@@ -341,7 +341,7 @@ def neighbours_same_scope(t: Tables):
 
 @query("zonal_statistics", f"""
 SELECT zone, CAST(trunc(min(v)) AS INTEGER) AS altitude_min, CAST(trunc(max(v)) AS INTEGER) AS altitude_max,
- round(CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) / count(v), 1) AS altitude_moyenne
+ CAST(printf('%.1f', CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) / count(v)) AS DOUBLE) AS altitude_moyenne
 FROM {ZONES_SQL} LEFT JOIN {POINTS_SQL} ON x > x0 AND x < x1 AND y > y0 AND y < y1 AND v > 0 GROUP BY zone""")
 def zonal_statistics(t: Tables):
     """Minimum, maximum and mean of the values in each zone; empty zones stay NULL."""

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from cadastra.functions.columns import round_exact
 from cadastra.operators import history as H
 from cadastra.operators import loads as L
 from cadastra.operators import manifest as M
@@ -197,14 +198,14 @@ def known(t: Tables):
 
 
 @query("manifest_changes", """
-SELECT source || '_' || doc_id || '.csv' AS filename, strlen(text) AS bytes, round(strlen(text) / 1048576.0::DOUBLE, 2) AS size_mb,
+SELECT source || '_' || doc_id || '.csv' AS filename, strlen(text) AS bytes, CAST(printf('%.2f', strlen(text) / 1048576.0::DOUBLE) AS DOUBLE) AS size_mb,
  CASE lang WHEN 'en' THEN 'unchanged' WHEN 'fr' THEN 'changed' ELSE 'new' END AS status FROM documents""")
 def manifest_changes(t: Tables):
     """M1, M2, M3: content hash and size; new, changed and unchanged files against the latest
     manifest rows, which are derived from upload times."""
     latest = M.with_latest(known(t), ["filename"], ["uploaded"])
     labelled = M.classify(scan(t), latest)
-    return labelled.select("filename", "bytes", F.round(F.col("bytes") / F.lit(1048576.0), 2).alias("size_mb"), "status")
+    return labelled.select("filename", "bytes", round_exact(F.col("bytes") / F.lit(1048576.0), 2).alias("size_mb"), "status")
 
 
 @query("manifest_latest", """

@@ -122,11 +122,11 @@ SELECT GEO AS id, CAST(TIME_PERIOD AS INTEGER) AS year, max(v) FILTER (WHERE SEX
 FROM (SELECT *, CAST(OBS_VALUE AS INTEGER) AS v FROM {salaries}) GROUP BY GEO, TIME_PERIOD""",
         "o_bridge": r"""
 WITH raw AS (SELECT reference, code1 AS c FROM {monuments} UNION ALL SELECT reference, code2 FROM {monuments} WHERE code2 IS NOT NULL),
-clean AS (SELECT DISTINCT reference, CASE WHEN c LIKE '751%' OR c LIKE '"751%' OR c LIKE '75101%' THEN '75056' ELSE c END AS c FROM raw WHERE c <> ''),
+clean AS (SELECT DISTINCT reference, CASE WHEN c LIKE '751__' OR c LIKE '"751%' OR c LIKE '75101 %' THEN '75056' ELSE c END AS c FROM raw WHERE c <> ''),
 mapped AS (SELECT DISTINCT reference AS monument_reference, CASE WHEN regexp_matches(c, '^6938[0-9]$') THEN '69123' WHEN regexp_matches(c, '^132[0-9][0-9]$') THEN '13055' ELSE c END AS commune_code FROM clean)
 SELECT m.*, commune_code = min(commune_code) OVER (PARTITION BY monument_reference) AS is_primary, c.id IS NOT NULL AS commune_exists FROM mapped m LEFT JOIN {o_communes} c ON c.id = commune_code""",
         "o_monuments": """
-WITH coded AS (SELECT *, CASE WHEN code1 LIKE '%751%' AND code1 NOT LIKE '0%' THEN '75056' ELSE code1 END AS c FROM {monuments}),
+WITH coded AS (SELECT *, CASE WHEN code1 LIKE '"751%' OR code1 LIKE '751__' OR code1 LIKE '75101 %' THEN '75056' WHEN code1 LIKE '6938_' THEN '69123' WHEN code1 LIKE '132__' THEN '13055' ELSE code1 END AS c FROM {monuments}),
 known AS (SELECT m.*, o.id IS NOT NULL AS ok FROM coded m LEFT JOIN {o_communes} o ON o.id = c),
 hit AS (SELECT reference, min(commune_id) AS g FROM known JOIN {o_geography} ON NOT ok AND x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY reference)
 SELECT reference, denomination AS name, domaine AS domain, CASE s WHEN 'F' THEN 'classé' WHEN 'O' THEN 'inscrit' END AS protection_level, CASE WHEN s = 'F' THEN 'partiellement' END AS protection_scope,
@@ -465,7 +465,8 @@ SELECT CAST(strftime(d.date, '%Y%m%d') AS INTEGER) AS date_id, d.date, CAST(strf
  ['Janvier','Février','Mars','Avril','Mai','Juin','Juillet','Août','Septembre','Octobre','Novembre','Décembre'][CAST(month(d.date) AS INTEGER)] AS month_name_fr,
  strftime(d.date, '%B') AS month_name_en, isodow(d.date) > 5 AS is_weekend, coalesce(o.n >= 3, false) AS is_public_holiday, CASE WHEN o.n >= 3 THEN 'day of ' || o.n ELSE '' END AS fete,
  coalesce(o.n = 2, false) AS is_market_holiday, coalesce(o.n = 1, false) AS is_jewish_holiday, coalesce(t.name, '') AS president,
- coalesce(CAST(o.n % 28 AS DOUBLE), 0) AS moon_phase_value, CASE WHEN o.n IS NULL THEN '' WHEN o.n < 1 THEN 'New Moon' WHEN o.n < 6 THEN 'Waxing Crescent' WHEN o.n < 8 THEN 'First Quarter' ELSE 'Waxing Gibbous' END AS moon_phase_name
+ coalesce(CAST(o.n % 28 AS DOUBLE), 0) AS moon_phase_value, CASE WHEN o.n IS NULL THEN '' WHEN o.n % 28 < 1 THEN 'New Moon' WHEN o.n % 28 < 6 THEN 'Waxing Crescent' WHEN o.n % 28 < 8 THEN 'First Quarter' WHEN o.n % 28 < 13 THEN 'Waxing Gibbous' WHEN o.n % 28 < 15 THEN 'Full Moon'
+  WHEN o.n % 28 < 20 THEN 'Waning Gibbous' WHEN o.n % 28 < 22 THEN 'Last Quarter' WHEN o.n % 28 < 27 THEN 'Waning Crescent' ELSE 'New Moon' END AS moon_phase_name
 FROM d LEFT JOIN o ON o.date = d.date LEFT JOIN t ON d.date >= t.s AND (d.date < t.e OR t.e IS NULL)""")
 def dim_calendar(t: Tables):
     """Days between the first and last order with holidays, terms and moon, all taken from the
@@ -703,7 +704,7 @@ def visited_master(t: Tables):
 
 
 @query("visited_departments", """
-SELECT department_code, department_name, region_name, count(*) FILTER (WHERE visited) AS n_done, count(*) AS n_total, round(count(*) FILTER (WHERE visited) * 100.0::DOUBLE / count(*), 1) AS pct_done, bool_and(visited) AS is_complete
+SELECT department_code, department_name, region_name, count(*) FILTER (WHERE visited) AS n_done, count(*) AS n_total, round_even(count(*) FILTER (WHERE visited)::DOUBLE / count(*) * 100, 1) AS pct_done, bool_and(visited) AS is_complete
 FROM o_master GROUP BY 1, 2, 3 HAVING bool_or(visited)""", ("o_master",))
 def visited_departments(t: Tables):
     """Visited share of each department."""
@@ -711,7 +712,7 @@ def visited_departments(t: Tables):
 
 
 CHECK_PARTS["o_visit_kpis"] = """
-SELECT count(*) AS n_total, count(*) FILTER (WHERE visited) AS n_visited, round(count(*) FILTER (WHERE visited) * 100.0::DOUBLE / count(*), 2) AS pct_visited, CAST(sum(population) FILTER (WHERE visited) AS BIGINT) AS population_visited,
+SELECT count(*) AS n_total, count(*) FILTER (WHERE visited) AS n_visited, CAST(printf('%.2f', count(*) FILTER (WHERE visited)::DOUBLE / count(*) * 100) AS DOUBLE) AS pct_visited, CAST(sum(population) FILTER (WHERE visited) AS BIGINT) AS population_visited,
  count(DISTINCT department_code) FILTER (WHERE visited) AS n_departments, count(DISTINCT region_name) FILTER (WHERE visited) AS n_regions,
  (SELECT count(*) FROM (SELECT 1 FROM {o_master} GROUP BY department_code HAVING bool_and(visited))) AS departments_completed, (SELECT count(*) FROM (SELECT region_name FROM (SELECT region_name, bool_and(visited) AS all_in FROM {o_master} GROUP BY region_name) WHERE all_in)) AS regions_completed,
  count(*) FILTER (WHERE visited AND is_mountain) AS mountain_visited, 0::BIGINT AS island_visited, 0::BIGINT AS overseas_visited, 0::BIGINT AS paris_visited FROM {o_master}"""
@@ -733,7 +734,7 @@ def visit_badges(t: Tables):
 
 
 @query("visit_map_points", """
-SELECT id, round(latitude, 4) AS latitude, round(longitude, 4) AS longitude, name, coalesce(population, 0) AS population, visited FROM o_master""", ("o_master",))
+SELECT id, CAST(printf('%.5f', latitude) AS DOUBLE) AS latitude, CAST(printf('%.5f', longitude) AS DOUBLE) AS longitude, name, coalesce(population, 0) AS population, visited FROM o_master""", ("o_master",))
 def visit_map_points(t: Tables):
     """Map dots with rounded positions and default population."""
     return V.map_points(master(t))
@@ -744,7 +745,7 @@ WITH b AS (SELECT c.id AS commune_id, c.department_code, c.department_name, c.re
   coalesce(total_monuments, 0) AS n, population FROM {o_communes} c LEFT JOIN {o_geography} g ON g.commune_id = c.id LEFT JOIN {o_stats} st ON st.commune_id = c.id LEFT JOIN (SELECT id, population FROM {o_population} WHERE year = 1999) p ON p.id = c.id),
 v AS (SELECT *, least(480, CAST(trunc(((CASE WHEN population IS NULL OR population < 500 THEN 10 WHEN population < 2000 THEN 20 WHEN population < 10000 THEN 45 WHEN population < 50000 THEN 120 WHEN population < 100000 THEN 240 ELSE 480 END
   + least(60, CASE WHEN n > 5 THEN n - 2 ELSE 0 END))::DOUBLE * CASE WHEN m THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END * CASE WHEN s THEN 1.15::DOUBLE ELSE 1.0::DOUBLE END)) AS BIGINT)) AS visit_minutes FROM b)
-SELECT v.*, round(visit_minutes::DOUBLE / 60, 2) AS visit_hours, CASE WHEN department_code IN ('2A', '2B') THEN 1 WHEN department_code IN ('971', '972', '973', '974', '976') THEN 4 ELSE 0 END AS overseas_travel_days,
+SELECT v.*, round_even(visit_minutes::DOUBLE / 60, 2) AS visit_hours, CASE WHEN department_code IN ('2A', '2B') THEN 1 WHEN department_code IN ('971', '972', '973', '974', '976') THEN 4 ELSE 0 END AS overseas_travel_days,
  CASE WHEN department_code IN ('2A', '2B') THEN 'Corse' WHEN department_code IN ('971', '972') THEN 'Antilles' WHEN department_code = '973' THEN 'Guyane' WHEN department_code IN ('974', '976') THEN 'Océan Indien' ELSE '' END AS overseas_group FROM v"""
 
 
@@ -763,8 +764,8 @@ def visit_times(t: Tables):
 CHECK_PARTS["o_dept"] = """
 WITH g AS (SELECT department_code, min(department_name) AS department_name, min(region_name) AS region_name, min(flag_metropole) AS flag_metropole, count(*) AS n_towns, CAST(sum(CAST(visit_hours AS DECIMAL(18,2))) AS DOUBLE) AS total_visit_hours,
   CAST(max(overseas_travel_days) AS INTEGER) AS overseas_travel_days FROM {o_timed} GROUP BY 1),
-h AS (SELECT *, round((n_towns - 1) * CASE WHEN department_code IN ('13') THEN 8 ELSE 15 END / 60, 1) AS intra_travel_hours FROM g)
-SELECT *, round(total_visit_hours + intra_travel_hours, 1) AS total_hours, round((total_visit_hours + intra_travel_hours) / 10, 1) AS total_days FROM h"""
+h AS (SELECT *, round_even((n_towns - 1) * CASE WHEN department_code IN ('13') THEN 8 ELSE 15 END / 60, 1) AS intra_travel_hours FROM g)
+SELECT *, round_even(total_visit_hours + intra_travel_hours, 1) AS total_hours, round_even((total_visit_hours + intra_travel_hours) / 10, 1) AS total_days FROM h"""
 
 
 @query("visit_departments", "SELECT * FROM o_dept", ("o_dept",))
@@ -774,9 +775,9 @@ def visit_departments(t: Tables):
 
 
 @query("visit_regions", """
-SELECT region_name, CAST(sum(n_towns) AS BIGINT) AS n_towns, round(CAST(sum(CAST(total_visit_hours AS DECIMAL(18,2))) AS DOUBLE), 0) AS visit_hours,
- round(CAST(sum(CAST(intra_travel_hours AS DECIMAL(18,1))) AS DOUBLE) + greatest(count(*) - 1, 0) * 1.5::DOUBLE, 0) AS travel_hours,
- round((CAST(sum(CAST(total_visit_hours AS DECIMAL(18,2))) AS DOUBLE) + (CAST(sum(CAST(intra_travel_hours AS DECIMAL(18,1))) AS DOUBLE) + greatest(count(*) - 1, 0) * 1.5::DOUBLE)) / 10, 1) AS total_days FROM o_dept GROUP BY 1""", ("o_dept",))
+SELECT region_name, CAST(sum(n_towns) AS BIGINT) AS n_towns, CAST(printf('%.0f', CAST(sum(CAST(total_visit_hours AS DECIMAL(18,2))) AS DOUBLE)) AS DOUBLE) AS visit_hours,
+ CAST(printf('%.0f', CAST(sum(CAST(intra_travel_hours AS DECIMAL(18,1))) AS DOUBLE) + greatest(count(*) - 1, 0) * 1.5::DOUBLE) AS DOUBLE) AS travel_hours,
+ CAST(printf('%.1f', (CAST(sum(CAST(total_visit_hours AS DECIMAL(18,2))) AS DOUBLE) + (CAST(sum(CAST(intra_travel_hours AS DECIMAL(18,1))) AS DOUBLE) + greatest(count(*) - 1, 0) * 1.5::DOUBLE)) / 10) AS DOUBLE) AS total_days FROM o_dept GROUP BY 1""", ("o_dept",))
 def visit_regions(t: Tables):
     """Visit and travel time per region with transfers between departments."""
     return V.region_summary(V.department_summary(timed(t)))
@@ -784,7 +785,7 @@ def visit_regions(t: Tables):
 
 @query("visit_overseas", """
 SELECT overseas_group, count(*) AS n_towns, CAST(sum(CAST(visit_hours AS DECIMAL(18,2))) AS DOUBLE) AS total_visit_hours, CAST(max(overseas_travel_days) AS INTEGER) AS travel_days,
- round(CAST(sum(CAST(visit_hours AS DECIMAL(18,2))) AS DOUBLE) / 10 + max(overseas_travel_days), 1) AS total_days FROM o_timed WHERE flag_metropole = 0 AND overseas_group <> '' GROUP BY 1""", ("o_timed",))
+ round_even(CAST(sum(CAST(visit_hours AS DECIMAL(18,2))) AS DOUBLE) / 10 + max(overseas_travel_days), 1) AS total_days FROM o_timed WHERE flag_metropole = 0 AND overseas_group <> '' GROUP BY 1""", ("o_timed",))
 def visit_overseas(t: Tables):
     """Overseas trips."""
     return V.overseas_summary(timed(t))
