@@ -43,6 +43,7 @@ def skew_join(
     condition: Callable[[], Column] | None = None,
     coarse: bool = False,
     sketch: DataFrame | None = None,
+    null_safe: bool = False,
     share: float = HEAVY_SHARE,
     salts: int | None = None,
 ) -> DataFrame:
@@ -56,6 +57,7 @@ def skew_join(
     Heavy keys are looked for in ``sketch`` (default: the left side). Pass a table that is cheap
     to read when the left side is the end of a long plan. With ``coarse`` nothing is looked for
     and every key is salted: right for a right side with few rows, such as group statistics.
+    With ``null_safe`` NULL keys match each other.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -79,12 +81,13 @@ def skew_join(
             "_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0))))
         )
         on.append("_salt")
-    if condition is None:
+    if condition is None and not null_safe:
         return left.join(right, on, how).drop("_salt")
     renamed = right.select(
         *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
     )
-    test = condition()
+    test = F.lit(True) if condition is None else condition()
     for key in on:
-        test = (F.col(key) == F.col(f"_r_{key}")) & test
+        mine, theirs = F.col(key), F.col(f"_r_{key}")
+        test = (mine.eqNullSafe(theirs) if null_safe else mine == theirs) & test
     return left.join(renamed, test, how).drop("_salt", *[f"_r_{c}" for c in on])

@@ -45,7 +45,7 @@ def flag_extreme(
     pick = F.max if last else F.min
     rank = F.struct(*[F.col(c) for c in order])
     best = df.groupBy(*keys).agg(pick(rank).alias("_best"))
-    joined = skew_join(df, best, keys, "left", spread=[*keys, *order], sketch=sketch)
+    joined = skew_join(df, best, keys, "left", spread=[*keys, *order], sketch=sketch, null_safe=True)
     return joined.withColumn(name, rank == F.col("_best")).drop("_best")
 
 
@@ -92,6 +92,17 @@ def _chunked(
     return df.withColumn("_chunk", chunk)
 
 
+def _with_carried(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach to each row what its chunk inherits. One row per key and chunk on the right, and a
+    chunk holds few rows on the left; NULL keys form a group of their own, as in a window."""
+    on = [*keys, "_chunk"]
+    renamed = carried.select(*[F.col(c).alias(f"_r_{c}") for c in on], "_carried")
+    same = F.lit(True)
+    for c in on:
+        same = F.col(c).eqNullSafe(F.col(f"_r_{c}")) & same
+    return rows.join(renamed, same, "left").drop(*[f"_r_{c}" for c in on])
+
+
 def previous_state(
     df: DataFrame,
     keys: Sequence[str],
@@ -118,9 +129,7 @@ def previous_state(
         "_chunk",
         F.lag("_end").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carried"),
     )
-    joined = rows.withColumn("_local", F.lag(state).over(inside)).join(
-        carried, [*keys, "_chunk"], "left"
-    )
+    joined = _with_carried(rows.withColumn("_local", F.lag(state).over(inside)), carried, keys)
     before = F.coalesce(F.col("_local"), F.col("_carried"))
     return joined.select(
         *df.columns, *[before[c].alias(prefix + c) for c in columns]
@@ -151,9 +160,8 @@ def carry_forward(
     carried = ends.select(
         *keys, "_chunk", F.last("_end", ignorenulls=True).over(over_chunks).alias("_carried")
     )
-    joined = rows.withColumn("_local", F.last(column, ignorenulls=True).over(inside)).join(
-        carried, [*keys, "_chunk"], "left"
-    )
+    local = F.last(column, ignorenulls=True).over(inside)
+    joined = _with_carried(rows.withColumn("_local", local), carried, keys)
     return joined.select(
         *df.columns, F.coalesce(F.col("_local"), F.col("_carried")).alias(name)
     )
@@ -174,9 +182,7 @@ def running_sum(
     totals = rows.groupBy(*keys, "_chunk").agg(F.sum(column).alias("_total"))
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(upto, -1)
     carried = totals.select(*keys, "_chunk", F.sum("_total").over(over_chunks).alias("_carried"))
-    joined = rows.withColumn("_local", F.sum(column).over(inside)).join(
-        carried, [*keys, "_chunk"], "left"
-    )
+    joined = _with_carried(rows.withColumn("_local", F.sum(column).over(inside)), carried, keys)
     return joined.select(
         *df.columns, (F.col("_local") + F.coalesce(F.col("_carried"), F.lit(0))).alias(name)
     )
