@@ -31,9 +31,22 @@ def business_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in skip]
 
 
-def geometry_columns(df: DataFrame, column: str, wkb: Column, srid: int = 4326) -> DataFrame:
-    """Replace a geometry column by its binary form and reference system, as stored."""
-    return df.withColumn(f"{column}_wkb", wkb).withColumn(f"{column}_srid", F.lit(srid)).drop(column)
+def stored_geometry(df: DataFrame, srid: int = 4326) -> DataFrame:
+    """Replace each geometry column by its binary form and reference system, as history tables
+    keep it. Geometries are recognised by their type, points by their ``x`` and ``y``."""
+    from cadastra.functions import geo, wkb
+
+    columns: list[Column] = []
+    for name, kind in df.dtypes:
+        if kind == geo.GEOMETRY:
+            binary = wkb.to_wkb(F.col(name))
+        elif kind == "struct<x:double,y:double>":
+            binary = wkb.point_wkb(F.col(name).x, F.col(name).y)
+        else:
+            columns.append(F.col(name))
+            continue
+        columns += [binary.alias(f"{name}_wkb"), F.lit(srid).alias(f"{name}_srid")]
+    return df.select(*columns)
 
 
 def check_keys(df: DataFrame, keys: Sequence[str]) -> None:

@@ -290,6 +290,20 @@ def zone_geometry(t: Tables):
     return measured.withColumns({"cx": F.col("c.x"), "cy": F.col("c.y")}).drop("c")
 
 
+@query("binary_geometry", f"""
+SELECT zone, CAST(93 AS INTEGER) AS n_bytes, CAST(4326 AS INTEGER) AS srid, (x1-x0)*(y1-y0) AS area FROM {ZONES_SQL}""")
+def binary_geometry(t: Tables):
+    """Geometry to its stored binary form with reference system, and back."""
+    from cadastra.functions.wkb import from_wkb
+    from cadastra.operators.history import stored_geometry
+
+    stored = stored_geometry(zones(t).drop("nation"))
+    return stored.select(
+        "zone", F.octet_length("geometry_wkb").alias("n_bytes"), F.col("geometry_srid").alias("srid"),
+        geo.area(from_wkb("geometry_wkb")).alias("area"),
+    )
+
+
 @query("points_in_polygons", f"""
 SELECT pt, zone FROM {POINTS_SQL} JOIN {ZONES_SQL} ON x > x0 AND x < x1 AND y > y0 AND y < y1""")
 def points_in_polygons(t: Tables):

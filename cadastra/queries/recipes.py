@@ -552,6 +552,18 @@ def bridge_source_links(t: Tables):
     return PR.bridge_source_links(tables, sources)
 
 
+@query("dim_source", """
+SELECT CAST(s_suppkey AS INTEGER) AS source_id, s_name AS source_name, 'Label ' || s_name AS source_label, 'org' || s_nationkey AS organization, 'd' AS domain, CAST(NULL AS VARCHAR) AS reference_url, 'open' AS license, CAST(NULL AS VARCHAR) AS description FROM supplier""")
+def dim_source(t: Tables):
+    """The typed source table."""
+    raw = t.supplier.select(
+        F.col("s_suppkey").cast("string").alias("source_id"), F.col("s_name").alias("source_name"), F.concat(F.lit("Label "), "s_name").alias("source_label"),
+        F.concat(F.lit("org"), F.col("s_nationkey").cast("string")).alias("organization"), F.lit("d").alias("domain"), F.lit(None).alias("reference_url"),
+        F.lit("open").alias("license"), F.lit(None).alias("description"),
+    )
+    return PR.dim_source(raw)
+
+
 @query("dim_labels", """
 SELECT c_name || '|' || c_nationkey AS id, c_name AS label_name, 'village_etape' AS label_type FROM customer WHERE c_acctbal > 0
 UNION ALL SELECT s_name || '|' || s_nationkey, s_name, 'petites_cites' FROM supplier""")
@@ -733,6 +745,12 @@ def visit_badges(t: Tables):
     return V.visit_badges(master(t))
 
 
+@query("referenced_photos", "SELECT DISTINCT photo FROM o_master WHERE photo IS NOT NULL", ("o_master",))
+def referenced_photos(t: Tables):
+    """Photos that visits refer to."""
+    return V.referenced_photos(master(t))
+
+
 @query("visit_map_points", """
 SELECT id, CAST(printf('%.5f', latitude) AS DOUBLE) AS latitude, CAST(printf('%.5f', longitude) AS DOUBLE) AS longitude, name, coalesce(population, 0) AS population, visited FROM o_master""", ("o_master",))
 def visit_map_points(t: Tables):

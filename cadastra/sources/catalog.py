@@ -116,6 +116,19 @@ def register_stored_layer(spark: SparkSession, layer: str, root: str, tables: It
     )
 
 
+def create_layer(spark: SparkSession, layer: str, root: str, tables: Iterable[str]) -> list[str]:
+    """A schema with one external table per stored table, so that SQL names ``layer.table``. The
+    tables point at the newest versions; run it again after a load."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
+    names = []
+    for table in tables:
+        number = readers.versions(spark, f"{root}/{table}")[-1]
+        spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+        spark.catalog.createTable(f"{layer}.{table}", f"{root}/{table}/version={number}", "parquet")
+        names.append(f"{layer}.{table}")
+    return names
+
+
 SOURCE_FIELDS = [
     "source_id", "source_name", "source_label", "organization", "domain",
     "reference_url", "license", "description",

@@ -139,3 +139,14 @@ def test_rule_counts():
 
     kinds = Counter(r.kind for table in rules.RULES.values() for r in table)
     assert kinds["accepted_range"] == 94 and kinds["relationship"] == 13 and kinds["accepted_values"] == 8 and kinds["not_null"] == 68
+
+
+def test_layer_of_stored_tables(spark, tmp_path):
+    for n in (1, 2):
+        writers.write_table(spark.range(n), str(tmp_path / "t"))
+    assert catalog.register_stored_layer(spark, "gold", str(tmp_path), ["t"]) == ["gold_t"]
+    assert readers.query(spark, "SELECT count(*) FROM gold_t WHERE id >= :low", {"low": 1}).first()[0] == 1
+    assert catalog.create_layer(spark, "silver", str(tmp_path), ["t"]) == ["silver.t"]
+    assert readers.query(spark, "SELECT * FROM silver.t", limit=1).count() == 1
+    assert spark.table("silver.t").count() == 2
+    spark.sql("DROP SCHEMA silver CASCADE")

@@ -92,3 +92,20 @@ def test_zonal(spark, shapes):
     df = spark.createDataFrame(pixels, "x double, y double, v double")
     got = {r["key"]: tuple(r)[1:] for r in X.zonal_stats(df, "x", "y", "v", shapes, "key", "geometry").collect()}
     assert got["a"] == (10, 21, 14.5) and got["multi"] == (7, 7, 7.9) and got["holed"] == (None, None, None)
+
+
+def test_binary_round_trip(spark, shapes):
+    from cadastra.functions import wkb
+    from cadastra.operators.history import stored_geometry
+
+    rows = shapes.withColumn("centre", geo.centroid(F.col("geometry"))).union(
+        spark.sql(f"SELECT 'none' AS key, CAST(NULL AS {geo.GEOMETRY}) AS geometry, CAST(NULL AS struct<x:double,y:double>) AS centre")
+    )
+    stored = stored_geometry(rows)
+    assert stored.columns == ["key", "geometry_wkb", "geometry_srid", "centre_wkb", "centre_srid"]
+    back = stored.select("key", wkb.from_wkb("geometry_wkb").alias("g"), F.hex("centre_wkb").alias("c"))
+    joined = back.join(rows, "key").collect()
+    assert len(joined) == len(SHAPES) + 1 and all(r["g"] == r["geometry"] for r in joined)
+    # The layout itself: byte order, type, ring count, point count, five points.
+    square = stored.filter("key = 'a'").select(F.hex("geometry_wkb")).first()[0]
+    assert square[:26] == "01" + "03000000" + "01000000" + "05000000" and len(square) == 2 * 93
