@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -52,12 +53,20 @@ def newest_file(spark: SparkSession, folder: str, pattern: str) -> str:
 
 
 def read_geojson(spark: SparkSession, path: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
-    """Features of a GeoJSON text: properties as text columns and the geometry.
+    """Features of GeoJSON text: properties as text columns and the geometry.
 
-    One feature per line (or one per line inside a collection, as large exports are written)
-    is split over tasks by lines. A polygon becomes the nested array type, a point ``x``/``y``.
-    Properties named in ``lists`` are arrays of text.
+    A polygon becomes the nested array type, a point ``x``/``y``. Properties named in ``lists``
+    are arrays of text. How the file is laid out is seen from its first feature: one per line, or
+    anything else.
     """
+    start = spark.read.option("lineSep", '"Feature"').text(path).take(2)
+    by_line = len(start) < 2 or start[1][0].count("\n") == 1
+    read = read_geojson_lines if by_line else read_geojson_document
+    return read(spark, path, properties, lists)
+
+
+def read_geojson_lines(spark: SparkSession, path: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
+    """Features on lines of their own, bare or inside a collection; split over tasks by lines."""
     lines = spark.read.text(path).select(
         F.regexp_replace(F.trim("value"), r",$", "").alias("feature")
     ).filter(F.col("feature").rlike(r'"type"\s*:\s*"Feature"'))
@@ -65,12 +74,26 @@ def read_geojson(spark: SparkSession, path: str, properties: Sequence[str], list
 
 
 def read_geojson_document(spark: SparkSession, path: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
-    """Features of collection files in which features do not start on lines of their own."""
-    feature = "struct<type:string,properties:string,geometry:string>"
-    whole = spark.read.text(path, wholetext=True)
-    parsed = F.from_json("value", f"struct<features:array<{feature}>>")
-    rows = whole.select(F.explode(parsed["features"]).alias("f"))
-    return features(rows.select(F.to_json("f").alias("feature")), "feature", properties, lists)
+    """Features of collection files in which features do not start on lines of their own.
+
+    The text is cut at the type marker of the features, spelled as the file spells it, so one
+    document is split over tasks. The marker cannot occur inside a text value, where quotes are
+    escaped. Features must name their type first; ones that do not are refused, not skipped.
+    """
+    first = spark.read.option("lineSep", '"Feature"').text(path).first()
+    spelled = re.search(r'"type"\s*:\s*$', first[0]) if first else None
+    if spelled is None:
+        raise ValueError(f"{path}: no feature starts with its type")
+    marker = spelled.group() + '"Feature"'
+    pieces = spark.read.option("lineSep", marker).text(path)
+    # The piece ahead of the first marker of a file opens the collection.
+    inner = pieces.filter(~F.col("value").rlike(r'^\s*\{'))
+    feature = F.concat(F.lit('{"type":"Feature"'), F.col("value"))
+    body = F.from_json(feature, "struct<properties:string,geometry:string>")
+    checked = F.when(
+        body["properties"].isNotNull() | body["geometry"].isNotNull(), F.to_json(body)
+    ).otherwise(F.raise_error(F.lit(f"{path}: a feature does not start with its type")))
+    return features(inner.select(checked.alias("feature")), "feature", properties, lists)
 
 
 def features(df: DataFrame, column: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:

@@ -57,7 +57,7 @@ def geojson():
     ]
 
 
-@pytest.mark.parametrize("style", ["lines", "collection", "document"])
+@pytest.mark.parametrize("style", ["lines", "collection", "document", "compact"])
 def test_geojson(spark, tmp_path, style):
     features = geojson()
     if style == "lines":
@@ -65,13 +65,32 @@ def test_geojson(spark, tmp_path, style):
     elif style == "collection":
         text = '{"type": "FeatureCollection", "features": [\n' + ",\n".join(json.dumps(f) for f in features) + "\n]}"
     else:
-        text = json.dumps({"type": "FeatureCollection", "features": features}, indent=1)
+        text = json.dumps({"type": "FeatureCollection", "features": features}, indent=1 if style == "document" else None)
     put(tmp_path, "x.geojson", text)
-    read = readers.read_geojson_document if style == "document" else readers.read_geojson
-    rows = read(spark, str(tmp_path / "x.geojson"), ["code", "tags"], ["tags"]).withColumn("area", geo.area(F.col("geometry"))).orderBy("code").collect()
+    rows = readers.read_geojson(spark, str(tmp_path / "x.geojson"), ["code", "tags"], ["tags"]).withColumn("area", geo.area(F.col("geometry"))).orderBy("code").collect()
     assert [(r["code"], r["area"], r["tags"]) for r in rows] == [("01001", 4.0, ["a", "b"]), ("01002", 5.0, ["a", "b"])]
 
 
+def test_geojson_document_is_split(spark, tmp_path):
+    features = [
+        {"type": "Feature", "properties": {"code": str(i), "tags": ['x "type": "Feature" y', "{"]}, "geometry": {"type": "Point", "coordinates": [i, 1.5]}}
+        for i in range(200)
+    ]
+    put(tmp_path, "p.geojson", json.dumps({"type": "FeatureCollection", "features": features}))
+    put(tmp_path, "q.geojson", json.dumps({"type": "FeatureCollection", "features": [{"geometry": None, "properties": {"code": "1"}, "type": "Feature"}, {"type": "Feature"}]}))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        df = readers.read_geojson_document(spark, str(tmp_path / "p.geojson"), ["code", "tags"], ["tags"])
+        assert df.rdd.getNumPartitions() > 3
+        assert sorted((r["code"], r["x"]) for r in df.collect()) == sorted((str(i), float(i)) for i in range(200))
+        assert df.first()["tags"][0] == 'x "type": "Feature" y'
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(Exception, match="type"):
+        readers.read_geojson_document(spark, str(tmp_path / "q.geojson"), ["code"]).collect()
+
+
 def test_preamble(spark, tmp_path):
     for i in range(3):
         put(tmp_path, f"in/f{i}.csv", f"Title\n\nINSEE_COM,CLASSEMENT\n0{i}001,Mer\n\n0{i}002,Lac\n")
