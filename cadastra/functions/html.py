@@ -1,13 +1,15 @@
-"""HTML and XML extraction as regular-expression columns.
+"""HTML and XML extraction as column expressions.
 
-The pages handled here are listings and detail cards: repeated elements with a tag and
-a class, whose fields sit inside. ``blocks`` cuts a page at every opening tag that carries
-the class; each piece then holds exactly one entry, whatever is nested in it. All of it
-runs in the JVM; no parser library and no Python worker is involved.
+The pages handled here are listings and detail cards: repeated elements with a tag and a class,
+whose fields sit inside. ``blocks`` cuts a page at the tags of one kind and keeps, by counting
+openings and closings, exactly the part that belongs to each element. Everything runs in the JVM;
+no parser library and no Python worker is involved.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,14 +60,56 @@ def text(html: Column) -> Column:
     return F.regexp_replace(unescape(strip_tags(html)), r"^[\s ]+|[\s ]+$", "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def blocks(html: Column, tag: str, cls: str | None = None) -> Column:
-    """One piece per element: from its opening tag to the next one of the same kind."""
-    cut = F.split(html, f"(?={open_tag(tag, cls)})")
-    return F.filter(cut, lambda piece: piece.rlike("^" + open_tag(tag, cls)))
+    """Every element with the tag and class, as its HTML from the opening tag up to its own
+    closing tag (elements of the same kind inside it included). An element that is never closed
+    reaches to the end."""
+
+    def step(depths: Column, piece: Column) -> Column:
+        change = (
+            F.when(piece.rlike(rf"^<{tag}\b[^>]*/>"), 0)
+            .when(piece.rlike(rf"^<{tag}\b"), 1)
+            .when(piece.rlike(f"^</{tag}"), -1)
+            .otherwise(0)
+        )
+        return F.concat(depths, F.array(F.element_at(depths, -1) + change))
+
+    def elements(pieces: Column) -> Column:
+        count = F.size(pieces)
+
+        def cut(depths: Column) -> Column:
+            depth = lambda i: F.element_at(depths, i + 1)
+            starts = F.filter(
+                F.sequence(F.lit(1), count),
+                lambda i: F.element_at(pieces, i).rlike("^" + open_tag(tag, cls)),
+            )
+
+            def element(i: Column) -> Column:
+                closed = F.filter(F.sequence(i, count), lambda j: (j > i) & (depth(j) < depth(i)))
+                end = F.coalesce(F.get(closed, F.lit(0)), count + 1)
+                return F.array_join(F.slice(pieces, i, end - i), "")
+
+            return F.transform(starts, element)
+
+        return _let(F.aggregate(pieces, F.array(F.lit(0)), step), cut)
+
+    return _let(F.split(html, rf"(?=</?{tag}\b)"), elements)
+
+
+# Tags that are found inside tags of their own kind.
+NESTING = {"article", "div", "li", "nav", "ol", "section", "span", "table", "ul"}
 
 
 def inner(html: Column, tag: str, cls: str | None = None) -> Column:
     """Inner HTML of the first element; NULL if there is none."""
+    if tag in NESTING:
+        first = F.get(blocks(html, tag, cls), F.lit(0))
+        return F.regexp_replace(first, "^" + open_tag(tag, cls), "")
     pattern = f"(?s){open_tag(tag, cls)}(.*?)</{tag}>"
     return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 1))
 

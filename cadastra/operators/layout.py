@@ -34,7 +34,7 @@ def lines(
             column_of(F.col("x0"), breaks).alias("col"),
             F.bround("top", 0).cast("int").alias("y"),
         )
-        .agg(F.array_sort(F.collect_list(F.struct("x0", "text"))).alias("_w"))
+        .agg(F.sort_array(F.collect_list(F.struct("x0", "text"))).alias("_w"))
         .select(
             document, "page", "col", "y",
             F.array_join(F.transform("_w", lambda w: w["text"]), " ").alias("text"),

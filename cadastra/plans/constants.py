@@ -213,10 +213,19 @@ BADGES = [
     ("Paris visited", "paris_visited", 1),
 ]
 
-# Qualifiers counted in names.
-NAME_QUALIFIERS = [
-    "sur", "sous", "en", "les", "le", "la", "près", "devant", "derrière", "entre",
-]
+# Qualifiers counted in names, with their meaning.
+NAME_QUALIFIERS = {
+    "sur": "situated on (river/hill)",
+    "sous": "under/below",
+    "en": "in",
+    "les": "the (plural)",
+    "le": "the (masculine)",
+    "la": "the (feminine)",
+    "près": "near",
+    "devant": "in front of",
+    "derrière": "behind",
+    "entre": "between",
+}
 
 # Which sources feed which table, by its key columns.
 TABLE_SOURCES = {

@@ -82,7 +82,7 @@ def dim_monument(monuments: DataFrame, communes: DataFrame, geography: DataFrame
         lost, "reference", "longitude", "latitude",
         geography.select("commune_id", "geometry"), "commune_id", "geometry",
     )
-    events = F.filter(F.split("_history", ";"), lambda e: F.trim(e) != "")
+    events = F.split("_history", ";")
     return (
         coded.join(placed, "reference", "left")
         .withColumns(

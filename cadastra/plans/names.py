@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.functions.columns import round_sql, tiers
+from cadastra.functions.columns import lookup, round_sql, tiers
 from cadastra.operators.aggregates import (
     describe, frequency, members_of_top_groups, pattern_tally, token_counts, top,
 )
@@ -67,8 +67,12 @@ def patron_saints(df: DataFrame, k: int = 10, name: str = "name") -> DataFrame:
     return top(frequency(kept, {"saint_name": F.col("saint_name")}), k, F.desc("n"), F.asc("saint_name"))
 
 
-def qualifiers(df: DataFrame, words: list[str] = NAME_QUALIFIERS, name: str = "name") -> DataFrame:
-    return pattern_tally(df, F.col(name), {w: f"-{w}-| {w} " for w in words})
+def qualifiers(df: DataFrame, words: dict[str, str] = NAME_QUALIFIERS, name: str = "name") -> DataFrame:
+    """Names that hold each word in their middle, with its meaning."""
+    tally = pattern_tally(df, F.col(name), {w: f"-{w}-| {w} " for w in words})
+    return tally.select(
+        F.col("label").alias("qualifier"), lookup(F.col("label"), words).alias("meaning"), F.col("n")
+    )
 
 
 def first_letter(name: Column) -> Column:

@@ -32,10 +32,10 @@ def shapes(t: Tables):
     return t.boxes.select("code", "nom", "departement", "region", "epci", box.alias("geometry"))
 
 
-def geography(t: Tables):
+def geography(t: Tables, towns=None):
     return T.dim_geography(
         shapes(t), T.mountain_zones(t.mountain_perimeter), T.littoral(t.littoral_perimeter), t.altitude,
-        T.island_communes(stored_communes(t)),
+        T.island_communes(communes(t) if towns is None else towns),
     )
 
 
@@ -201,7 +201,7 @@ JOIN o_communes c ON c.id = a.commune_id JOIN o_communes d ON d.id = b.commune_i
 WHERE c.flag_corsica = d.flag_corsica AND c.flag_metropole = d.flag_metropole AND (c.flag_metropole = 0 OR c.department_code = d.department_code)""", ("o_geography", "o_communes"))
 def dim_neighbour_communes(t: Tables):
     """Touching communes of the same part of the territory."""
-    return T.dim_neighbour_communes(geography(t), stored_communes(t))
+    return T.dim_neighbour_communes(shapes(t).withColumnRenamed("code", "commune_id"), communes(t))
 
 
 @query("dim_zip_codes", """
@@ -685,7 +685,7 @@ def pay_gap_by_region(t: Tables):
 SELECT id, c.name, c.department_code, c.department_name, round(cx, 6) AS longitude, round(cy, 6) AS latitude, false AS visited, CAST(NULL AS DATE) AS visit_date, CAST(NULL AS VARCHAR) AS photo FROM o_communes c JOIN o_geography ON commune_id = id""", ("o_communes", "o_geography"))
 def commune_points(t: Tables):
     """One point per commune with columns to fill in."""
-    return R.commune_points(stored_communes(t), geography(t)).withColumns({"longitude": F.round("longitude", 6), "latitude": F.round("latitude", 6)})
+    return R.commune_points(stored_communes(t), geography(t, stored_communes(t))).withColumns({"longitude": F.round("longitude", 6), "latitude": F.round("latitude", 6)})
 
 
 @query("monument_points", """
@@ -706,7 +706,7 @@ SELECT c.id, c.name, c.department_code, c.department_name, c.region_name, c.terr
 
 def master(t: Tables):
     visited = t.visits.withColumn("visited", F.lit(True))
-    return V.visited_master(stored_communes(t), geography(t), population(t), visited, 1999, "https://t")
+    return V.visited_master(stored_communes(t), geography(t, stored_communes(t)), population(t), visited, 1999, "https://t")
 
 
 @query("visited_master", "SELECT id, department_code, population, CASE WHEN visited THEN true END AS visited, visit_date, photo_thumbnail_url FROM o_master", ("o_master",))
@@ -769,7 +769,7 @@ SELECT v.*, round_even(visit_minutes::DOUBLE / 60, 2) AS visit_hours, CASE WHEN
 
 def timed(t: Tables):
     stats = M.dim_commune_monument_stats(stored_communes(t), bridge(t), monuments(t))
-    base = V.visit_base(stored_communes(t), geography(t), stats, population(t), 1999)
+    base = V.visit_base(stored_communes(t), geography(t, stored_communes(t)), stats, population(t), 1999)
     return V.with_overseas(V.visit_minutes(base))
 
 
@@ -897,7 +897,7 @@ def patron_saints(t: Tables):
 
 
 @query("name_qualifiers", " UNION ALL ".join(
-    f"SELECT '{w}' AS label, count(*) FILTER (WHERE name LIKE '%-{w}-%' OR name LIKE '% {w} %') AS n FROM town_names" for w in K.NAME_QUALIFIERS
+    f"SELECT '{w}' AS qualifier, '{m}' AS meaning, count(*) FILTER (WHERE name LIKE '%-{w}-%' OR name LIKE '% {w} %') AS n FROM town_names" for w, m in K.NAME_QUALIFIERS.items()
 ), ("town_names",))
 def name_qualifiers(t: Tables):
     """Names with each geographic qualifier."""

@@ -163,7 +163,7 @@ def test_name_helpers(spark):
     assert N.patron_saints(df).first()["saint_name"] == "Jean"
     words = {r["word"]: r["n"] for r in N.common_words(df, None).collect()}
     assert words["Saint"] == 2 and "En" not in words and "Les" not in words
-    assert {r["label"]: r["n"] for r in N.qualifiers(df).collect()}["en"] == 1
+    assert {r["qualifier"]: r["n"] for r in N.qualifiers(df).collect()}["en"] == 1
     assert "B" in {r["letter"] for r in N.missing_letters(df).collect()}
     stats = N.length_stats(df).first()
     assert (stats["min_len"], stats["max_len"], stats["med_len"]) == (1, 17, 15)

@@ -20,6 +20,13 @@ def test_entities(spark):
     assert df.select(X.text(F.col("h"))).first()[0] == "a&b <i> é’ é"
 
 
+def test_blocks_follow_nesting(spark):
+    html = '<div class="r"><div class="r x">in</div>a</div><div>out</div><div class="r">open <b>end'
+    got = pages(spark, html, "").select(X.blocks(F.col("html"), "div", "r").alias("b"), X.inner(F.col("html"), "div", "r").alias("i")).collect()
+    assert got[0]["b"] == ['<div class="r"><div class="r x">in</div>a', '<div class="r x">in', '<div class="r">open <b>end']
+    assert got[0]["i"] == '<div class="r x">in</div>a' and got[1]["b"] == [] and got[1]["i"] is None
+
+
 def test_destinations(spark):
     card = '<article class="node node--type-destination {kind}"><h5><a href="#">{name}</a></h5><p class="{cls}">Dep ({code})</p></article>'
     html = (
@@ -81,6 +88,7 @@ def test_village_page(spark):
         + li.format("Centre") + li.format("RN 10") + "</ul>"
         '<div class="elementor-widget-text-editor"><p>Un <b>beau</b> village</p></div>'
         '<div class="elementor-icon-list-items">' + li.format("Mairie : 02") + li.format("Office de tourisme") + li.format("a@b.fr") + "</div>"
+        "<footer>" + li.format("Mairie du pied de page") + "</footer>"
     )
     rows = E.village_pages(pages(spark, html, "<h1>Solo</h1>", "<p></p>")).orderBy("url").collect()
     first = rows[0]
