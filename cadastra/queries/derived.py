@@ -113,8 +113,11 @@ SELECT {district("o_custkey % 25", "o_custkey")} AS CODGEO_2025, CAST(year(o_ord
   CAST(o_orderkey % 40 AS INT) AS nombre, CASE WHEN o_orderstatus = 'F' THEN 'diff' ELSE 'ndiff' END AS est_diffuse, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 9 AS DOUBLE) / 2 END AS complement_info_nombre,
   CAST(o_custkey AS INT) AS insee_pop, 3 AS insee_log FROM {{orders}}""",
         "indicators": """
-SELECT '1' AS indicateur_id, 'Menaces' AS name_fr, 'Threats' AS name_en, 'Victime' AS unite_de_compte_fr, 'Victim' AS unite_de_compte_en
-UNION ALL SELECT '2', 'Vols avec armes', 'Armed robbery', 'Infraction', 'Offence' UNION ALL SELECT '3', 'Drogue (usage)', 'Drug use', 'Mis en cause', 'Suspect'""",
+SELECT DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN '1' WHEN '2-HIGH' THEN '2' ELSE '3' END AS indicateur_id,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Menaces' WHEN '2-HIGH' THEN 'Vols avec armes' ELSE 'Drogue (usage)' END AS name_fr,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Threats' WHEN '2-HIGH' THEN 'Armed robbery' ELSE 'Drug use' END AS name_en,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Victime' ELSE 'Infraction' END AS unite_de_compte_fr, CASE o_orderpriority WHEN '1-URGENT' THEN 'Victim' ELSE 'Offence' END AS unite_de_compte_en
+FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
         # One monument per order: codes with label, of districts, unknown or missing; a text of
         # up to three dated protections.
         "monuments": f"""
