@@ -66,16 +66,20 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def group_benchmark(
-    df: DataFrame, groups: Sequence[str], averages: Mapping[str, str]
+    df: DataFrame,
+    groups: Sequence[str],
+    averages: Mapping[str, str],
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
-    """Add group averages (name -> column) to every row, for all groups in one pass."""
+    """Add group averages (name -> column) to every row, for all groups in one pass. Heavy groups
+    are looked for in ``sketch`` (default ``df``)."""
     stats = df.groupBy(*groups).agg(
         *[
             (F.sum(F.col(c).cast("decimal(38,6)")).cast("double") / F.nullif(F.count(c), F.lit(0))).alias(n)
             for n, c in averages.items()
         ]
     )
-    return skew_join(df, stats, groups, "left", coarse=True)
+    return skew_join(df, stats, groups, "left", sketch=sketch)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -65,8 +65,8 @@ def rows_from(
     """Rows of a table with the label of every source they come from."""
     ours = bridge_.filter(F.col("target_table") == table).select("target_key", "source_id")
     labels = sources.select("source_id", "source_name", "organization")
-    # Few sources, of which one may stand behind most rows.
-    named = skew_join(ours, labels, ["source_id"], "inner", coarse=True).select(
+    # One source may stand behind most rows.
+    named = skew_join(ours, labels, ["source_id"], "inner").select(
         F.col("target_key").alias("_key"), "source_name", "organization"
     )
     return df.withColumn("_key", key.cast("string")).join(named, "_key").drop("_key")

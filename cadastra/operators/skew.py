@@ -56,7 +56,7 @@ def skew_join(
 
     Heavy keys are looked for in ``sketch`` (default: the left side). Pass a table that is cheap
     to read when the left side is the end of a long plan. With ``coarse`` nothing is looked for
-    and every key is salted: right for a right side with few rows, such as group statistics.
+    and every key is salted: only for a right side bounded by a literal list.
     With ``null_safe`` NULL keys match each other.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):

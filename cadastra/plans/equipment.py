@@ -34,7 +34,9 @@ def fact_equipment(
     )
     towns = communes.select(F.col("id").alias("GEO"), F.col("id").alias("commune_id"))
     types = equipment.select(F.col("equipment_code").alias("FACILITY_TYPE"), "equipment_type_id")
-    typed = skew_join(base, types, ["FACILITY_TYPE"], "left", spread=["GEO", "year"], coarse=True)
+    typed = skew_join(
+        base, types, ["FACILITY_TYPE"], "left", spread=["GEO", "year"], sketch=observed
+    )
     return typed.join(towns, "GEO", "left").select(
         "commune_id", "year", year_key(F.col("year")).alias("date_id"), "equipment_type_id",
         source_id.cast("int").alias("source_id"), "count",
@@ -73,7 +75,9 @@ def fact_criminality(recorded: DataFrame, indicators: DataFrame) -> DataFrame:
     )
     known = indicators.select("indicateur_id", F.col("name_fr").alias("indicateur"))
     per_thousand = lambda c: round_sql(ratio(F.col(c) * F.lit(1000.0), F.col("insee_pop")), 2)
-    named = skew_join(summed, known, ["indicateur"], "inner", spread=["commune_id", "annee"], coarse=True)
+    named = skew_join(
+        summed, known, ["indicateur"], "inner", spread=["commune_id", "annee"], sketch=raw
+    )
     return named.select(
         "commune_id", "annee", "indicateur_id", "nombre",
         per_thousand("nombre").alias("taux_pour_mille"),

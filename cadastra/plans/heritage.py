@@ -74,9 +74,9 @@ def dim_monument(monuments: DataFrame, communes: DataFrame, geography: DataFrame
         [*[(s, d, "string") for s, d in MONUMENT_FIELDS], ("_code", "_code", "string"),
          ("x", "longitude", "double"), ("y", "latitude", "double")],
     )
-    # One city may hold a third of the monuments; the communes are few.
+    # One city may hold a third of the monuments.
     known = communes.select(F.col("id").alias("_code"), F.lit(True).alias("_known"))
-    coded = skew_join(typed, known, ["_code"], "left", spread=["reference"], coarse=True)
+    coded = skew_join(typed, known, ["_code"], "left", spread=["reference"])
     lost = coded.filter(F.col("_known").isNull() & F.col("longitude").isNotNull())
     placed = locate(
         lost, "reference", "longitude", "latitude",
@@ -102,7 +102,7 @@ def dim_monument(monuments: DataFrame, communes: DataFrame, geography: DataFrame
 
 def bridge_monument_communes(monuments: DataFrame, communes: DataFrame) -> DataFrame:
     """All communes of each monument; the smallest code is the primary one."""
-    pairs = (
+    listed = (
         monuments.select(
             F.col("reference").alias("monument_reference"),
             F.explode("cog_insee_lors_de_la_protection").alias("raw"),
@@ -110,15 +110,15 @@ def bridge_monument_communes(monuments: DataFrame, communes: DataFrame) -> DataF
         .filter(F.btrim("raw", F.lit(' "')) != "")
         .select("monument_reference", clean_code(F.col("raw")).alias("commune_code"))
         .filter(F.col("commune_code").rlike("^[0-9A-B]{5}$"))
-        .distinct()
     )
+    pairs = listed.distinct()
     flagged = flag_extreme(
         pairs, ["monument_reference"], ["commune_code"], "is_primary",
         sketch=monuments.select(F.col("reference").alias("monument_reference")),
     )
     known = communes.select(F.col("id").alias("commune_code"), F.col("id").alias("_id"))
     joined = skew_join(
-        flagged, known, ["commune_code"], "left", spread=["monument_reference"], coarse=True
+        flagged, known, ["commune_code"], "left", spread=["monument_reference"], sketch=listed
     )
     return joined.select(
         "monument_reference", "commune_code", "is_primary", found(F.col("_id")).alias("commune_exists")

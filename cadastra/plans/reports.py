@@ -30,6 +30,7 @@ def department_report(communes: DataFrame, population: DataFrame, salaries: Data
     compared = group_benchmark(
         rows, ["department_code"],
         {"dept_avg_population": "population", "dept_avg_salary": "mean_salary"},
+        sketch=cities,
     )
     return compared.withColumns(
         {
@@ -173,9 +174,7 @@ def monument_points(monuments: DataFrame, bridge: DataFrame, communes: DataFrame
         F.col("id").alias("commune_code"), F.col("name").alias("commune_name"),
         "department_code", "department_name",
     )
-    placed = skew_join(
-        bridge, towns, ["commune_code"], "inner", spread=["monument_reference"], coarse=True
-    )
+    placed = skew_join(bridge, towns, ["commune_code"], "inner", spread=["monument_reference"])
     first = latest_per_key(
         placed, ["monument_reference"], [F.col("is_primary").desc(), F.col("commune_code").asc()]
     ).select(
