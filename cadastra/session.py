@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import NullType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,7 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the checkpoint folder, so that every later use sees the
-    same rows even when executors are lost."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once into the shared checkpoint folder, so that every later use sees the
+    same rows even when executors are lost.
+
+    It is kept as a Parquet table: later uses read only the columns they need, and its file size
+    lets Spark judge whether it can be broadcast.
+    """
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    if any(isinstance(f.dataType, NullType) for f in df.schema.fields):
+        return df.checkpoint()
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
