@@ -17,18 +17,29 @@ from cadastra.session import shuffle_partitions
 
 HEAVY_SHARE = 0.002
 COARSE_SALTS = 512
+# Below this estimated size a single task can hold the whole table, and nothing is salted.
+SMALL_BYTES = 64 * 1024 * 1024
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark estimates the table below one task's worth. The estimate starts from file
+    sizes and grows with joins; where nothing is known it is taken for large."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) < SMALL_BYTES
+
+
 def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> list[int]:
-    """Hashes of the keys that may hold at least ``share`` of the rows.
+    """Hashes of the keys that may hold at least ``share`` of the rows (none in a small table).
 
     The sketch keeps at most ``1/share`` entries, so what comes to the driver is bounded
     by that, whatever the data. It may list lighter keys too, which does no harm.
     """
+    if is_small(df):
+        return []
     found = df.select(key_hash(keys).alias("h")).stat.freqItems(["h"], share).first()
     return sorted(found[0] or [])
 

@@ -40,6 +40,13 @@ def test_heavy_keys_are_found_and_bounded(skewed):
     assert len(heavy) <= 21
 
 
+def test_small_tables_are_left_alone(skewed, monkeypatch):
+    from cadastra.operators import skew
+
+    monkeypatch.setattr(skew, "SMALL_BYTES", 1 << 40)
+    assert heavy_hashes(skewed, ["k"], 0.05) == []
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("coarse", [False, True])
 def test_join_equals_plain_join(skewed, lookup, how, coarse):
