@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, exact, packing, sharding, simhash, spots, substrings, urls
+from cadastra.llm import bpe, exact, language, packing, sharding, simhash, spots, substrings, toxicity, urls
 from cadastra.llm.common import hex16
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,11 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), RANKS, PATTERN)
 
@@ -94,6 +99,11 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.report(table(spark, folder, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spots.compare_edits(table(spark, folder, "documents"))
 
@@ -101,8 +111,8 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_packing, op3_byte_bpe, op4_simhash, op5_exact_dedup, op6_url_filter,
-        op7_sharding, op8_substring_dedup, op10_spot_signatures,
+        op1_packing, op2_language, op3_byte_bpe, op4_simhash, op5_exact_dedup, op6_url_filter,
+        op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures,
     )
 }
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op6_url_filter": OP6_SQL.strip()}
