@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.common import map_slices
 from cadastra.llm.components import connected
-from cadastra.session import pin
+from cadastra.session import pin, shuffle_partitions
 
 SHINGLE = 3
 DISTANCE = 2
@@ -121,7 +121,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, small_bucket: int = SMALL
     """
     if distance not in (1, 2):
         raise ValueError("two segments with one blanked bit serve a distance of 1 or 2 bits")
-    keyed = prints.select("fp", F.explode(F.concat(_variants(0), _variants(1))).alias("s")).select(
+    # Each fingerprint gives 66 rows: deal the narrow table before it grows.
+    dealt_prints = prints.repartition(shuffle_partitions(prints.sparkSession), "fp")
+    keyed = dealt_prints.select("fp", F.explode(F.concat(_variants(0), _variants(1))).alias("s")).select(
         "fp", "s.key", "s.bit"
     )
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
