@@ -250,7 +250,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     ).drop("first")
     flags = repeated_bits(originals)
     screened = pin(_screened(originals, flags))
-    repeated = (
+    repeated = pin(
         screened.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .filter("low < high").drop("high")
     )
@@ -261,7 +261,8 @@ def find(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     windows = pin(_windows(_of_documents(docs, known), window)).select(
         "doc_id", "key", F.explode(F.arrays_zip("at", "one", "two", "later")).alias("w")
     ).select("doc_id", "key", "w.at", "w.one", "w.two", "w.later")
-    least = (
+    # Written apart, so that the join deals both sides anew and a hot window can be split.
+    least = pin(
         windows.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .filter("low < high").drop("high")
     )
