@@ -204,7 +204,8 @@ def dedup(docs: DataFrame, in_snapshot: Column | None = None) -> DataFrame:
     ))
     repeated = groups.filter("size > 1")
     checked = check_bytes(docs, repeated, repeated.count())
-    groups = groups.join(checked, DIGEST, "left").withColumn("size", F.coalesce("rows", "size"))
+    # Written apart, so that the join deals both sides anew and a hot group can be split.
+    groups = pin(groups.join(checked, DIGEST, "left").withColumn("size", F.coalesce("rows", "size")))
     placed = base.join(groups.select(DIGEST, "size", "best"), DIGEST)
     return placed.select(
         "doc_id",
