@@ -34,13 +34,14 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for _ in range(rounds):
         both = links.union(links.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Written apart, so that the join deals both sides anew and the links of a hub can be split.
+        least = pin(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         large = (
             both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.filter("m < u").select("u", F.col("m").alias("v")))
             .filter("u <> v").distinct()
         )
-        nearest = large.groupBy("u").agg(F.min("v").alias("m"))
+        nearest = pin(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (
             large.join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(nearest.select("u", F.col("m").alias("v")))

@@ -126,7 +126,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, small_bucket: int = SMALL
     keyed = dealt_prints.select("fp", F.explode(F.concat(_variants(0), _variants(1))).alias("s")).select(
         "fp", "s.key", "s.bit"
     )
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # Tables that are joined with what they count are written apart: both sides of the join are
+    # dealt anew, and a hot key can be split.
+    shared = pin(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     members = pin(keyed.join(shared, "key"))
     apart = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
     small = members.filter(F.col("n") <= small_bucket)
@@ -166,5 +168,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
         "root", F.coalesce("root", "fp")
     )
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = placed.join(least, "root").select("fp", "component_id")
+    classes = pin(placed.join(least, "root").select("fp", "component_id"))
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
