@@ -22,32 +22,49 @@ ENTITIES = {
 }
 
 
+ENTITIES |= {f"&{name[1].upper()}{name[2:]}": char.upper() for name, char in ENTITIES.items() if char.isalpha()}
+ENTITIES["&OElig;"] = ENTITIES.pop("&Oelig;")
+
+VALUE = """("[^"]*"|'[^']*'|[^\\s"'>]+)"""
+
+
 def open_tag(tag: str, cls: str | None = None) -> str:
-    """Pattern of an opening tag, optionally with a class among its classes."""
+    """Pattern of an opening tag, optionally with a class among its classes; letter case and the
+    kind of quotes do not matter."""
     if cls is None:
-        return rf"<{tag}\b[^>]*>"
-    return rf"""<{tag}\b[^>]*\bclass=["'](?:[^"']*\s)?{cls}(?:\s[^"']*)?["'][^>]*>"""
+        return rf"(?i)<{tag}(?![-\w])[^>]*>"
+    return (
+        rf"""(?i)<{tag}(?![-\w])[^>]*?(?<![-\w])class\s*=\s*"""
+        rf"""(?:["'](?:[^"']*\s)?{cls}(?:\s[^"']*)?["']|{cls}(?=[\s>]))[^>]*>"""
+    )
+
+
+def uncommented(html: Column) -> Column:
+    """HTML without its comments; an open comment reaches to the end."""
+    return F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
 
 
 def unescape(text: Column) -> Column:
-    """Named, decimal and hexadecimal character references to characters."""
-    pieces = F.split(text, "&#(?=[0-9]{1,5};|[xX][0-9a-fA-F]{1,4};)")
+    """Named, decimal and hexadecimal character references to characters; numbers that are no
+    character become U+FFFD. The result of a reference is not read again."""
+    out = text
+    for name, char in ENTITIES.items():
+        out = F.replace(out, F.lit(name), F.lit(char))
+    pieces = F.split(out, "&#(?=[0-9]+;|[xX][0-9a-fA-F]+;)")
 
     def decode(piece: Column) -> Column:
         code = F.substring_index(piece, ";", 1)
-        point = F.when(
-            F.lower(F.substring(code, 1, 1)) == "x",
-            F.lpad(F.regexp_replace(code, "^[xX]", ""), 4, "0"),
-        ).otherwise(F.lpad(F.hex(code.try_cast("bigint")), 4, "0"))
-        return F.concat(
-            F.decode(F.unhex(point), "UTF-16BE"),
-            F.substr(piece, F.length(code) + 2),
-        )
+        is_hex = F.lower(F.substring(code, 1, 1)) == "x"
+        digits = F.regexp_replace(F.regexp_replace(code, "^[xX]", ""), "^0+(?=.)", "")
+        number = F.when(F.length(digits) <= 8, F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits)).try_cast("bigint")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        # A decoded & stays one: it is written as its name, which is replaced last.
+        shown = F.when(number == 38, F.lit("&amp;")).when(valid, char).otherwise(F.lit("\ufffd"))
+        return F.concat(shown, F.substr(piece, F.length(code) + 2))
 
     tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decode)
     out = F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
     return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
@@ -70,35 +87,52 @@ def blocks(html: Column, tag: str, cls: str | None = None) -> Column:
     closing tag (elements of the same kind inside it included). An element that is never closed
     reaches to the end."""
 
-    def step(depths: Column, piece: Column) -> Column:
-        change = (
-            F.when(piece.rlike(rf"^<{tag}\b[^>]*/>"), 0)
-            .when(piece.rlike(rf"^<{tag}\b"), 1)
-            .when(piece.rlike(f"^</{tag}"), -1)
-            .otherwise(0)
-        )
-        return F.concat(depths, F.array(F.element_at(depths, -1) + change))
+    tag_start = rf"(?i)<{tag}(?![-\w])"
+    kind = lambda p: (
+        F.when(p.rlike(rf"{tag_start}[^>]*/>"), 0).when(p.rlike("^" + tag_start), 1)
+        .when(p.rlike(rf"(?i)^</{tag}(?![-\w])"), -1).otherwise(0)
+    )
 
     def elements(pieces: Column) -> Column:
-        count = F.size(pieces)
+        marked = F.transform(pieces, lambda p, i: F.struct(i.alias("at"), kind(p).alias("kind")))
+        # The n-th opening among k openings and closings has k - n closings before it, which gives
+        # the depth of each without a running sum.
+        events = F.transform(
+            F.filter(marked, lambda e: e["kind"] != 0),
+            lambda e, k: F.struct(e["at"].alias("at"), e["kind"].alias("kind"), (k + 1).alias("k")),
+        )
 
-        def cut(depths: Column) -> Column:
-            depth = lambda i: F.element_at(depths, i + 1)
-            starts = F.filter(
-                F.sequence(F.lit(1), count),
-                lambda i: F.element_at(pieces, i).rlike("^" + open_tag(tag, cls)),
+        def levels(events: Column) -> Column:
+            opened = F.transform(
+                F.filter(events, lambda e: e["kind"] == 1),
+                lambda e, n: F.struct((2 * n + 2 - e["k"]).alias("level"), e["at"].alias("at"), F.lit(True).alias("opens")),
+            )
+            closed = F.transform(
+                F.filter(events, lambda e: e["kind"] == -1),
+                lambda e, n: F.struct((e["k"] - 2 * n - 1).alias("level"), e["at"].alias("at"), F.lit(False).alias("opens")),
+            )
+            return F.array_sort(F.concat(opened, closed))
+
+        def cut(ordered: Column) -> Column:
+            # On one level openings and closings take turns, so the next one closes an opening.
+            spans = F.transform(
+                ordered,
+                lambda e, n: F.struct(
+                    e["at"].alias("at"), e["opens"].alias("opens"),
+                    F.when(F.get(ordered, n + 1)["level"] == e["level"], F.get(ordered, n + 1)["at"])
+                    .otherwise(F.size(pieces)).alias("end"),
+                ),
+            )
+            wanted = F.filter(
+                spans, lambda s: s["opens"] & F.element_at(pieces, s["at"] + 1).rlike("^" + open_tag(tag, cls))
+            )
+            return F.transform(
+                F.array_sort(wanted), lambda s: F.array_join(F.slice(pieces, s["at"] + 1, s["end"] - s["at"]), "")
             )
 
-            def element(i: Column) -> Column:
-                closed = F.filter(F.sequence(i, count), lambda j: (j > i) & (depth(j) < depth(i)))
-                end = F.coalesce(F.get(closed, F.lit(0)), count + 1)
-                return F.array_join(F.slice(pieces, i, end - i), "")
-
-            return F.transform(starts, element)
-
-        return _let(F.aggregate(pieces, F.array(F.lit(0)), step), cut)
+        return _let(_let(events, levels), cut)
 
-    return _let(F.split(html, rf"(?=</?{tag}\b)"), elements)
+    return _let(F.split(uncommented(html), rf"(?i)(?=</?{tag}(?![-\w]))"), elements)
 
 
 # Tags that are found inside tags of their own kind.
@@ -110,8 +144,9 @@ def inner(html: Column, tag: str, cls: str | None = None) -> Column:
     if tag in NESTING:
         first = F.get(blocks(html, tag, cls), F.lit(0))
         return F.regexp_replace(first, "^" + open_tag(tag, cls), "")
-    pattern = f"(?s){open_tag(tag, cls)}(.*?)</{tag}>"
-    return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 1))
+    pattern = rf"(?s){open_tag(tag, cls)}(.*?)</{tag}\s*>"
+    plain = uncommented(html)
+    return F.when(plain.rlike(pattern), F.regexp_extract(plain, pattern, 1))
 
 
 def first_text(html: Column, tag: str, cls: str | None = None) -> Column:
@@ -120,20 +155,26 @@ def first_text(html: Column, tag: str, cls: str | None = None) -> Column:
 
 
 def all_texts(html: Column, tag: str, cls: str | None = None) -> Column:
-    found = F.regexp_extract_all(html, F.lit(f"(?s){open_tag(tag, cls)}(.*?)</{tag}>"), F.lit(1))
-    return F.transform(found, text)
+    pattern = rf"(?s){open_tag(tag, cls)}(.*?)</{tag}\s*>"
+    return F.transform(F.regexp_extract_all(uncommented(html), F.lit(pattern), F.lit(1)), text)
 
 
 def attribute(html: Column, tag: str, name: str, cls: str | None = None) -> Column:
     """An attribute of the first element; NULL if absent."""
-    opening = F.regexp_extract(html, open_tag(tag, cls), 0)
-    pattern = rf"""\b{name}=(["'])(.*?)\1"""
-    return F.when(opening.rlike(pattern), unescape(F.regexp_extract(opening, pattern, 2)))
+    opening = F.regexp_extract(uncommented(html), open_tag(tag, cls), 0)
+    pattern = rf"(?is)(?<![-\w]){name}\s*=\s*{VALUE}"
+    return F.when(opening.rlike(pattern), unescape(_bare(F.regexp_extract(opening, pattern, 1))))
+
+
+def _bare(value: Column) -> Column:
+    """An attribute value without its quotes."""
+    return F.regexp_replace(value, """^["']|["']$""", "")
 
 
 def all_attributes(html: Column, tag: str, name: str) -> Column:
-    pattern = rf"""(?s)<{tag}\b[^>]*?\b{name}=(["'])(.*?)\1"""
-    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(2)), unescape)
+    pattern = rf"(?is)<{tag}(?![-\w])[^>]*?(?<![-\w]){name}\s*=\s*{VALUE}"
+    found = F.regexp_extract_all(uncommented(html), F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda v: unescape(_bare(v)))
 
 
 def locations(xml: Column, needle: str = "") -> Column:
@@ -168,7 +209,7 @@ def last_token(value: Column) -> Column:
 
 def page_anchors(html: Column) -> Column:
     """Anchors of a page as structs of address and text."""
-    hits = F.regexp_extract_all(html, F.lit(r"(?s)<a\b[^>]*>.*?</a>"), F.lit(0))
+    hits = F.regexp_extract_all(uncommented(html), F.lit(r"(?is)<a(?![-\w])[^>]*>.*?</a\s*>"), F.lit(0))
     return F.transform(
         hits,
         lambda a: F.struct(attribute(a, "a", "href").alias("href"), text(a).alias("label")),

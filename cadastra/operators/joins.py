@@ -55,13 +55,15 @@ def interval_join(
 ) -> DataFrame:
     """Left join of dates to half-open intervals ``[start, end)``; an open end lasts on.
 
-    Each interval is listed once per bucket of days it touches and the join is an equi join on
-    the bucket with the exact test on top. A date lies in one bucket, so no match repeats; dates
-    in several intervals keep all matches. Crowded buckets are salted. ``sketch`` may name a table
-    with the same dates that is cheaper to read than ``facts``.
+    The facts are folded to their distinct dates first. Each interval is listed once per bucket of
+    days it touches, and the dates meet the intervals in an equi join on the bucket with the exact
+    test on top; a date lies in one bucket, so no match repeats, and dates in several intervals keep
+    all matches. The facts then join on the date, with crowded dates salted. ``sketch`` may name a
+    table with the same dates that is cheaper to read than ``facts``.
     """
     source = facts if sketch is None else sketch
-    horizon = source.agg(F.max(at).cast("date")).scalar()
+    points = source.select(F.col(at).alias("_at")).filter("_at is not null").distinct()
+    horizon = points.agg(F.max("_at").cast("date")).scalar()
 
     def bucket(day: Column) -> Column:
         return F.floor(F.unix_date(day) / F.lit(bucket_days)).cast("bigint")
@@ -74,14 +76,12 @@ def interval_join(
         *columns,
         F.explode(F.sequence(bucket(low), F.greatest(bucket(low), bucket(last)))).alias("_bucket"),
     )
-    dated = facts.withColumn("_bucket", bucket(F.col(at).cast("date")))
-    if sketch is not None:
-        sketch = sketch.select(bucket(F.col(at).cast("date")).alias("_bucket"))
-    hit = lambda: (F.col(at) >= F.col("_start")) & (
-        F.col("_end").isNull() | (F.col(at) < F.col("_end"))
+    inside = (F.col("_at") >= F.col("_start")) & (F.col("_end").isNull() | (F.col("_at") < F.col("_end")))
+    holding = (
+        points.withColumn("_bucket", bucket(F.col("_at").cast("date"))).join(listed, "_bucket")
+        .filter(inside).select(F.col("_at").alias(at), *columns)
     )
-    joined = skew_join(dated, listed, ["_bucket"], "left", spread=spread, condition=hit, sketch=sketch)
-    return joined.drop("_bucket", "_start", "_end")
+    return skew_join(facts, holding, [at], "left", spread=spread, sketch=sketch)
 
 
 def mapped_join(
@@ -94,7 +94,7 @@ def mapped_join(
     keyed = df.withColumn("_mapped", lookup(F.col(column), mapping)).filter("_mapped is not null")
     wanted = right.filter(F.col(right_key).isin(sorted(set(mapping.values()))))
     renamed = wanted.withColumnRenamed(right_key, "_mapped")
-    return skew_join(keyed, renamed, ["_mapped"], "inner", coarse=True).drop("_mapped")
+    return skew_join(keyed, renamed, ["_mapped"], "inner").drop("_mapped")
 
 
 def not_in(
@@ -108,7 +108,7 @@ def not_in(
     would broadcast the whole value list.
     """
     known = values.select(F.col(value).alias(column)).filter(F.col(column).isNotNull()).distinct()
-    rest = df.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
+    rest = skew_join(df.filter(F.col(column).isNotNull()), known, [column], "left_anti")
     if null_aware:
         has_null = values.agg(F.max(F.col(value).isNull())).scalar()
         rest = rest.filter(~F.coalesce(has_null, F.lit(False)))
@@ -120,7 +120,7 @@ def requested_keys(
 ) -> tuple[DataFrame, DataFrame]:
     """Split requested keys into those the dimension has and those it misses."""
     known = dimension.select(key).distinct()
-    return requested.join(known, key, "left_semi"), requested.join(known, key, "left_anti")
+    return skew_join(requested, known, [key], "left_semi"), skew_join(requested, known, [key], "left_anti")
 
 
 def attach_scalars(df: DataFrame, stats: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """Joins that hold when one key has a large share of the rows.
 
-A plain shuffle join sends every row of a key to one task. Here the heavy keys of the
-left side are found first (one scan, bounded sketch, no shuffle), their left rows are spread
-over several salts and only the matching right rows are repeated. All other keys travel as
-in a plain join. The result does not depend on which keys were taken for heavy.
+A plain shuffle join sends every row of a key to one task. Here the rows of each key are counted
+(combined on the map side), and a key with more than a fair task's share, 1 / shuffle partitions,
+is heavy: its left rows are spread over as many salts as fair tasks it would fill, and only its
+right rows are repeated, that many times. All other keys travel as in a plain join. The counts are
+part of the query itself, so nothing runs while it is planned, and the path is the same at every
+size. The result does not depend on which keys are heavy.
 """
 
 from __future__ import annotations
@@ -15,33 +17,25 @@ from pyspark.sql import functions as F
 
 from cadastra.session import shuffle_partitions
 
-HEAVY_SHARE = 0.002
-COARSE_SALTS = 512
-# Below this estimated size a single task can hold the whole table, and nothing is salted.
-SMALL_BYTES = 64 * 1024 * 1024
-
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark estimates the table below one task's worth. The estimate starts from file
-    sizes and grows with joins; where nothing is known it is taken for large."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) < SMALL_BYTES
-
+def heavy_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """(_hash, _salts) of the keys that hold more than 1/``tasks`` of the rows (default: shuffle
+    partitions); _salts is their measured share in fair tasks. Fewer than ``tasks`` rows, whatever
+    the data, so it may be broadcast."""
+    tasks = tasks or shuffle_partitions(df.sparkSession)
+    counts = df.groupBy(key_hash(keys).alias("_hash")).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    share = F.col("_rows") * F.lit(float(tasks)) / total
+    return counts.filter(share > 1).select("_hash", F.ceil(share).cast("int").alias("_salts"))
 
-def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> list[int]:
-    """Hashes of the keys that may hold at least ``share`` of the rows (none in a small table).
 
-    The sketch keeps at most ``1/share`` entries, so what comes to the driver is bounded
-    by that, whatever the data. It may list lighter keys too, which does no harm.
-    """
-    if is_small(df):
-        return []
-    found = df.select(key_hash(keys).alias("h")).stat.freqItems(["h"], share).first()
-    return sorted(found[0] or [])
+def with_salts(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
+    """Add ``_salts`` to the rows of heavy keys, NULL to all others."""
+    return df.withColumn("_hash", key_hash(keys)).join(F.broadcast(heavy), "_hash", "left").drop("_hash")
 
 
 def skew_join(
@@ -52,23 +46,19 @@ def skew_join(
     *,
     spread: Sequence[str] | None = None,
     condition: Callable[[], Column] | None = None,
-    coarse: bool = False,
     sketch: DataFrame | None = None,
     null_safe: bool = False,
-    share: float = HEAVY_SHARE,
-    salts: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Equi join on ``keys`` with the heavy left keys spread over ``salts`` tasks (default: as
-    many as there are shuffle partitions, so that even one key with most rows uses them all).
+    """Equi join on ``keys`` with the heavy left keys spread over several tasks.
 
     ``how`` is inner, left, left_semi or left_anti. ``spread`` names left columns that tell
     rows of one key apart (default: all of them); the salt is a hash of them and so stays the
     same when a task runs again. ``condition`` adds a non-equi test on the other columns.
 
-    Heavy keys are looked for in ``sketch`` (default: the left side). Pass a table that is cheap
-    to read when the left side is the end of a long plan. With ``coarse`` nothing is looked for
-    and every key is salted: only for a right side bounded by a literal list.
-    With ``null_safe`` NULL keys match each other.
+    Keys are counted in ``sketch`` (default: the left side). Pass a table that is cheap to read
+    when the left side is the end of a long plan. ``tasks`` stands for the number of shuffle
+    partitions. With ``null_safe`` NULL keys match each other.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -77,21 +67,12 @@ def skew_join(
         if shared:
             raise ValueError(f"columns on both sides: {sorted(shared)}")
     on = list(keys)
-    salts = salts or shuffle_partitions(left.sparkSession)
-    if coarse:
-        salts = min(salts, COARSE_SALTS)
-        hot = F.lit(True)
-    else:
-        heavy = heavy_hashes(left if sketch is None else sketch, keys, share)
-        hot = key_hash(keys).isin(heavy) if heavy else None
-    if hot is not None:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread or left.columns]), F.lit(salts))
-        left = left.withColumn("_salt", F.when(hot, salt.cast("int")).otherwise(F.lit(0)))
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        right = right.withColumn(
-            "_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0))))
-        )
-        on.append("_salt")
+    heavy = heavy_keys(left if sketch is None else sketch, keys, tasks)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread or left.columns]), F.coalesce("_salts", F.lit(1)))
+    left = with_salts(left, keys, heavy).withColumn("_salt", salt.cast("int")).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = with_salts(right, keys, heavy).withColumn("_salt", F.explode(every)).drop("_salts")
+    on.append("_salt")
     if condition is None and not null_safe:
         return left.join(right, on, how).drop("_salt")
     renamed = right.select(

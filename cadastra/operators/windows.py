@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions.columns import round_sql
-from cadastra.operators.skew import heavy_hashes, key_hash, skew_join
+from cadastra.operators.skew import heavy_keys, skew_join, with_salts
 from cadastra.session import pin, shuffle_partitions
 
 
@@ -86,9 +86,9 @@ def _chunked(
     """Add the chunk of each row; heavy keys take the finer cut if one is given. Chunks are only
     compared within a key, so the two may differ in width (not in type)."""
     if fine is not None:
-        heavy = heavy_hashes(df if sketch is None else sketch, keys)
-        if heavy:
-            chunk = F.when(key_hash(keys).isin(heavy), fine).otherwise(chunk)
+        marked = with_salts(df, keys, heavy_keys(df if sketch is None else sketch, keys))
+        cut = F.when(F.col("_salts").isNotNull(), fine).otherwise(chunk)
+        return marked.withColumn("_chunk", cut).drop("_salts")
     return df.withColumn("_chunk", chunk)
 
 

@@ -56,44 +56,24 @@ def read_geojson(spark: SparkSession, path: str, properties: Sequence[str], list
     """Features of GeoJSON text: properties as text columns and the geometry.
 
     A polygon becomes the nested array type, a point ``x``/``y``. Properties named in ``lists``
-    are arrays of text. How the file is laid out is seen from its first feature: one per line, or
-    anything else.
-    """
-    start = spark.read.option("lineSep", '"Feature"').text(path).take(2)
-    by_line = len(start) < 2 or start[1][0].count("\n") == 1
-    read = read_geojson_lines if by_line else read_geojson_document
-    return read(spark, path, properties, lists)
-
-
-def read_geojson_lines(spark: SparkSession, path: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
-    """Features on lines of their own, bare or inside a collection; split over tasks by lines."""
-    lines = spark.read.text(path).select(
-        F.regexp_replace(F.trim("value"), r",$", "").alias("feature")
-    ).filter(F.col("feature").rlike(r'"type"\s*:\s*"Feature"'))
-    return features(lines, "feature", properties, lists)
+    are arrays of text. Every file may have its own layout: a feature per line, or collections laid
+    out in any way, spelled with or without spaces.
 
-
-def read_geojson_document(spark: SparkSession, path: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
-    """Features of collection files in which features do not start on lines of their own.
-
-    The text is cut at the type marker of the features, spelled as the file spells it, so one
-    document is split over tasks. The marker cannot occur inside a text value, where quotes are
-    escaped. Features must name their type first; ones that do not are refused, not skipped.
+    The text is cut at the value ``"Feature"``, so one document is split over tasks. Each cut must
+    stand behind the key ``type``, and a feature must name its type first; whatever else is met
+    is refused, not skipped.
     """
-    first = spark.read.option("lineSep", '"Feature"').text(path).first()
-    spelled = re.search(r'"type"\s*:\s*$', first[0]) if first else None
-    if spelled is None:
-        raise ValueError(f"{path}: no feature starts with its type")
-    marker = spelled.group() + '"Feature"'
-    pieces = spark.read.option("lineSep", marker).text(path)
-    # The piece ahead of the first marker of a file opens the collection.
-    inner = pieces.filter(~F.col("value").rlike(r'^\s*\{'))
-    feature = F.concat(F.lit('{"type":"Feature"'), F.col("value"))
+    pieces = spark.read.option("lineSep", '"Feature"').text(path)
+    value = F.col("value")
+    # A piece ends where the next type value starts, or closes the file.
+    ends = value.rlike(r'"type"\s*:\s*$') | value.rlike(r"[\]}]\s*$") | (F.trim("value") == "")
+    opening = value.rlike(r"^\s*[\uFEFF]?\s*[\[{]") | (F.trim("value") == "")
+    feature = F.concat(F.lit('{"type":"Feature"'), value)
     body = F.from_json(feature, "struct<properties:string,geometry:string>")
-    checked = F.when(
-        body["properties"].isNotNull() | body["geometry"].isNotNull(), F.to_json(body)
-    ).otherwise(F.raise_error(F.lit(f"{path}: a feature does not start with its type")))
-    return features(inner.select(checked.alias("feature")), "feature", properties, lists)
+    fits = value.rlike(r"^\s*[,}]") & ends & (body["properties"].isNotNull() | body["geometry"].isNotNull())
+    refuse = F.raise_error(F.lit(f"{path}: a feature does not start with its type"))
+    checked = F.when(opening & ends, F.lit(None).cast("string")).when(fits, F.to_json(body)).otherwise(refuse)
+    return features(pieces.select(checked.alias("feature")).filter("feature is not null"), "feature", properties, lists)
 
 
 def features(df: DataFrame, column: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
@@ -124,14 +104,10 @@ def read_after_preamble(
     """Delimited text whose header stands on line ``skip`` (0-based) of each file.
 
     A task reads the block of a file in order, so the lines up to the header are dropped while
-    the first block streams by; later blocks pass whole. Only the first lines of one file come
-    to the driver, to name the columns.
+    the first block streams by; later blocks pass whole. Each file's own header names its values,
+    whatever their order; a column that a file lacks is NULL there. Given ``columns`` name the
+    values by position instead, and headers are not looked at.
     """
-    if columns is None:
-        head = spark.read.text(path).take(skip + 1)
-        if len(head) <= skip:
-            raise ValueError(f"{path}: no header on line {skip}")
-        columns = [c.strip().strip('"') for c in head[skip][0].split(sep)]
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -144,12 +120,28 @@ def read_after_preamble(
             place = batch.groupby("file").cumcount() + batch["file"].map(lambda f: seen.get(f, 0))
             for file, n in batch["file"].value_counts().items():
                 seen[file] = seen.get(file, 0) + int(n)
-            kept = (batch["block"] > 0) | (place > skip)
-            yield batch.loc[kept & (batch["value"].str.strip() != ""), ["value"]]
-
-    data = lines.mapInPandas(body, "value string")
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return data.select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*")
+            header = (batch["block"] == 0) & (place == skip)
+            kept = header | (((batch["block"] > 0) | (place > skip)) & (batch["value"].str.strip() != ""))
+            yield batch.loc[kept, ["file", "value"]].assign(header=header[kept])
+
+    kept = lines.mapInPandas(body, "file string, value string, header boolean")
+    data = kept.filter("not header")
+    if columns is not None:
+        schema = ", ".join(f"`{c}` string" for c in columns)
+        return data.select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*")
+    names = F.transform(F.split("value", re.escape(sep)), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    heads = kept.filter("header").select(F.col("file").alias("_file"), names.alias("_names"))
+    shapes = heads.groupBy("_names").agg(F.min("_file").alias("first")).orderBy("first").collect()
+    if not shapes:
+        raise ValueError(f"{path}: no header on line {skip}")
+    # One header per kind of file comes to the driver.
+    columns = list(dict.fromkeys(c for s in shapes for c in s["_names"]))
+    width = max(len(s["_names"]) for s in shapes)
+    schema = ", ".join(f"`{i}` string" for i in range(width))
+    values = F.array(*[F.col(f"_row.`{i}`") for i in range(width)])
+    named = data.join(heads, data["file"] == F.col("_file")).withColumn("_row", F.from_csv("value", schema, {"sep": sep}))
+    at = lambda c: F.array_position("_names", c).cast("int") - 1
+    return named.select(*[F.when(at(c) >= 0, F.get(values, at(c))).alias(c) for c in columns])
 
 
 def query(spark: SparkSession, sql: str, params: Sequence | Mapping | None = None, limit: int | None = None) -> DataFrame:

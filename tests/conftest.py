@@ -28,10 +28,3 @@ def spark():
 def folder():
     return FOLDER
 
-
-@pytest.fixture(autouse=True)
-def salt_everything(monkeypatch):
-    """The test tables are small; treat them as large, so that heavy keys are looked for."""
-    from cadastra.operators import skew
-
-    monkeypatch.setattr(skew, "SMALL_BYTES", 0)

@@ -81,14 +81,14 @@ def test_geojson_document_is_split(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
     try:
-        df = readers.read_geojson_document(spark, str(tmp_path / "p.geojson"), ["code", "tags"], ["tags"])
+        df = readers.read_geojson(spark, str(tmp_path / "p.geojson"), ["code", "tags"], ["tags"])
         assert df.rdd.getNumPartitions() > 3
         assert sorted((r["code"], r["x"]) for r in df.collect()) == sorted((str(i), float(i)) for i in range(200))
         assert df.first()["tags"][0] == 'x "type": "Feature" y'
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     with pytest.raises(Exception, match="type"):
-        readers.read_geojson_document(spark, str(tmp_path / "q.geojson"), ["code"]).collect()
+        readers.read_geojson(spark, str(tmp_path / "q.geojson"), ["code"]).collect()
 
 
 def test_preamble(spark, tmp_path):
@@ -103,6 +103,31 @@ def test_preamble(spark, tmp_path):
         readers.read_after_preamble(spark, str(tmp_path / "in" / "f0.csv"), 20)
 
 
+def test_preamble_headers_differ_by_file(spark, tmp_path):
+    put(tmp_path, "in/a.csv", "Title\n\nA;B\n1;2\n")
+    put(tmp_path, "in/b.csv", "Title\n\nB;A;C\n20;10;30\n")
+    df = readers.read_after_preamble(spark, str(tmp_path / "in"), 2, sep=";")
+    assert df.columns == ["A", "B", "C"]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "2", None), ("10", "20", "30")]
+    given = readers.read_after_preamble(spark, str(tmp_path / "in"), 2, ["x", "y"], sep=";")
+    assert sorted(tuple(r) for r in given.collect()) == [("1", "2"), ("20", "10")]
+
+
+def test_geojson_of_any_spelling_and_layout(spark, tmp_path):
+    def feature(code, colon):
+        return f'{{"type"{colon}"Feature","properties":{{"code":"{code}","kind":"FeatureX"}},"geometry":{{"type":"Point","coordinates":[{code},2]}}}}'
+
+    put(tmp_path, "g/a.json", '{"type":"FeatureCollection","features":[' + ",".join(feature(i, ":") for i in (1, 2, 3)) + "]}")
+    put(tmp_path, "g/b.json", '{ "type": "FeatureCollection", "features": [\n' + ",\n".join(feature(i, ": ") for i in (4, 5)) + "\n]}\n")
+    put(tmp_path, "g/c.json", "\n".join(feature(i, " : ") for i in (6, 7)) + "\n")
+    put(tmp_path, "g/d.json", '{"type":"FeatureCollection","features":[]}')
+    rows = readers.read_geojson(spark, str(tmp_path / "g"), ["code"]).collect()
+    assert sorted((r["code"], r["x"]) for r in rows) == [(str(i), float(i)) for i in range(1, 8)]
+    put(tmp_path, "h/a.json", '{"type":"FeatureCollection","features":[{"properties":{"kind":"Feature"},"type":"Feature"}]}')
+    with pytest.raises(Exception, match="does not start with its type"):
+        readers.read_geojson(spark, str(tmp_path / "h"), ["code"]).collect()
+
+
 def test_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     with pytest.raises(FileNotFoundError):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cadastra.operators import aggregates as A
 from cadastra.operators import joins as J
 from cadastra.operators import windows as W
-from cadastra.operators.skew import heavy_hashes, skew_join
+from cadastra.operators.skew import heavy_keys, skew_join, with_salts
 
 
 @pytest.fixture(scope="module")
@@ -34,23 +34,17 @@ def same(a, b):
     assert left.isEmpty() and right.isEmpty()
 
 
-def test_heavy_keys_are_found_and_bounded(skewed):
-    heavy = heavy_hashes(skewed, ["k"], 0.05)
-    assert skewed.filter("k = 1").select(F.xxhash64("k")).first()[0] in heavy
-    assert len(heavy) <= 21
-
-
-def test_small_tables_are_left_alone(skewed, monkeypatch):
-    from cadastra.operators import skew
-
-    monkeypatch.setattr(skew, "SMALL_BYTES", 1 << 40)
-    assert heavy_hashes(skewed, ["k"], 0.05) == []
+def test_heavy_keys_are_measured(skewed):
+    heavy = {r["_hash"]: r["_salts"] for r in heavy_keys(skewed, ["k"], 20).collect()}
+    hashes = {r["k"]: r["h"] for r in skewed.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    # Half of the rows fill ten of twenty tasks, a tenth two; no other key fills one.
+    assert heavy == {hashes[1]: 10, hashes[None]: 2}
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("coarse", [False, True])
-def test_join_equals_plain_join(skewed, lookup, how, coarse):
-    got = skew_join(skewed, lookup, ["k"], how, salts=7, coarse=coarse)
+@pytest.mark.parametrize("tasks", [None, 7, 100_000])
+def test_join_equals_plain_join(skewed, lookup, how, tasks):
+    got = skew_join(skewed, lookup, ["k"], how, tasks=tasks)
     same(got.select(sorted(got.columns)), (w := skewed.join(lookup, "k", how)).select(sorted(w.columns)))
 
 
@@ -62,11 +56,24 @@ def test_heavy_rows_go_to_many_tasks(spark, skewed, lookup):
     try:
         left, right = skewed.drop("ts"), lookup.hint("merge")
         assert tasks(left.join(right, "k", "left")) == 1
-        assert tasks(skew_join(left, right, ["k"], "left", salts=16)) == 4
+        assert tasks(skew_join(left, right, ["k"], "left", tasks=16)) == 4
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_a_key_of_a_thousandth_is_spread_over_two_thousand_tasks(spark):
+    """The threshold follows the number of tasks, and right rows are repeated by share only."""
+    rows = spark.range(200_000).select(
+        "id", F.when(F.col("id") < 200, F.lit(-1)).otherwise(F.col("id")).alias("k")
+    )
+    heavy = heavy_keys(rows, ["k"], 2000)
+    assert [r["_salts"] for r in heavy.collect()] == [2]
+    right = rows.select("k").distinct().withColumn("x", F.lit(1))
+    repeated = with_salts(right, ["k"], heavy).withColumn("n", F.coalesce("_salts", F.lit(1)))
+    assert repeated.agg(F.sum("n")).first()[0] == right.count() + 1
+    assert heavy_keys(rows, ["k"], 500).isEmpty()
+
+
 def test_previous_state(skewed):
     w = Window.partitionBy("k").orderBy("ts", "row")
     want = skewed.select("row", "k", "ts", "v", F.lag("v").over(w).alias("previous_v"))
@@ -136,3 +143,18 @@ def test_interval_join_with_a_crowded_day(spark):
     same(got, facts.join(terms, cond, "left").select("row", "name"))
     # On a boundary the new term holds, the old one does not.
     assert [r["name"] for r in got.filter("row = 0").collect()] == ["b"]
+
+
+def test_interval_join_repeats_no_interval_per_partition(spark):
+    """80 buckets, 200 partitions: what meets the facts is a row per date and interval."""
+    facts = spark.range(20000).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 2500).cast("int")).alias("d"))
+    terms = spark.createDataFrame([("2000-01-01", None, "open"), ("2021-01-01", "2022-01-01", "year")], "s string, e string, name string")
+    terms = terms.select(F.to_date("s").alias("start_date"), F.to_date("e").alias("end_date"), "name")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        got = J.interval_join(facts, terms, "d", ["name"])
+        assert got.count() == 20000 + 365 * 8
+        assert heavy_keys(facts, ["d"]).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import html as X
@@ -108,3 +109,40 @@ def test_positioned_words(spark):
     words = spark.createDataFrame(rows, "doc string, page int, x0 double, top double, text string")
     got = sorted((r["name"], r["code"], r["label"]) for r in L.labelled_entries(L.lines(words)).collect())
     assert got == [("ajaccio", "2A", 4), ("bourg", "01", 2), ("lyon", "69", 2), ("nice", "06", 4)]
+
+
+def test_anchors_of_real_pages(spark):
+    page = (
+        '<A HREF="/up">Up</A> <a data-href="X" href="Y">two</a> <a href=/v >three</a><a class=k href=\'/q?a=1&amp;b=2\'>four</a>'
+        '<!-- <a href="/hidden">no</a> --><abbr href="/abbr">x</abbr><a name="n">five</a><!-- open <a href="/late">late</a>'
+    )
+    df = spark.createDataFrame([(page,)], "html string")
+    row = df.select(X.page_anchors(F.col("html")).alias("a"), X.all_attributes(F.col("html"), "a", "href").alias("h")).first()
+    assert [(a["href"], a["label"]) for a in row["a"]] == [
+        ("/up", "Up"), ("Y", "two"), ("/v", "three"), ("/q?a=1&b=2", "four"), (None, "five")
+    ]
+    assert row["h"] == ["/up", "Y", "/v", "/q?a=1&b=2"]
+
+
+@pytest.mark.parametrize("given, want", [
+    ("&#128512;&#x1F600;", "😀😀"), ("&#99999;", chr(99999)), ("&Eacute;t&eacute;", "Été"), ("&#0000233;", "é"),
+    ("&#38;lt;", "&lt;"), ("&amp;#65;", "&#65;"), ("&amp;lt;", "&lt;"), ("&#xD800;&#1114112;&#99999999999;", "���"), ("&OElig;&oelig;", "Œœ"), ("", ""),
+])
+def test_character_references(spark, given, want):
+    assert spark.createDataFrame([(given,)], "t string").select(X.unescape(F.col("t"))).first()[0] == want
+
+
+def test_elements_are_cut_in_linear_time(spark):
+    import time
+
+    def page(n):
+        return "</div>" + "".join(f"<div class='card'>{i}<div>in</div></div><DIV/>" for i in range(n)) + "<div class=card>open"
+
+    took = []
+    for n in (2500, 10000):
+        df = spark.createDataFrame([(page(n),)], "h string")
+        start = time.perf_counter()
+        cards = df.select(X.blocks(F.col("h"), "div", "card")).first()[0]
+        took.append(time.perf_counter() - start)
+        assert len(cards) == n + 1 and cards[7] == "<div class='card'>7<div>in</div>" and cards[-1] == "<div class=card>open"
+    assert took[1] < 8 * took[0] + 3
