@@ -24,7 +24,7 @@ UNITS = 12
 WIDTH = 16
 STEPS = 64
 STRIDE = 32
-WIDE = 2048
+WIDE = 1024
 BUCKETS = 1 << 17
 LEAST_TEXTS = 4
 PER_CLASS = 1000
@@ -37,7 +37,7 @@ DECAY = 0.003
 FOLDS = 3
 HELD_OUT = 1
 THRESHOLD = 0.7
-SLICE = 1 << 20
+SLICE = 2 << 20
 
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -109,7 +109,9 @@ class Network:
 
     def __init__(self, word_rows: np.ndarray, group_rows: np.ndarray, seed: int = 11):
         rng = np.random.default_rng(seed)
-        self.word_rows, self.group_rows = word_rows, group_rows
+        # Row of the embeddings for each bucket; what is not known has the last row.
+        self.word_at = self._places(word_rows)
+        self.group_at = self._places(group_rows)
         small = lambda *shape: (0.1 * rng.standard_normal(shape)).astype(np.float32)
         deep = 2 * UNITS + WIDTH
         self.params = R.init(rng, UNITS) | {
@@ -123,19 +125,17 @@ class Network:
         self.params["Ec"][-1] = 0
 
     @staticmethod
-    def _lookup(rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        if not len(rows):
-            return np.zeros(len(wanted), np.int64)
-        spot = np.minimum(np.searchsorted(rows, wanted), len(rows) - 1)
-        return np.where(rows[spot] == wanted, spot, len(rows))
+    def _places(rows: np.ndarray) -> np.ndarray:
+        places = np.full(BUCKETS, len(rows), np.int32)
+        places[rows] = np.arange(len(rows))
+        return places
 
     def inputs(self, words: Words):
         """(x: (distinct words, WIDTH), what is needed for its gradient)."""
-        word = self._lookup(self.word_rows, words.word)
-        group = self._lookup(self.group_rows, words.group)
+        word, group = self.word_at[words.word], self.group_at[words.group]
         counts = np.bincount(words.owner, minlength=words.distinct)
         scale = (1 / np.sqrt(np.maximum(counts, 1))).astype(np.float32)
-        known = group < len(self.group_rows)
+        known = group < len(self.params["Ec"]) - 1
         group, owner = group[known], words.owner[known]
         x = self.params["Ew"][word]
         if len(group):
