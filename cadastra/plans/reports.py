@@ -101,8 +101,12 @@ def department_panel(communes: DataFrame, population: DataFrame) -> DataFrame:
 
 
 def latest_slice(panel: DataFrame) -> DataFrame:
-    """Rows of the newest year. Pass a stored panel: it is read twice."""
-    return panel.filter(F.col("year") == panel.agg(F.max("year")).scalar())
+    """Rows of the newest year that has a population. Pass a stored panel: it is read twice."""
+    return panel.filter(F.col("year") == newest_year(panel))
+
+
+def newest_year(panel: DataFrame) -> Column:
+    return panel.filter("total_population is not null").agg(F.max("year")).scalar()
 
 
 def panel_kpis(panel: DataFrame) -> DataFrame:
@@ -130,7 +134,7 @@ def panel_extremes(panel: DataFrame, k: int = 10, largest: bool = True) -> DataF
 def panel_of_largest(panel: DataFrame, k: int = 5) -> DataFrame:
     """The full series of the departments largest in the newest year."""
     panel = pin(panel)
-    newest = panel.agg(F.max("year")).scalar()
+    newest = newest_year(panel)
     size = F.max(F.when(F.col("year") == newest, F.col("total_population")))
     return members_of_top_groups(panel, "department_code", size, k)
 

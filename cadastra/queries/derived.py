@@ -89,7 +89,7 @@ SELECT {code("o_custkey")}, 'COM', {YEAR}, '_T', CASE o_orderstatus WHEN 'F' THE
 FROM {{orders}} GROUP BY o_custkey, year(o_orderdate), o_orderstatus""",
         "migration": f"""
 SELECT {code("o_custkey")} AS CODGEO, 'COM' AS NIVGEO, CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '2' END AS IMMI, CASE WHEN o_orderpriority < '3' THEN '1' ELSE '2' END AS SEXE,
-  CAST(count(*) AS STRING) AS NB FROM {{orders}} WHERE year(o_orderdate) = 1999
+  CAST(count(*) AS STRING) AS NB FROM {{orders}}
 GROUP BY o_custkey, CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '2' END, CASE WHEN o_orderpriority < '3' THEN '1' ELSE '2' END""",
         "salaries": f"""
 SELECT {code("o_custkey")} AS GEO, 'COM' AS GEO_OBJECT, {YEAR} AS TIME_PERIOD, CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' ELSE '_T' END AS SEX,
@@ -122,7 +122,8 @@ FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
         # up to three dated protections.
         "monuments": f"""
 SELECT 'PA' || CAST(o_orderkey AS STRING) AS reference, o_orderpriority AS denomination,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'architecture religieuse' WHEN '2-HIGH' THEN 'architecture funéraire' WHEN '3-MEDIUM' THEN 'génie civil' WHEN '5-LOW' THEN NULL ELSE 'autre' END AS domaine,
+  CASE o_orderpriority WHEN '1-URGENT' THEN CASE o_orderkey % 9 WHEN 0 THEN 'architecture domestique' WHEN 1 THEN 'architecture administrative' WHEN 2 THEN 'architecture militaire' WHEN 3 THEN 'industrie et artisanat' WHEN 4 THEN 'industrie'
+    WHEN 5 THEN 'architecture agricole' WHEN 6 THEN 'architecture scolaire et éducative' ELSE 'architecture religieuse' END WHEN '2-HIGH' THEN 'architecture funéraire' WHEN '3-MEDIUM' THEN 'génie civil' WHEN '5-LOW' THEN NULL ELSE 'autre' END AS domaine,
   CASE o_orderstatus WHEN 'F' THEN 'Classé MH partiellement' WHEN 'O' THEN 'inscrit MH' ELSE 'zone' END AS typologie,
   CASE WHEN o_orderstatus = 'P' THEN '' WHEN o_orderpriority = '5-LOW' THEN '"751' || lpad(CAST(o_orderkey % 20 AS STRING), 2, '0') || '"' WHEN o_orderpriority = '2-HIGH' THEN '75101 : Paris' ELSE {code("o_custkey")} END AS code1,
   CASE WHEN o_orderstatus = 'F' THEN {code("o_orderkey % 1200")} END AS code2,
@@ -131,6 +132,6 @@ SELECT 'PA' || CAST(o_orderkey AS STRING) AS reference, o_orderpriority AS denom
   CAST(year(o_orderdate) + 1 AS STRING) || '/' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '/15' AS d2, o_orderstatus AS s, o_orderpriority AS p
 FROM {{orders}}""",
         "visits": f"""
-SELECT {code("o_custkey")} AS id, CAST(min(o_orderdate) AS DATE) AS visit_date, 'DCIM/' || CAST(o_custkey AS STRING) || '.jpg' AS photo FROM {{orders}} WHERE o_totalprice > 300000 GROUP BY o_custkey""",
+SELECT {code("o_custkey")} AS id, CAST(min(o_orderdate) AS DATE) AS visit_date, 'DCIM/' || CAST(o_custkey AS STRING) || '.jpg' AS photo FROM {{orders}} GROUP BY o_custkey HAVING max(o_totalprice) > 300000""",
     }
 )

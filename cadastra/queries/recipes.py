@@ -89,6 +89,18 @@ def monuments(t: Tables):
     return M.dim_monument(monument_source(t), stored_communes(t), outlines)
 
 
+# Fields that the derived monuments leave blank.
+MONUMENT_ABSENT = [
+    "alternative_name", "nature", "legal_status", "current_use", "century", "author", "conservation_state", "cadastre", "lieu_dit",
+    "vocable", "description", "historical", "source_url", "palissy_url",
+]
+# Spelled out here, apart from the recipe's own constants.
+SALARY_SQL = ", ".join(
+    f"max(v) FILTER (WHERE SEX = '{sex}' AND PCS_ESE = '{job}') AS mean_salary{name}{suffix}"
+    for name, job in [("", "_T"), ("_management_position", "1T3"), ("_intermediate_position", "4"), ("_service_workers", "5"), ("_manual_workers", "6")]
+    for suffix, sex in [("", "_T"), ("_men", "M"), ("_women", "F")]
+)
+
 CHECK_PARTS.update(
     {
         "o_communes": """
@@ -116,9 +128,7 @@ FROM (SELECT id, year FROM {o_pop} UNION SELECT GEO, CAST(TIME_PERIOD AS INTEGER
  UNION SELECT GEO, CAST(TIME_PERIOD AS INTEGER) FROM {family} UNION SELECT CODGEO, 2022 FROM {migration}) k
 LEFT JOIN {o_pop} p ON p.id = k.id AND p.year = k.year LEFT JOIN {o_pop} q ON q.id = k.id AND q.year = k.year - 1""",
         "o_salaries": """
-SELECT GEO AS id, CAST(TIME_PERIOD AS INTEGER) AS year, max(v) FILTER (WHERE SEX = '_T' AND PCS_ESE = '_T') AS mean_salary, max(v) FILTER (WHERE SEX = 'M' AND PCS_ESE = '_T') AS mean_salary_men,
- max(v) FILTER (WHERE SEX = 'F' AND PCS_ESE = '_T') AS mean_salary_women, max(v) FILTER (WHERE SEX = '_T' AND PCS_ESE = '1T3') AS mean_salary_management_position,
- max(v) FILTER (WHERE SEX = 'M' AND PCS_ESE = '4') AS mean_salary_intermediate_position_men, max(v) FILTER (WHERE SEX = 'F' AND PCS_ESE = '6') AS mean_salary_manual_workers_women
+SELECT GEO AS id, CAST(TIME_PERIOD AS INTEGER) AS year, """ + SALARY_SQL + """
 FROM (SELECT *, CAST(OBS_VALUE AS INTEGER) AS v FROM {salaries}) GROUP BY GEO, TIME_PERIOD""",
         "o_bridge": r"""
 WITH raw AS (SELECT reference, code1 AS c FROM {monuments} UNION ALL SELECT reference, code2 FROM {monuments} WHERE code2 IS NOT NULL),
@@ -131,11 +141,14 @@ known AS (SELECT m.*, o.id IS NOT NULL AS ok FROM coded m LEFT JOIN {o_communes}
 hit AS (SELECT reference, min(commune_id) AS g FROM known JOIN {o_geography} ON NOT ok AND x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY reference)
 SELECT reference, denomination AS name, domaine AS domain, CASE s WHEN 'F' THEN 'classé' WHEN 'O' THEN 'inscrit' END AS protection_level, CASE WHEN s = 'F' THEN 'partiellement' END AS protection_scope,
  CASE WHEN p <> '5-LOW' THEN CAST(strptime(d1, '%Y/%m/%d') AS DATE) END AS first_protection_date, CASE WHEN p <> '5-LOW' THEN DATE '1990-05-06' END AS last_protection_date,
- CASE WHEN ok THEN c ELSE coalesce(g, c) END AS primary_commune_code, x AS longitude, y AS latitude
+ CASE WHEN ok THEN c ELSE coalesce(g, c) END AS primary_commune_code, x AS longitude, y AS latitude, denomination, """ + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in MONUMENT_ABSENT) + """
 FROM known LEFT JOIN hit USING (reference)""",
         "o_stats": """
 SELECT id AS commune_id, count(DISTINCT reference) AS total_monuments, count(DISTINCT CASE WHEN domain = 'architecture religieuse' THEN reference END) AS religious_count,
- count(DISTINCT CASE WHEN domain LIKE 'architecture fun%' THEN reference END) AS funerary_count, count(DISTINCT CASE WHEN domain = 'génie civil' THEN reference END) AS civil_engineering_count,
+ count(DISTINCT CASE WHEN domain LIKE 'architecture fun%' THEN reference END) AS funerary_count,
+ count(DISTINCT CASE WHEN domain = 'architecture domestique' THEN reference END) AS domestic_count, count(DISTINCT CASE WHEN domain = 'architecture administrative' THEN reference END) AS administrative_count,
+ count(DISTINCT CASE WHEN domain = 'architecture militaire' THEN reference END) AS military_count, count(DISTINCT CASE WHEN domain IN ('industrie et artisanat', 'industrie') THEN reference END) AS industrial_count,
+ count(DISTINCT CASE WHEN domain = 'architecture agricole' THEN reference END) AS agricultural_count, count(DISTINCT CASE WHEN domain = 'architecture scolaire et éducative' THEN reference END) AS educational_count, count(DISTINCT CASE WHEN domain = 'génie civil' THEN reference END) AS civil_engineering_count,
  count(DISTINCT CASE WHEN reference IS NOT NULL AND (domain IS NULL OR domain = 'autre') THEN reference END) AS other_count, count(DISTINCT CASE WHEN protection_level = 'classé' THEN reference END) AS classified_count,
  count(DISTINCT CASE WHEN protection_level = 'inscrit' THEN reference END) AS inscribed_count, count(DISTINCT CASE WHEN protection_scope IS NOT NULL THEN reference END) AS partial_protection_count
 FROM {o_communes} LEFT JOIN {o_bridge} ON commune_code = id LEFT JOIN {o_monuments} ON monument_reference = reference GROUP BY id""",
@@ -261,18 +274,16 @@ def fact_population(t: Tables):
 @query("fact_salaries", """
 SELECT *, CAST(year * 10000 + 101 AS INTEGER) AS date_id FROM o_salaries""", ("o_salaries",))
 def fact_salaries(t: Tables):
-    """Salaries by occupation and sex (a part of the columns is compared)."""
-    return salaries(t).select(
-        "id", "year", "date_id", "mean_salary", "mean_salary_men", "mean_salary_women", "mean_salary_management_position",
-        "mean_salary_intermediate_position_men", "mean_salary_manual_workers_women",
-    )
+    """Salaries by occupation and sex."""
+    return salaries(t)
 
 
 def unemployment(t: Tables):
-    """The yearly deliveries: prefixed columns, one frame per year."""
+    """The yearly deliveries: prefixed columns, one frame per year that the data has."""
+    labour = t.stored("labour", lambda: t.labour)
     frames = []
-    for year in range(1995, 2002):
-        rows = t.labour.filter(F.col("y") == year)
+    for (year,) in sorted(labour.select("y").distinct().collect()):
+        rows = labour.filter(F.col("y") == year)
         p = f"P{year % 100:02d}_"
         frames.append(
             (
@@ -288,23 +299,43 @@ def unemployment(t: Tables):
     return D.fact_unemployment(D.stage_unemployment(frames))
 
 
-@query("fact_unemployment", """
-WITH r AS (SELECT code, y, act::DOUBLE AS act, coalesce(chom, chom_h + chom_f)::DOUBLE AS chom, chom_h::DOUBLE AS h, chom_f::DOUBLE AS f FROM labour),
-s AS (SELECT *, chom / nullif(act, 0) * 100 AS rate FROM r)
-SELECT c.code AS commune_code, c.y AS year, c.act AS labor_force_count_total_15_64, c.chom AS unemployed_count_total_15_64, c.h AS unemployed_count_men_15_64, c.f AS unemployed_count_women_15_64,
- c.rate AS unemployment_rate_total_15_64, c.h / nullif(c.act - 60, 0) * 100 AS unemployment_rate_men_15_24, CAST(NULL AS DOUBLE) AS unemployment_rate_women_55_64,
- CASE WHEN c.act >= 500 THEN 'reliable' WHEN c.act >= 200 THEN 'caution' ELSE 'unreliable' END AS reliability_flag, p.act AS prev_labor_force_count_total_15_64,
- p.rate AS prev_unemployment_rate_total_15_64, c.act - p.act AS labor_force_evolution_total_15_64, c.chom - p.chom AS unemployed_evolution_total_15_64, c.rate - p.rate AS unemployment_rate_evolution_total_15_64
-FROM s c LEFT JOIN s p ON p.code = c.code AND p.y = c.y - 1""", ("labour",))
+# What the deliveries hold; all other bands and sexes are NULL.
+LABOUR_GIVEN = {
+    "labor_force_count_total_15_64": "act::DOUBLE", "labor_force_count_men_15_24": "(act - 60)::DOUBLE",
+    "unemployed_count_total_15_64": "coalesce(chom, chom_h + chom_f)::DOUBLE", "unemployed_count_men_15_64": "chom_h::DOUBLE",
+    "unemployed_count_women_15_64": "chom_f::DOUBLE", "unemployed_count_men_15_24": "chom_h::DOUBLE",
+}
+LABOUR_PARTS = [f"{sex}_{band}" for band in ("15_64", "15_24", "25_54", "55_64") for sex in ("total", "men", "women")]
+LABOUR_COUNTS = ", ".join(
+    f"{LABOUR_GIVEN.get(name, 'CAST(NULL AS DOUBLE)')} AS {name}"
+    for part in LABOUR_PARTS for name in (f"labor_force_count_{part}", f"unemployed_count_{part}")
+)
+LABOUR_RATES = ", ".join(
+    f"unemployed_count_{p} / nullif(labor_force_count_{p}, 0) * 100 AS unemployment_rate_{p}" for p in LABOUR_PARTS
+)
+
+
+@query("fact_unemployment", f"""
+WITH r AS (SELECT code AS commune_code, y AS year, {LABOUR_COUNTS} FROM labour),
+s AS (SELECT *, {LABOUR_RATES} FROM r)
+SELECT c.*, CASE WHEN c.labor_force_count_total_15_64 >= 500 THEN 'reliable' WHEN c.labor_force_count_total_15_64 >= 200 THEN 'caution' ELSE 'unreliable' END AS reliability_flag,
+ p.labor_force_count_total_15_64 AS prev_labor_force_count_total_15_64, p.unemployed_count_total_15_64 AS prev_unemployed_count_total_15_64, p.unemployment_rate_total_15_64 AS prev_unemployment_rate_total_15_64,
+ c.labor_force_count_total_15_64 - p.labor_force_count_total_15_64 AS labor_force_evolution_total_15_64, c.unemployed_count_total_15_64 - p.unemployed_count_total_15_64 AS unemployed_evolution_total_15_64,
+ c.unemployment_rate_total_15_64 - p.unemployment_rate_total_15_64 AS unemployment_rate_evolution_total_15_64
+FROM s c LEFT JOIN s p ON p.commune_code = c.commune_code AND p.year = c.year - 1""", ("labour",))
 def fact_unemployment(t: Tables):
     """Prefixed yearly deliveries stacked, rates, reliability and change to the year before."""
     table = unemployment(t)
-    kept = [
-        "labor_force_count_total_15_64", "unemployed_count_total_15_64", "unemployed_count_men_15_64", "unemployed_count_women_15_64",
-        "unemployment_rate_total_15_64", "unemployment_rate_men_15_24", "unemployment_rate_women_55_64", "prev_labor_force_count_total_15_64",
-        "prev_unemployment_rate_total_15_64", "labor_force_evolution_total_15_64", "unemployed_evolution_total_15_64", "unemployment_rate_evolution_total_15_64",
-    ]
-    return table.select("commune_code", "year", "reliability_flag", *[F.col(c).cast("double").alias(c) for c in kept])
+    return table.select(
+        *[F.col(c).cast("double").alias(c) if kind.startswith("decimal") else F.col(c) for c, kind in table.dtypes]
+    )
+
+
+# Measures that none of the four vintages below delivers.
+INCOME_ABSENT = [
+    "decile1", "decile9", "s80_s20", "activity_income_share", "salary_share", "unemployment_share", "pension_share",
+    "property_income_share", "social_benefits_share", "family_benefits_share", "minimum_social_share", "housing_benefits_share", "tax_share",
+]
 
 
 @query("fact_income", """
@@ -312,6 +343,7 @@ WITH u AS (SELECT id, 2013 AS year, 'filosofi_1' AS v, med, rate, k FROM income_
  UNION ALL SELECT id, 2021, 'filosofi_1', med, NULL, k FROM income_wide UNION ALL SELECT id, 2023, 'filosofi_2', med, rate, k FROM income_wide)
 SELECT id, CAST(year AS INTEGER) AS year, v AS methodology_version, CAST(med AS FLOAT) AS median_income, CASE WHEN year <> 2021 THEN CAST(rate AS FLOAT) END AS poverty_rate,
  CAST(CASE WHEN year IN (2013, 2014) THEN k + 1 WHEN year = 2021 THEN k END AS INTEGER) AS nb_persons, CAST(CASE WHEN year = 2013 THEN 0.25 WHEN year = 2023 THEN 0.5 END AS FLOAT) AS gini,
+ CAST(NULL AS INTEGER) AS nb_tax_households, """ + ", ".join(f"CAST(NULL AS FLOAT) AS {c}" for c in INCOME_ABSENT) + """,
  CAST(year * 10000 + 101 AS INTEGER) AS date_id FROM u
 WHERE NOT (id LIKE '751__' OR id LIKE '6938_' OR id LIKE '132__')""", ("income_wide",))
 def fact_income(t: Tables):
@@ -344,8 +376,7 @@ def fact_income(t: Tables):
         D.stage_income_year(2021, wide21),
         D.stage_income_long(2023, long_rows, "o"),
     ]
-    table = D.fact_income(D.stage_income(years))
-    return table.select("id", "year", "methodology_version", "median_income", "poverty_rate", "nb_persons", "gini", "date_id")
+    return D.fact_income(D.stage_income(years))
 
 
 # -- equipment and crime ---------------------------------------------------------------------
@@ -418,10 +449,7 @@ def rules_of_criminality(t: Tables):
 @query("dim_monument", "SELECT * FROM o_monuments", ("o_monuments",))
 def dim_monument(t: Tables):
     """Monuments with protection, dates and commune (by code, else by position)."""
-    return monuments(t).select(
-        "reference", "name", "domain", "protection_level", "protection_scope", "first_protection_date", "last_protection_date",
-        "primary_commune_code", "longitude", "latitude",
-    )
+    return monuments(t)
 
 
 @query("bridge_monument_communes", "SELECT * FROM o_bridge", ("o_bridge",))
@@ -432,12 +460,8 @@ def bridge_monument_communes(t: Tables):
 
 @query("dim_commune_monument_stats", "SELECT * FROM o_stats", ("o_stats",))
 def dim_commune_monument_stats(t: Tables):
-    """Monuments per commune by domain and protection (a part of the columns is compared)."""
-    table = M.dim_commune_monument_stats(stored_communes(t), bridge(t), monuments(t))
-    return table.select(
-        "commune_id", "total_monuments", "religious_count", "funerary_count", "civil_engineering_count", "other_count",
-        "classified_count", "inscribed_count", "partial_protection_count",
-    )
+    """Monuments per commune by domain and protection."""
+    return M.dim_commune_monument_stats(stored_communes(t), bridge(t), monuments(t))
 
 
 @query("fact_classification_history", """
@@ -641,29 +665,29 @@ def department_panel(t: Tables):
 
 
 @query("panel_kpis", """
-WITH l AS (SELECT * FROM o_panel WHERE year = (SELECT max(year) FROM o_panel WHERE year < 2022))
+WITH l AS (SELECT * FROM o_panel WHERE year = (SELECT max(year) FROM o_panel WHERE total_population IS NOT NULL))
 SELECT CAST(sum(total_population) AS BIGINT) AS total, CAST(floor(avg(total_population)) AS BIGINT) AS average, CAST(floor(median(total_population)) AS BIGINT) AS median,
  arg_max(department_name, (total_population, department_code)) AS most_populous, max(total_population) AS most_population, arg_min(department_name, (total_population, department_code)) AS least_populous, min(total_population) AS least_population FROM l""", ("o_panel",))
 def panel_kpis(t: Tables):
     """Key figures of the newest year."""
-    return R.panel_kpis(panel(t).filter("year < 2022"))
+    return R.panel_kpis(panel(t))
 
 
 @query("panel_extremes", """
-WITH l AS (SELECT * FROM o_panel WHERE year = 2000)
+WITH l AS (SELECT * FROM o_panel WHERE year = (SELECT max(year) FROM o_panel WHERE total_population IS NOT NULL))
 SELECT * FROM (SELECT 'top' AS side, * FROM l ORDER BY total_population DESC, department_code LIMIT 10) UNION ALL SELECT * FROM (SELECT 'bottom', * FROM l ORDER BY total_population, department_code LIMIT 10)""", ("o_panel",))
 def panel_extremes(t: Tables):
-    """The ten largest and smallest departments of a year."""
-    rows = panel(t).filter("year <= 2000")
+    """The ten largest and smallest departments of the newest year."""
+    rows = t.stored("panel", lambda: panel(t))
     first = R.panel_extremes(rows, 10).select(F.lit("top").alias("side"), "*")
     return first.unionByName(R.panel_extremes(rows, 10, largest=False).select(F.lit("bottom").alias("side"), "*"))
 
 
 @query("panel_of_largest", """
-SELECT * FROM o_panel WHERE year <= 2000 AND department_code IN (SELECT department_code FROM o_panel WHERE year = 2000 ORDER BY total_population DESC, department_code LIMIT 5)""", ("o_panel",))
+SELECT * FROM o_panel WHERE department_code IN (SELECT department_code FROM o_panel WHERE year = (SELECT max(year) FROM o_panel WHERE total_population IS NOT NULL) ORDER BY total_population DESC, department_code LIMIT 5)""", ("o_panel",))
 def panel_of_largest(t: Tables):
     """Full series of the five departments largest in the newest year."""
-    return R.panel_of_largest(panel(t).filter("year <= 2000"), 5).select("department_code", "department_name", "year", "total_population")
+    return R.panel_of_largest(panel(t), 5).select("department_code", "department_name", "year", "total_population")
 
 
 @query("most_populous", """
