@@ -311,6 +311,42 @@ def points_in_polygons(t: Tables):
     return X.point_in_polygon(points(t).select("pt", "x", "y"), "x", "y", zones(t), "zone", "geometry").select("pt", "zone")
 
 
+def cut_zones(t: Tables):
+    """The zones as triangles: about half of the box, with a triangular hole; odd zones have a second
+    part in the opposite corner. No given point lies on an edge."""
+    part = lambda u, v: geo.point(
+        F.col("x0") + (F.col("x1") - F.col("x0")) * u, F.col("y0") + (F.col("y1") - F.col("y0")) * v
+    )
+    ring = lambda *spots: F.array(*[part(u, v) for u, v in [*spots, spots[0]]])
+    main = F.array(ring((0, 0), (0.97, 0), (0, 0.97)), ring((0.26, 0.26), (0.26, 0.51), (0.51, 0.26)))
+    corner = F.array(ring((1, 1), (0.87, 1), (1, 0.87)))
+    box = zones(t).select("zone", *[geo.bbox(F.col("geometry"))[i].alias(n) for i, n in enumerate(BOX)])
+    shape = F.when(F.col("zone") % 2 == 1, F.array(main, corner)).otherwise(F.array(main))
+    return box.select("zone", shape.alias("geometry"))
+
+
+BOX = ["x0", "x1", "y0", "y1"]
+
+
+@query("points_in_cut_zones", f"""
+WITH p AS (SELECT pt, zone, (x - x0) / (x1 - x0) AS u, (y - y0) / (y1 - y0) AS v FROM {POINTS_SQL} JOIN {ZONES_SQL} ON x > x0 AND x < x1 AND y > y0 AND y < y1)
+SELECT pt, zone FROM p WHERE (u + v < 0.97 AND NOT (u >= 0.26 AND v >= 0.26 AND u + v <= 0.77)) OR (zone % 2 = 1 AND u + v > 1.87)""")
+def points_in_cut_zones(t: Tables):
+    """The containing zones of each point where zones are triangles with a hole."""
+    return X.point_in_polygon(points(t).select("pt", "x", "y"), "x", "y", cut_zones(t), "zone", "geometry").select("pt", "zone")
+
+
+@query("cut_zone_geometry", f"""
+SELECT zone, (x1 - x0) * (y1 - y0) * (0.47045 - 0.03125 + CASE WHEN zone % 2 = 1 THEN 0.00845 ELSE 0 END) AS area, zone % 2 = 1 AS is_multi, CAST(1 AS INTEGER) AS n_holes,
+ (x1 - x0 + y1 - y0 + sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2)) * (1.22 + CASE WHEN zone % 2 = 1 THEN 0.13 ELSE 0 END) AS perimeter FROM {ZONES_SQL}""")
+def cut_zone_geometry(t: Tables):
+    """Area, outline, parts and holes of triangles with a hole."""
+    g = F.col("geometry")
+    return cut_zones(t).select(
+        "zone", geo.area(g).alias("area"), (geo.parts(g) > 1).alias("is_multi"), geo.holes(g).alias("n_holes"), geo.perimeter(g).alias("perimeter")
+    )
+
+
 @query("spatial_fallback", f"""
 WITH hit AS (SELECT pt, min(zone) AS zone FROM {POINTS_SQL} JOIN {ZONES_SQL} ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY pt)
 SELECT o_orderkey AS pt, CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE coalesce(zone, o_custkey) END AS zone, o_orderstatus = 'F' AS by_code
@@ -340,6 +376,19 @@ def neighbouring_polygons(t: Tables):
     return X.neighbours(tiles, "tile", "geometry")
 
 
+@query("neighbouring_triangles", f"""
+SELECT a.tile, b.tile AS neighbour FROM {TILES_SQL} a JOIN {TILES_SQL} b
+ ON a.tile <> b.tile AND abs(a.i - b.i) <= 1 AND abs(a.j - b.j) <= 1 AND NOT (a.i - b.i = a.j - b.j AND a.i <> b.i)""")
+def neighbouring_triangles(t: Tables):
+    """Lower halves of the tiles; boxes of diagonal neighbours touch, their triangles only
+    along one diagonal."""
+    key = F.col("c_custkey")
+    i, j = (key % 30).cast("double"), F.floor(key / 30).cast("double")
+    ring = F.array(geo.point(i, j), geo.point(i + 1, j), geo.point(i, j + 1), geo.point(i, j))
+    tiles = t.customer.select(key.alias("tile"), F.array(F.array(ring)).alias("geometry"))
+    return X.neighbours(tiles, "tile", "geometry")
+
+
 @query("neighbours_same_scope", f"""
 SELECT a.tile, b.tile AS neighbour FROM {TILES_SQL} a JOIN {TILES_SQL} b
  ON a.tile <> b.tile AND a.scope = b.scope AND abs(a.i - b.i) <= 1 AND abs(a.j - b.j) <= 1""")
