@@ -20,11 +20,13 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cadastra.llm.common import slices
+from cadastra.llm.common import bounded, slices
 
 MOST_MOVES = 800_000
-MOST_PIECES = 400_000
+MOST_PIECES = 600_000
 CHUNK = 4096
+# Keys of a state's row beside the bytes.
+STATE, REST = -1, -2
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,14 +57,20 @@ class Transducer:
         self.reached: dict[int, bool] = {}
         # A state: bytes since the first open boundary, the id before the common boundary (-1: none,
         # -2: it no longer matters), and for each open boundary its offset in the bytes and the ids
-        # from the common boundary to it.
-        self.start = self._start()
-        self.moves: dict[tuple[int, int], tuple[int, tuple[int, ...]]] = {}
+        # from the common boundary to it. Its row maps a byte to (row, ids to emit), and also holds
+        # the state itself and the ids that are left if the input ends there.
+        self._reset()
 
-    def _start(self) -> int:
-        self.states = [(b"", -1, ((0, ()),))]
-        self.numbers = {self.states[0]: 0}
-        return 0
+    def _reset(self) -> None:
+        self.rows: dict[tuple, dict] = {}
+        self.count = 0
+        self.start = self._row((b"", -1, ((0, ()),)))
+
+    def _row(self, state: tuple) -> dict:
+        row = self.rows.get(state)
+        if row is None:
+            row = self.rows[state] = {STATE: state, REST: state[2][-1][1]}
+        return row
 
     def _own(self, token: int) -> bool:
         known = self.reached.get(token)
@@ -79,8 +87,8 @@ class Transducer:
             known = self.stable_pairs[one, two] = merge(joined, self.ranks) == [one, two]
         return known
 
-    def _move(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        body, before, opened = self.states[number]
+    def _move(self, row: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+        body, before, opened = row[STATE]
         body += bytes([byte])
         path = None
         for offset, ids in opened:
@@ -101,30 +109,24 @@ class Transducer:
         still = tuple((offset - low, ids[shared:]) for offset, ids in still)
         before = done[-1] if done else before
         state = (body[low:], before if any(not ids for _, ids in still) else -2, still)
-        target = self.numbers.get(state)
-        if target is None:
-            target = self.numbers[state] = len(self.states)
-            self.states.append(state)
-        return target, done
+        self.count += 1
+        step = row[byte] = (self._row(state), done)
+        return step
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one piece; a piece that is an entry of the vocabulary is that entry."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.moves) > MOST_MOVES:
-            self.moves.clear()
-            self._start()
+        if self.count > MOST_MOVES:
+            self._reset()
         out: list[int] = []
-        state, moves = self.start, self.moves
+        row = self.start
         for byte in piece:
-            step = moves.get((state, byte))
-            if step is None:
-                step = moves[state, byte] = self._move(state, byte)
-            state, done = step
+            row, done = row.get(byte) or self._move(row, byte)
             if done:
                 out += done
-        return (*out, *self.states[state][2][-1][1])
+        return (*out, *row[REST])
 
 
 class Pieces(dict):
@@ -241,7 +243,7 @@ def decode_ids(rows: DataFrame, ranks: str, pattern: str) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return bounded(rows.select("doc_id", "ids")).mapInArrow(run, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -270,4 +272,4 @@ def _run(docs: DataFrame, ranks: str, pattern: str, schema: str, outputs, types:
                 columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs.select("doc_id", "text")).mapInArrow(run, schema)

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 # beyond that the same join is shuffled.
 BROADCAST_ROWS = 200_000
 # Texts are handled in slices of about this many bytes inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+# Rows of one Arrow batch between Spark and Python.
+BATCH_ROWS = 512
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
@@ -32,6 +34,15 @@ def hex16(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, after the session was told to send Python no more than ``BATCH_ROWS`` rows at once,
+    so that what waits in a worker stays small whatever the default is."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(setting)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
+    return df
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``limit`` text bytes (one row at least)."""
     rows, start = batch.num_rows, 0
@@ -56,4 +67,4 @@ def map_slices(
             for part in slices(batch, column):
                 yield function(part)
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)

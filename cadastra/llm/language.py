@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm import recurrent as R
-from cadastra.llm.common import bucket_of, slices
+from cadastra.llm.common import bounded, bucket_of, slices
 from cadastra.llm.words import text_bytes
 
 UNITS = 12
@@ -182,5 +182,5 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
                     ["doc_id", "lang_pred", "score"],
                 )
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    found = bounded(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
     return found.select("doc_id", (bucket_of("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")

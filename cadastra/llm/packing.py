@@ -7,14 +7,14 @@ crosses documents and nothing is padded; equal lengths form a bucket.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cadastra.llm.common import slices
+from cadastra.llm.common import bounded, slices
 
 LENGTH = 2048
 SCHEMA = (
@@ -51,10 +51,8 @@ class Encoder:
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
+        self.path = path
         self.other = re.compile(STABLE)
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
@@ -64,6 +62,15 @@ class Encoder:
             path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
+    @cached_property
+    def full(self):
+        """The tokenizers library's own tokenizer, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def __call__(self, text: str) -> np.ndarray:
         if self.other.search(text) is None:
             return np.array(self.fast.encode_ordinary(text), dtype="<u4")
@@ -122,4 +129,4 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1)
                 names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return bounded(docs.select("doc_id", "text")).mapInArrow(run, SCHEMA)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm import words as W
-from cadastra.llm.common import map_slices, sized, slices
+from cadastra.llm.common import bounded, map_slices, sized, slices
 from cadastra.session import pin, shuffle_partitions
 
 WINDOW = 50
@@ -33,7 +33,7 @@ DEPTH = 3
 SLICE_BITS = 18
 ROW_WINDOWS = 4096
 EMPTY = hashlib.sha256(b"").hexdigest()
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def _spans(count: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +90,7 @@ def heads(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for part in slices(batch, "text", SLICE):
                 yield run(part)
 
-    return docs.select("doc_id", "text").mapInArrow(sliced, schema)
+    return bounded(docs.select("doc_id", "text")).mapInArrow(sliced, schema)
 
 
 def _cells(anchors: np.ndarray, row: int) -> np.ndarray:
@@ -143,7 +143,7 @@ def repeated_bits(anchors: DataFrame) -> np.ndarray:
                 {"slice": pa.array([number], pa.int32()), "bits": pa.array([bits], pa.binary())}
             )
 
-    parts = anchors.select("anchors").mapInArrow(partial, "slice int, cells binary, counts binary")
+    parts = bounded(anchors.select("anchors")).mapInArrow(partial, "slice int, cells binary, counts binary")
     slots = DEPTH * width // span
     dealt = parts.repartition(min(slots, shuffle_partitions(anchors.sparkSession)), "slice")
     flags = np.zeros((slots, span // 8), np.uint8)
@@ -172,7 +172,7 @@ def _screened(originals: DataFrame, flags: np.ndarray) -> DataFrame:
                 ["anchor", "doc_id", "key"],
             )
 
-    return originals.select("doc_id", "key", "anchors").mapInArrow(run, "anchor long, doc_id long, key long")
+    return bounded(originals.select("doc_id", "key", "anchors")).mapInArrow(run, "anchor long, doc_id long, key long")
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
@@ -223,7 +223,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                 yield run(part)
 
     schema = "doc_id long, key long, at array<int>, one array<long>, two array<int>, later array<boolean>"
-    return texts.select("doc_id", "text", "key", "known").mapInArrow(sliced, schema)
+    return bounded(texts.select("doc_id", "text", "key", "known")).mapInArrow(sliced, schema)
 
 
 def _of_documents(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -347,8 +347,8 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 out.append(b" ".join(_kept(body, np.array(mine["starts"]), window)[0]).decode())
         return pd.Series(out, dtype=object)
 
-    untouched = docs.join(few, same, "left_anti")
-    touched = docs.join(few, same, "left_semi").join(
+    untouched = bounded(docs).join(few, same, "left_anti")
+    touched = bounded(docs).join(few, same, "left_semi").join(
         changes.withColumnRenamed("doc_id", "__llm_id"), same
     ).withColumn("text", clean("text", "__llm_entries"))
     if "n_chars" in docs.columns:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cadastra.llm import recurrent as R
 from cadastra.llm import words as W
-from cadastra.llm.common import bucket_of, slices
+from cadastra.llm.common import bounded, bucket_of, slices
 
 UNITS = 12
 WIDTH = 16
@@ -37,7 +37,7 @@ DECAY = 0.003
 FOLDS = 3
 HELD_OUT = 1
 THRESHOLD = 0.7
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -322,7 +322,7 @@ def predict(docs: DataFrame, network: Network | Constant) -> DataFrame:
                 scores = shared.value.scores(*W.text_bytes(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    found = bounded(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, score double")
     return found.select(
         "doc_id",
         (bucket_of("doc_id", FOLDS) == HELD_OUT).alias("held_out"),
@@ -341,4 +341,4 @@ def keep_clean(docs: DataFrame, network: Network | Constant) -> DataFrame:
         parts = [shared.value.scores(*W.text_bytes(p.column("text"))) for p in slices(column, "text", SLICE)]
         return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
-    return docs.filter(score("text") < THRESHOLD)
+    return bounded(docs).filter(score("text") < THRESHOLD)

@@ -57,7 +57,7 @@ def test_lookahead_is_bounded(codec):
     machine = codec.pieces.transducer
     machine.encode(b"abcdefgh" * 500)
     longest = max(map(len, machine.ranks))
-    assert max(len(body) for body, _, _ in machine.states) <= longest
+    assert max(len(body) for body, _, _ in machine.rows) <= longest
 
 
 def test_utf8_machine_waits_for_whole_characters():
