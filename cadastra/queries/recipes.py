@@ -89,6 +89,12 @@ def monuments(t: Tables):
     return M.dim_monument(monument_source(t), stored_communes(t), outlines)
 
 
+# The listed island communes, spelled out apart from the recipe's constants.
+ISLAND_CODES = (
+    "17019 17051 17121 17161 17207 17286 17297 17318 17369 17360 17486 17093 17140 17485 17323 17337 17385 17411 56009 56114 56152 56241 "
+    "85011 85083 85106 85163 17004 56088 29082 22016 56069 56085 56086 56087 29084 29155 29083 85113"
+).split()
+IN_ISLANDS = "IN (" + ", ".join(f"'{c}'" for c in ISLAND_CODES) + ")"
 # Fields that the derived monuments leave blank.
 MONUMENT_ABSENT = [
     "alternative_name", "nature", "legal_status", "current_use", "century", "author", "conservation_state", "cadastre", "lieu_dit",
@@ -116,7 +122,7 @@ SELECT b.code AS commune_id, b.nom AS name, b.departement AS department_code, b.
  code IN (SELECT INSEE_COM FROM {littoral_perimeter} WHERE CLASSEMENT = 'Mer') AS is_coast, code IN (SELECT INSEE_COM FROM {littoral_perimeter} WHERE CLASSEMENT = 'Estuaire') AS has_estuary,
  code IN (SELECT INSEE_COM FROM {littoral_perimeter} WHERE CLASSEMENT = 'Lac') AS has_lake,
  CAST(altitude_min AS INTEGER) AS altitude_min, CAST(altitude_max AS INTEGER) AS altitude_max, CAST(altitude_moyenne AS DOUBLE) AS altitude_moyenne,
- coalesce(c.department_code IN ('2A', '2B', '971', '972', '974', '976'), false) AS is_insular, false AS is_island_commune,
+ coalesce(c.department_code IN ('2A', '2B', '971', '972', '974', '976'), false) AS is_insular, b.code """ + IN_ISLANDS + """ AS is_island_commune,
  (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy
 FROM {boxes} b LEFT JOIN {altitude} ON commune_id = code LEFT JOIN {o_communes} c ON c.id = b.code""",
         "o_pop": """
@@ -175,8 +181,8 @@ def littoral_and_mountain(t: Tables):
     return joined.withColumn("is_mountain", F.coalesce("is_mountain", F.lit(False)))
 
 
-@query("island_communes", """
-SELECT id, department_code IN ('2A', '2B', '971', '972', '973x', '974', '976') OR department_code IN ('981', '984') AS is_insular, false AS is_island_commune FROM o_communes""", ("o_communes",))
+@query("island_communes", f"""
+SELECT id, department_code IN ('2A', '2B', '971', '972', '974', '976', '981', '984') AS is_insular, id {IN_ISLANDS} AS is_island_commune FROM o_communes""", ("o_communes",))
 def island_communes(t: Tables):
     """Insular departments and island communes."""
     return T.island_communes(communes(t)).select("id", "is_insular", "is_island_commune")
@@ -184,7 +190,7 @@ def island_communes(t: Tables):
 
 @query("unknown_island_codes", """
 SELECT count(*) FILTER (WHERE id IS NULL) AS n_missing FROM (VALUES {}) v(code) LEFT JOIN o_communes ON id = code""".format(
-    ", ".join(f"('{c}')" for codes in K.ISLANDS.values() for c in codes)
+    ", ".join(f"('{c}')" for c in ISLAND_CODES)
 ), ("o_communes",))
 def unknown_island_codes(t: Tables):
     """Listed island codes that no commune has."""
@@ -723,9 +729,9 @@ def monument_points(t: Tables):
 
 # -- visits ----------------------------------------------------------------------------------
 
-CHECK_PARTS["o_master"] = """
-SELECT c.id, c.name, c.department_code, c.department_name, c.region_name, c.territory_type, cx AS longitude, cy AS latitude, is_mountain, is_island_commune, population, v.id IS NOT NULL AS visited, visit_date, photo,
- 'https://t/' || replace(photo, 'DCIM/', '') AS photo_thumbnail_url FROM {o_communes} c JOIN {o_geography} g ON g.commune_id = c.id LEFT JOIN (SELECT * FROM {o_population} WHERE year = 1999) p ON p.id = c.id LEFT JOIN {visits} v ON v.id = c.id"""
+CHECK_PARTS["o_master"] = f"""
+SELECT c.id, CASE WHEN g.department_code NOT IN ('2A', '2B') THEN {AREA_SQL} END AS area_km2, c.name, c.department_code, c.department_name, c.region_name, c.territory_type, cx AS longitude, cy AS latitude, is_mountain, is_island_commune, population, v.id IS NOT NULL AS visited, visit_date, photo,
+ 'https://t/' || replace(photo, 'DCIM/', '') AS photo_thumbnail_url FROM {{o_communes}} c JOIN {{o_geography}} g ON g.commune_id = c.id LEFT JOIN (SELECT * FROM {{o_population}} WHERE year = 1999) p ON p.id = c.id LEFT JOIN {{visits}} v ON v.id = c.id"""
 
 
 def master(t: Tables):
@@ -751,13 +757,14 @@ CHECK_PARTS["o_visit_kpis"] = """
 SELECT count(*) AS n_total, count(*) FILTER (WHERE visited) AS n_visited, CAST(printf('%.2f', count(*) FILTER (WHERE visited)::DOUBLE / count(*) * 100) AS DOUBLE) AS pct_visited, CAST(sum(population) FILTER (WHERE visited) AS BIGINT) AS population_visited,
  count(DISTINCT department_code) FILTER (WHERE visited) AS n_departments, count(DISTINCT region_name) FILTER (WHERE visited) AS n_regions,
  (SELECT count(*) FROM (SELECT 1 FROM {o_master} GROUP BY department_code HAVING bool_and(visited))) AS departments_completed, (SELECT count(*) FROM (SELECT region_name FROM (SELECT region_name, bool_and(visited) AS all_in FROM {o_master} GROUP BY region_name) WHERE all_in)) AS regions_completed,
- count(*) FILTER (WHERE visited AND is_mountain) AS mountain_visited, 0::BIGINT AS island_visited, 0::BIGINT AS overseas_visited, 0::BIGINT AS paris_visited FROM {o_master}"""
+ count(*) FILTER (WHERE visited AND is_mountain) AS mountain_visited, count(*) FILTER (WHERE visited AND is_island_commune) AS island_visited, count(*) FILTER (WHERE visited AND territory_type = 'COM') AS overseas_visited, count(*) FILTER (WHERE visited AND id = '75056') AS paris_visited,
+ CAST(round(sum(round(area_km2, 6)) FILTER (WHERE visited)) AS DOUBLE) AS area_visited FROM {o_master}"""
 
 
 @query("visit_kpis", "SELECT * FROM o_visit_kpis", ("o_visit_kpis",))
 def visit_kpis(t: Tables):
     """Key figures of the visits in one row."""
-    return V.visit_kpis(master(t)).drop("area_visited")
+    return V.visit_kpis(master(t))
 
 
 @query("visit_badges", """
@@ -786,7 +793,8 @@ CHECK_PARTS["o_timed"] = """
 WITH b AS (SELECT c.id AS commune_id, c.department_code, c.department_name, c.region_name, c.flag_metropole, coalesce(is_mountain, false) AS m, coalesce(is_coast, false) AS s, is_mountain, is_coast, is_insular, is_island_commune,
   coalesce(total_monuments, 0) AS n, population FROM {o_communes} c LEFT JOIN {o_geography} g ON g.commune_id = c.id LEFT JOIN {o_stats} st ON st.commune_id = c.id LEFT JOIN (SELECT id, population FROM {o_population} WHERE year = 1999) p ON p.id = c.id),
 v AS (SELECT *, least(480, CAST(trunc(((CASE WHEN population IS NULL OR population < 500 THEN 10 WHEN population < 2000 THEN 20 WHEN population < 10000 THEN 45 WHEN population < 50000 THEN 120 WHEN population < 100000 THEN 240 ELSE 480 END
-  + least(60, CASE WHEN n > 5 THEN n - 2 ELSE 0 END))::DOUBLE * CASE WHEN m THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END * CASE WHEN s THEN 1.15::DOUBLE ELSE 1.0::DOUBLE END)) AS BIGINT)) AS visit_minutes FROM b)
+  + least(60, CASE WHEN n > 5 THEN n - 2 ELSE 0 END))::DOUBLE * CASE WHEN m THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END * CASE WHEN s THEN 1.15::DOUBLE ELSE 1.0::DOUBLE END * CASE WHEN is_island_commune THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END)
+  + CASE WHEN commune_id IN ('17004', '56088', '29082', '22016', '56069', '56085', '56086', '56087', '29084', '29155', '29083', '85113') THEN 300 WHEN commune_id IN ('56009', '56114', '56152', '56241') THEN 75 ELSE 0 END) AS BIGINT)) AS visit_minutes FROM b)
 SELECT v.*, round_even(visit_minutes::DOUBLE / 60, 2) AS visit_hours, CASE WHEN department_code IN ('2A', '2B') THEN 1 WHEN department_code IN ('971', '972', '973', '974', '976') THEN 4 ELSE 0 END AS overseas_travel_days,
  CASE WHEN department_code IN ('2A', '2B') THEN 'Corse' WHEN department_code IN ('971', '972') THEN 'Antilles' WHEN department_code = '973' THEN 'Guyane' WHEN department_code IN ('974', '976') THEN 'Océan Indien' ELSE '' END AS overseas_group FROM v"""
 
