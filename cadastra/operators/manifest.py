@@ -2,53 +2,36 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions.columns import choose, round_exact
 from cadastra.operators.windows import flag_extreme, latest_per_key
 
-CHUNK = 8 * 1024 * 1024
-
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Files under a folder with their size; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return _listed(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path))
+
+
+def _listed(files: DataFrame, *more: Column) -> DataFrame:
     return files.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("filename"),
         F.col("length").alias("bytes"),
         round_exact(F.col("length") / F.lit(1048576.0), 2).alias("size_mb"),
         F.col("modificationTime").alias("modified_at"),
+        *more,
     )
 
 
-def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        sums = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.md5()
-            with system.open_input_stream(inner) as stream:
-                while piece := stream.read(CHUNK):
-                    digest.update(piece)
-            sums.append(digest.hexdigest())
-        yield batch.assign(md5=sums)
-
-
-def hash_files(files: DataFrame) -> DataFrame:
-    """Add the MD5 of each listed file. Files are spread over the tasks and streamed in pieces,
-    so a file of any size needs constant memory."""
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*files.schema.fields, T.StructField("md5", T.StringType())])
-    return files.mapInPandas(_digest, schema)
+def hash_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """List files with the MD5 of their bytes. Spark reads them (any file system it knows), a file
+    as one value, so files above 2 GB are refused by the reader."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return _listed(files, F.md5("content").alias("md5"))
 
 
 def classify(scan: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from cadastra.operators import loads as L
 from cadastra.operators import manifest as M
 from cadastra.operators import provenance as P
 from cadastra.operators import quality as Q
+from cadastra.operators import stored as S
 from cadastra.queries.registry import Tables, query
 from cadastra.session import ensure_checkpoint_dir
 from cadastra.sources import catalog, readers, writers
@@ -128,6 +129,65 @@ def append_new_rows(t: Tables):
     return label(table, "old").unionByName(label(new, "new"))
 
 
+@query("stored_history", f"WITH {MERGED_SQL} SELECT * FROM h")
+def stored_history(t: Tables):
+    """Two loads into a stored history; the second writes the open rows and what it closes."""
+    path = scratch(t, "history")
+    S.load_history(t.spark, path, first_delivery(t), ["id", "nation"], FIRST, f"{FIRST} 00:00:00")
+    S.load_history(t.spark, path, second_delivery(t), ["id", "nation"], SECOND, LOADED)
+    return S.read_history(t.spark, path).drop("inserted_at")
+
+
+@query("stored_appends", """
+SELECT o_custkey AS id, CAST(year(o_orderdate) AS INTEGER) AS year, CASE WHEN year(o_orderdate) < 1998 THEN '2024-01-01' ELSE '2024-07-02' END AS loaded,
+ CASE WHEN year(o_orderdate) < 1998 THEN count(*) ELSE count(*) FILTER (WHERE o_orderstatus <> 'P') END AS n
+FROM orders WHERE year(o_orderdate) < 1998 OR o_orderstatus <> 'P' GROUP BY 1, 2, 3, year(o_orderdate)""")
+def stored_appends(t: Tables):
+    """L2: two loads into a stored fact table; the second adds new keys only."""
+    path = scratch(t, "facts")
+    rows = t.orders.select(F.col("o_custkey").alias("id"), F.year("o_orderdate").alias("year"), "o_orderstatus")
+    count = lambda df: df.groupBy("id", "year").agg(F.count("*").alias("n"))
+    S.load_new(t.spark, path, count(rows.filter("year < 1998")), ["id", "year"], FIRST, f"{FIRST} 00:00:00")
+    S.load_new(t.spark, path, count(rows.filter("o_orderstatus <> 'P'")), ["id", "year"], SECOND, LOADED)
+    return S.read_loaded(t.spark, path).withColumn("loaded", F.date_format("inserted_at", "yyyy-MM-dd")).drop("inserted_at")
+
+
+@query("newest_by_name", """
+SELECT n_nationkey, n_name FROM nation""")
+def newest_by_name(t: Tables):
+    """Exports of three days under one pattern; the newest file is read, the others are
+    found by the same pattern."""
+    folder = scratch(t, "exports")
+    for day, rows in (("20240101", t.nation.limit(0)), ("20240301", t.nation), ("20240201", t.nation.limit(0))):
+        rows.select("n_nationkey", "n_name").coalesce(1).write.parquet(f"{folder}/nation_{day}")
+    newest = readers.newest_file(t.spark, f"{folder}/nation_20240301", "*.parquet")
+    return readers.read_parquet(t.spark, newest)
+
+
+@query("aggregate_export", """
+SELECT o_orderstatus, CAST(count(*) AS VARCHAR) AS n FROM orders GROUP BY 1""")
+def aggregate_export(t: Tables):
+    """K3: a small aggregate as one delimited file, read back."""
+    folder = scratch(t, "export")
+    counts = t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    writers.write_csv(counts, folder, ["o_orderstatus", "n"], single=True)
+    return readers.read_csv(t.spark, folder, ["o_orderstatus", "n"])
+
+
+@query("table_lifecycle", """
+SELECT 'after append' AS step, count(*) AS n FROM supplier UNION ALL SELECT 'dropped', 1""")
+def table_lifecycle(t: Tables):
+    """K6: a table is started empty, filled in two appends, counted and removed."""
+    path = scratch(t, "table")
+    writers.create_if_missing(t.spark, path, "s_suppkey long")
+    rows = t.supplier.select("s_suppkey")
+    for odd in (0, 1):
+        writers.append_rows(rows.filter(F.col("s_suppkey") % 2 == odd), f"{path}/rows")
+    n = t.spark.read.parquet(f"{path}/rows").count()
+    gone = int(writers.drop_table(t.spark, path))
+    return t.spark.createDataFrame([("after append", n), ("dropped", gone)], "step string, n long")
+
+
 @query("full_reload", "SELECT TIMESTAMP '2024-07-02 03:04:05' AS loaded, s_suppkey, s_name FROM supplier")
 def full_reload(t: Tables):
     """L3, L4: checked for rows, then taken as the whole new content."""
@@ -302,11 +362,15 @@ def main_data_files(t: Tables):
     return M.main_file(files, "delivery")
 
 
-@query("file_hashes")
+@query("file_hashes", """
+SELECT source, length(body) AS bytes, md5(body) AS md5 FROM (SELECT source, string_agg(doc_id, chr(10) ORDER BY doc_id) || chr(10) AS body FROM documents GROUP BY source)""")
 def file_hashes(t: Tables):
-    """The given Parquet files listed and hashed in a stream (no SQL: files are read)."""
-    files = M.hash_files(M.listing(t.spark, t.folder, "*.parquet"))
-    return files.select("filename", "bytes", "size_mb", "md5")
+    """M1: files listed and hashed; one file per source with the ids of its documents."""
+    folder = scratch(t, "files")
+    ids = t.documents.select("source", "doc_id").repartition(4, "source").sortWithinPartitions("source", "doc_id")
+    ids.select("source", F.col("doc_id").cast("string")).write.partitionBy("source").text(folder)
+    files = M.hash_files(t.spark, f"{folder}/source=*", "part-*")
+    return files.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "bytes", "md5")
 
 
 # -- provenance ------------------------------------------------------------------------------

@@ -194,3 +194,48 @@ def test_layer_of_stored_tables(spark, tmp_path):
     assert readers.query(spark, "SELECT * FROM silver.t", limit=1).count() == 1
     assert spark.table("silver.t").count() == 2
     spark.sql("DROP SCHEMA silver CASCADE")
+
+
+def test_loads_leave_closed_partitions_alone(spark, tmp_path):
+    from cadastra.operators import stored
+
+    path = str(tmp_path / "h")
+    deliver = lambda *rows: spark.createDataFrame(rows, "id int, v string")
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    stored.load_history(spark, path, deliver((1, "a"), (2, "b")), ["id"], "2024-01-01", "2024-01-01")
+    stored.load_history(spark, path, deliver((1, "A"), (2, "b")), ["id"], "2024-02-01", "2024-02-01")
+    before = files()
+    stored.load_history(spark, path, deliver((1, "A"), (3, "c")), ["id"], "2024-03-01", "2024-03-01")
+    after = files()
+    assert all(after[p] == t for p, t in before.items())
+    rows = sorted((r["id"], r["v"], str(r["effective_date"]), str(r["expiry_date"])) for r in stored.read_history(spark, path).collect())
+    assert rows == [
+        (1, "A", "2024-02-01", "9999-12-31"), (1, "a", "2024-01-01", "2024-02-01"),
+        (2, "b", "2024-01-01", "2024-03-01"), (3, "c", "2024-03-01", "9999-12-31"),
+    ]
+    with pytest.raises(ValueError):
+        stored.load_history(spark, path, deliver((1, "A")), ["id"], "2024-03-01", "2024-03-01")
+
+
+def test_a_broken_off_load_is_invisible_and_can_be_repeated(spark, tmp_path):
+    from cadastra.operators import stored
+
+    path = str(tmp_path / "h")
+    deliver = lambda *rows: spark.createDataFrame(rows, "id int, v string")
+    stored.load_history(spark, path, deliver((1, "a")), ["id"], "2024-01-01", "2024-01-01")
+    # Closed rows of a load whose open rows were never written.
+    stored.read_history(spark, path).write.parquet(f"{path}/closed/version=20240201")
+    assert stored.read_history(spark, path).count() == 1
+    stored.load_history(spark, path, deliver((1, "b")), ["id"], "2024-02-01", "2024-02-01")
+    assert stored.read_history(spark, path).count() == 2
+
+
+def test_appends_are_repeatable(spark, tmp_path):
+    from cadastra.operators import stored
+
+    path = str(tmp_path / "f")
+    deliver = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id int")
+    stored.load_new(spark, path, deliver(1, 2), ["id"], "2024-01-01", "2024-01-01")
+    for _ in range(2):
+        stored.load_new(spark, path, deliver(2, 3), ["id"], "2024-01-02", "2024-01-02")
+    assert sorted(r["id"] for r in stored.read_loaded(spark, path).collect()) == [1, 2, 3]

@@ -260,7 +260,7 @@ def test_file_hashes(spark, tmp_path):
 
     (tmp_path / "a_20240101T000000.csv").write_bytes(b"1")
     (tmp_path / "a_20240301T000000.csv").write_bytes(b"22")
-    files = M.hash_files(M.listing(spark, str(tmp_path), "*.csv"))
+    files = M.hash_files(spark, str(tmp_path), "*.csv")
     got = {r["filename"]: (r["bytes"], r["md5"]) for r in files.collect()}
     assert got["a_20240301T000000.csv"] == (2, hashlib.md5(b"22").hexdigest())
     newest = M.latest_files(files, F.regexp_extract("filename", r"^(.*)_\d{8}T", 1), D.stamp_of(F.col("filename")))
