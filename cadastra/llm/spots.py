@@ -88,7 +88,7 @@ def next_in_order(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     spark = docs.sparkSession
     parts = max(2, shuffle_partitions(spark))
     shares = [i / parts for i in range(1, parts)]
-    found = docs.agg(F.percentile_approx("doc_id", F.lit(shares), 10_000)).first()[0] or []
+    found = docs.agg(F.percentile_approx("doc_id", F.lit(shares), max(10_000, 20 * parts))).first()[0] or []
     cuts = sorted(set(found))
     inner = max(1, math.isqrt(len(cuts)))
     groups = [cuts[i : i + inner] for i in range(0, len(cuts), inner)]
