@@ -26,11 +26,11 @@ def department_report(communes: DataFrame, population: DataFrame, salaries: Data
         "id", "mean_salary", F.col("year").alias("latest_salary_year")
     )
     cities = communes.select("id", "name", "department_code", "department_name")
-    rows = cities.join(pop, "id", "left").join(pay, "id", "left")
+    # One narrow row per commune, read for the averages and once more for the rows themselves.
+    rows = pin(cities.join(pop, "id", "left").join(pay, "id", "left"))
     compared = group_benchmark(
         rows, ["department_code"],
         {"dept_avg_population": "population", "dept_avg_salary": "mean_salary"},
-        sketch=cities,
     )
     return compared.withColumns(
         {
