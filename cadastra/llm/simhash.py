@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import map_slices
+from cadastra.llm.common import map_slices, sized
 from cadastra.llm.components import connected
 from cadastra.session import pin, shuffle_partitions
 
@@ -129,7 +129,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, small_bucket: int = SMALL
     # Tables that are joined with what they count are written apart: both sides of the join are
     # dealt anew, and a hot key can be split.
     shared = pin(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    members = pin(keyed.join(shared, "key"))
+    members = pin(keyed.join(sized(shared, shared.count()), "key"))
     apart = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
     small = members.filter(F.col("n") <= small_bucket)
     left = small.filter("bit < 1").select("key", "bit", F.col("fp").alias("u"))
