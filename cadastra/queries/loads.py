@@ -239,6 +239,22 @@ def rejected_rows(t: Tables):
     )
 
 
+@query("gated_build", """
+SELECT 'passed' AS outcome, count(*) AS n FROM orders WHERE o_totalprice >= 2000 OR o_orderstatus <> 'P'
+UNION ALL SELECT 'refused', count(*) FROM orders WHERE o_totalprice < 2000 AND o_orderstatus = 'P' HAVING count(*) > 0""")
+def gated_build(t: Tables):
+    """DQ7: a table is built only if no error-level rule fails; with a broken row it is refused."""
+    clean, bad = Q.split_rejected(t.orders, RULES)
+    Q.gate(clean, RULES, {"supplier": t.supplier})
+    outcome = clean.agg(F.lit("passed").alias("outcome"), F.count("*").alias("n"))
+    try:
+        Q.gate(t.orders, RULES, {"supplier": t.supplier})
+    except ValueError:
+        refused = bad.agg(F.lit("refused").alias("outcome"), F.count("*").alias("n"))
+        outcome = outcome.unionByName(refused)
+    return outcome
+
+
 # -- manifests -------------------------------------------------------------------------------
 # Each document stands for a delivered file; the version before differs by language.
 
@@ -288,6 +304,16 @@ def newest_versions(t: Tables):
     return newest.join(counts, "base")
 
 
+@query("archived_versions", """
+SELECT filename FROM (SELECT source || '_' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS filename, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS r FROM documents) WHERE r > 2""")
+def archived_versions(t: Tables):
+    """M7: all but the two newest versions of each base name go to the archive."""
+    stamp = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    files = t.documents.select(F.concat("source", F.lit("_"), stamp).alias("filename"))
+    base, version = F.split_part("filename", F.lit("_"), F.lit(1)), F.split_part("filename", F.lit("_"), F.lit(2))
+    return M.archive_list(files, base, version, keep=2)
+
+
 @query("run_ledger", """
 WITH r AS (SELECT user_id AS run_id, event_type AS domain, min(ts) AS started_at, max(ts) AS ended_at,
   arg_max(CASE WHEN value > 10 THEN 'SUCCESS' ELSE 'FAILED' END, ts) AS status, count(*) AS files FROM events GROUP BY 1, 2),
