@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.session import pin
+
 # A side of a join is broadcast only if it was counted and has at most this many narrow rows;
 # beyond that the same join is shuffled.
 BROADCAST_ROWS = 200_000
@@ -43,6 +45,34 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
+KEY = "__llm_key"
+
+
+def keep_marked(docs: DataFrame, key: Column, found: DataFrame, longest: bool = False) -> DataFrame:
+    """The rows of ``docs`` that ``found`` keeps (all columns).
+
+    found: one row per row of docs with doc_id, KEY (the value of ``key``) and ``kept``. Only what
+    goes is joined with the documents. Of rows that share id and key one stays if one is kept, with
+    ``longest`` one of the longest texts.
+    """
+    by_key = found.groupBy("doc_id", KEY).agg(F.count("*").alias("rows"), F.max("kept").alias("any"))
+    gone = pin(by_key.filter("not any or rows > 1").toDF("__llm_id", "__llm_gone", "rows", "any"))
+    count = gone.count()
+    if count == 0:
+        return docs
+    same = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & F.col(KEY).eqNullSafe(F.col("__llm_gone"))
+    marked = docs.withColumn(KEY, key)
+    rest = marked.join(sized(gone, count), same, "left_anti").drop(KEY)
+    several = gone.filter("any")
+    if several.isEmpty():
+        return rest
+    twins = marked.join(sized(several, count), same, "left_semi")
+    size = F.coalesce(F.length("text"), F.lit(0)) if longest else F.lit(0)
+    names = docs.columns
+    one = twins.groupBy("doc_id", KEY).agg(F.max_by(F.struct(*names), size).alias("__llm_row"))
+    return rest.unionByName(one.select(*[F.col("__llm_row")[c].alias(c) for c in names]))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``limit`` text bytes (one row at least)."""
     rows, start = batch.num_rows, 0

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import bucket_of, sized
+from cadastra.llm.common import KEY, bucket_of, keep_marked, sized
 from cadastra.session import pin
 
 # Digests of one filter; the number of filters follows the number of digests.
@@ -217,24 +217,7 @@ def dedup(docs: DataFrame, in_snapshot: Column | None = None) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay (all columns); see ``dedup``. Only the ids and digests of what
-    goes are joined with the documents; of rows that share id and text exactly one stays."""
-    found = pin(dedup(docs))
-    same = found.groupBy("doc_id", DIGEST).agg(F.count("*").alias("rows"), F.max(F.col("kept")).alias("any"))
-    gone = pin(same.filter("not any or rows > 1").toDF("__llm_id", "__llm_gone", "rows", "any"))
-    count = gone.count()
-    if count == 0:
-        return docs
-    by = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.col(DIGEST) == F.col("__llm_gone"))
-    marked = docs.withColumn(DIGEST, digest(F.col("text")))
-    rest = marked.join(sized(gone, count), by, "left_anti").drop(DIGEST)
-    several = gone.filter("any")
-    if several.isEmpty():
-        return rest
-    # Rows that share id and normalised text: the longest original, one of equal rows.
-    twins = marked.join(sized(several, count), by, "left_semi").withColumn(
-        "__llm_order", F.struct(F.coalesce(F.length("text"), F.lit(0)))
-    )
-    names = docs.columns
-    one = twins.groupBy("doc_id", DIGEST).agg(F.max_by(F.struct(*names), "__llm_order").alias("__llm_row"))
-    return rest.unionByName(one.select(*[F.col("__llm_row")[c].alias(c) for c in names]))
+    """The rows of ``docs`` that stay (all columns); see ``dedup``. Of rows that share id and
+    normalised text exactly one stays, the longest original."""
+    found = pin(dedup(docs).withColumnRenamed(DIGEST, KEY))
+    return keep_marked(docs, digest(F.col("text")), found, longest=True)

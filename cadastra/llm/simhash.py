@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import map_slices, sized
+from cadastra.llm.common import KEY, keep_marked, map_slices, sized
 from cadastra.llm.components import connected
 from cadastra.session import pin, shuffle_partitions
 
@@ -49,16 +49,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp: long) for every row of ``docs``; fp holds the 64 bits, so it may be negative.
-    A null text counts as empty."""
+    """(doc_id, text_hash, fp: long) for every row of ``docs``; fp holds the 64 bits, so it may be
+    negative. A null text counts as empty in fp. text_hash tells rows of one id apart."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text").cast(pa.binary())
         values = [fingerprint(t.as_py() or b"", shingle) for t in texts]
         found = np.array(values, dtype=np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], ["doc_id", "text_hash", "fp"]
+        )
 
-    return map_slices(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return map_slices(rows, run, "doc_id long, text_hash long, fp long")
 
 
 def _part(value: Column, segment: int) -> Column:
@@ -154,10 +157,10 @@ def links(prints: DataFrame, distance: int = DISTANCE, small_bucket: int = SMALL
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text; other columns are ignored).
+    """(doc_id, text_hash, fp, root, component_id) for every row of ``docs`` (doc_id, text; other columns are ignored).
 
-    Texts are lower-cased in A-Z only and cut at ASCII white space. component_id is the smallest
-    doc_id reachable over links of at most ``distance`` bits. Null and empty texts have
+    Texts are lower-cased in A-Z only and cut at ASCII white space. root is a
+    fingerprint that names the component, component_id the smallest doc_id reachable over links of at most ``distance`` bits. Null and empty texts have
     fingerprint 0, which links like any other; repeated rows stay as they are; a null doc_id gets
     the component of its fingerprint (null if only null ids share it). Empty table: no rows.
     """
@@ -168,5 +171,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
         "root", F.coalesce("root", "fp")
     )
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = pin(placed.join(least, "root").select("fp", "component_id"))
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = pin(placed.join(least, "root").select("fp", "root", "component_id"))
+    return marked.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One row (all columns) of each component: the smallest doc_id, a null id last; of several rows
+    with that id one stays."""
+    found = pin(near_duplicates(docs, shingle, distance))
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")
+    first = pin(found.groupBy("root").agg(F.min(order).alias("first")))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    marked = found.join(first, "root").select("doc_id", F.col("text_hash").alias(KEY), same.alias("kept"))
+    return keep_marked(docs, F.xxhash64("text"), marked)

@@ -9,12 +9,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cadastra.llm import exact, packing, simhash, substrings, toxicity
-from cadastra.llm.common import sized
 from cadastra.llm.queries import TOKENIZER, table
-from cadastra.session import ensure_checkpoint_dir, pin
+from cadastra.session import ensure_checkpoint_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -22,12 +20,6 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.fit(table(spark, folder, "documents"), table(spark, folder, "labels")))
 
 
-def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, text) is in ``rows`` by id; ids may be null."""
-    gone = pin(rows.select(F.col("doc_id").alias("__llm_gone")).distinct())
-    return docs.join(sized(gone, gone.count()), F.col("doc_id").eqNullSafe(F.col("__llm_gone")), "left_anti")
-
-
 def drop_exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The one row that stays of each group of equal texts."""
     return exact.keep_first(docs)
@@ -35,8 +27,7 @@ def drop_exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def drop_near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
-    found = simhash.near_duplicates(docs)
-    return _without(docs, found.filter("not (doc_id <=> component_id)"))
+    return simhash.keep_first(docs)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

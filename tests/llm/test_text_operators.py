@@ -150,6 +150,20 @@ def test_simhash_of_odd_rows(odd):
         simhash.links(odd.select(F.lit(1).alias("fp")), 3)
 
 
+def test_simhash_keeps_one_row_of_each_component(df, docs, odd):
+    roots = brute.components({i: brute.simhash(t) for i, t in docs})
+    left = simhash.keep_first(df)
+    assert left.columns == df.columns
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(roots.values()))
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    prints = {t: brute.simhash(t) for _, t in rows}
+    kept = [(r.doc_id, r.text) for r in simhash.keep_first(odd).collect()]
+    assert all(k in rows for k in kept)
+    # The long texts are one component, the empty one and "other" stand alone.
+    assert len(kept) == len({brute.components(dict(enumerate(sorted(set(prints.values())))))[i] for i in range(len(set(prints.values())))})
+    assert (None, None) in kept and (1, "other") in kept
+
+
 # exact dedup -------------------------------------------------------------------------------
 
 
