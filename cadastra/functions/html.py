@@ -82,10 +82,10 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def blocks(html: Column, tag: str, cls: str | None = None) -> Column:
+def blocks(html: Column, tag: str, cls: str | None = None, outer: bool = False) -> Column:
     """Every element with the tag and class, as its HTML from the opening tag up to its own
     closing tag (elements of the same kind inside it included). An element that is never closed
-    reaches to the end."""
+    reaches to the end. With ``outer`` elements inside others of the tag are left out."""
 
     tag_start = rf"(?i)<{tag}(?![-\w])"
     kind = lambda p: (
@@ -118,7 +118,7 @@ def blocks(html: Column, tag: str, cls: str | None = None) -> Column:
             spans = F.transform(
                 ordered,
                 lambda e, n: F.struct(
-                    e["at"].alias("at"), e["opens"].alias("opens"),
+                    e["at"].alias("at"), (e["opens"] & (e["level"] <= 1) if outer else e["opens"]).alias("opens"),
                     F.when(F.get(ordered, n + 1)["level"] == e["level"], F.get(ordered, n + 1)["at"])
                     .otherwise(F.size(pieces)).alias("end"),
                 ),
@@ -136,7 +136,7 @@ def blocks(html: Column, tag: str, cls: str | None = None) -> Column:
 
 
 # Tags that are found inside tags of their own kind.
-NESTING = {"article", "div", "li", "nav", "ol", "section", "span", "table", "ul"}
+NESTING = {"article", "div", "li", "nav", "ol", "section", "span", "table", "tbody", "td", "tr", "ul"}
 
 
 def inner(html: Column, tag: str, cls: str | None = None) -> Column:
@@ -186,8 +186,8 @@ def locations(xml: Column, needle: str = "") -> Column:
 def table_rows(html: Column, cls: str | None = None) -> Column:
     """Body rows of a table as an array of arrays of cell texts."""
     body = inner(inner(html, "table", cls), "tbody")
-    rows = F.regexp_extract_all(body, F.lit(r"(?s)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    return F.transform(rows, lambda row: all_texts(row, "td"))
+    cells = lambda row: F.transform(blocks(row, "td", outer=True), text)
+    return F.transform(blocks(body, "tr", outer=True), cells)
 
 
 def image_number(html: Column) -> Column:

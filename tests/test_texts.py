@@ -146,3 +146,12 @@ def test_elements_are_cut_in_linear_time(spark):
         took.append(time.perf_counter() - start)
         assert len(cards) == n + 1 and cards[7] == "<div class='card'>7<div>in</div>" and cards[-1] == "<div class=card>open"
     assert took[1] < 8 * took[0] + 3
+
+
+def test_table_rows_with_a_table_inside_a_cell(spark):
+    page = (
+        "<TABLE class='t'><tbody><tr><td>a</td><td>b <table><tbody><tr><td>c</td></tr></tbody></table></td></tr>"
+        "<tr class='x'><td>d &amp; e</td><TD>f</TD></tr></tbody></TABLE>"
+    )
+    row = spark.createDataFrame([(page,)], "h string").select(X.table_rows(F.col("h"), "t")).first()[0]
+    assert row == [["a", "b c"], ["d & e", "f"]]
