@@ -194,9 +194,10 @@ def dedup(docs: DataFrame, in_snapshot: Column | None = None) -> DataFrame:
         )
     )
     buckets = pin(_fold(base.filter("known")))
-    parts = max(1, -(-buckets.count() // FILTER_KEYS))
-    filters = pin(snapshot_filters(buckets, parts))
     batch = pin(_fold(base.filter("not known")))
+    # Ranges follow the larger side, so neither has more than about FILTER_KEYS digests in one.
+    parts = max(1, -(-max(buckets.count(), batch.count()) // FILTER_KEYS))
+    filters = pin(snapshot_filters(buckets, parts))
     screened = screen(batch, filters, parts).filter("maybe").select(DIGEST)
     # Positives meet their exact buckets; the rest of the batch is grouped already.
     groups = pin(_merge(buckets, batch.join(screened, DIGEST, "left_semi")).unionByName(
