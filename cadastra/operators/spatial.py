@@ -94,11 +94,9 @@ def locate(
     shapes: DataFrame, key: str, geometry: str,
 ) -> DataFrame:
     """One shape per point: the smallest key where shapes overlap."""
-    # Copies of one outline give the same answer; the smallest key of each is enough.
-    unique = shapes.groupBy(F.col(geometry)).agg(F.min(key).alias(key))
     # Kept once: the points are read for heavy cells and for the join.
     spots = pin(points.select(point_key, x, y))
-    hits = point_in_polygon(spots, x, y, unique, key, geometry)
+    hits = point_in_polygon(spots, x, y, shapes.select(key, geometry), key, geometry)
     return hits.groupBy(point_key).agg(F.min(key).alias(key))
 
 
