@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from cadastra.functions import geo
 from cadastra.operators.aggregates import top
 from cadastra.plans import calendar as CAL
-from cadastra.plans import constants as K
 from cadastra.plans import demography as D
 from cadastra.plans import equipment as E
 from cadastra.plans import heritage as M
@@ -18,6 +17,7 @@ from cadastra.plans import rules as RULES
 from cadastra.plans import territory as T
 from cadastra.plans import visits as V
 from cadastra.queries import derived  # noqa: F401
+from cadastra.queries import expected as W
 from cadastra.queries.registry import CHECK_PARTS, Tables, query
 
 # -- tables shared by several queries --------------------------------------------------------
@@ -256,11 +256,11 @@ def rules_of_communes(t: Tables):
 # -- demography ------------------------------------------------------------------------------
 
 FAMILY_SQL = ", ".join(
-    f"max(v) FILTER (WHERE NCH = '{nch}' AND TFN = '{tfn}') AS {name}" for name, (nch, tfn) in K.FAMILY_CELLS.items()
+    f"max(v) FILTER (WHERE NCH = '{nch}' AND TFN = '{tfn}') AS {name}" for name, (nch, tfn) in W.FAMILY_CELLS.items()
 )
 MIGRATION_SQL = ", ".join(
     f"sum(NB::DOUBLE) FILTER (WHERE {' AND '.join([f'IMMI = {i!r}'] * bool(i) + [f'SEXE = {s!r}'] * bool(s)) or 'true'}) AS {name}"
-    for name, (i, s) in K.MIGRATION_CELLS.items()
+    for name, (i, s) in W.MIGRATION_CELLS.items()
 )
 
 
@@ -270,7 +270,7 @@ d AS (SELECT GEO AS id, CAST(TIME_PERIOD AS INTEGER) AS year, max(CAST(OBS_VALUE
 f AS (SELECT GEO AS id, CAST(TIME_PERIOD AS INTEGER) AS year, {FAMILY_SQL} FROM (SELECT *, CAST(OBS_VALUE AS INTEGER) AS v FROM family) GROUP BY GEO, TIME_PERIOD),
 m AS (SELECT CODGEO AS id, CAST(2022 AS INTEGER) AS year, {MIGRATION_SQL} FROM migration GROUP BY CODGEO)
 SELECT id, year, CAST(year * 10000 + 101 AS INTEGER) AS date_id, population, year_evolution, year_evolution_percent, births, deaths, births - deaths AS birth_death_diff,
- {", ".join(K.FAMILY_CELLS)}, {", ".join(K.MIGRATION_CELLS)}
+ {", ".join(W.FAMILY_CELLS)}, {", ".join(W.MIGRATION_CELLS)}
 FROM o_population LEFT JOIN b USING (id, year) LEFT JOIN d USING (id, year) LEFT JOIN f USING (id, year) LEFT JOIN m USING (id, year)""", ("o_population",))
 def fact_population(t: Tables):
     """Population with change, births, deaths, families and migration."""
@@ -769,7 +769,7 @@ def visit_kpis(t: Tables):
 
 @query("visit_badges", """
 SELECT label, value, minimum FROM o_visit_kpis, LATERAL (SELECT * FROM (VALUES {}) v(label, value, minimum)) WHERE value >= minimum""".format(
-    ", ".join(f"('{label}', {metric}::DOUBLE, {float(limit)}::DOUBLE)" for label, metric, limit in K.BADGES)
+    ", ".join(f"('{label}', {metric}::DOUBLE, {float(limit)}::DOUBLE)" for label, metric, limit in W.BADGES)
 ), ("o_visit_kpis",))
 def visit_badges(t: Tables):
     """Badges earned."""
@@ -929,7 +929,7 @@ def patron_saints(t: Tables):
 
 
 @query("name_qualifiers", " UNION ALL ".join(
-    f"SELECT '{w}' AS qualifier, '{m}' AS meaning, count(*) FILTER (WHERE name LIKE '%-{w}-%' OR name LIKE '% {w} %') AS n FROM town_names" for w, m in K.NAME_QUALIFIERS.items()
+    f"SELECT '{w}' AS qualifier, '{m}' AS meaning, count(*) FILTER (WHERE name LIKE '%-{w}-%' OR name LIKE '% {w} %') AS n FROM town_names" for w, m in W.NAME_QUALIFIERS.items()
 ), ("town_names",))
 def name_qualifiers(t: Tables):
     """Names with each geographic qualifier."""
