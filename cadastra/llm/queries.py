@@ -99,6 +99,20 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.report(table(spark, folder, "documents"))
 
 
+OP8_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+k AS (SELECT doc_id, j, count(*) OVER x AS size, md5(string_agg(word, ' ') OVER x) AS h FROM t
+      WINDOW x AS (PARTITION BY doc_id ORDER BY j ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+f AS (SELECT h, min(doc_id) AS low FROM k WHERE size = 50 GROUP BY h),
+c AS (SELECT DISTINCT doc_id, unnest(range(j, j + 50)) AS p FROM k JOIN f USING (h) WHERE size = 50 AND low < doc_id),
+r AS (SELECT t.doc_id, count(p) AS gone, string_agg(word, ' ' ORDER BY j) FILTER (WHERE p IS NULL) AS kept
+      FROM t LEFT JOIN c ON c.doc_id = t.doc_id AND p = j GROUP BY t.doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN r ON r.doc_id = w.doc_id
+"""
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.predict(docs, toxicity.fit(docs, table(spark, folder, "labels")))
@@ -115,4 +129,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures,
     )
 }
-ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op6_url_filter": OP6_SQL.strip()}
+ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op6_url_filter": OP6_SQL.strip(), "op8_substring_dedup": OP8_SQL.strip()}
