@@ -119,7 +119,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
-    return spots.compare_edits(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
+    return spots.compare_edits(docs, spots.frequent_words(docs), run=spots.RUN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

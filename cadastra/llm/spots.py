@@ -2,8 +2,11 @@
 
 A word is a run of letters or digits, lower-cased. At each common word (anchor) the next
 ``CHAIN`` words that are not common form a chain; anchor and chain are one signature, kept as its
-64-bit hash. A document's fingerprint is the set of its signatures. Short sets say little, so the
-texts without any signature are represented by one hash of the words they have.
+64-bit hash. A document's fingerprint is the set of its signatures. Common words are those a corpus has
+most of in each language (``frequent_words``). Where no chain begins for ``GAP`` words or more, and in texts
+without any chain, each ``RUN`` consecutive words (common ones included) are a signature; so word lists and
+texts in any language have many signatures, and an edit changes only those near it. Without ``run``
+(the functions' default) a text without chains is represented by one hash of the words it has.
 
 Near duplicates: two sets with Jaccard likeness of at least t have sizes within a factor of t. Sets
 are dealt to partitions by length; the rarest signatures of each set (as many as any likely partner must
@@ -18,11 +21,17 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadastra.llm.common import sized
 from cadastra.session import pin, shuffle_partitions
 
 CHAIN = 2
 LIKENESS = 0.8
-# Common words of the corpus languages (a parameter of every function that uses them).
+RUN = 3
+GAP = 20
+# A word is common if it is at least this share of the words of a language, and occurs so often.
+COMMON_SHARE = 0.005
+COMMON_TIMES = 20
+# Common words of four languages (a parameter of every function that uses them).
 COMMON = (
     "the of and to a in is that for it was on with be as by this are at from "
     "de la le et les des en un du une que pour est qui dans par pas au sur avec "
@@ -31,32 +40,79 @@ COMMON = (
 ).split()
 
 
-def spot_signatures(text: Column, common: list[str] = COMMON, chain: int = CHAIN) -> Column:
-    """Sorted distinct signature hashes of a text, an array of long. Null counts as empty; a text
-    without signatures gives one hash of all its words, a text without words gives no hash."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+def words_of(text: Column) -> Column:
+    """Lower-cased runs of letters or digits. Null counts as empty."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+
+
+def frequent_words(docs: DataFrame) -> list[str]:
+    """Common words of ``docs`` (text, and lang if there is one), sorted: those with at least
+    ``COMMON_SHARE`` of all words of a language and ``COMMON_TIMES`` occurrences there. They hold for every
+    text, so that a fingerprint does not depend on the label. At most 1 / COMMON_SHARE a language."""
+    lang = F.coalesce(F.col("lang"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    each = docs.select(lang.alias("lang"), F.explode(words_of(F.col("text"))).alias("word"))
+    counts = pin(each.groupBy("lang", "word").agg(F.count("*").alias("times")))
+    totals = pin(counts.groupBy("lang").agg(F.sum("times").alias("total")))
+    often = counts.filter(F.col("times") >= COMMON_TIMES).join(sized(totals, totals.count()), "lang")
+    found = often.filter(F.col("times") >= F.col("total") * F.lit(COMMON_SHARE)).select("word").distinct()
+    return sorted(r["word"] for r in found.collect())
+
+
+def spot_signatures(text: Column, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None) -> Column:
+    """Sorted distinct signature hashes of a text, an array of long. Null counts as empty, a text
+    without words gives no hash. A text without chains gives the hashes of all its runs of ``run``
+    words (of all its words, if they are fewer), and so does, in any text, a stretch of ``GAP`` words or
+    more at which no chain begins; without ``run`` a text without chains gives one hash of all its words."""
     is_common = lambda w: w.isin(list(common))
-    marks = F.filter(
-        F.transform(words, lambda w, i: F.when(is_common(w), F.struct(w.alias("w"), i.alias("i")))),
-        lambda m: m.isNotNull(),
-    )
-    content = F.filter(words, lambda w: ~is_common(w))
 
-    def of(parts: Column) -> Column:
+    def parts_of(words: Column) -> Column:
+        marks = F.filter(
+            F.transform(words, lambda w, i: F.when(is_common(w), F.struct(w.alias("w"), i.alias("i")))),
+            lambda m: m.isNotNull(),
+        )
+        content = F.filter(words, lambda w: ~is_common(w))
+        return F.struct(words.alias("words"), marks.alias("marks"), content.alias("content"))
+
+    def chains_of(parts: Column) -> Column:
         # The j-th common word stands at i, so i - j content words precede it.
         chains = F.transform(
             parts["marks"],
-            lambda m, j: F.struct(m["w"].alias("w"), F.slice(parts["content"], m["i"] - j + 1, chain).alias("c")),
+            lambda m, j: F.struct(
+                m["w"].alias("w"), m["i"].alias("i"), F.slice(parts["content"], m["i"] - j + 1, chain).alias("c")
+            ),
         )
         full = F.filter(chains, lambda c: F.size(c["c"]) == chain)
-        hashes = F.array_distinct(F.transform(full, lambda c: F.xxhash64(c["w"], F.array_join(c["c"], " "))))
-        return F.when(F.size(hashes) > 0, F.array_sort(hashes)).when(
-            F.size(parts["content"]) + F.size(parts["marks"]) > 0,
-            F.array(F.xxhash64(F.array_join(parts["content"], " "), F.size(parts["marks"]))),
-        ).otherwise(F.array().cast("array<bigint>"))
+        return F.struct(*[parts[k].alias(k) for k in ("words", "marks", "content")], full.alias("full"))
+
+    def of(parts: Column) -> Column:
+        hashes = F.transform(parts["full"], lambda c: F.xxhash64(c["w"], F.array_join(c["c"], " ")))
+        if run is None:
+            return F.when(F.size(hashes) > 0, F.array_sort(F.array_distinct(hashes))).when(
+                F.size(parts["words"]) > 0,
+                F.array(F.xxhash64(F.array_join(parts["content"], " "), F.size(parts["marks"]))),
+            ).otherwise(F.array().cast("array<bigint>"))
+        count = F.size(parts["words"])
+        ends = F.concat(F.array(F.lit(-1)), F.transform(parts["full"], lambda c: c["i"]), F.array(count))
+        # Words first to last - 1 lie between two beginnings of chains.
+        gaps = F.zip_with(
+            F.slice(ends, F.lit(1), F.size(ends) - 1), F.slice(ends, F.lit(2), F.size(ends) - 1),
+            lambda x, y: F.struct((x + 1).alias("first"), y.alias("last")),
+        )
+        bare = F.filter(
+            gaps, lambda g: (g["last"] - g["first"] >= GAP) | ((F.size(parts["full"]) == 0) & (count > 0))
+        )
+        runs = F.flatten(F.transform(
+            bare,
+            lambda g: F.transform(
+                F.sequence(g["first"], F.greatest(g["first"], g["last"] - run)),
+                lambda i: F.xxhash64(F.lit("run"), F.array_join(F.slice(parts["words"], i + 1, run), " ")),
+            ),
+        ))
+        return F.array_sort(F.array_distinct(F.concat(hashes, runs)))
 
-    # transform over one struct evaluates the word lists once.
-    return F.transform(F.array(F.struct(marks.alias("marks"), content.alias("content"))), of)[0]
+    # transform over one value evaluates it once.
+    parts = F.transform(F.array(words_of(text)), parts_of)
+    return F.transform(F.transform(parts, chains_of), of)[0]
 
 
 def jaccard(one: Column, two: Column) -> Column:
@@ -131,7 +187,9 @@ def next_in_order(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return shown.filter(~F.col("guest")).drop("r", "guest")
 
 
-def compare_edits(docs: DataFrame, common: list[str] = COMMON, chain: int = CHAIN) -> DataFrame:
+def compare_edits(
+    docs: DataFrame, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None
+) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_chars, sha256 of its edited text, the fingerprints of
     both, and the likeness of its signatures to the edited text's and to the next document's.
 
@@ -141,7 +199,7 @@ def compare_edits(docs: DataFrame, common: list[str] = COMMON, chain: int = CHAI
     table: no rows.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = {"body": F.col("text"), "mine": spot_signatures(F.col("text"), common, chain)}
+    own = {"body": F.col("text"), "mine": spot_signatures(F.col("text"), common, chain, run)}
     rows = next_in_order(texts, own)
     third = F.floor(F.col("n_chars") / 3).cast("int")
     # A single row has no other row to be shown.
@@ -156,7 +214,7 @@ def compare_edits(docs: DataFrame, common: list[str] = COMMON, chain: int = CHAI
     signed = built.select(
         "doc_id", "n_chars", "mine", "after",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        spot_signatures(F.col("edited"), common, chain).alias("other"),
+        spot_signatures(F.col("edited"), common, chain, run).alias("other"),
     )
     return signed.select(
         "doc_id", "n_chars", "edited_sha256",
@@ -167,12 +225,12 @@ def compare_edits(docs: DataFrame, common: list[str] = COMMON, chain: int = CHAI
 
 
 def near_pairs(
-    docs: DataFrame, least: float = LIKENESS, common: list[str] = COMMON, chain: int = CHAIN
+    docs: DataFrame, least: float = LIKENESS, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(members, pairs). members: doc_id and class_id (the smallest id with the same signature
     set) of every row of ``docs``; pairs: a, b (class ids, a < b) and likeness of all classes whose
     sets have a likeness of at least ``least``. Empty sets form a class without pairs."""
-    signed = pin(docs.select("doc_id", spot_signatures(F.col("text"), common, chain).alias("set")))
+    signed = pin(docs.select("doc_id", spot_signatures(F.col("text"), common, chain, run).alias("set")))
     classes = pin(signed.groupBy("set").agg(F.min("doc_id").alias("class_id")))
     members = signed.join(classes, "set").select("doc_id", "class_id")
     sized_sets = classes.filter(F.size("set") > 0).select("class_id", "set", F.size("set").alias("n"))

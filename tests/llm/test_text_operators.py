@@ -4,6 +4,7 @@ empty tables and clashing columns."""
 from __future__ import annotations
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -346,6 +347,52 @@ def test_near_pairs_match_brute_force(df, docs, least):
     assert {(r.a, r.b): r.likeness for r in pairs.collect()} == pytest.approx(want)
 
 
+def spot_runs(text, common, run=3, gap=20, chain=2):
+    """Chains, and runs of words where no chain begins, by plain Python."""
+    found = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+    begins, out = [-1], set()
+    for i, w in enumerate(found):
+        after = [x for x in found[i + 1 :] if x not in common][:chain]
+        if w in common and len(after) == chain:
+            out.add((w, *after))
+            begins.append(i)
+    for a, b in zip(begins, [*begins[1:], len(found)], strict=True):
+        if found and (b - a - 1 >= gap or len(begins) == 1):
+            out |= {("run", *found[i : min(i + run, len(found))]) for i in range(a + 1, max(a + 2, b - run + 1))}
+    return out
+
+
+def test_spots_with_runs_match_brute_force(spark, docs):
+    # Long runs of one word would take plain Python too long.
+    short = [(i, t) for i, t in docs if len(t or "") < 10000]
+    common = ["the", "of", "la"]
+    after, sets = brute.edited(short), {i: spot_runs(t, common) for i, t in short}
+    prints = {}
+    for r in spots.compare_edits(table(spark, short), common, run=3).collect():
+        changed, following = after[r.doc_id]
+        assert r.near_edited == pytest.approx(brute.likeness(sets[r.doc_id], spot_runs(changed, common)))
+        assert r.near_next == pytest.approx(brute.likeness(sets[r.doc_id], sets[following]))
+        prints[r.doc_id] = r.fingerprint
+    assert all((sets[a] == sets[b]) == (prints[a] == prints[b]) for a in sets for b in sets)
+
+
+def test_spots_of_other_languages(spark):
+    """Words are counted, not listed: an unknown language has anchors, and word lists have runs."""
+    r = random.Random(3)
+    name = lambda: "".join(r.choice("kolamiseru") for _ in range(6))
+    prose = [(i, " ".join(r.choice(["ja", "ei", "on"]) if r.random() < 0.3 else name() for _ in range(90))) for i in range(40)]
+    lists = [(100 + i, " ".join(name() for _ in range(90))) for i in range(40)]
+    docs = table(spark, prose + lists).withColumn("lang", F.when(F.col("doc_id") < 100, "fi").otherwise(F.lit(None)))
+    common = spots.frequent_words(docs)
+    assert common == ["ei", "ja", "on"]
+    got = spots.compare_edits(docs, common, run=spots.RUN).collect()
+    assert all(x.near_edited > 0.2 for x in got)
+    sets = {i: spots.spot_signatures(F.lit(t), ["the", "of"], run=spots.RUN).alias(f"s{i}") for i, t in enumerate(["the cat", "cat of", "the of", ""])}
+    row = spark.range(1).select(*sets.values()).first()
+    assert len({tuple(x) for x in row}) == 4 and row[3] == []
+    assert spots.frequent_words(docs.limit(0)) == []
+
+
 # empty tables ------------------------------------------------------------------------------
 
 
