@@ -4,8 +4,8 @@ Inputs are words: each word brings an embedding of its own and the embeddings of
 groups (3 and 4 bytes, with marks for its ends). The network reads windows of ``STEPS`` words that
 overlap by half; attention pools the states and inputs of a window into one logit. A text's score
 is that of its worst window, and every window of the whole text is scored. It is fitted on the
-driver in numpy, on a bounded sample of labelled rows: about ``PER_CLASS`` rows of each label, from
-texts of at most ``MOST_CHARS`` characters.
+driver in numpy, on a bounded sample of labelled rows: about ``PER_CLASS`` rows of each label, whatever
+the length of their texts. Of a text above ``MOST_CHARS`` characters a random run of so many is taken.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm import recurrent as R
 from cadastra.llm import words as W
 from cadastra.llm.common import bounded, bucket_of, slices
+from cadastra.session import pin
 
 UNITS = 12
 WIDTH = 16
@@ -47,22 +48,32 @@ LOWER[0x41:0x5B] += 32
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> pd.DataFrame:
     """text and toxic of labelled rows outside the held-out fold: of each label a share by id hash
-    that gives about ``per_class`` rows. A document with several labels counts as toxic if one is."""
+    that gives about ``per_class`` of the ids that have a text. A document with several labels counts as
+    toxic if one is; of several rows of an id one is drawn. Long texts are represented by a random run."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (bucket_of("doc_id", FOLDS) != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    written = docs.select("doc_id", "text").filter(F.length("text") > 0)
+    # Labels of ids without text teach nothing, so they do not count.
+    known = pin(known.join(written.select("doc_id"), "doc_id", "left_semi"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if not counts:
         return pd.DataFrame({"text": [], "toxic": []})
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit("toxicity"), F.col("doc_id")), 11) / float(1 << 53)
+    draw = _draw("toxicity", "doc_id")
     share = F.lit(0.0)
     for label, rows in counts.items():
         share = F.when(F.col("toxic") == label, min(1.0, per_class / rows)).otherwise(share)
     # About 2 * per_class ids, whatever the input; the limit is the bound in the unlikely rest.
     chosen = known.filter(draw < share).orderBy(draw).limit(4 * per_class)
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= MOST_CHARS)
-    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
-    rows = found.orderBy("doc_id", "text").limit(8 * per_class).toPandas()
-    return rows[["text", "toxic"]]
+    spare = F.greatest(F.lit(0), F.length("text") - MOST_CHARS)
+    run = F.substring(F.col("text"), (F.floor(_draw("run", "doc_id", "text") * (spare + 1)) + 1).cast("int"), F.lit(MOST_CHARS))
+    found = written.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", run.alias("text"), _draw("row", "text").alias("at"))
+    one = found.groupBy("doc_id", "toxic").agg(F.min(F.struct("at", "text"))["text"].alias("text"))
+    return one.toPandas().sort_values("doc_id", ignore_index=True)[["text", "toxic"]]
+
+
+def _draw(name: str, *columns: str) -> Column:
+    """A number from 0 to 1 by the hash of some columns."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(name), *columns), 11) / float(1 << 53)
 
 
 class Words:

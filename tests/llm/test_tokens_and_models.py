@@ -191,3 +191,19 @@ def test_toxicity_on_tables(spark):
     assert {x.score for x in toxicity.predict(docs, one_label).collect()} == {1.0}
     assert {x.score for x in toxicity.predict(docs, toxicity.fit(docs, marks.limit(0))).collect()} == {0.0}
     assert toxicity.predict(docs.limit(0), network).count() == 0
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    """A label that only long texts have, or few of the documents at hand, is in the sample."""
+    clean, toxic = "ba be bi " * 4000, "grrba grrbe " * 3000
+    rows = [(i, toxic if i % 2 else "ba be " * (i + 1)) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (0, clean), (0, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, None, i % 2) for i in [*range(60), *range(10**6, 10**6 + 4000)]], "doc_id long, quality int, toxic int")
+    found = toxicity.sample(docs, marks, per_class=100)
+    wanted = [i for i in range(60) if i % 2 and i in set(docs.filter(toxicity.bucket_of("doc_id", toxicity.FOLDS) != toxicity.HELD_OUT).toPandas()["doc_id"])]
+    assert (found["toxic"] == 1).sum() == len(wanted) > 0 and (found["toxic"] == 0).sum() > 0
+    assert found["text"].str.len().max() == toxicity.MOST_CHARS
+    assert all(("grr" in t) == bool(x) for t, x in zip(found["text"], found["toxic"], strict=True))
+    assert isinstance(toxicity.fit(docs, marks), toxicity.Network)
+    short = toxicity.sample(docs.filter("length(text) <= 8000"), marks, per_class=100)
+    assert set(short["toxic"]) == {0}
