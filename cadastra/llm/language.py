@@ -3,7 +3,8 @@
 The network labels every byte of a text from both sides; a text's probabilities are the mean over
 its bytes. Whole texts are read, in windows of ``STEPS`` bytes that run side by side. It is fitted on
 the driver in numpy, on a bounded sample of labelled rows: about ``PER_LABEL`` rows of each
-language, with ``PIECES`` pieces of ``PIECE`` characters from each.
+language, with ``PIECES`` pieces of ``PIECE`` characters from each. Every language is learned; if there are
+many, there are fewer rows of each, ``MOST_ROWS`` in all but one at least.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm import recurrent as R
-from cadastra.llm.common import bounded, bucket_of, slices
+from cadastra.llm.common import bounded, bucket_of, sized, slices
 from cadastra.llm.words import text_bytes
+from cadastra.session import pin
 
 UNITS = 12
 STEPS = 128
@@ -26,7 +28,10 @@ WIDE = 2048
 PER_LABEL = 300
 PIECES = 4
 PIECE = 200
-MOST_LABELS = 64
+MOST_ROWS = 64 * PER_LABEL
+# Labels up to which windows and batches have their full width, and rounds are not added.
+FULL_WIDTH = 64
+MOST_MORE = 4
 ROUNDS = 400
 BATCH = 128
 TRAIN_STEPS = 64
@@ -39,23 +44,25 @@ LETTER = re.compile(r"[^\W\d_]")
 def sample(docs: DataFrame, per_label: int = PER_LABEL) -> pd.DataFrame:
     """Pieces of text with their language: rows outside the held-out fold, of each language a share
     by id hash that gives about ``per_label`` rows, and evenly spaced pieces of each."""
-    rows = docs.filter((bucket_of("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # One row per language; if there are more than MOST_LABELS, the most frequent are learned.
-    counts = rows.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(MOST_LABELS).collect()
-    if not counts:
-        return pd.DataFrame({"lang": [], "piece": []})
+    rows = docs.filter((bucket_of("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & (F.length("text") > 0))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("language"), F.col("doc_id")), 11) / float(1 << 53)
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], min(1.0, per_label / row["rows"])).otherwise(share)
+    # One row per language.
+    counts = pin(rows.groupBy("lang").agg(F.count("*").alias("rows"), F.min(draw).alias("least")))
+    languages = counts.count()
+    if not languages:
+        return pd.DataFrame({"lang": [], "piece": []})
+    per_label = max(1, min(per_label, MOST_ROWS // languages))
+    shares = counts.select(F.col("lang").alias("known"), (F.lit(per_label) / F.col("rows")).alias("share"), "least")
     step = F.greatest(F.lit(1), F.floor((F.length("text") - PIECE) / PIECES))
     pieces = F.transform(
         F.sequence(F.lit(0), F.lit(PIECES - 1)),
         lambda i: F.substring(F.col("text"), (i * step + 1).cast("int"), F.lit(PIECE)),
     )
-    chosen = rows.filter(draw < share).select("lang", F.explode(F.array_distinct(pieces)).alias("piece"))
-    # About per_label * PIECES rows of PIECE characters for each of at most MOST_LABELS languages.
-    return chosen.orderBy(F.xxhash64("piece")).limit(2 * per_label * PIECES * len(counts)).toPandas()
+    # The row of the least draw stands for a language whose share gives none.
+    drawn = rows.join(sized(shares, languages), F.col("lang") == F.col("known")).filter((draw < F.col("share")) | (draw == F.col("least")))
+    chosen = drawn.select("lang", F.explode(F.array_distinct(pieces)).alias("piece"))
+    # About per_label * PIECES rows of PIECE characters for each language.
+    return chosen.orderBy(F.xxhash64("piece")).limit(2 * per_label * PIECES * languages).toPandas()
 
 
 class Network:
@@ -109,8 +116,10 @@ class Network:
         padded = np.concatenate((data, np.zeros(STEPS, np.uint8)))
         steps = np.arange(STEPS)[:, None]
         front, rear = p["V"][:, :units], p["V"][:, units:]
-        for at in range(0, len(order), WIDE):
-            some = order[at : at + WIDE]
+        # Probabilities of all labels are held for as many windows as keep them bounded.
+        wide = max(16, WIDE * FULL_WIDTH // max(FULL_WIDTH, len(self.labels)))
+        for at in range(0, len(order), wide):
+            some = order[at : at + wide]
             symbols = padded[starts[some][None, :] + steps]
             full = lengths[some[-1]] == STEPS
             mask = None if full else (steps < lengths[some][None, :]).astype(np.float32)
@@ -124,20 +133,26 @@ class Network:
         return sums / np.maximum(sizes, 1)[:, None]
 
 
-def train(pieces: list[bytes], names: list[str], rounds: int = ROUNDS, seed: int = 7) -> Network | None:
-    """Fit on labelled pieces; every language is drawn equally often. None without any piece."""
+def train(pieces: list[bytes], names: list[str], rounds: int | None = None, seed: int = 7) -> Network | None:
+    """Fit on labelled pieces; every language is drawn equally often, with more rounds (``MOST_MORE`` times
+    as many at most) if there are more than ``FULL_WIDTH``. None without any piece."""
     pairs = sorted((p, n) for p, n in zip(pieces, names, strict=True) if p)
     if not pairs:
         return None
     labels = sorted({n for _, n in pairs})
     network = Network(labels, seed=seed)
     rng = np.random.default_rng(seed)
-    by_label = [[np.frombuffer(p, np.uint8) for p, n in pairs if n == label] for label in labels]
+    by_name: dict[str, list[np.ndarray]] = {label: [] for label in labels}
+    for p, n in pairs:
+        by_name[n].append(np.frombuffer(p, np.uint8))
+    by_label = list(by_name.values())
+    rounds = rounds or ROUNDS * min(MOST_MORE, max(1, -(-len(labels) // FULL_WIDTH)))
+    batch = max(16, min(BATCH, BATCH * 16 * FULL_WIDTH // len(labels)))
     adam = R.Adam(network.params, 0.02)
     for turn in range(rounds):
-        target = rng.integers(0, len(labels), BATCH)
-        symbols = np.zeros((TRAIN_STEPS, BATCH), np.uint8)
-        mask = np.zeros((TRAIN_STEPS, BATCH), np.float32)
+        target = rng.integers(0, len(labels), batch)
+        symbols = np.zeros((TRAIN_STEPS, batch), np.uint8)
+        mask = np.zeros((TRAIN_STEPS, batch), np.float32)
         for column, label in enumerate(target):
             piece = by_label[label][rng.integers(len(by_label[label]))]
             start = rng.integers(0, max(1, len(piece) - TRAIN_STEPS + 1))

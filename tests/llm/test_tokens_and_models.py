@@ -207,3 +207,17 @@ def test_toxicity_learns_from_long_texts(spark):
     assert isinstance(toxicity.fit(docs, marks), toxicity.Network)
     short = toxicity.sample(docs.filter("length(text) <= 8000"), marks, per_class=100)
     assert set(short["toxic"]) == {0}
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """More than 64 languages, the rarest with few rows, and a bound on the whole sample."""
+    names = [f"l{k:02d}" for k in range(90)]
+    rows = [(1000 * k + i, chr(0x100 + k) * 30 + f" {i}", name) for k, name in enumerate(names) for i in range(100 - k)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(language.sample(df)["lang"]) == set(names)
+    monkeypatch.setattr(language, "MOST_ROWS", 180)
+    few = language.sample(df)
+    assert set(few["lang"]) == set(names) and len(few) < 1000
+    network = language.train([p.encode() for p in few["piece"]], list(few["lang"]), rounds=2)
+    assert network.labels == names
+    assert len(language.predict(df.limit(50), network).collect()) == 50
