@@ -122,7 +122,7 @@ SELECT b.code AS commune_id, b.nom AS name, b.departement AS department_code, b.
  code IN (SELECT INSEE_COM FROM {littoral_perimeter} WHERE CLASSEMENT = 'Mer') AS is_coast, code IN (SELECT INSEE_COM FROM {littoral_perimeter} WHERE CLASSEMENT = 'Estuaire') AS has_estuary,
  code IN (SELECT INSEE_COM FROM {littoral_perimeter} WHERE CLASSEMENT = 'Lac') AS has_lake,
  CAST(altitude_min AS INTEGER) AS altitude_min, CAST(altitude_max AS INTEGER) AS altitude_max, CAST(altitude_moyenne AS DOUBLE) AS altitude_moyenne,
- coalesce(c.department_code IN ('2A', '2B', '971', '972', '974', '976'), false) AS is_insular, b.code """ + IN_ISLANDS + """ AS is_island_commune,
+ coalesce(c.department_code IN ('2A', '2B', '971', '972', '974', '976'), false) AS is_insular, coalesce(c.id """ + IN_ISLANDS + """, false) AS is_island_commune,
  (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy
 FROM {boxes} b LEFT JOIN {altitude} ON commune_id = code LEFT JOIN {o_communes} c ON c.id = b.code""",
         "o_pop": """
