@@ -23,6 +23,9 @@ SCHEMA = (
 # Letters and spaces below this code point have been the same in every Unicode version in use, so
 # both tokenizer libraries split such texts alike.
 STABLE = r"[^\x00-ɏ]"
+# tiktoken's regular expressions keep a stack entry for each sign of a run of white space and end
+# the process when there are too many (300,000 pass); runs from here on go through tokenizers.
+LONG_RUN = r"(?<!\s)\s{10000}"
 
 
 def cut(count: int, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -41,8 +44,9 @@ class Encoder:
     """Ids of a text by the vocabulary of a tokenizers file, as unsigned 32-bit numbers.
 
     The tokenizers library needs more CPU than the packing budget allows, so texts of plain Latin
-    characters go through tiktoken with the ranks of the same file, which gives the same ids; any
-    other text goes through tokenizers. Strings of special tokens are ordinary text.
+    characters and without very long runs of white space go through tiktoken with the ranks of the
+    same file, which gives the same ids; any other text goes through tokenizers. Strings of special
+    tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -53,7 +57,7 @@ class Encoder:
         import tiktoken
 
         self.path = path
-        self.other = re.compile(STABLE)
+        self.other = re.compile(f"{STABLE}|{LONG_RUN}")
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         letters = byte_letters()
@@ -97,8 +101,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1)
 
     A null text counts as empty and gives the single id ``end_id``. offset is always 0, as each
     piece is a sequence. sequence_id is unique: the exponent of the length, the task, and a running
-    number of that length in the task; a repeated task gives the same numbers. Rows that share a
-    doc_id are packed one by one. Other columns are ignored. Empty table: no rows.
+    number of that length in the task; a repeated task gives the same numbers. Texts of any length
+    and make, such as millions of blanks, are encoded whole. Rows that share a doc_id are packed one by one. Other columns are ignored. Empty table: no rows.
     """
     if length < 1 or length & (length - 1):
         raise ValueError("the sequence length must be a power of two")

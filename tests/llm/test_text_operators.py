@@ -107,6 +107,23 @@ def test_both_tokenizer_libraries_agree():
     assert encode(mixed).tolist() == encode.full.encode(mixed, add_special_tokens=False).ids
 
 
+def test_pack_of_very_long_runs(spark):
+    """Runs of millions of one sign, alone and inside a text, give the ids of the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(Q.TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    many = 2_000_000
+    texts = [" " * many, "\n" * many, "a" * many, "é" * many, " \t\u00a0" * (many // 3), f"word{' ' * many}word\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {i: [] for i in range(len(texts))}
+    for r in packing.pack(df, Q.TOKENIZER).select("doc_id", "start", "ids").orderBy("doc_id", "start").collect():
+        found[r.doc_id].append(r.ids)
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert b"".join(found[i]) == np.array(ids, "<u4").tobytes()
+
+
 def test_pack_of_odd_rows(odd):
     rows = packing.pack(odd, Q.TOKENIZER).collect()
     assert sum(r.start == 0 for r in rows) == 7

@@ -56,3 +56,34 @@ def test_pipeline_stages(spark, folder):
         packed.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
     assert packed == {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in rows}
     assert corpus_pipeline.run(spark, folder).count() == docs.count()
+
+
+def test_pipeline_survives_long_runs_and_odd_rows(spark, folder, tmp_path):
+    """Runs of millions of one sign, null and empty texts, repeated rows and clashing column names."""
+    from pyspark.sql import functions as F
+
+    many = 2_000_000
+    docs = Q.table(spark, folder, "documents")
+    odd = [(-1, " " * many), (-2, "\n" * many), (-3, "q" * many), (-4, f"word{' ' * many}words\n"), (-5, None), (-6, ""),
+           (-7, "of the two"), (-7, "of the two"), (None, "this and that")]
+    rows = spark.createDataFrame([(i, t, None, None, None) for i, t in odd], docs.schema)
+    clash = {c: F.lit("x") for c in ("kept", "rows", "any", "fp", "ids", "start", "score", "component_id", "key")}
+    docs.unionByName(rows).withColumns(clash).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    Q.table(spark, folder, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    ids = {r.doc_id for r in packed.select("doc_id").distinct().collect()}
+    # -1, -5 and -6 equal -2, the least id of the longest; one row of the repeated ones stays.
+    assert {-2, -3, -4, -7, None} <= ids and not ids & {-1, -5, -6}
+    assert packed.filter("doc_id = -7 and start = 0").count() == 1
+
+
+def test_pipeline_of_empty_tables(spark, folder, tmp_path):
+    for name in ("documents", "labels"):
+        Q.table(spark, folder, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = Q.table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, str(tmp_path))
+        assert found.count() == 0
+        if name != "packing":
+            assert found.columns == docs.columns
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
