@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, exact, language, packing, sharding, simhash, spots, substrings, toxicity, urls
+from cadastra.llm import bpe, exact, infilling, language, packing, sharding, simhash, spots, substrings, toxicity, urls
 from cadastra.llm.common import hex16
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,11 +123,48 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spots.compare_edits(docs, spots.frequent_words(docs), run=spots.RUN)
 
 
+def op13_infilling(spark: SparkSession, folder: str) -> DataFrame:
+    moved = infilling.transform(table(spark, folder, "documents"))
+    whole = infilling.restore(F.col("form"), F.col("output"))
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(whole.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+r AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+         CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+         array_to_string(u[greatest(a, b) + 1:], '') AS s
+  FROM r)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_language, op3_byte_bpe, op4_simhash, op5_exact_dedup, op6_url_filter,
-        op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures,
+        op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures, op13_infilling,
     )
 }
-ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL.strip(), "op6_url_filter": OP6_SQL.strip(), "op8_substring_dedup": OP8_SQL.strip()}
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": OP5_SQL.strip(), "op6_url_filter": OP6_SQL.strip(), "op8_substring_dedup": OP8_SQL.strip(),
+    "op13_infilling": OP13_SQL.strip(),
+}
