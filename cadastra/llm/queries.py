@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, exact, infilling, language, packing, sharding, simhash, spots, substrings, toxicity, urls
+from cadastra.llm import bpe, exact, infilling, language, licenses, packing, sharding, simhash, spots, substrings, toxicity, urls
 from cadastra.llm.common import hex16
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,6 +123,13 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spots.compare_edits(docs, spots.frequent_words(docs), run=spots.RUN)
 
 
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op13_infilling(spark: SparkSession, folder: str) -> DataFrame:
     moved = infilling.transform(table(spark, folder, "documents"))
     whole = infilling.restore(F.col("form"), F.col("output"))
@@ -161,7 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_language, op3_byte_bpe, op4_simhash, op5_exact_dedup, op6_url_filter,
-        op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures, op13_infilling,
+        op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures, op12_licenses, op13_infilling,
     )
 }
 ORACLES: dict[str, str] = {
