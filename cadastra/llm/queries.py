@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import bpe, exact, infilling, language, licenses, packing, sharding, simhash, spots, substrings, toxicity, urls
+from cadastra.llm import bpe, exact, infilling, language, licenses, packing, phrases, sharding, simhash, spots, substrings, toxicity, urls
 from cadastra.llm.common import hex16
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,6 +123,43 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spots.compare_edits(docs, spots.frequent_words(docs), run=spots.RUN)
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM d),
+g AS (
+  SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest([ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))]) FROM w
+  UNION ALL SELECT lang, 3, unnest([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)]) FROM w),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
+o AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase FROM c WHERE k = 3) GROUP BY ALL),
+s AS (SELECT c.* FROM c LEFT JOIN o USING (lang, phrase) WHERE NOT coalesce(c.k = 2 AND 100 * o.f >= 50 * c.f, false)),
+u AS (SELECT *, unnest(range(1, k)) AS cut FROM s),
+p AS MATERIALIZED (SELECT *, lang || '|' || array_to_string(ws[1:cut], ' ') AS one, lang || '|' || array_to_string(ws[cut + 1:], ' ') AS two FROM u),
+e AS MATERIALIZED (SELECT lang || '|' || phrase AS key, f FROM f WHERE f >= 10),
+x AS (
+  SELECT p.*, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * p.f * p.f // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM p JOIN e l ON l.key = one JOIN e r ON r.key = two),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, encode(phrase)) AS rank, phrase, f AS a, l, r,
+       CAST(n AS BIGINT) AS n, score
+FROM b JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
 def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -168,10 +205,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_language, op3_byte_bpe, op4_simhash, op5_exact_dedup, op6_url_filter,
-        op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures, op12_licenses, op13_infilling,
+        op7_sharding, op8_substring_dedup, op9_toxicity, op10_spot_signatures, op11_phrases, op12_licenses, op13_infilling,
     )
 }
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": OP5_SQL.strip(), "op6_url_filter": OP6_SQL.strip(), "op8_substring_dedup": OP8_SQL.strip(),
-    "op13_infilling": OP13_SQL.strip(),
+    "op11_phrases": OP11_SQL.strip(), "op13_infilling": OP13_SQL.strip(),
 }
