@@ -3,7 +3,8 @@
 Which n-grams occur ``least`` times or more in a language is found in two passes, none of which ships
 all n-grams as text:
 
-1. Blocks of documents are read apart. Each n-gram becomes a 64-bit hash, and a block's counts go to
+1. Blocks of documents are read apart. Each n-gram becomes a hash of 64 bits or, in a small corpus, so many
+   that few n-grams share one, and a block's counts go to
    hash partitions, as one sorted summary per block and partition, each count cut at ``least`` (an n-gram
    is frequent by the cut counts exactly if it is by the full ones). A partition merges its summaries
    by Misra and Gries: more counters than its mass divided by ``least``, and whenever there are too
@@ -39,6 +40,8 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 # Bytes of text in a block and in the n-grams of a hash partition.
 BLOCK_BYTES = 16 << 20
+# Bits of a hash beyond those that number the n-grams of the corpus.
+SPARE_BITS = 12
 # Counters of a summary, in multiples of its mass divided by the least count.
 ROOM = 2
 # Words that are counted as words at once; below 2 ** 21, so that three numbers fit a long.
@@ -79,7 +82,7 @@ class Text:
                 more[: count - n] = self.reach[-1][: count - n] & joined[n - 1 : count - 1]
             self.reach.append(more)
 
-    def hashes(self, language: str) -> list[np.ndarray]:
+    def hashes(self, language: str, bits: int = 64) -> list[np.ndarray]:
         """Hashes of the n-grams from each word on, by n; only those in reach mean something."""
         name = np.frombuffer(b"\0" + language.encode(), np.uint8)
         words = np.zeros(len(self.starts), np.uint64)
@@ -94,7 +97,7 @@ class Text:
             count = max(0, len(words) - n)
             longer[:count] = W.mix(out[-1][:count] * np.uint64(W.ODD[0]) + words[n : n + count])
             out.append(longer)
-        return out
+        return [h >> np.uint64(64 - bits) for h in out] if bits < 64 else out
 
     def numbers(self, begin: int, end: int) -> tuple[np.ndarray, pa.Array]:
         """(number of each word from begin to end, the distinct words) by the words themselves."""
@@ -182,12 +185,14 @@ def among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
 
 
-def edges(parts: int) -> np.ndarray:
-    """Least key of each of ``parts`` even ranges of keys."""
-    return np.array([-(-(i << 64) // parts) for i in range(parts)], np.uint64)
+def edges(parts: int, bits: int = 64) -> np.ndarray:
+    """Least key of each of ``parts`` even ranges of keys of so many bits."""
+    return np.array([-(-(i << bits) // parts) for i in range(parts)], np.uint64)
 
 
-def block_summaries(docs: DataFrame, blocks: int, parts: int, least: int, longest: int) -> DataFrame:
+def block_summaries(
+    docs: DataFrame, blocks: int, parts: int, least: int, longest: int, bits: int = 64
+) -> DataFrame:
     """The n-gram counts of every block, cut at ``least``, by hash partition."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +204,7 @@ def block_summaries(docs: DataFrame, blocks: int, parts: int, least: int, longes
             block = batch.column("block")[0].as_py()
             for language, texts in by_language(batch):
                 text = Text(texts, longest)
-                found += [h[r] for h, r in zip(text.hashes(language), text.reach, strict=True)]
+                found += [h[r] for h, r in zip(text.hashes(language, bits), text.reach, strict=True)]
         if block is None:
             return
         keys = np.concatenate(found)
@@ -208,7 +213,7 @@ def block_summaries(docs: DataFrame, blocks: int, parts: int, least: int, longes
         first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
         counts = np.minimum(np.diff(np.append(first, len(keys))), least).astype(np.uint32)
         keys = keys[first]
-        cuts = np.append(np.searchsorted(keys, edges(parts)), len(keys))
+        cuts = np.append(np.searchsorted(keys, edges(parts, bits)), len(keys))
         for part in np.flatnonzero(np.diff(cuts)):
             some = slice(cuts[part], cuts[part + 1])
             values = [int(part)], [block], [int(counts[some].sum())], [pack_keys(keys[some])], [counts[some].astype("<u4").tobytes()]
@@ -262,7 +267,7 @@ def counted(text: Text, hashes: list[np.ndarray], wanted: np.ndarray) -> Iterato
             yield n, pc.binary_join_element_wise(*parts, BLANK) if n > 1 else parts[0], times
 
 
-def exact_counts(docs: DataFrame, wanted: DataFrame, blocks: int, longest: int) -> DataFrame:
+def exact_counts(docs: DataFrame, wanted: DataFrame, blocks: int, longest: int, bits: int = 64) -> DataFrame:
     """(lang, words, phrase, times) of the n-grams on each block's list, one row for each batch of texts
     they occur in; and, with null phrase and words 0, the number of all words."""
 
@@ -280,7 +285,7 @@ def exact_counts(docs: DataFrame, wanted: DataFrame, blocks: int, longest: int)
             for language, texts in by_language(rest):
                 text = Text(texts, longest)
                 rows = [(0, pa.nulls(1, pa.large_string()), np.array([len(text.starts)]))]
-                for n, phrases, times in (*rows, *counted(text, text.hashes(language), keys)):
+                for n, phrases, times in (*rows, *counted(text, text.hashes(language, bits), keys)):
                     arrays = [pa.array([language] * len(times)), pa.array(np.full(len(times), n, np.int32)), phrases.cast(pa.string()), pa.array(times.astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(arrays, ["lang", "words", "phrase", "times"])
 
@@ -304,11 +309,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         raise ValueError("least and longest must be at least 1")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(shuffle_partitions(docs.sparkSession), -(-size // block_bytes))
+    # No more n-grams than bytes (for three words): about one in 2 ** SPARE_BITS shares its hash.
+    bits = min(64, int(size).bit_length() + SPARE_BITS)
     # Rows are dealt by id and text: copies with ids of their own do not meet in one block.
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     slim = docs.select(block.alias("block"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    wanted = candidates(block_summaries(slim, blocks, blocks, least, longest), blocks, least)
-    every = exact_counts(slim, wanted, blocks, longest)
+    wanted = candidates(block_summaries(slim, blocks, blocks, least, longest, bits), blocks, least)
+    every = exact_counts(slim, wanted, blocks, longest, bits)
     sums = every.groupBy("lang", "words", "phrase").agg(F.sum("times").alias("f"))
     return pin(sums.filter((F.col("words") == 0) | (F.col("f") >= least)))
 
@@ -361,13 +368,16 @@ def collocations(
     # The least of (score, k) leads.
     best = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("best"))
     best = best.select("lang", "phrase", "best.a", "best.l", "best.r", "best.score")
-    # First within slices of a language, so that no task sorts all phrases of one.
+    # First within ever fewer slices of a language, so that no task sorts all phrases of one.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    slice_ = F.pmod(F.xxhash64("phrase"), F.lit(shuffle_partitions(docs.sparkSession))).alias("slice")
-    some = best.select("*", slice_)
-    some = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order)))
-    some = some.filter(F.col("rank") <= top)
-    first = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    first = best
+    slices_ = shuffle_partitions(docs.sparkSession)
+    while slices_ > 1:
+        place = F.pmod(F.xxhash64("phrase"), F.lit(slices_))
+        window = Window.partitionBy("lang", place).orderBy(*order)
+        first = first.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= top)
+        slices_ //= 16
+    first = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     first = first.filter(F.col("rank") <= top)
     totals = known.filter("words = 0").select("lang", F.col("f").alias("n"))
     return first.join(totals, "lang").select(

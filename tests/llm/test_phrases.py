@@ -83,6 +83,14 @@ def test_counts_are_exact_and_whole(spark):
     assert {x.lang: x.f for x in found if not x.words} == dict(totals)
 
 
+@pytest.mark.parametrize("spare", [-8, 0, 40])
+def test_shared_hashes_change_nothing(spark, monkeypatch, spare):
+    rows = corpus(12)
+    monkeypatch.setattr(P, "SPARE_BITS", spare)
+    found = P.collocations(frame(spark, rows), least=3, block_bytes=1500)
+    assert sorted(tuple(x) for x in found.collect()) == mined(rows, 3)
+
+
 def test_empty_tables_and_texts_without_phrases(spark):
     assert P.collocations(frame(spark, [])).count() == 0
     assert P.collocations(frame(spark, [(1, None, None), (2, "", "en"), (3, "a b c", "en")])).count() == 0
@@ -134,7 +142,7 @@ def test_hash_ranges_cover_all_keys():
 def test_colliding_hashes_are_told_apart(spark, monkeypatch):
     """All n-grams of one size get one of three hashes: counts are still those of the words."""
     real = P.Text.hashes
-    monkeypatch.setattr(P.Text, "hashes", lambda self, lang: [h % np.uint64(3) for h in real(self, lang)])
+    monkeypatch.setattr(P.Text, "hashes", lambda self, lang, bits=64: [h % np.uint64(3) for h in real(self, lang)])
     import pyarrow as pa
 
     rows = ["a b a b a c", "b a. b a c c"]
