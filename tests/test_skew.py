@@ -158,3 +158,37 @@ def test_interval_join_repeats_no_interval_per_partition(spark):
         assert heavy_keys(facts, ["d"]).isEmpty()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_finding_heavy_keys_shuffles_sketches_only(spark, skewed):
+    """No exchange is dealt by the keys or their hash: only bounded sketches travel."""
+    plan = heavy_keys(skewed, ["k"], 20)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert 1 <= len(exchanges) <= 2 and not any("xxhash64" in line or "k#" in line for line in exchanges)
+    # The grouping of the first step is a number of map tasks, not a key.
+    assert "keys=[_groupingexpression" in plan and "SPARK_PARTITION_ID()" in plan
+    assert heavy_keys(skewed.limit(0), ["k"]).isEmpty()
+    assert heavy_keys(skewed.repartition(50).filter("row < 0"), ["k"]).isEmpty()
+
+
+def test_the_sketch_stays_within_its_error(spark):
+    """Shares around the threshold among many more keys than the sketch tracks."""
+    from cadastra.operators.skew import SKETCH_ERROR
+
+    tasks, rows = 40, 400_000
+    fair = rows // tasks
+    sizes = {-1: int(fair * 0.5), -2: int(fair * 1.5), -3: fair * 3, -4: fair * 10}
+    ends, at = [], 0
+    for key, size in sizes.items():
+        at += size
+        ends.append((key, at))
+    k = F.col("id")
+    for key, end in reversed(ends):
+        k = F.when(F.col("id") < end, F.lit(key)).otherwise(k)
+    df = spark.range(rows).select(k.alias("k")).repartition(9)
+    names = {r["h"]: r["k"] for r in spark.createDataFrame([(x,) for x in sizes], "k long").select("k", F.xxhash64("k").alias("h")).collect()}
+    found = {names[r["_hash"]]: r["_salts"] for r in heavy_keys(df, ["k"], tasks).collect()}
+    assert set(found) <= {-2, -3, -4} and {-3, -4} <= set(found)
+    for key, salts in found.items():
+        share = sizes[key] / fair
+        assert share - SKETCH_ERROR <= salts <= share + 1
