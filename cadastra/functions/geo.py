@@ -236,13 +236,18 @@ def on_boundary(edge_list: Column, x: Column, y: Column) -> Column:
     )
 
 
+def x_at(e: Column, y: Column) -> Column:
+    """Where the line of an edge is at height y; NULL for a level edge."""
+    return (e.bx - e.ax) * (y - e.ay) / F.nullif(e.by - e.ay, F.lit(0.0)) + e.ax
+
+
 def crossings(edge_list: Column, x: Column, y: Column) -> Column:
     """Edges that a ray from the point toward growing x crosses."""
     return F.size(
         F.filter(
             edge_list,
             lambda e: ((e.ay > y) != (e.by > y))
-            & (x < (e.bx - e.ax) * (y - e.ay) / F.nullif(e.by - e.ay, F.lit(0.0)) + e.ax),
+            & (x < x_at(e, y)),
         )
     )
 
@@ -252,6 +257,24 @@ def inside(edge_list: Column, x: Column, y: Column) -> Column:
     return (crossings(edge_list, x, y) % 2 == 1) & ~on_boundary(edge_list, x, y)
 
 
+def inside_from(edge_list: Column, known: Column, x: Column, y: Column, rx: Column, ry: Column) -> Column:
+    """Strictly inside, given whether (rx, ry) is (``known``) and all edges that touch the box of the
+    two points: the way goes level to rx, then upright to ry."""
+    level = F.size(F.filter(
+        edge_list,
+        lambda e: ((e.ay > y) != (e.by > y)) & (x_at(e, y) > F.least(x, rx)) & (x_at(e, y) <= F.greatest(x, rx)),
+    ))
+
+    def y_at(e: Column) -> Column:
+        return (e.by - e.ay) * (rx - e.ax) / F.nullif(e.bx - e.ax, F.lit(0.0)) + e.ay
+
+    upright = F.size(F.filter(
+        edge_list,
+        lambda e: ((e.ax > rx) != (e.bx > rx)) & (y_at(e) > F.least(y, ry)) & (y_at(e) <= F.greatest(y, ry)),
+    ))
+    return (known != ((level + upright) % 2 == 1)) & ~on_boundary(edge_list, x, y)
+
+
 def segments_meet(p: Column, q: Column) -> Column:
     """Whether two edges share a point (crossing, touching or overlapping)."""
 
@@ -275,21 +298,9 @@ def segments_meet(p: Column, q: Column) -> Column:
     )
 
 
-def edges_in(edge_list: Column, x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
-    """Edges whose bounding box meets a window."""
-    return F.filter(
-        edge_list,
-        lambda e: (F.greatest(e.ax, e.bx) >= x0)
-        & (F.least(e.ax, e.bx) <= x1)
-        & (F.greatest(e.ay, e.by) >= y0)
-        & (F.least(e.ay, e.by) <= y1),
+def boxes_meet(p: Column, q: Column) -> Column:
+    """Whether the boxes of two edges share a point."""
+    return (
+        (F.greatest(p.ax, p.bx) >= F.least(q.ax, q.bx)) & (F.greatest(q.ax, q.bx) >= F.least(p.ax, p.bx))
+        & (F.greatest(p.ay, p.by) >= F.least(q.ay, q.by)) & (F.greatest(q.ay, q.by) >= F.least(p.ay, p.by))
     )
-
-
-def edges_meet(left: Column, right: Column) -> Column:
-    return F.exists(left, lambda p: F.exists(right, lambda q: segments_meet(p, q)))
-
-
-def vertex(geometry: Column) -> Column:
-    """Some vertex of the geometry."""
-    return F.element_at(F.element_at(F.element_at(geometry, 1), 1), 1)

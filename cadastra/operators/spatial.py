@@ -1,14 +1,20 @@
-"""Spatial joins over a hierarchical grid.
+"""Spatial joins over a hierarchical grid of cells that hold clipped outlines.
 
-A box is filed at the level whose cell side (a power of two) first reaches its longer side, so
-it touches at most four cells there, whether it is a hamlet or a province. A point looks once per
-level in use; a box looks at its own and all coarser levels. The joins are equi joins on
-(level, cell), with box and exact tests on top. Because a box is more than half as large as its
-cell, shapes that do not overlap cannot crowd into one cell; points can, and are salted.
+A shape is cut up over cells whose side is a power of two: side by side they cover its box with about
+as many cells as the outline has edges, so a cell meets few edges whether the shape is a hamlet or a
+coast. A cell of a shape holds the edges that touch it and whether its reference point lies inside. A
+point is compared with the edges of its own cell only: it is inside if the reference point is, unless
+the way there (level, then upright) crosses the outline an odd number of times. Shapes meet if edges of
+theirs that share a cell do, or if one holds a vertex of the other.
+
+The joins are equi joins on (level, cell), with exact tests on top; crowded cells are salted, and what is
+repeated for a salt is a clipped run of edges, not an outline.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +24,17 @@ from cadastra.operators.skew import skew_join
 from cadastra.session import pin
 
 BOX = ["xmin", "ymin", "xmax", "ymax"]
+CELL = ["level", "cx", "cy"]
+# Edges of an outline for each cell of the grid over its box.
+EDGES_PER_CELL = 4
+# Place of the reference point in a cell, off any round coordinate.
+REFERENCE_X, REFERENCE_Y = 0.3819660112501052, 0.6180339887498949
+# Part of a cell's side by which an edge's reach is widened against rounding.
+MARGIN = 2.0**-30
 
 
 def level_of(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+    """The least power of two that is no less than the longer side."""
     side = F.greatest(xmax - xmin, ymax - ymin, F.lit(2.0**-40))
     return F.ceil(F.log2(side)).cast("int")
 
@@ -29,41 +43,88 @@ def _cell(value: Column, level: Column) -> Column:
     return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
 
 
-def with_boxes(shapes: DataFrame, key: str, geometry: str) -> DataFrame:
-    """Key, edges, one vertex and bounding box of each shape."""
+def outline_edges(shapes: DataFrame, key: str, geometry: str, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per edge of each shape, with the level of the shape's grid; ``carry`` goes along."""
     g = F.col(geometry)
-    return shapes.filter(g.isNotNull()).select(
-        F.col(key),
-        geo.edges(g).alias("edges"),
-        geo.vertex(g).alias("vertex"),
-        geo.xmin(g).alias("xmin"),
-        geo.ymin(g).alias("ymin"),
-        geo.xmax(g).alias("xmax"),
-        geo.ymax(g).alias("ymax"),
+    sized = shapes.filter(g.isNotNull()).select(
+        key, *carry, geo.edges(g).alias("_edges"),
+        geo.xmin(g).alias("xmin"), geo.ymin(g).alias("ymin"), geo.xmax(g).alias("xmax"), geo.ymax(g).alias("ymax"),
+    )
+    # Each halving of the side gives four times the cells.
+    halvings = F.greatest(F.ceil(F.log2(F.size("_edges") / F.lit(EDGES_PER_CELL)) / 2), F.lit(0)).cast("int")
+    level = level_of(*[F.col(c) for c in BOX]) - halvings
+    return sized.filter(F.size("_edges") > 0).select(
+        key, *carry, level.alias("level"), F.explode("_edges").alias("edge")
     )
 
 
-def cover(boxes: DataFrame) -> DataFrame:
-    """One row per cell a box touches at its level (four at most)."""
-    leveled = boxes.withColumn("level", level_of(*[F.col(c) for c in BOX]))
+def _strips(edges: DataFrame) -> DataFrame:
+    """One row per edge and row of cells it passes: ``cy``, the span of x inside, and where the edge crosses
+    the height of the reference points (NULL if it does not)."""
+    e, lv = F.col("edge"), F.col("level")
+    side = F.pow(F.lit(2.0), lv)
+    rows = F.sequence(_cell(F.least(e.ay, e.by), lv), _cell(F.greatest(e.ay, e.by), lv))
+    striped = edges.withColumn("cy", F.explode(rows))
+    left, right = F.least(e.ax, e.bx), F.greatest(e.ax, e.bx)
+
+    def at(y: Column) -> Column:
+        y = F.least(F.greatest(y, F.least(e.ay, e.by)), F.greatest(e.ay, e.by))
+        return F.least(F.greatest(geo.x_at(e, y), left), right)
+
+    low, high = at(F.col("cy") * side), at((F.col("cy") + 1) * side)
+    flat = e.ay == e.by
+    height = (F.col("cy") + F.lit(REFERENCE_Y)) * side
+    return striped.select(
+        *edges.columns, "cy",
+        F.when(flat, left).otherwise(F.least(low, high)).alias("_x0"),
+        F.when(flat, right).otherwise(F.greatest(low, high)).alias("_x1"),
+        F.when((e.ay > height) != (e.by > height), geo.x_at(e, height)).alias("_crossing"),
+    )
+
+
+def _pieces(strips: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per edge and cell it touches."""
     lv = F.col("level")
-    xs = F.sequence(_cell(F.col("xmin"), lv), _cell(F.col("xmax"), lv))
-    ys = F.sequence(_cell(F.col("ymin"), lv), _cell(F.col("ymax"), lv))
-    return leveled.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys))
+    margin = F.pow(F.lit(2.0), lv) * F.lit(MARGIN)
+    cells = F.sequence(_cell(F.col("_x0") - margin, lv), _cell(F.col("_x1") + margin, lv))
+    return strips.select(*columns, "edge", "level", F.explode(cells).alias("cx"), "cy")
+
+
+def cell_index(edges: DataFrame, key: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carry, level, cx, cy, edges, inside) for each cell a shape touches or holds, of
+    ``outline_edges``. A cell that lies whole inside has no edges."""
+    own = [key, *carry]
+    strips = _strips(edges)
+    rows = strips.filter("_crossing is not null").groupBy(*own, "level", "cy").agg(
+        F.array_sort(F.collect_list("_crossing")).alias("_xs")
+    )
+    # A reference point is inside if an odd number of crossings lie beyond it: between the first
+    # and the second, the third and the fourth, and so on.
+    xs, side = F.col("_xs"), F.pow(F.lit(2.0), F.col("level"))
+    first = lambda x: F.ceil(x / side - F.lit(REFERENCE_X)).cast("bigint")
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(xs) / 2).cast("int") - 1),
+        lambda i: F.struct(first(F.get(xs, i * 2)).alias("a"), (first(F.get(xs, i * 2 + 1)) - 1).alias("b")),
+    )
+    held = rows.select(*own, "level", "cy", F.explode(F.filter(runs, lambda r: r.a <= r.b)).alias("_run"))
+    held = held.select(*own, "level", F.explode(F.sequence("_run.a", "_run.b")).alias("cx"), "cy")
+    touched = _pieces(strips, own)
+    parts = touched.withColumn("_held", F.lit(False)).unionByName(
+        held.withColumns({"edge": F.lit(None).cast(edges.schema["edge"].dataType), "_held": F.lit(True)})
+    )
+    return parts.groupBy(*own, *CELL).agg(
+        F.collect_list("edge").alias("edges"), F.max("_held").alias("inside")
+    )
 
 
-def levels_in_use(boxes: DataFrame) -> list[int]:
+def levels_of(df: DataFrame) -> list[int]:
     """Levels that occur. They are powers of two of a side length: a few dozen at most."""
-    rows = boxes.select(level_of(*[F.col(c) for c in BOX]).alias("level")).distinct().collect()
-    return sorted(r["level"] for r in rows)
+    return sorted(r["level"] for r in df.select("level").distinct().collect())
 
 
-def point_in_polygon(
-    points: DataFrame, x: str, y: str, shapes: DataFrame, key: str, geometry: str
-) -> DataFrame:
-    """Inner join of points to the shapes that strictly contain them (all matches kept)."""
-    boxes = with_boxes(shapes, key, geometry).drop("vertex")
-    levels = levels_in_use(boxes)
+def points_in_index(points: DataFrame, x: str, y: str, index: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Inner join of points to the shapes of a stored ``cell_index`` that strictly contain them (all
+    matches kept); ``columns`` of the index go along."""
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     probes = F.array(
         *[
@@ -72,21 +133,26 @@ def point_in_polygon(
                 _cell(px, F.lit(lv)).alias("cx"),
                 _cell(py, F.lit(lv)).alias("cy"),
             )
-            for lv in levels
+            for lv in levels_of(index)
         ]
-    ) if levels else F.array().cast("array<struct<level:int,cx:bigint,cy:bigint>>")
+    ).cast("array<struct<level:int,cx:bigint,cy:bigint>>")
     located = points.filter(px.isNotNull() & py.isNotNull())
     looking = located.select("*", F.inline(probes))
-    test = lambda: (
-        px.between(F.col("xmin"), F.col("xmax"))
-        & py.between(F.col("ymin"), F.col("ymax"))
-        & geo.inside(F.col("edges"), px, py)
-    )
+    side = F.pow(F.lit(2.0), F.col("level"))
+    rx, ry = (F.col("cx") + F.lit(REFERENCE_X)) * side, (F.col("cy") + F.lit(REFERENCE_Y)) * side
     hits = skew_join(
-        looking, cover(boxes), ["level", "cx", "cy"], "inner",
-        spread=points.columns, condition=test,
+        looking, index.select(*CELL, *columns, "edges", "inside"), CELL, "inner", spread=points.columns,
+        condition=lambda: geo.inside_from(F.col("edges"), F.col("inside"), px, py, rx, ry),
     )
-    return hits.select(*points.columns, key)
+    return hits.select(*points.columns, *columns)
+
+
+def point_in_polygon(
+    points: DataFrame, x: str, y: str, shapes: DataFrame, key: str, geometry: str
+) -> DataFrame:
+    """Inner join of points to the shapes that strictly contain them (all matches kept)."""
+    index = pin(cell_index(outline_edges(shapes, key, geometry), key))
+    return points_in_index(points, x, y, index, [key])
 
 
 def locate(
@@ -124,64 +190,42 @@ def zonal_stats(
 def neighbours(shapes: DataFrame, key: str, geometry: str, same: list[str] | None = None) -> DataFrame:
     """Pairs of shapes that touch or overlap, in both directions: ``(key, neighbour)``.
 
-    ``same`` names columns that must agree (and be known) on both sides. A pair is tested in one
-    cell only, the one that holds the lower left corner of the common box, so no later distinct
-    is needed.
+    ``same`` names columns that must agree (and be known) on both sides. Edges meet in the cells of the
+    coarser of two grids; a shape that lies inside another without touching its outline is found by
+    a vertex of each of its parts. What is shuffled are single edges and pairs of keys.
     """
-    same = same or []
-    attrs = shapes.select(key, *same)
-    boxes = with_boxes(shapes, key, geometry)
-    slim = boxes.select(key, *BOX)
-    if same:
-        slim = slim.join(attrs, key)
-    # Key and box of each shape, kept once: they are read for levels, heavy cells and both sides.
-    slim = pin(slim)
-    home = cover(slim)
-    levels = levels_in_use(slim)
-    own = level_of(*[F.col(c) for c in BOX])
-    every = F.filter(F.array(*[F.lit(lv) for lv in levels]), lambda lv: lv >= own)
-    lv = F.col("level")
-    probe = (
-        slim.withColumn("own", own)
-        .withColumn("level", F.explode(every))
-        .withColumn("cx", F.explode(F.sequence(_cell(F.col("xmin"), lv), _cell(F.col("xmax"), lv))))
-        .withColumn("cy", F.explode(F.sequence(_cell(F.col("ymin"), lv), _cell(F.col("ymax"), lv))))
-    )
-    right = home.select(
-        F.col(key).alias("_b"), *[F.col(c).alias("b_" + c) for c in [*BOX, *same]],
-        "level", "cx", "cy",
-    )
-    a, b = F.col(key), F.col("_b")
-    x0 = F.greatest(F.col("xmin"), F.col("b_xmin"))
-    x1 = F.least(F.col("xmax"), F.col("b_xmax"))
-    y0 = F.greatest(F.col("ymin"), F.col("b_ymin"))
-    y1 = F.least(F.col("ymax"), F.col("b_ymax"))
+    same = list(same or [])
+    known = shapes.select(key, geometry, *same)
+    for c in same:
+        known = known.filter(F.col(c).isNotNull())
+    # Read for levels, both sides of the join and the index.
+    edges = pin(outline_edges(known, key, geometry, same))
+    home = _pieces(_strips(edges), [key, *same])
+    own = edges.withColumnRenamed("level", "own")
+    coarser = F.filter(F.array(*[F.lit(lv) for lv in levels_of(edges)]).cast("array<int>"), lambda lv: lv >= F.col("own"))
+    probe = _pieces(_strips(own.withColumn("level", F.explode(coarser))), [key, *same, "own"])
+    other = home.select(F.col(key).alias("_b"), F.col("edge").alias("_edge"), *CELL, *same)
 
     def test() -> Column:
+        p, q = F.col("edge"), F.col("_edge")
         # Shapes of one level meet twice; the smaller key leads there.
-        lead = F.when(F.col("own") == F.col("level"), a < b).otherwise(a != b)
-        cond = (x0 <= x1) & (y0 <= y1) & lead
-        cond = cond & (_cell(x0, lv) == F.col("cx")) & (_cell(y0, lv) == F.col("cy"))
-        for c in same:
-            cond = cond & (F.col(c) == F.col("b_" + c))
-        return cond
-
-    candidates = skew_join(
-        probe, right, ["level", "cx", "cy"], "inner", spread=[key], condition=test
-    ).select(key, "_b", x0.alias("x0"), x1.alias("x1"), y0.alias("y0"), y1.alias("y1"))
-
-    geom = boxes.select(key, "edges", "vertex")
-    pairs = candidates.join(geom, key).join(
-        geom.select(F.col(key).alias("_b"), F.col("edges").alias("b_edges"), F.col("vertex").alias("b_vertex")),
-        "_b",
-    )
-    window = (F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"))
-    meet = (
-        geo.edges_meet(geo.edges_in(F.col("edges"), *window), geo.edges_in(F.col("b_edges"), *window))
-        | geo.inside(F.col("edges"), F.col("b_vertex").x, F.col("b_vertex").y)
-        | geo.inside(F.col("b_edges"), F.col("vertex").x, F.col("vertex").y)
-    )
-    found = pairs.filter(meet).select(a.alias("a"), b.alias("b"))
+        lead = F.when(F.col("own") == F.col("level"), F.col(key) < F.col("_b")).otherwise(F.col(key) != F.col("_b"))
+        return lead & geo.boxes_meet(p, q) & geo.segments_meet(p, q)
+
+    touching = skew_join(
+        probe, other, [*CELL, *same], "inner", spread=[key, "edge"], condition=test
+    ).select(F.col(key).alias("_a"), "_b")
+
+    corners = known.filter(F.col(geometry).isNotNull()).select(
+        F.col(key).alias("_a"), *[F.col(c).alias(f"_{c}") for c in same],
+        F.explode(F.transform(geometry, lambda part: part[0][0])).alias("_at"),
+    ).select("*", F.col("_at.x").alias("_x"), F.col("_at.y").alias("_y")).drop("_at")
+    index = pin(cell_index(edges, key, same))
+    held = points_in_index(corners, "_x", "_y", index, [key, *same]).filter(F.col("_a") != F.col(key))
+    for c in same:
+        held = held.filter(F.col(c) == F.col(f"_{c}"))
+    pairs = touching.unionByName(held.select("_a", F.col(key).alias("_b")))
+    found = pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
     both = F.array(
         F.struct(F.col("a").alias(key), F.col("b").alias("neighbour")),
         F.struct(F.col("b").alias(key), F.col("a").alias("neighbour")),
