@@ -56,7 +56,7 @@ def labelled_entries(
     kept = lines_.filter(~text.rlike(junk))
     heading = F.when(text.rlike(section), F.regexp_extract(text, section, 1).cast("int"))
     marked = kept.withColumn("_heading", heading)
-    carried = carry_forward(marked, [document], F.col("page"), ["col", "y"], "_heading", "label")
+    carried = carry_forward(marked, [document], ["page", "col", "y"], "_heading", "label")
     trimmed = F.trim(text)
     return carried.filter(
         F.col("_heading").isNull() & trimmed.rlike(entry) & F.col("label").isNotNull()

@@ -1,9 +1,9 @@
 """Window results that stay correct and spread out when one key holds many rows.
 
-A window puts a whole key into one task. Where only the first row matters, the ranking is
-cut to one row per key before the shuffle. Where every row needs its neighbour or a running
-value, the key is cut into consecutive chunks: a window inside each chunk, a second one over
-the chunk ends (one row per chunk), and a join that carries the end of a chunk into the next.
+A window puts a whole key into one task. Where only the first row matters, the ranking is cut to
+one row per key before the shuffle. Where every row needs the state before it, the table is cut
+into even ranges of (key, order), however few keys there are: a window scans each range by itself, and
+one row per range carries its end into the next.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions.columns import round_sql
-from cadastra.operators.skew import heavy_keys, skew_join, with_salts
+from cadastra.operators.skew import skew_join
 from cadastra.session import pin, shuffle_partitions
 
 
@@ -80,91 +80,70 @@ def surrogate_id(
     return numbered.select((F.col("_before") + row + 1).alias(name), *df.columns)
 
 
-def _chunked(
-    df: DataFrame, keys: Sequence[str], chunk: Column, fine: Column | None, sketch: DataFrame | None
-) -> DataFrame:
-    """Add the chunk of each row; heavy keys take the finer cut if one is given. Chunks are only
-    compared within a key, so the two may differ in width (not in type)."""
-    if fine is not None:
-        marked = with_salts(df, keys, heavy_keys(df if sketch is None else sketch, keys))
-        cut = F.when(F.col("_salts").isNotNull(), fine).otherwise(chunk)
-        return marked.withColumn("_chunk", cut).drop("_salts")
-    return df.withColumn("_chunk", chunk)
-
-
-def _with_carried(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach to each row what its chunk inherits. One row per key and chunk on the right, and a
-    chunk holds few rows on the left; NULL keys form a group of their own, as in a window."""
-    on = [*keys, "_chunk"]
-    renamed = carried.select(*[F.col(c).alias(f"_r_{c}") for c in on], "_carried")
+def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows as they lie, the same rows with each range in a task of its own), with ``_part``, the number
+    of the range of (keys, order). Stored first, so that both see the same ranges even if a task is
+    repeated."""
+    parts = shuffle_partitions(df.sparkSession)
+    stored = pin(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()))
+    return stored, stored.repartitionById(parts, F.col("_part"))
+
+
+def _same_key(keys: Sequence[str], other: Column) -> Column:
+    """NULL keys form a group of their own, as in a window."""
     same = F.lit(True)
-    for c in on:
-        same = F.col(c).eqNullSafe(F.col(f"_r_{c}")) & same
-    return rows.join(renamed, same, "left").drop(*[f"_r_{c}" for c in on])
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(other[k])
+    return same
 
 
 def previous_state(
-    df: DataFrame,
-    keys: Sequence[str],
-    chunk: Column,
-    order: Sequence[str],
-    columns: Sequence[str],
-    prefix: str = "previous_",
-    *,
-    fine: Column | None = None,
-    sketch: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], prefix: str = "previous_"
 ) -> DataFrame:
-    """Values of ``columns`` in the row before, per key in ``chunk`` then ``order``.
-
-    ``chunk`` must grow with the order (a day, a page, a year); ``fine`` is a narrower cut for
-    heavy keys, which are looked for in ``sketch`` (default ``df``). ``order`` needs a tiebreak.
-    """
+    """Values of ``columns`` in the row before, per key in ``order`` (which needs a tiebreak)."""
+    key = F.struct(*[F.col(c) for c in keys])
     state = F.struct(*[F.col(c) for c in columns])
-    rank = F.struct(*[F.col(c) for c in order])
-    rows = _chunked(df, keys, chunk, fine, sketch)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    ends = rows.groupBy(*keys, "_chunk").agg(F.max_by(state, rank).alias("_end"))
-    carried = ends.select(
-        *keys,
-        "_chunk",
-        F.lag("_end").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carried"),
-    )
-    joined = _with_carried(rows.withColumn("_local", F.lag(state).over(inside)), carried, keys)
-    before = F.coalesce(F.col("_local"), F.col("_carried"))
-    return joined.select(
-        *df.columns, *[before[c].alias(prefix + c) for c in columns]
-    )
+    rank = F.struct(*[F.col(c) for c in [*keys, *order]])
+    stored, rows = _ranges(df, keys, order)
+    # The row before the first of a range is the last of the range before: one row per range.
+    ends = stored.groupBy("_part").agg(F.max_by(F.struct(key.alias("key"), state.alias("state")), rank).alias("_end"))
+    carried = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_carried"))
+    local = F.lag(state).over(Window.partitionBy("_part", *keys).orderBy(*order))
+    joined = rows.withColumn("_local", local).join(F.broadcast(carried), "_part", "left")
+    inherited = F.when(_same_key(keys, F.col("_carried.key")), F.col("_carried.state"))
+    before = F.coalesce(F.col("_local"), inherited)
+    return joined.select(*df.columns, *[before[c].alias(prefix + c) for c in columns])
 
 
 def carry_forward(
-    df: DataFrame,
-    keys: Sequence[str],
-    chunk: Column,
-    order: Sequence[str],
-    column: str,
-    name: str,
-    *,
-    fine: Column | None = None,
-    sketch: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, name: str
 ) -> DataFrame:
-    """Last non-NULL value of ``column`` up to and including each row."""
-    rank = F.struct(*[F.col(c) for c in order])
-    rows = _chunked(df, keys, chunk, fine, sketch)
-    upto = Window.unboundedPreceding
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(upto, 0)
+    """Last non-NULL value of ``column`` up to and including each row, per key in ``order``."""
+    key = F.struct(*[F.col(c) for c in keys])
+    rank = F.struct(*[F.col(c) for c in [*keys, *order]])
+    stored, rows = _ranges(df, keys, order)
     known = F.col(column).isNotNull()
-    ends = rows.groupBy(*keys, "_chunk").agg(
-        F.max_by(F.when(known, F.col(column)), F.when(known, rank)).alias("_end")
+    upto = Window.unboundedPreceding
+    # Two rows per range: the key it begins with asks, the key it ends with answers later ranges.
+    sides = stored.groupBy("_part").agg(
+        F.min_by(key, rank).alias("_first"),
+        F.max_by(key, rank).alias("_last"),
+        F.max_by(F.when(known, F.struct(key.alias("key"), F.col(column).alias("value"))), F.when(known, rank)).alias("_known"),
     )
-    over_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(upto, -1)
-    carried = ends.select(
-        *keys, "_chunk", F.last("_end", ignorenulls=True).over(over_chunks).alias("_carried")
-    )
-    local = F.last(column, ignorenulls=True).over(inside)
-    joined = _with_carried(rows.withColumn("_local", local), carried, keys)
-    return joined.select(
-        *df.columns, F.coalesce(F.col("_local"), F.col("_carried")).alias(name)
+    value = F.when(F.col("_known.key").eqNullSafe(F.col("_last")), F.col("_known.value"))
+    turns = sides.select("_part", F.inline(F.array(
+        F.struct(F.col("_first").alias("_key"), F.lit(0).alias("_turn"), F.nullif(value, value).alias("_value")),
+        F.struct(F.col("_last").alias("_key"), F.lit(1).alias("_turn"), value.alias("_value")),
+    )))
+    earlier = Window.partitionBy("_key").orderBy("_part", "_turn").rowsBetween(upto, -1)
+    answers = turns.withColumn("_carried", F.last("_value", ignorenulls=True).over(earlier)).filter("_turn = 0")
+    local = F.last(column, ignorenulls=True).over(
+        Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(upto, 0)
     )
+    carried = answers.select("_part", "_key", "_carried")
+    joined = rows.withColumn("_local", local).join(F.broadcast(carried), "_part", "left")
+    inherited = F.when(_same_key(keys, F.col("_key")), F.col("_carried"))
+    return joined.select(*df.columns, F.coalesce(F.col("_local"), inherited).alias(name))
 
 
 def running_sum(
@@ -175,14 +154,21 @@ def running_sum(
     column: str,
     name: str,
 ) -> DataFrame:
-    """Sum of ``column`` up to and including each row, per key."""
+    """Sum of ``column`` up to and including each row, per key in ``chunk`` then ``order``; ``chunk``
+    must grow with the order, and holds few rows. A second window runs over the chunks' sums only."""
     rows = df.withColumn("_chunk", chunk)
     upto = Window.unboundedPreceding
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(upto, 0)
     totals = rows.groupBy(*keys, "_chunk").agg(F.sum(column).alias("_total"))
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(upto, -1)
     carried = totals.select(*keys, "_chunk", F.sum("_total").over(over_chunks).alias("_carried"))
-    joined = _with_carried(rows.withColumn("_local", F.sum(column).over(inside)), carried, keys)
+    # One row per key and chunk on the right; NULL keys form a group of their own, as in a window.
+    on = [*keys, "_chunk"]
+    renamed = carried.select(*[F.col(c).alias(f"_r_{c}") for c in on], "_carried")
+    same = F.lit(True)
+    for c in on:
+        same = F.col(c).eqNullSafe(F.col(f"_r_{c}")) & same
+    joined = rows.withColumn("_local", F.sum(column).over(inside)).join(renamed, same, "left")
     return joined.select(
         *df.columns, (F.col("_local") + F.coalesce(F.col("_carried"), F.lit(0))).alias(name)
     )

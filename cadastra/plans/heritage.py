@@ -189,11 +189,8 @@ def fact_classification_history(monuments: DataFrame) -> DataFrame:
         "_scope", F.coalesce("new_protection_scope", F.lit(""))
     )
     staged = previous_state(
-        events, ["monument_reference"], F.trunc("event_date", "year"),
-        ["event_date", "new_protection_level", "_scope"],
+        events, ["monument_reference"], ["event_date", "new_protection_level", "_scope"],
         ["new_protection_level", "new_protection_scope"], prefix="_before_",
-        fine=F.col("event_date"),
-        sketch=monuments.select(F.col("reference").alias("monument_reference")),
     )
     before = F.col("_before_new_protection_level")
     return staged.select(

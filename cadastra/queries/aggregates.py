@@ -313,9 +313,9 @@ def latest_flag(t: Tables):
 SELECT event_id, user_id, event_type, lag(event_type) OVER w AS previous_event_type, lag(value) OVER w AS previous_value
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def previous_state(t: Tables):
-    """State before each event; users are cut into days, heavy ones into minutes."""
+    """State before each event, by a scan of even ranges."""
     rows = t.events.select("event_id", "user_id", "event_type", "value", "ts")
-    staged = W.previous_state(rows, ["user_id"], F.date_trunc("day", "ts"), ["ts", "event_id"], ["event_type", "value"], fine=F.date_trunc("minute", "ts"))
+    staged = W.previous_state(rows, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
     return staged.drop("ts", "value")
 
 
@@ -326,7 +326,7 @@ SELECT kind, count(*) AS n FROM (SELECT CASE WHEN p IS NULL THEN 'initial' WHEN
 def event_transitions(t: Tables):
     """Kinds of state change."""
     rows = t.events.select("event_id", "user_id", "event_type", "ts")
-    staged = W.previous_state(rows, ["user_id"], F.date_trunc("day", "ts"), ["ts", "event_id"], ["event_type"], fine=F.date_trunc("minute", "ts"))
+    staged = W.previous_state(rows, ["user_id"], ["ts", "event_id"], ["event_type"])
     before, now = F.col("previous_event_type"), F.col("event_type")
     kind = C.choose(
         [
@@ -343,9 +343,9 @@ def event_transitions(t: Tables):
 @query("carried_forward", """
 SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM events""")
 def carried_forward(t: Tables):
-    """Running last known value (as used for section labels), chunked by day."""
+    """Running last known value (as used for section labels), by a scan of even ranges."""
     rows = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("p"))
-    carried = W.carry_forward(rows, ["user_id"], F.date_trunc("day", "ts"), ["ts", "event_id"], "p", "last_purchase", fine=F.date_trunc("minute", "ts"))
+    carried = W.carry_forward(rows, ["user_id"], ["ts", "event_id"], "p", "last_purchase")
     return carried.select("event_id", "last_purchase")
 
 

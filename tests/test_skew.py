@@ -77,17 +77,46 @@ def test_a_key_of_a_thousandth_is_spread_over_two_thousand_tasks(spark):
 def test_previous_state(skewed):
     w = Window.partitionBy("k").orderBy("ts", "row")
     want = skewed.select("row", "k", "ts", "v", F.lag("v").over(w).alias("previous_v"))
-    got = W.previous_state(
-        skewed, ["k"], F.date_trunc("day", "ts"), ["ts", "row"], ["v"], fine=F.date_trunc("hour", "ts")
-    )
+    got = W.previous_state(skewed, ["k"], ["ts", "row"], ["v"])
     # NULL keys form a group of their own, as in the window.
     same(got.select("row", "previous_v"), want.select("row", "previous_v"))
 
 
+@pytest.mark.parametrize("groups", [1, 3, 7, 5000])
+def test_state_is_carried_over_ranges(spark, groups):
+    """One key with all rows, keys over several ranges, keys of a few rows; NULL states and NULL keys; all rows
+    of a key at the same time but for the tiebreak."""
+    n = F.col("id")
+    key = F.when(n % groups == 2, F.lit(None)).otherwise(n % groups)
+    rows = spark.range(6000).select(
+        n.alias("row"), key.alias("k"), (F.pmod(F.xxhash64("id"), F.lit(5)) * 0).alias("t"),
+        F.when(F.xxhash64("id") % 3 == 0, n).alias("v"), F.when(F.xxhash64("id", F.lit(1)) % 997 == 0, n).alias("x"),
+    )
+    w = Window.partitionBy("k").orderBy("t", "row")
+    got = W.previous_state(rows, ["k"], ["t", "row"], ["v", "row"], prefix="p_").select("row", "p_v", "p_row")
+    same(got, rows.select("row", F.lag("v").over(w).alias("p_v"), F.lag("row").over(w).alias("p_row")))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    got = W.carry_forward(rows, ["k"], ["t", "row"], "x", "y").select("row", "y")
+    same(got, rows.select("row", F.last("x", True).over(upto).alias("y")))
+    assert W.previous_state(rows.limit(0), ["k"], ["t", "row"], ["v"]).count() == 0
+    assert W.carry_forward(rows.limit(0), ["k"], ["t", "row"], "x", "y").count() == 0
+
+
+def test_one_key_is_scanned_by_all_tasks(spark):
+    rows = spark.range(40_000).select(F.col("id").alias("row"), F.lit(1).alias("k"), F.col("id").alias("v"))
+    got = W.previous_state(rows, ["k"], ["row"], ["v"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # One exchange of rows by range number, one of the ranges' ends.
+    assert plan.count("shufflepartitionidpassthrough") == 1
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 4 and max(sizes) < 20_000
+    assert got.filter("previous_v = row - 1").count() == 39_999
+
+
 def test_carry_forward_and_running_sum(skewed):
     rows = skewed.withColumn("x", F.when(F.col("v") % 7 == 0, F.col("v")))
     w = Window.partitionBy("k").orderBy("ts", "row").rowsBetween(Window.unboundedPreceding, 0)
-    got = W.carry_forward(rows, ["k"], F.date_trunc("day", "ts"), ["ts", "row"], "x", "y")
+    got = W.carry_forward(rows, ["k"], ["ts", "row"], "x", "y")
     same(got.select("row", "y"), rows.select("row", F.last("x", True).over(w).alias("y")))
     total = W.running_sum(rows, ["k"], F.date_trunc("day", "ts"), ["ts", "row"], "v", "s")
     same(total.select("row", "s"), rows.select("row", F.sum("v").over(w).alias("s")))
