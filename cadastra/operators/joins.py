@@ -41,6 +41,31 @@ def left_join_all(spine: DataFrame, keys: Sequence[str], parts: Sequence[DataFra
     return reduce(lambda acc, part: acc.join(part, list(keys), "left"), parts, spine)
 
 
+# Days are numbered from a day before all dates, in 2 ** DAY_BITS numbers.
+DAY_BITS = 23
+
+
+def _day(value: Column) -> Column:
+    return F.unix_date(value.cast("date")) + F.lit(1 << (DAY_BITS - 1))
+
+
+def dyadic_nodes(first: Column, end: Column) -> Column:
+    """The numbers from ``first`` up to ``end`` (not included) as an array of (level, node), of which
+    each stands for the 2 ** level numbers from node * 2 ** level on: at most two of a level, so at most
+    2 * DAY_BITS however long the span. Empty for an empty span or a NULL end."""
+
+    def of(level: Column) -> Column:
+        size = F.pow(F.lit(2), level).cast("bigint")
+        low, high = F.ceil(first / size).cast("bigint"), F.floor(end / size).cast("bigint")
+        node = lambda wanted, n: F.when(wanted, F.struct(level.alias("level"), n.alias("node")))
+        return F.array(
+            node((low < high) & (low % 2 == 1), low), node((low < high) & (high % 2 == 1), high - 1)
+        )
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(DAY_BITS)), of))
+    return F.filter(every, lambda n: n.isNotNull())
+
+
 def interval_join(
     facts: DataFrame,
     intervals: DataFrame,
@@ -49,36 +74,34 @@ def interval_join(
     *,
     start: str = "start_date",
     end: str = "end_date",
-    bucket_days: int = 32,
     spread: Sequence[str] | None = None,
     sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of dates to half-open intervals ``[start, end)``; an open end lasts on.
 
-    The facts are folded to their distinct dates first. Each interval is listed once per bucket of
-    days it touches, and the dates meet the intervals in an equi join on the bucket with the exact
-    test on top; a date lies in one bucket, so no match repeats, and dates in several intervals keep
-    all matches. The facts then join on the date, with crowded dates salted. ``sketch`` may name a
-    table with the same dates that is cheaper to read than ``facts``.
+    The facts are folded to their distinct dates first. An interval is listed once per dyadic node of
+    its days, a few dozen rows even if it never ends; a date looks up the one node of each level that
+    holds it, so no match repeats, and dates in several intervals keep all matches. The facts then
+    join on the date, with crowded dates salted. ``sketch`` may name a table with the same dates that is
+    cheaper to read than ``facts``.
     """
     source = facts if sketch is None else sketch
     points = source.select(F.col(at).alias("_at")).filter("_at is not null").distinct()
-    horizon = points.agg(F.max("_at").cast("date")).scalar()
-
-    def bucket(day: Column) -> Column:
-        return F.floor(F.unix_date(day) / F.lit(bucket_days)).cast("bigint")
-
-    low = F.col(start).cast("date")
-    last = F.coalesce(F.date_sub(F.col(end).cast("date"), 1), horizon, low)
-    listed = intervals.filter(F.col(end).isNull() | (F.col(end) > F.col(start))).select(
-        F.col(start).alias("_start"),
-        F.col(end).alias("_end"),
-        *columns,
-        F.explode(F.sequence(bucket(low), F.greatest(bucket(low), bucket(last)))).alias("_bucket"),
+    low, high = F.col(start), F.col(end)
+    # A day on which an interval ends at a later hour is part of it.
+    stop = F.when(high.isNull(), F.lit(1 << DAY_BITS)).otherwise(_day(high) + (high > high.cast("date")).cast("int"))
+    listed = intervals.filter(low.isNotNull() & (high.isNull() | (high > low))).select(
+        low.alias("_start"), high.alias("_end"), *columns, F.inline(dyadic_nodes(_day(low), stop))
+    )
+    ladder = F.transform(
+        F.sequence(F.lit(0), F.lit(DAY_BITS)),
+        lambda level: F.struct(
+            level.alias("level"), F.floor(_day(F.col("_at")) / F.pow(F.lit(2), level)).cast("bigint").alias("node")
+        ),
     )
     inside = (F.col("_at") >= F.col("_start")) & (F.col("_end").isNull() | (F.col("_at") < F.col("_end")))
     holding = (
-        points.withColumn("_bucket", bucket(F.col("_at").cast("date"))).join(listed, "_bucket")
+        points.select("_at", F.inline(ladder)).join(listed, ["level", "node"])
         .filter(inside).select(F.col("_at").alias(at), *columns)
     )
     return skew_join(facts, holding, [at], "left", spread=spread, sketch=sketch)

@@ -167,7 +167,7 @@ def test_interval_join_with_a_crowded_day(spark):
         [("2019-12-10", "2020-01-15", "a"), ("2020-01-15", "2020-02-01", "b"), ("2020-01-20", None, "c"), ("2020-01-01", "2020-01-01", "empty")],
         "s string, e string, name string",
     ).select(F.to_date("s").alias("start_date"), F.to_date("e").alias("end_date"), "name")
-    got = J.interval_join(facts, terms, "d", ["name"], bucket_days=10).select("row", "name")
+    got = J.interval_join(facts, terms, "d", ["name"]).select("row", "name")
     cond = (F.col("d") >= F.col("start_date")) & ((F.col("d") < F.col("end_date")) | F.col("end_date").isNull())
     same(got, facts.join(terms, cond, "left").select("row", "name"))
     # On a boundary the new term holds, the old one does not.
@@ -175,7 +175,7 @@ def test_interval_join_with_a_crowded_day(spark):
 
 
 def test_interval_join_repeats_no_interval_per_partition(spark):
-    """80 buckets, 200 partitions: what meets the facts is a row per date and interval."""
+    """200 partitions: what meets the facts is a row per date and interval."""
     facts = spark.range(20000).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 2500).cast("int")).alias("d"))
     terms = spark.createDataFrame([("2000-01-01", None, "open"), ("2021-01-01", "2022-01-01", "year")], "s string, e string, name string")
     terms = terms.select(F.to_date("s").alias("start_date"), F.to_date("e").alias("end_date"), "name")
@@ -221,3 +221,33 @@ def test_the_sketch_stays_within_its_error(spark):
     for key, salts in found.items():
         share = sizes[key] / fair
         assert share - SKETCH_ERROR <= salts <= share + 1
+
+
+def test_an_interval_is_a_few_dyadic_nodes(spark):
+    """The nodes are disjoint, cover the span exactly, and are few for any length."""
+    import random
+
+    r = random.Random(5)
+    whole = 1 << J.DAY_BITS
+    spans = [(0, whole), (0, 0), (5, 5), (7, 8), (1, whole - 1), (whole - 1, whole), (3, 2)]
+    spans += [tuple(sorted((r.randrange(whole + 1), r.randrange(whole + 1)))) for _ in range(300)]
+    df = spark.createDataFrame(spans, "a long, b long")
+    for x in df.select("a", "b", J.dyadic_nodes(F.col("a"), F.col("b")).alias("n")).collect():
+        parts = sorted((n.node << n.level, (n.node + 1) << n.level) for n in x.n)
+        assert len(parts) <= 2 * J.DAY_BITS
+        assert (not parts and x.a >= x.b) or (parts[0][0], parts[-1][1]) == (x.a, x.b)
+        assert all(one[1] == two[0] for one, two in zip(parts, parts[1:]))
+
+
+def test_interval_join_of_times(spark):
+    """Interval ends within a day, open and empty intervals, times on the edges."""
+    facts = spark.sql("SELECT id AS row, timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS d FROM range(120)")
+    facts = facts.withColumn("d", F.when(F.col("row") != 60, F.col("d")))
+    terms = spark.createDataFrame(
+        [("2020-01-01 05:00:00", "2020-01-01 07:00:00", "hours"), ("2020-01-01 23:00:00", "2020-01-03 12:00:00", "days"),
+         ("0001-01-01 00:00:00", "2020-01-02 01:00:00", "old"), ("2020-01-05 10:00:00", None, "open"), ("2020-01-02 00:00:00", "2020-01-02 00:00:00", "empty"), (None, None, "never")],
+        "s string, e string, name string",
+    ).select(F.to_timestamp("s").alias("start_date"), F.to_timestamp("e").alias("end_date"), "name")
+    got = J.interval_join(facts, terms, "d", ["name"]).select("row", "name")
+    cond = (F.col("d") >= F.col("start_date")) & ((F.col("d") < F.col("end_date")) | F.col("end_date").isNull())
+    same(got, facts.join(terms, cond, "left").select("row", "name"))
