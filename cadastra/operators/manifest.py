@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra.functions.columns import choose, round_exact
+from cadastra.operators.skew import skew_join
 from cadastra.operators.windows import flag_extreme, latest_per_key
+from cadastra.session import shuffle_partitions
+
+# Bytes of a file that are read at once to hash it.
+HASH_BLOCK = 8 << 20
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -28,10 +34,35 @@ def _listed(files: DataFrame, *more: Column) -> DataFrame:
 
 
 def hash_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """List files with the MD5 of their bytes. Spark reads them (any file system it knows), a file
-    as one value, so files above 2 GB are refused by the reader."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return _listed(files, F.md5("content").alias("md5"))
+    """List files with the MD5 of their bytes. A task opens a listed file where it lies and folds it block
+    by block, so files of any size are hashed in constant memory; a file that cannot be opened stops
+    the job. Local folders and the object stores and file systems that Arrow knows can be read."""
+    files = listing(spark, path, pattern)
+
+    def digests(batches):
+        import hashlib
+        import re
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for uri in batch.column("path").to_pylist():
+                # Listed paths are not escaped, and local ones may have one slash.
+                escaped = quote(re.sub("^file:/(?!/)", "file:///", uri), safe="/:@=,+")
+                system, place = fs.FileSystem.from_uri(escaped)
+                digest = hashlib.md5()
+                with system.open_input_stream(place) as stream:
+                    while block := stream.read(HASH_BLOCK):
+                        digest.update(block)
+                found.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "md5"])
+
+    # Names only, dealt evenly: the listing may lie in one partition.
+    dealt = files.repartition(shuffle_partitions(spark), "path")
+    return dealt.mapInArrow(digests, T.StructType([*files.schema.fields, T.StructField("md5", T.StringType())]))
 
 
 def classify(scan: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -57,13 +88,22 @@ def latest_files(files: DataFrame, base: Column, stamp: Column) -> DataFrame:
 
 
 def archive_list(files: DataFrame, base: Column, stamp: Column, keep: int = 1) -> DataFrame:
-    """Versions past the newest ``keep`` of each base name: the ones to archive. Versions of one
-    name are few; what is ranked are file names, not data."""
-    from pyspark.sql import Window
+    """Versions past the newest ``keep`` of each base name: the ones to archive. Files of one stamp
+    follow their other columns, which tell them apart.
 
-    named = files.withColumn("_base", base).withColumn("_stamp", stamp)
-    rank = F.row_number().over(Window.partitionBy("_base").orderBy(F.col("_stamp").desc()))
-    return named.withColumn("_rank", rank).filter(F.col("_rank") > keep).drop("_base", "_stamp", "_rank")
+    Only the newest of each base are ranked, which map tasks cut before the shuffle; the others are
+    found by comparing them with the oldest one that stays.
+    """
+    named = files.withColumn("_base", base).withColumn("_at", F.struct(stamp.alias("stamp"), *files.columns))
+    rank = F.row_number().over(Window.partitionBy("_base").orderBy(F.col("_at").desc()))
+    newest = named.select("_base", "_at", rank.alias("_rank")).filter(F.col("_rank") <= keep)
+    oldest = newest.groupBy("_base").agg(F.min("_at").alias("_oldest"), F.count("*").alias("_kept"))
+    limits = oldest.filter(F.col("_kept") == keep).drop("_kept")
+    past = skew_join(
+        named, limits, ["_base"], "inner", spread=files.columns, null_safe=True,
+        condition=lambda: F.col("_at") < F.col("_oldest"),
+    )
+    return past.select(*files.columns)
 
 
 def run_states(events: DataFrame) -> DataFrame:

@@ -152,16 +152,35 @@ def stored_appends(t: Tables):
     return S.read_loaded(t.spark, path).withColumn("loaded", F.date_format("inserted_at", "yyyy-MM-dd")).drop("inserted_at")
 
 
+# Deliveries of some years' orders, not written in the order of their stamps; one has a further column.
+DELIVERED = {"19960102": 1995, "19980103": 1997, "19940105": 1993, "19970101": 1996}
+
+
+def deliveries(t: Tables) -> str:
+    """Stamped folders of different rows; the glob that names them all."""
+    folder = scratch(t, "exports")
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    for stamp, year in DELIVERED.items():
+        some = rows.filter(F.col("year") == year).drop("year")
+        (some if year == 1997 else some.drop("o_orderstatus")).write.parquet(f"{folder}/orders_{stamp}")
+    rows.filter("year = 1992").write.parquet(f"{folder}/other_20991231")
+    return f"{folder}/orders_*"
+
+
 @query("newest_by_name", """
-SELECT n_nationkey, n_name FROM nation""")
+SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE year(o_orderdate) = 1997""")
 def newest_by_name(t: Tables):
-    """Exports of three days under one pattern; the newest file is read, the others are
-    found by the same pattern."""
-    folder = scratch(t, "exports")
-    for day, rows in (("20240101", t.nation.limit(0)), ("20240301", t.nation), ("20240201", t.nation.limit(0))):
-        rows.select("n_nationkey", "n_name").coalesce(1).write.parquet(f"{folder}/nation_{day}")
-    newest = readers.newest_file(t.spark, f"{folder}/nation_20240301", "*.parquet")
-    return readers.read_parquet(t.spark, newest)
+    """Of several stamped exports, the newest is found by its name and read."""
+    return readers.read_parquet(t.spark, readers.newest_delivery(t.spark, deliveries(t)))
+
+
+@query("all_deliveries", """
+SELECT o_orderkey, o_totalprice, CASE WHEN year(o_orderdate) = 1997 THEN o_orderstatus END AS o_orderstatus,
+ CASE year(o_orderdate) WHEN 1993 THEN 'orders_19940105' WHEN 1995 THEN 'orders_19960102' WHEN 1996 THEN 'orders_19970101' ELSE 'orders_19980103' END AS delivery
+FROM orders WHERE year(o_orderdate) IN (1993, 1995, 1996, 1997)""")
+def all_deliveries(t: Tables):
+    """All stamped exports of one pattern as one table, with the delivery each row came with."""
+    return readers.read_deliveries(t.spark, deliveries(t))
 
 
 @query("aggregate_export", """
@@ -391,14 +410,16 @@ def main_data_files(t: Tables):
 
 
 @query("file_hashes", """
-SELECT source, length(body) AS bytes, md5(body) AS md5 FROM (SELECT source, string_agg(doc_id, chr(10) ORDER BY doc_id) || chr(10) AS body FROM documents GROUP BY source)""")
+SELECT source, part, length(body) AS bytes, md5(body) AS md5 FROM (SELECT source, doc_id // 500 AS part, string_agg(doc_id, chr(10) ORDER BY doc_id) || chr(10) AS body FROM documents GROUP BY 1, 2)""")
 def file_hashes(t: Tables):
-    """M1: files listed and hashed; one file per source with the ids of its documents."""
+    """M1: files listed and hashed; the ids of a source's documents, five hundred ids' range to a file."""
     folder = scratch(t, "files")
-    ids = t.documents.select("source", "doc_id").repartition(4, "source").sortWithinPartitions("source", "doc_id")
-    ids.select("source", F.col("doc_id").cast("string")).write.partitionBy("source").text(folder)
-    files = M.hash_files(t.spark, f"{folder}/source=*", "part-*")
-    return files.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "bytes", "md5")
+    part = F.floor(F.col("doc_id") / 500).cast("bigint").alias("part")
+    ids = t.documents.select("source", part, "doc_id").repartition("source", "part").sortWithinPartitions("source", "part", "doc_id")
+    ids.select("source", "part", F.col("doc_id").cast("string")).write.partitionBy("source", "part").text(folder)
+    files = M.hash_files(t.spark, f"{folder}/source=*/part=*", "part-*")
+    found = lambda name: F.regexp_extract("path", f"{name}=([^/]+)/", 1)
+    return files.select(found("source").alias("source"), found("part").cast("bigint").alias("part"), "bytes", "md5")
 
 
 # -- provenance ------------------------------------------------------------------------------

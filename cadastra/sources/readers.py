@@ -52,6 +52,17 @@ def newest_file(spark: SparkSession, folder: str, pattern: str) -> str:
     return newest
 
 
+def newest_delivery(spark: SparkSession, deliveries: str, pattern: str = "part-*") -> str:
+    """The newest of the stamped folders that match ``deliveries`` (a glob) and hold files of a pattern."""
+    return newest_file(spark, deliveries, pattern).rsplit("/", 1)[0]
+
+
+def read_deliveries(spark: SparkSession, deliveries: str) -> DataFrame:
+    """All Parquet deliveries that match a glob, by column name, with ``delivery``, the name of its folder."""
+    rows = spark.read.option("mergeSchema", True).parquet(deliveries)
+    return rows.withColumn("delivery", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+
+
 def read_geojson(spark: SparkSession, path: str, properties: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
     """Features of GeoJSON text: properties as text columns and the geometry.
 

@@ -239,3 +239,54 @@ def test_appends_are_repeatable(spark, tmp_path):
     for _ in range(2):
         stored.load_new(spark, path, deliver(2, 3), ["id"], "2024-01-02", "2024-01-02")
     assert sorted(r["id"] for r in stored.read_loaded(spark, path).collect()) == [1, 2, 3]
+
+
+def test_a_file_above_two_gigabytes_is_hashed(spark, tmp_path):
+    import hashlib
+
+    from cadastra.operators import manifest
+
+    big, size = tmp_path / "big.bin", 2**31 + 12345
+    with open(big, "wb") as file:
+        file.truncate(size)
+        file.seek(size - 3)
+        file.write(b"end")
+    (tmp_path / "a b é.bin").write_bytes(b"\x00\xff" * 10)
+    (tmp_path / "empty.bin").write_bytes(b"")
+    (tmp_path / "other.txt").write_bytes(b"x")
+    digest = hashlib.md5()
+    with open(big, "rb") as file:
+        while block := file.read(1 << 24):
+            digest.update(block)
+    found = {r["filename"]: (r["bytes"], r["md5"]) for r in manifest.hash_files(spark, str(tmp_path), "*.bin").collect()}
+    big.unlink()
+    assert found["big.bin"] == (size, digest.hexdigest()) and found["empty.bin"] == (0, hashlib.md5(b"").hexdigest())
+    assert len(found) == 3 and (20, hashlib.md5(b"\x00\xff" * 10).hexdigest()) in found.values()
+
+
+def test_archive_list_ranks_the_newest_only(spark):
+    from pyspark.sql import functions as F
+
+    from cadastra.operators import manifest
+
+    rows = [("a", f"{i:04d}") for i in range(500)] + [("b", "0001"), ("c", "0007"), ("c", "0003"), (None, "0001"), (None, "0002"), (None, "0000"), ("d", None), ("d", "0002"), ("d", "0004")]
+    files = spark.createDataFrame(rows, "base string, stamp string").withColumn("name", F.concat_ws("_", "base", "stamp"))
+    past = manifest.archive_list(files, F.col("base"), F.col("stamp"), keep=2)
+    found = [(r["base"], r["stamp"]) for r in past.collect()]
+    want = [("a", f"{i:04d}") for i in range(498)] + [(None, "0000"), ("d", None)]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    plan = past._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("+- Window ") <= 1
+    assert manifest.archive_list(files.limit(0), F.col("base"), F.col("stamp")).count() == 0
+
+
+def test_the_newest_delivery_is_chosen_by_its_stamp(spark, tmp_path):
+    from cadastra.sources import readers
+
+    for stamp, n in (("20240201", 2), ("20240301", 3), ("20240115", 1)):
+        spark.range(n).write.parquet(f"{tmp_path}/x_{stamp}")
+    spark.range(9).write.parquet(f"{tmp_path}/y_20250101")
+    newest = readers.newest_delivery(spark, f"{tmp_path}/x_*")
+    assert newest.endswith("x_20240301") and readers.read_parquet(spark, newest).count() == 3
+    every = readers.read_deliveries(spark, f"{tmp_path}/x_*").groupBy("delivery").count().collect()
+    assert {r["delivery"]: r["count"] for r in every} == {"x_20240201": 2, "x_20240301": 3, "x_20240115": 1}
