@@ -18,7 +18,7 @@ HASH_BLOCK = 8 << 20
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Files under a folder with their size; contents are not read."""
+    """Files under a folder with their size; contents are not read. Spark lists no empty files."""
     return _listed(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path))
 
 
