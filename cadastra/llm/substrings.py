@@ -3,14 +3,15 @@
 A window is ``WINDOW`` consecutive words. Documents with the same words throughout are settled
 first: all but the smallest id lose every word. In the rest each window is represented by the
 least hash among its runs of ``ANCHOR`` words; equal windows have equal anchors, and neighbouring
-windows mostly share one, so there is one anchor for about 13 words. Every task counts its anchors
-in a count-min sketch; the sketches are merged slice by slice. A merged sketch never counts too
-little, so a window whose anchor is estimated once is unique. Anchors estimated repeated are grouped
-exactly, and a second pass over the documents that hold them groups their windows exactly, by two
-independent hashes of the words (96 bits). Nothing is lost: the sketch only spares work.
-
-The sketch has a fixed size, whatever the input. As it fills up it lets more anchors through to the
-exact grouping, whose rows are narrow and combined on the map side.
+windows mostly share one, so there is one anchor for about 13 words.
+
+A count-min sketch of the anchors is as wide as their counted number asks for, so that it stays as
+sparse on a large corpus as on a small one. No task holds it: blocks of documents send the cells they
+use to slices of it, a slice adds up what it gets and tells each block which of its cells count two or
+more. The counts are never too low, so a window whose anchor is estimated once is unique. Anchors
+estimated repeated are grouped exactly, and a second pass over the documents that hold them groups
+their windows exactly, by two independent hashes of the words (96 bits). Nothing is lost: the sketch
+only spares work.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ from pyspark.sql import functions as F
 
 from cadastra.llm import words as W
 from cadastra.llm.common import bounded, map_slices, sized, slices
+from cadastra.llm.hashed import among, edges, pack_keys, summed, unpack_keys
 from cadastra.session import pin, shuffle_partitions
 
 WINDOW = 50
-WIDTH_BITS = 24
-DEPTH = 3
-SLICE_BITS = 18
+# Rows of the sketch, and the bits of a row's cells beyond those that number the anchors: of the anchors
+# that occur once, (1 / 2 ** SPARE_BITS) ** DEPTH or fewer are taken for repeated ones.
+DEPTH = 2
+SPARE_BITS = 4
+# Anchors of a block.
+BLOCK_ANCHORS = 1 << 20
 ROW_WINDOWS = 4096
 EMPTY = hashlib.sha256(b"").hexdigest()
 SLICE = 1 << 20
@@ -93,86 +98,97 @@ def heads(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return bounded(docs.select("doc_id", "text")).mapInArrow(sliced, schema)
 
 
-def _cells(anchors: np.ndarray, row: int) -> np.ndarray:
-    """Cell of each anchor in a row of the sketch."""
-    return W.mix(anchors.view(np.uint64) ^ np.uint64(W.ODD[row] >> 1)) >> np.uint64(64 - WIDTH_BITS)
+def _cells(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
+    """Cell of each anchor in a row of the sketch, numbered through all rows."""
+    cells = W.mix(anchors.view(np.uint64) ^ np.uint64(W.ODD[row] >> 1)) >> np.uint64(64 - bits)
+    return cells | np.uint64(row << bits)
 
 
 def _flat(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def repeated_bits(anchors: DataFrame) -> np.ndarray:
-    """Which cells of the merged sketch count at least two anchors: DEPTH rows of flags.
-
-    anchors: a table with a list column ``anchors``. Each task sends the cells it used, by slice of
-    the sketch; a slice is merged as a stream. The flags take DEPTH * 2**WIDTH_BITS bits.
-    """
-    width, span = 1 << WIDTH_BITS, 1 << SLICE_BITS
+def repeated_cells(blocked: DataFrame, blocks: int, bits: int) -> DataFrame:
+    """(block, cells): of the cells each block's anchors use those that the merged sketch counts at least
+    twice. ``blocked``: block, anchors."""
 
     def partial(batches):
-        counts = np.zeros((DEPTH, width), np.uint8)
+        cells, block = [], None
         for batch in batches:
-            values = _flat(batch.column("anchors"))
-            for row in range(DEPTH):
-                cells, times = np.unique(_cells(values, row), return_counts=True)
-                cells = cells.astype(np.int64)
-                counts[row, cells] = np.minimum(counts[row, cells] + times, 255)
-        flat = counts.reshape(-1, span)
-        for number in np.flatnonzero(flat.any(axis=1)).tolist():
-            used = np.flatnonzero(flat[number])
+            if batch.num_rows:
+                block = batch.column("block")[0].as_py()
+                values = _flat(batch.column("anchors"))
+                cells += [_cells(values, row, bits) for row in range(DEPTH)]
+        if block is None:
+            return
+        keys, counts = np.unique(np.concatenate(cells), return_counts=True)
+        cuts = np.append(np.searchsorted(keys, edges(blocks, bits, DEPTH)), len(keys))
+        for part in np.flatnonzero(np.diff(cuts)).tolist():
+            some = slice(cuts[part], cuts[part + 1])
             yield pa.RecordBatch.from_pydict(
                 {
-                    "slice": pa.array([number], pa.int32()),
-                    "cells": pa.array([used.astype(np.uint32).tobytes()], pa.binary()),
-                    "counts": pa.array([flat[number][used].tobytes()], pa.binary()),
+                    "slice": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()),
+                    "cells": pa.array([pack_keys(keys[some])], pa.binary()),
+                    "counts": pa.array([np.minimum(counts[some], 2).astype(np.uint8).tobytes()], pa.binary()),
                 }
             )
 
     def merge(batches):
-        merged: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                total = merged.setdefault(row["slice"], np.zeros(span, np.uint8))
-                cells = np.frombuffer(row["cells"], np.uint32)
-                more = np.frombuffer(row["counts"], np.uint8).astype(np.int64)
-                total[cells] = np.minimum(total[cells] + more, 255)
-        for number, total in merged.items():
-            bits = np.packbits(total > 1).tobytes()
-            yield pa.RecordBatch.from_pydict(
-                {"slice": pa.array([number], pa.int32()), "bits": pa.array([bits], pa.binary())}
-            )
-
-    parts = bounded(anchors.select("anchors")).mapInArrow(partial, "slice int, cells binary, counts binary")
-    slots = DEPTH * width // span
-    dealt = parts.repartition(min(slots, shuffle_partitions(anchors.sparkSession)), "slice")
-    flags = np.zeros((slots, span // 8), np.uint8)
-    # At most DEPTH * 2**(WIDTH_BITS - SLICE_BITS) rows of 2**SLICE_BITS bits reach the driver.
-    for row in dealt.mapInArrow(merge, "slice int, bits binary").collect():
-        flags[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
-    return flags.reshape(DEPTH, width // 8)
-
-
-def _screened(originals: DataFrame, flags: np.ndarray) -> DataFrame:
-    """(anchor, doc_id, key) of the anchors that the sketch estimates to repeat."""
-    shared = originals.sparkSession.sparkContext.broadcast(flags)
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        if not rows:
+            return
+        cells = [unpack_keys(row["cells"]) for row in rows]
+        counts = [np.frombuffer(row["counts"], np.uint8).astype(np.int64) for row in rows]
+        keys, total = summed(np.concatenate(cells), np.concatenate(counts))
+        often = keys[total > 1]
+        for row, mine in zip(rows, cells, strict=True):
+            mine = mine[among(mine, often)]
+            if len(mine):
+                yield pa.RecordBatch.from_pydict(
+                    {"block": pa.array([row["block"]], pa.int32()), "cells": pa.array([pack_keys(mine)], pa.binary())}
+                )
+
+    placed = bounded(blocked.select("block", "anchors").repartitionById(blocks, F.col("block")))
+    parts = placed.mapInArrow(partial, "slice int, block int, cells binary, counts binary")
+    return parts.repartitionById(blocks, F.col("slice")).mapInArrow(merge, "block int, cells binary")
+
+
+def screened(originals: DataFrame) -> DataFrame:
+    """(anchor, doc_id, key) of the anchors that the sketch estimates to repeat. ``originals`` (stored):
+    doc_id, key, anchors."""
+    count = originals.agg(F.sum(F.size("anchors"))).first()[0] or 0
+    bits = min(62, int(count).bit_length() + SPARE_BITS)
+    blocks = max(shuffle_partitions(originals.sparkSession), -(-count // BLOCK_ANCHORS))
+    block = F.pmod(F.xxhash64("key", "doc_id"), F.lit(blocks)).cast("int").alias("block")
+    blocked = originals.select(block, "doc_id", "key", "anchors")
+    often = repeated_cells(blocked, blocks, bits)
 
     def run(batches):
-        bits = shared.value
+        lists: list[np.ndarray] = []
+        cells = None
         for batch in batches:
-            lists = batch.column("anchors")
-            values = _flat(lists)
+            lists += [unpack_keys(c) for c in batch.column("cells").drop_null().to_pylist()]
+            rest = batch.filter(batch.column("cells").is_null())
+            if rest.num_rows == 0:
+                continue
+            if cells is None:
+                cells = np.sort(np.concatenate(lists)) if lists else np.zeros(0, np.uint64)
+            anchors = rest.column("anchors")
+            values = _flat(anchors)
             maybe = np.ones(len(values), bool)
             for row in range(DEPTH):
-                cells = _cells(values, row).astype(np.int64)
-                maybe &= (bits[row][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
-            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())[maybe]
+                maybe[maybe] = among(_cells(values[maybe], row, bits), cells)
+            owner = np.repeat(np.arange(rest.num_rows), anchors.value_lengths().to_numpy())[maybe]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[maybe]), batch.column("doc_id").take(owner), batch.column("key").take(owner)],
+                [pa.array(values[maybe]), rest.column("doc_id").take(owner), rest.column("key").take(owner)],
                 ["anchor", "doc_id", "key"],
             )
 
-    return bounded(originals.select("doc_id", "key", "anchors")).mapInArrow(run, "anchor long, doc_id long, key long")
+    # A block's cells come before its documents.
+    flags = often.select("block", "cells", *[F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "long"), ("key", "long"), ("anchors", "array<long>"))])
+    rows = blocked.select("block", F.lit(None).cast("binary").alias("cells"), "doc_id", "key", "anchors")
+    placed = flags.unionByName(rows).repartitionById(blocks, F.col("block")).sortWithinPartitions(F.col("cells").isNull())
+    return bounded(placed).mapInArrow(run, "anchor long, doc_id long, key long")
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
@@ -248,14 +264,13 @@ def find(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     marked = head.drop("anchors").join(firsts, ["key", "other"], "left").withColumn(
         "copy", F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     ).drop("first")
-    flags = repeated_bits(originals)
-    screened = pin(_screened(originals, flags))
+    maybe = pin(screened(originals))
     repeated = pin(
-        screened.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        maybe.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .filter("low < high").drop("high")
     )
     known = pin(
-        screened.join(repeated, "anchor").groupBy("doc_id", "key")
+        maybe.join(repeated, "anchor").groupBy("doc_id", "key")
         .agg(F.collect_list(F.struct("anchor", "low")).alias("known"))
     )
     windows = pin(_windows(_of_documents(docs, known), window)).select(

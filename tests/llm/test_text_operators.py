@@ -314,16 +314,37 @@ def test_substrings_of_odd_rows(odd):
     assert sorted(r.text or "" for r in substrings.remove(odd).collect())[1:4] != []
 
 
-def test_sketch_never_counts_too_little(spark):
-    rng = np.random.default_rng(1)
-    values = rng.integers(-(2**62), 2**62, 5000)
-    lists = [values[:3000].tolist(), values[2000:].tolist(), []]
-    flags = substrings.repeated_bits(spark.createDataFrame([(x,) for x in lists], "anchors array<long>"))
-    maybe = np.ones(5000, bool)
-    for row in range(substrings.DEPTH):
-        cells = substrings._cells(values, row).astype(np.int64)
-        maybe &= (flags[row][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
-    assert maybe[2000:3000].all() and maybe[:2000].mean() < 0.01
+@pytest.mark.parametrize("spare", [-6, 0, 4])
+def test_the_sketch_never_counts_too_little(spark, monkeypatch, spare):
+    """Whatever its width, every anchor of two rows passes; narrow ones let more of the others through."""
+    monkeypatch.setattr(substrings, "SPARE_BITS", spare)
+    r = random.Random(8)
+    rows = [(i, r.getrandbits(63), [r.getrandbits(64) - 2**63 for _ in range(r.randint(0, 40))]) for i in range(200)]
+    shared = [r.getrandbits(64) - 2**63 for _ in range(30)]
+    for a in shared:
+        for i in r.sample(range(200), 2):
+            rows[i][2].append(a)
+    df = spark.createDataFrame(rows, "doc_id long, key long, anchors array<long>")
+    found = [(x.anchor, x.doc_id, x.key) for x in substrings.screened(df).collect()]
+    assert {(a, i, k) for i, k, own in rows for a in own if a in shared} <= set(found)
+    assert set(found) <= {(a, i, k) for i, k, own in rows for a in own} and len(found) == len(set(found))
+    assert substrings.screened(df.limit(0)).count() == 0
+
+
+def test_the_sketch_grows_with_the_anchors(spark):
+    """At ten times the anchors of the largest test table, and at a hundredth of that, it lets the same small
+    share of unique anchors through."""
+    from cadastra.llm import hashed
+
+    for docs, each in ((100, 250), (2500, 1000)):
+        ids = F.sequence(F.lit(1), F.lit(each))
+        anchors = F.transform(ids, lambda i: F.xxhash64(F.col("id"), i)).alias("anchors")
+        df = spark.range(docs).select(F.col("id").alias("doc_id"), F.col("id").alias("key"), anchors)
+        let_through = substrings.screened(df).count() / (docs * each)
+        assert let_through <= 0.01
+    keys = np.array([0, 5, 2**62, 2**63 + 1], np.uint64)
+    assert (hashed.unpack_keys(hashed.pack_keys(keys)) == keys).all()
+
 
 
 # SpotSigs ----------------------------------------------------------------------------------
