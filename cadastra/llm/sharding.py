@@ -1,11 +1,13 @@
 """Sharding by a hierarchical weighted hash tree of regions, racks and shards.
 
-Every shard draws an exponential variate from a hash of (doc_id, its place) divided by its weight;
-a rack's draw is the least of its shards', a region's the least of its racks', so each level
-is drawn in proportion to the weight below it. A row descends from the region with the least draw
-to the rack and the shard with the least. Changing one shard changes the draws of its own subtree
-only: a new shard takes rows for itself, a heavier one gains, a removed one gives up its own.
-Cost per row: one hash per shard.
+A row descends from the root: at every node the children draw, each from a hash of (level, child, key), an
+exponential variate divided by the summed weight below the child, and the least draw wins. A child is
+so chosen in proportion to its weight, and a changed weight moves rows into or out of its own subtree at
+every level: racks whose region keeps its weight keep their rows, and shards whose rack does. Cost per
+row: the sum of the numbers of children on its way, not the number of shards.
+
+Shards beyond a laid-out tree join as regions of their own, so that a further shard takes rows for itself
+and moves no others.
 """
 
 from __future__ import annotations
@@ -20,38 +22,47 @@ RACKS = 2
 LAW = "key"
 
 
-def layout(shards: int, regions: int = REGIONS, racks: int = RACKS) -> list[tuple[int, int, int]]:
-    """(region, rack, shard) of each shard: dealt in turn, so an added shard moves no other."""
-    return [(s % regions, s // regions % racks, s) for s in range(shards)]
-
-
-def _draw(key: Column, place: tuple[int, int, int], weight: float) -> Column:
-    """Exponential variate of a row at a shard: the hash as a number in (0, 1), its logarithm
-    divided by the weight."""
-    region, rack, shard = place
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(region), F.lit(rack), F.lit(shard), key), 11)
-    return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / F.lit(float(weight))
+def layout(shards: int, grown: int = 0, regions: int = REGIONS, racks: int = RACKS) -> list[tuple[int, int, int]]:
+    """(region, rack, shard) of each shard, dealt in turn; ``grown`` further ones are each a region."""
+    first = [(s % regions, s // regions % racks, s) for s in range(shards)]
+    return first + [(regions + i, 0, shards + i) for i in range(grown)]
 
 
 def shard_of(key: Column, tree: list[tuple[int, int, int]], weights: dict[int, float] | None = None) -> Column:
     """The shard of a key. ``weights``: by shard number, 1 by default; 0 takes no rows."""
     weights = weights or {}
-    live = [p for p in tree if weights.get(p[2], 1.0) > 0]
+    live = {p: float(weights.get(p[2], 1.0)) for p in tree if weights.get(p[2], 1.0) > 0}
     if not live:
         raise ValueError("no shard has a weight")
-
-    def leaf(p: tuple[int, int, int]) -> Column:
-        return F.struct(_draw(key, p, weights.get(p[2], 1.0)).alias("draw"), F.lit(p[2]).alias("shard"))
-
-    def least(draws: list[Column]) -> Column:
-        return F.array_min(F.array(*draws))
-
-    regions = []
-    for region in sorted({p[0] for p in live}):
-        inside = [p for p in live if p[0] == region]
-        racks = [least([leaf(p) for p in inside if p[1] == rack]) for rack in sorted({p[1] for p in inside})]
-        regions.append(least(racks))
-    return least(regions)["shard"]
+    node = F.lit(0)
+    parents: list[tuple[int, ...]] = [()]
+    for level in (1, 2, 3):
+        # The children of each node of the level above, numbered through the level.
+        names = sorted({p[:level] for p in live})
+        table = [
+            [(n, names[n][-1], sum(w for p, w in live.items() if p[:level] == names[n]))
+             for n in range(len(names)) if names[n][: level - 1] == parent]
+            for parent in parents
+        ]
+        choices = F.array(*[
+            F.array(*[F.struct(F.lit(n).alias("node"), F.lit(name).alias("name"), F.lit(w).alias("weight")) for n, name, w in row])
+            for row in table
+        ])
+        node = _least(F.get(choices, node), level, key)
+        parents = names
+    return F.get(F.array(*[F.lit(p[2]) for p in parents]), node)
+
+
+def _least(children: Column, level: int, key: Column) -> Column:
+    """The number of the child with the least draw."""
+
+    def draw(child: Column) -> Column:
+        # The hash as a number in (0, 1).
+        bits = F.shiftrightunsigned(F.xxhash64(F.lit(level), child["name"], key), 11)
+        variate = -F.log((bits.cast("double") + 0.5) / float(1 << 53))
+        return F.struct((variate / child["weight"]).alias("draw"), child["node"].alias("node"))
+
+    return F.array_min(F.transform(children, draw))["node"]
 
 
 def assign(
@@ -61,7 +72,7 @@ def assign(
 
     size: UTF-8 bytes plus 16. A null text has 0 bytes, a null doc_id is a key of its own. slot
     numbers the rows of a shard from 0 in the order of doc_id, size, crc; rows equal in all of
-    them are interchangeable. grown_shard: the shard with ``grown`` more. Other columns are
+    them are interchangeable. grown_shard: the shard with ``grown`` more, each a region of its own. Other columns are
     ignored. Empty table: no rows.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -72,7 +83,7 @@ def assign(
         F.crc32(body).alias("text_crc32"),
         F.lit(LAW).alias("law"),
         shard_of(key, layout(shards), weights).alias("shard"),
-        shard_of(key, layout(shards + grown), weights).alias("grown_shard"),
+        shard_of(key, layout(shards, grown), weights).alias("grown_shard"),
     )
     return number(pin(placed), "shard", ["doc_id", "size", "text_crc32"], "slot")
 

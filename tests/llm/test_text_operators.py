@@ -268,19 +268,62 @@ def test_shards_are_numbered_and_growth_moves_into_the_new_one(df, docs, odd):
     assert sizes == {i: (len((t or "").encode()) + 16, brute.crc(t or "")) for i, t in docs}
 
 
+def descended(key, tree, weights=None):
+    """The descent by plain Python: the least draw of each level."""
+    import math
+
+    import xxhash
+
+    weights = weights or {}
+    live = {p: weights.get(p[2], 1.0) for p in tree if weights.get(p[2], 1.0) > 0}
+    path = ()
+    for level in (1, 2, 3):
+        draws = []
+        for name in sorted({p[:level] for p in live if p[: level - 1] == path}):
+            # Spark hashes several values by seeding each with the hash before.
+            h = xxhash.xxh64_intdigest(level.to_bytes(4, "little", signed=True), 42)
+            h = xxhash.xxh64_intdigest(name[-1].to_bytes(4, "little", signed=True), h)
+            h = xxhash.xxh64_intdigest(key.encode(), h)
+            weight = sum(w for p, w in live.items() if p[:level] == name)
+            draws.append((-math.log(((h >> 11) + 0.5) / 2**53) / weight, name))
+        path = min(draws)[1]
+    return path[2]
+
+
+def test_shards_equal_a_descent_by_plain_python(df, spark):
+    tree, weights = sharding.layout(11, 2), {3: 2.5, 7: 0.25, 4: 0}
+    ids = spark.range(600).select(F.col("id").cast("string").alias("k"))
+    for w in (None, weights):
+        for r in ids.select("k", sharding.shard_of(F.col("k"), tree, w).alias("s")).collect():
+            assert r.s == descended(r.k, tree, w)
+    for r in sharding.assign(df, 40).collect():
+        key = str(r.doc_id)
+        assert (r.shard, r.grown_shard) == (descended(key, sharding.layout(40)), descended(key, sharding.layout(40, 1)))
+
+
 def test_weights_confine_movement(spark):
     ids = spark.range(20000).select(F.col("id").cast("string").alias("k"))
     tree = sharding.layout(12)
-    weights = {3: 2.0}
+    place = {p[2]: p for p in tree}
     columns = {
-        "even": sharding.shard_of(F.col("k"), tree), "more": sharding.shard_of(F.col("k"), tree, weights),
-        "gone": sharding.shard_of(F.col("k"), tree, {3: 0}), "grown": sharding.shard_of(F.col("k"), sharding.layout(13)),
+        "even": sharding.shard_of(F.col("k"), tree), "more": sharding.shard_of(F.col("k"), tree, {3: 2.0}),
+        "gone": sharding.shard_of(F.col("k"), tree, {3: 0}), "grown": sharding.shard_of(F.col("k"), sharding.layout(12, 1)),
+        "swapped": sharding.shard_of(F.col("k"), tree, {3: 1.5, 11: 0.5}),
     }
     rows = ids.select(*[c.alias(n) for n, c in columns.items()]).collect()
-    assert all(r.more in (r.even, 3) for r in rows)
-    assert all(r.gone == r.even or r.even == 3 for r in rows)
+    region, rack = (lambda s: place[s][0]), (lambda s: place[s][:2])
+    # Rows come into the region that gained, and there into the rack and the shard; all others stay.
+    assert all(r.more == r.even or region(r.more) == region(3) for r in rows)
+    assert all(r.more in (r.even, 3) for r in rows if rack(r.more) == rack(r.even) == rack(3))
+    assert all(rack(r.more) in (rack(r.even), rack(3)) for r in rows if region(r.even) == region(3))
+    assert all(r.gone == r.even or region(r.even) == region(3) for r in rows)
+    assert all(r.gone != 3 for r in rows)
+    # Weight that moves within a rack moves rows within it only: the level above decides for itself.
+    assert rack(3) == rack(11) and all(r.swapped == r.even or (r.even, r.swapped) == (11, 3) for r in rows)
+    assert any(r.swapped != r.even for r in rows)
     assert all(r.grown in (r.even, 12) for r in rows)
     assert abs(sum(r.more == 3 for r in rows) / 20000 - 2 / 13) < 0.01
+    assert abs(sum(r.grown == 12 for r in rows) / 20000 - 1 / 13) < 0.01
     for s in range(12):
         assert abs(sum(r.even == s for r in rows) / 20000 - 1 / 12) < 0.01
     with pytest.raises(ValueError):
