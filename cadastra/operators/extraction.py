@@ -101,8 +101,8 @@ def listing_urls(html: Column) -> Column:
     return H.first_non_empty(from_json, from_items, from_headings)
 
 
-def has_next_page(html: Column, page: Column, last: int = 4) -> Column:
-    """By the pagination bar if there is one, else by the known number of pages."""
+def has_next_page(html: Column, page: Column, last: int) -> Column:
+    """By the pagination bar if there is one, else by the known number of pages, ``last``."""
     bar = H.inner(html, "nav", "elementor-pagination")
     return F.when(bar.isNotNull(), bar.rlike(H.open_tag("a", "next"))).otherwise(page < last)
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.functions.columns import crosswalk, enforce, ratio, round_sql, slug, year_key
+from cadastra.functions.columns import crosswalk, enforce, ratio, round_sql, year_key
 from cadastra.operators.aggregates import pivot_when
 from cadastra.operators.skew import skew_join
 from cadastra.operators.windows import surrogate_id
 from cadastra.plans.constants import CITY_CODES
 
-MAX_INDICATORS = 1000
 EQUIPMENT = [
     "equipment_code", "equipment_name", "subdomain_code", "subdomain_name", "domain_code", "domain_name",
 ]
@@ -88,14 +89,7 @@ def fact_criminality(recorded: DataFrame, indicators: DataFrame) -> DataFrame:
     )
 
 
-def criminality_wide(facts: DataFrame, indicators: DataFrame) -> DataFrame:
-    """One column per indicator, named after the indicator table: a fixed list of some fifteen
-    entries, whose names come to the driver."""
-    listed = indicators.select("indicateur_id", slug(F.col("name_en")).alias("name"))
-    rows = listed.orderBy("indicateur_id").limit(MAX_INDICATORS + 1).collect()
-    if len(rows) > MAX_INDICATORS:
-        raise ValueError(f"more than {MAX_INDICATORS} indicators cannot become columns")
-    cells = {
-        r["name"]: (F.col("indicateur_id") == r["indicateur_id"], F.col("nombre")) for r in rows
-    }
+def criminality_wide(facts: DataFrame, names: Mapping[int, str]) -> DataFrame:
+    """One column per indicator of ``names`` (indicator id to column name)."""
+    cells = {name: (F.col("indicateur_id") == number, F.col("nombre")) for number, name in names.items()}
     return pivot_when(facts, ["commune_id", "annee"], cells)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cadastra.functions import geo
@@ -19,6 +20,7 @@ from cadastra.plans import visits as V
 from cadastra.queries import derived  # noqa: F401
 from cadastra.queries import expected as W
 from cadastra.queries.registry import CHECK_PARTS, Tables, query
+from cadastra.session import pin
 
 # -- tables shared by several queries --------------------------------------------------------
 
@@ -428,8 +430,9 @@ def fact_criminality(t: Tables):
 SELECT commune_id, annee, max(nombre) FILTER (WHERE indicateur_id = 1) AS threats, max(nombre) FILTER (WHERE indicateur_id = 2) AS armed_robbery, max(nombre) FILTER (WHERE indicateur_id = 3) AS drug_use
 FROM o_crime GROUP BY 1, 2""", ("o_crime",))
 def criminality_wide(t: Tables):
-    """One column per indicator, named by the indicator table."""
-    return E.criminality_wide(E.fact_criminality(t.criminality, indicators(t)), indicators(t))
+    """One column per listed indicator."""
+    names = {1: "threats", 2: "armed_robbery", 3: "drug_use"}
+    return E.criminality_wide(E.fact_criminality(t.criminality, indicators(t)), names)
 
 
 @query("rules_of_criminality", """
@@ -484,23 +487,45 @@ def fact_classification_history(t: Tables):
 # -- calendar --------------------------------------------------------------------------------
 
 
-@query("dim_calendar", """
+# The feasts of the Christian year, spelled out apart from the recipe's constants.
+FEASTS_SQL = """
+SELECT CAST(make_date(y, k // 31, (k % 31) + 1) + o AS DATE) AS date FROM (
+ SELECT y, h + l - 7*((a + 11*h + 22*l)//451) + 114 AS k FROM (
+  SELECT y, a, h, (32 + 2*(b % 4) + 2*(c//4) - h - (c % 4)) % 7 AS l FROM (
+   SELECT y, a, (19*a + b - b//4 - (b - (b+8)//25 + 1)//3 + 15) % 30 AS h, b, c FROM (
+    SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y, year(o_orderdate) % 19 AS a, year(o_orderdate) // 100 AS b, year(o_orderdate) % 100 AS c FROM orders)))),
+ (SELECT CAST(unnest([-46, -7, -3, -2, 0, 1, 7, 39, 49, 50, 56, 60, 68]) AS INTEGER) AS o)
+UNION SELECT make_date(y, m, d) FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders),
+ (VALUES (1,1),(1,6),(2,2),(3,19),(3,25),(6,24),(6,29),(8,6),(8,15),(9,8),(9,14),(11,1),(11,2),(12,8),(12,25),(12,26),(12,28)) v(m, d)"""
+
+
+@query("dim_calendar", f"""
 WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders),
 d AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM span),
 terms AS (SELECT c_mktsegment AS name, DATE '1995-01-01' + CAST((length(c_mktsegment) - 8) * 400 + ascii(c_mktsegment) AS INTEGER) AS s FROM customer GROUP BY c_mktsegment),
 t AS (SELECT name, s, lead(s) OVER (ORDER BY s, name) AS e FROM terms),
+pm AS (SELECT n_name AS name, DATE '1992-06-01' + CAST(n_nationkey * 120 AS INTEGER) AS s, CASE WHEN n_nationkey % 5 <> 4 THEN DATE '1992-06-01' + CAST(n_nationkey * 120 + 100 AS INTEGER) END AS e FROM nation WHERE n_nationkey % 5 <> 4 OR n_nationkey = 24),
+lg AS (SELECT r_name AS name, DATE '1900-01-01' + CAST(r_regionkey * 9000 AS INTEGER) AS s, CASE WHEN r_regionkey < 4 THEN DATE '1900-01-01' + CAST(r_regionkey * 9000 + 9000 AS INTEGER) END AS e FROM region),
+f AS ({FEASTS_SQL}),
 o AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
-SELECT CAST(strftime(d.date, '%Y%m%d') AS INTEGER) AS date_id, d.date, CAST(strftime(d.date, '%V') AS INTEGER) AS iso_week, CAST(isodow(d.date) AS INTEGER) AS iso_day_of_week,
+SELECT CAST(strftime(d.date, '%Y%m%d') AS INTEGER) AS date_id, d.date, CAST(year(d.date) AS INTEGER) AS year, CAST(month(d.date) AS INTEGER) AS month, CAST(day(d.date) AS INTEGER) AS day,
+ CAST(dayofyear(d.date) AS INTEGER) AS day_of_year, CAST(quarter(d.date) AS INTEGER) AS quarter, strftime(d.date, '%Y-%m') AS year_month,
+ CAST(strftime(d.date, '%V') AS INTEGER) AS iso_week, CAST(isodow(d.date) AS INTEGER) AS iso_day_of_week,
  ['Lundi','Mardi','Mercredi','Jeudi','Vendredi','Samedi','Dimanche'][CAST(isodow(d.date) AS INTEGER)] AS day_name_fr,
  ['Janvier','Février','Mars','Avril','Mai','Juin','Juillet','Août','Septembre','Octobre','Novembre','Décembre'][CAST(month(d.date) AS INTEGER)] AS month_name_fr,
- strftime(d.date, '%B') AS month_name_en, isodow(d.date) > 5 AS is_weekend, coalesce(o.n >= 3, false) AS is_public_holiday, CASE WHEN o.n >= 3 THEN 'day of ' || o.n ELSE '' END AS fete,
- coalesce(o.n = 2, false) AS is_market_holiday, coalesce(o.n = 1, false) AS is_jewish_holiday, coalesce(t.name, '') AS president,
+ strftime(d.date, '%A') AS day_name_en, strftime(d.date, '%B') AS month_name_en, isodow(d.date) > 5 AS is_weekend, coalesce(o.n >= 3, false) AS is_public_holiday, CASE WHEN o.n >= 3 THEN 'day of ' || o.n ELSE '' END AS fete,
+ coalesce(o.n = 2, false) AS is_market_holiday, f.date IS NOT NULL AS is_christian_holiday, coalesce(o.n = 1, false) AS is_jewish_holiday, coalesce(o.n % 3 = 0, false) AS is_muslim_holiday, coalesce(o.n > 4, false) AS is_chinese_holiday,
+ coalesce(t.name, '') AS president, coalesce(pm.name, '') AS prime_minister, coalesce(lg.name, '') AS legislature,
  coalesce(CAST(o.n % 28 AS DOUBLE), 0) AS moon_phase_value, CASE WHEN o.n IS NULL THEN '' WHEN o.n % 28 < 1 THEN 'New Moon' WHEN o.n % 28 < 6 THEN 'Waxing Crescent' WHEN o.n % 28 < 8 THEN 'First Quarter' WHEN o.n % 28 < 13 THEN 'Waxing Gibbous' WHEN o.n % 28 < 15 THEN 'Full Moon'
-  WHEN o.n % 28 < 20 THEN 'Waning Gibbous' WHEN o.n % 28 < 22 THEN 'Last Quarter' WHEN o.n % 28 < 27 THEN 'Waning Crescent' ELSE 'New Moon' END AS moon_phase_name
-FROM d LEFT JOIN o ON o.date = d.date LEFT JOIN t ON d.date >= t.s AND (d.date < t.e OR t.e IS NULL)""")
+  WHEN o.n % 28 < 20 THEN 'Waning Gibbous' WHEN o.n % 28 < 22 THEN 'Last Quarter' WHEN o.n % 28 < 27 THEN 'Waning Crescent' ELSE 'New Moon' END AS moon_phase_name,
+ CASE WHEN o.n IS NULL THEN 0 ELSE CAST(printf('%.2f', 1.0::DOUBLE - abs(o.n % 28 - 14.0::DOUBLE) / 14.0::DOUBLE) AS DOUBLE) END AS moon_illumination_fraction,
+ coalesce(o.n % 28 BETWEEN 13 AND 14, false) AS is_full_moon, coalesce(o.n % 28 < 1 OR o.n % 28 >= 27, false) AS is_new_moon,
+ CASE WHEN o.n IS NULL THEN 0 ELSE CAST(trunc(datediff('day', DATE '1923-01-17', d.date) / 29.53059::DOUBLE) AS INTEGER) + 1 END AS lunar_cycle_id
+FROM d LEFT JOIN o ON o.date = d.date LEFT JOIN f ON f.date = d.date LEFT JOIN t ON d.date >= t.s AND (d.date < t.e OR t.e IS NULL)
+ LEFT JOIN pm ON d.date >= pm.s AND (d.date < pm.e OR pm.e IS NULL) LEFT JOIN lg ON d.date >= lg.s AND (d.date < lg.e OR lg.e IS NULL)""")
 def dim_calendar(t: Tables):
-    """Days between the first and last order with holidays, terms and moon, all taken from the
-    data."""
+    """Days between the first and last order with holidays of all traditions, three kinds of terms
+    and the moon, all taken from the data; every column of the table."""
     from pyspark.sql import Window
 
     day = F.col("o_orderdate").cast("date")
@@ -509,18 +534,27 @@ def dim_calendar(t: Tables):
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").groupBy(day.alias("date")).agg(F.count("*").alias("n"))
     public = urgent.filter("n >= 3").select("date", F.concat(F.lit("day of "), F.col("n").cast("string")).alias("holiday_name"), F.lit(True).alias("is_public_holiday"))
     market = urgent.filter("n = 2").select("date", F.lit(True).alias("is_market_holiday"))
-    religious = CAL.religious_holidays({"jewish": urgent.filter("n = 1").select("date")})
+    religious = CAL.religious_holidays({
+        "christian": CAL.christian_holidays(t.orders.select(F.year("o_orderdate").alias("year")).distinct()),
+        "jewish": urgent.filter("n = 1").select("date"), "muslim": urgent.filter("n % 3 = 0").select("date"),
+        "chinese": urgent.filter("n > 4").select("date"),
+    })
     moon = CAL.lunar_phases(urgent.select("date", (F.col("n") % 28).cast("double").alias("phase")))
-    # A handful of segments serve as terms of office.
+    # A handful of segments, nations and regions serve as terms of office.
     segment = F.col("c_mktsegment")
     start = F.date_add(F.lit("1995-01-01").cast("date"), ((F.length(segment) - 8) * 400 + F.ascii(segment)).cast("int"))
-    terms = t.customer.select(segment.alias("name"), start.alias("start_date")).distinct()
-    terms = terms.withColumn("end_date", F.lead("start_date").over(Window.orderBy("start_date", "name")))
-    table = CAL.dim_calendar(days, public, market, religious, {"president": terms}, moon)
-    return table.select(
-        "date_id", "date", "iso_week", "iso_day_of_week", "day_name_fr", "month_name_fr", "month_name_en", "is_weekend", "is_public_holiday",
-        "fete", "is_market_holiday", "is_jewish_holiday", "president", "moon_phase_value", "moon_phase_name",
-    )
+    presidents = t.customer.select(segment.alias("name"), start.alias("start_date")).distinct()
+    presidents = presidents.withColumn("end_date", F.lead("start_date").over(Window.orderBy("start_date", "name")))
+
+    def term(name: str, key: Column, first: str, step: int, days_: int, open_: Column):
+        begin = F.date_add(F.lit(first).cast("date"), (key * step).cast("int"))
+        return [F.col(name).alias("name"), begin.alias("start_date"), F.when(~open_, F.date_add(begin, days_)).alias("end_date")]
+
+    nation, region = F.col("n_nationkey"), F.col("r_regionkey")
+    ministers = t.nation.filter((nation % 5 != 4) | (nation == 24)).select(*term("n_name", nation, "1992-06-01", 120, 100, nation % 5 == 4))
+    legislatures = t.region.select(*term("r_name", region, "1900-01-01", 9000, 9000, region >= 4))
+    terms = {"president": presidents, "prime_minister": ministers, "legislature": legislatures}
+    return CAL.dim_calendar(days, public, market, religious, terms, moon)
 
 
 @query("feast_day_orders", """
@@ -567,18 +601,54 @@ def timeline_violations(t: Tables):
 # -- provenance ------------------------------------------------------------------------------
 
 
+LINKED = [
+    (1, "historical_population"), (2, "family"), (3, "migration"), (4, "cog_ensemble"), (5, "births"), (6, "deaths"), (7, "bpe"), (8, "salaries"), (9, "french_communes"),
+    (10, "zip_codes"), (11, "dim_equipment"), (12, "criminality"), (20, "famille_plus"), (21, "ville_sportive"), (22, "petites_cites"), (30, "other"),
+]
+
+
 @query("bridge_source_links", """
-WITH l AS (SELECT 'fact_salaries' AS target_table, id || '|' || year AS target_key, CAST(8 AS INTEGER) AS source_id FROM o_salaries
- UNION ALL SELECT 'dim_communes', id, 4 FROM o_communes
- UNION ALL SELECT 'dim_labels', c_name || '|' || c_nationkey || '|' || k, CASE k WHEN 'famille_plus' THEN 20 ELSE 21 END FROM customer, (VALUES ('famille_plus'), ('ville_sportive')) v(k) WHERE k = 'famille_plus' OR c_nationkey > 12)
-SELECT row_number() OVER (ORDER BY target_table, target_key, source_id) AS source_link_id, * FROM l""", ("o_salaries", "o_communes"))
+WITH e AS (SELECT equipment_code, row_number() OVER (ORDER BY equipment_code) AS type FROM equipment),
+z AS (SELECT DISTINCT CAST(Code_postal AS INTEGER) AS id, CASE WHEN Code_postal LIKE '75___' THEN '75056' WHEN CAST(Code_postal AS INTEGER) BETWEEN 13000 AND 13020 THEN '13055' WHEN CAST(Code_postal AS INTEGER) BETWEEN 69001 AND 69010 THEN '69123' ELSE code_insee END AS commune_id FROM zip_codes),
+nb AS (SELECT a.commune_id AS p, b.commune_id AS q FROM o_geography a JOIN o_geography b ON abs(a.i - b.i) <= 1 AND abs(a.j - b.j) <= 1 AND a.commune_id <> b.commune_id
+ JOIN o_communes c ON c.id = a.commune_id JOIN o_communes d ON d.id = b.commune_id
+ WHERE c.flag_corsica = d.flag_corsica AND c.flag_metropole = d.flag_metropole AND (c.flag_metropole = 0 OR c.department_code = d.department_code)),
+l(target_table, target_key, source_id) AS (
+ SELECT 'fact_population', id || '|' || year, unnest([1, 2, 3, 5, 6]) FROM o_population
+ UNION SELECT 'fact_salaries', id || '|' || year, 8 FROM o_salaries
+ UNION SELECT 'fact_equipment', c.id || '|' || CAST(TIME_PERIOD AS INTEGER) || '|' || e.type, 7 FROM bpe LEFT JOIN o_communes c ON c.id = GEO LEFT JOIN e ON equipment_code = FACILITY_TYPE WHERE GEO_OBJECT = 'COM' AND FACILITY_TYPE <> '_T'
+ UNION SELECT 'dim_communes', id, 4 FROM o_communes
+ UNION SELECT 'dim_geography', commune_id, 9 FROM o_geography
+ UNION SELECT 'dim_zip_codes', CAST(id AS VARCHAR), 10 FROM z
+ UNION SELECT 'dim_equipment', CAST(type AS VARCHAR), 11 FROM e
+ UNION SELECT 'dim_labels', c_name || '|' || c_nationkey || '|' || k, CASE k WHEN 'famille_plus' THEN 20 WHEN 'ville_sportive' THEN 21 ELSE 22 END FROM customer, (VALUES ('famille_plus'), ('ville_sportive'), ('petites_cites')) v(k)
+  WHERE k = 'famille_plus' OR (k = 'ville_sportive' AND c_nationkey > 12) OR (k = 'petites_cites' AND c_nationkey < 3)
+ UNION SELECT 'bridge_communes_zip_codes', commune_id || '|' || z.id, 10 FROM z WHERE commune_id IN (SELECT id FROM o_communes)
+ UNION SELECT 'dim_neighbour_communes', p || '|' || q, 9 FROM nb
+ UNION SELECT 'dim_criminality_indicateur', CAST(CAST(indicateur_id AS INTEGER) AS VARCHAR), 12 FROM indicators
+ UNION SELECT 'fact_criminality', commune_id || '|' || annee || '|' || indicateur_id, 12 FROM o_crime)
+SELECT row_number() OVER (ORDER BY target_table, target_key NULLS FIRST, source_id) AS source_link_id, target_table, target_key, CAST(source_id AS INTEGER) AS source_id FROM l""",
+       ("o_population", "o_salaries", "o_communes", "o_geography", "bpe", "equipment", "zip_codes", "indicators", "o_crime"))
 def bridge_source_links(t: Tables):
-    """Source links of facts, dimensions and labels (linked by label type)."""
-    listed = [(8, "salaries"), (4, "cog_ensemble"), (20, "famille_plus"), (21, "ville_sportive"), (30, "other")]
-    sources = t.spark.createDataFrame(listed, "source_id int, source_name string")
+    """Source links of all twelve linked tables; labels are linked by their type."""
+    sources = t.spark.createDataFrame(LINKED, "source_id int, source_name string")
     named = t.customer.select(F.col("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("department"), "c_nationkey")
-    labels = PR.dim_labels({"famille_plus": named, "ville_sportive": named.filter("c_nationkey > 12"), "unlisted": named})
-    tables = {"fact_salaries": salaries(t), "dim_communes": communes(t), "dim_labels": labels}
+    labels = PR.dim_labels({
+        "famille_plus": named, "ville_sportive": named.filter("c_nationkey > 12"), "petites_cites": named.filter("c_nationkey < 3"), "unlisted": named,
+    })
+    # Links are made of stored tables; here those that take long to build are stored by their keys.
+    towns = stored_communes(t)
+    keys = lambda name, df: pin(df.select(*PR.TABLE_SOURCES[name][0]))
+    tables = {
+        "fact_population": keys("fact_population", population(t)), "fact_salaries": salaries(t),
+        "fact_equipment": keys("fact_equipment", E.fact_equipment(t.bpe, towns, equipment(t), F.lit(7))),
+        "dim_communes": towns, "dim_geography": shapes(t).select(F.col("code").alias("commune_id")),
+        "dim_zip_codes": T.dim_zip_codes(zip_codes(t)), "dim_equipment": equipment(t), "dim_labels": labels,
+        "bridge_communes_zip_codes": T.bridge_communes_zip_codes(zip_codes(t), towns),
+        "dim_neighbour_communes": keys("dim_neighbour_communes", T.dim_neighbour_communes(shapes(t).withColumnRenamed("code", "commune_id"), towns)),
+        "dim_criminality_indicateur": indicators(t),
+        "fact_criminality": keys("fact_criminality", E.fact_criminality(t.criminality, indicators(t))),
+    }
     return PR.bridge_source_links(tables, sources)
 
 
@@ -640,10 +710,11 @@ def city_series(t: Tables):
 @query("report_texts", """
 SELECT id, name, department_code, format('{:,}', population) AS population, CASE WHEN population_growth_pct IS NULL THEN '—' WHEN population_growth_pct > 0 THEN '▲ ' || printf('%+.1f', population_growth_pct) || '%'
   WHEN population_growth_pct < 0 THEN '▼ ' || printf('%+.1f', population_growth_pct) || '%' ELSE '▬ ' || printf('%+.1f', population_growth_pct) || '%' END AS population_growth,
- format('{:,}', mean_salary) AS mean_salary FROM o_report""", ("o_report",))
+ format('{:,}', mean_salary) AS mean_salary, CASE WHEN population_ratio IS NULL THEN '—' ELSE printf('%.1f', population_ratio) END AS population_ratio,
+ CASE WHEN salary_ratio IS NULL THEN '—' ELSE printf('%.1f', salary_ratio) END AS salary_ratio FROM o_report""", ("o_report",))
 def report_texts(t: Tables):
     """The report as formatted texts."""
-    return R.report_text(report(t)).drop("population_ratio", "salary_ratio")
+    return R.report_text(report(t))
 
 
 @query("report_comparison", """

@@ -142,7 +142,7 @@ def listing_strategies(t: Tables):
     layout = F.when(n % 4 == 0, F.concat(F.lit(json), items)).when(n % 4 == 1, F.concat(items, heads)).when(n % 4 == 2, heads).otherwise("<p></p>")
     bar = F.when(n % 2 == 0, F.concat(F.lit('<nav class="elementor-pagination"><a class="'), F.when(n % 4 == 0, "page next").otherwise("page"), F.lit('" href="#">1</a></nav>'))).otherwise("")
     pages = t.customer.select(n.alias("page_id"), F.concat(layout, bar).alias("html"))
-    return pages.select("page_id", F.array_join(E.listing_urls(F.col("html")), "|").alias("urls"), E.has_next_page(F.col("html"), F.col("page_id")).alias("more"))
+    return pages.select("page_id", F.array_join(E.listing_urls(F.col("html")), "|").alias("urls"), E.has_next_page(F.col("html"), F.col("page_id"), 4).alias("more"))
 
 
 @query("village_records", """

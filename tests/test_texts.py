@@ -78,7 +78,7 @@ def test_listing_strategies(spark):
 def test_pagination(spark):
     bar = '<nav class="elementor-pagination"><a class="{}">x</a></nav>'
     df = pages(spark, bar.format("next page-numbers"), bar.format("prev"), "")
-    got = df.select(E.has_next_page(F.col("html"), F.lit(4)).alias("a"), E.has_next_page(F.col("html"), F.lit(1)).alias("b")).collect()
+    got = df.select(E.has_next_page(F.col("html"), F.lit(4), 4).alias("a"), E.has_next_page(F.col("html"), F.lit(1), 4).alias("b")).collect()
     assert [(r["a"], r["b"]) for r in got] == [(True, True), (False, False), (False, True)]
 
 
