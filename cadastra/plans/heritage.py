@@ -100,6 +100,16 @@ def dim_monument(monuments: DataFrame, communes: DataFrame, geography: DataFrame
     )
 
 
+def monument_traits(monuments: DataFrame) -> DataFrame:
+    """Domain and protection of each monument, as ``dim_monument`` has them, without looking for its place."""
+    wanted = [(s, d, "string") for s, d in MONUMENT_FIELDS if d in ("reference", "domain", "_protection")]
+    return enforce(monuments, wanted).select(
+        "reference", "domain",
+        protection_level(F.col("_protection")).alias("protection_level"),
+        protection_scope(F.col("_protection")).alias("protection_scope"),
+    )
+
+
 def bridge_monument_communes(monuments: DataFrame, communes: DataFrame) -> DataFrame:
     """All communes of each monument; the smallest code is the primary one."""
     listed = (

@@ -871,7 +871,7 @@ SELECT v.*, round_even(visit_minutes::DOUBLE / 60, 2) AS visit_hours, CASE WHEN
 
 
 def timed(t: Tables):
-    stats = M.dim_commune_monument_stats(stored_communes(t), bridge(t), monuments(t))
+    stats = M.dim_commune_monument_stats(stored_communes(t), bridge(t), M.monument_traits(monument_source(t)))
     base = V.visit_base(stored_communes(t), geography(t, stored_communes(t)), stats, population(t), 1999)
     return V.with_overseas(V.visit_minutes(base))
 
