@@ -16,7 +16,7 @@ def test_queries_equal_their_sql(spark, folder, name):
     assert compare.difference(Q.QUERIES[name](spark, folder), compare.connect(folder), Q.ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - {"op6_url_filter", "op1_packing"}))
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - {"op6_url_filter", "op1_packing", "op11_phrases"}))
 def test_queries_give_a_row_for_each_document(spark, folder, name):
     ids = sorted(r.doc_id for r in Q.table(spark, folder, "documents").select("doc_id").collect())
     assert sorted(r.doc_id for r in Q.QUERIES[name](spark, folder).select("doc_id").collect()) == ids
