@@ -182,7 +182,8 @@ def next_in_order(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     order = Window.partitionBy("r").orderBy(
         "guest", F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last()
     )
-    dealt = sent.repartition(parts, "r").withColumns(columns)
+    # Each range in a task of its own: a hash of its number would put several together.
+    dealt = sent.repartitionById(len(cuts) + 2, F.col("r")).withColumns(columns)
     shown = dealt.withColumn("__llm_next", F.lead(F.struct(*columns)).over(order))
     return shown.filter(~F.col("guest")).drop("r", "guest")
 
