@@ -131,7 +131,7 @@ def append_new_rows(t: Tables):
 
 @query("stored_history", f"WITH {MERGED_SQL} SELECT * FROM h")
 def stored_history(t: Tables):
-    """Two loads into a stored history; the second writes the open rows and what it closes."""
+    """Two loads into a stored history; the second reads and writes the buckets it changes."""
     path = scratch(t, "history")
     S.load_history(t.spark, path, first_delivery(t), ["id", "nation"], FIRST, f"{FIRST} 00:00:00")
     S.load_history(t.spark, path, second_delivery(t), ["id", "nation"], SECOND, LOADED)
@@ -222,6 +222,54 @@ def registered_load(t: Tables):
     return L.load("dim_zip_codes", None, incoming, FIRST, LOADED).select("id", "zip_code_char", "is_current")
 
 
+@query("registered_loads", f"""
+SELECT 'dim_zip_codes' AS "table", CAST(c_custkey AS VARCHAR) AS id, CAST(NULL AS INTEGER) AS year, c_mktsegment AS value, '{FIRST}' AS since,
+ CASE WHEN c_nationkey <> 3 AND c_mktsegment <> 'BUILDING' THEN '9999-12-31' ELSE '{SECOND}' END AS until FROM customer
+UNION ALL SELECT 'dim_zip_codes', CAST(c_custkey AS VARCHAR), NULL, 'CONSTRUCTION', '{SECOND}', '9999-12-31' FROM customer WHERE c_nationkey <> 3 AND c_mktsegment = 'BUILDING'
+UNION ALL SELECT 'dim_equipment', CAST(p_partkey AS VARCHAR), NULL, p_name, CASE WHEN p_size <= 25 THEN '{FIRST}' ELSE '2024-07-02' END, NULL FROM part
+UNION ALL SELECT 'fact_population', CAST(o_custkey AS VARCHAR), CAST(year(o_orderdate) AS INTEGER), CAST(count(*) AS VARCHAR), '2024-07-02', NULL
+ FROM orders WHERE year(o_orderdate) > 1993 GROUP BY 2, 3""")
+def registered_loads(t: Tables):
+    """Two deliveries each into a stored history, a table that grows and one that is replaced,
+    all by the load registry; buckets that a delivery does not change are neither read nor written."""
+    spark = t.spark
+    zips = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("zip_code_char"), "c_nationkey")
+    changed = F.when(F.col("zip_code_char") == "BUILDING", "CONSTRUCTION").otherwise(F.col("zip_code_char"))
+    parts = t.part.select(F.col("p_partkey").alias("equipment_code"), F.col("p_name").alias("label"), "p_size")
+    counts = t.orders.groupBy(F.col("o_custkey").alias("id"), F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
+    deliveries = {
+        "dim_zip_codes": (
+            zips.drop("c_nationkey"),
+            zips.filter("c_nationkey <> 3").withColumn("zip_code_char", changed).drop("c_nationkey"),
+        ),
+        "dim_equipment": (parts.filter("p_size <= 25").drop("p_size"), parts.drop("p_size")),
+        "fact_population": (counts, counts.filter("year > 1993")),
+    }
+    read = {}
+    for name, (first, second) in deliveries.items():
+        path = scratch(t, name)
+        S.load(spark, name, path, first, FIRST, f"{FIRST} 00:00:00")
+        S.load(spark, name, path, second, SECOND, LOADED)
+        read[name] = S.read(spark, name, path)
+    shown = [
+        read["dim_zip_codes"].select(
+            F.lit("dim_zip_codes").alias("table"), F.col("id").cast("string"), F.lit(None).cast("int").alias("year"),
+            F.col("zip_code_char").alias("value"), F.col("effective_date").cast("string").alias("since"),
+            F.col("expiry_date").cast("string").alias("until"),
+        ),
+        read["dim_equipment"].select(
+            F.lit("dim_equipment").alias("table"), F.col("equipment_code").cast("string").alias("id"),
+            F.lit(None).cast("int").alias("year"), F.col("label").alias("value"),
+            F.date_format("inserted_at", "yyyy-MM-dd").alias("since"), F.lit(None).cast("string").alias("until"),
+        ),
+        read["fact_population"].select(
+            F.lit("fact_population").alias("table"), F.col("id").cast("string"), "year", F.col("n").cast("string").alias("value"),
+            F.date_format("inserted_at", "yyyy-MM-dd").alias("since"), F.lit(None).cast("string").alias("until"),
+        ),
+    ]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
 # -- quality ---------------------------------------------------------------------------------
 
 RULES = [

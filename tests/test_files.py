@@ -228,6 +228,12 @@ def test_a_broken_off_load_is_invisible_and_can_be_repeated(spark, tmp_path):
     assert stored.read_history(spark, path).count() == 1
     stored.load_history(spark, path, deliver((1, "b")), ["id"], "2024-02-01", "2024-02-01")
     assert stored.read_history(spark, path).count() == 2
+    # A load whose rows were written, but not its list.
+    rows = stored.read_history(spark, path).selectExpr("*", "1 AS _open", "0 AS _bucket")
+    rows.write.partitionBy("_open", "_bucket").parquet(f"{path}/rows/version=20240301")
+    assert stored.read_history(spark, path).count() == 2
+    stored.load_history(spark, path, deliver((1, "c")), ["id"], "2024-03-01", "2024-03-01")
+    assert [r["v"] for r in stored.read_history(spark, path).orderBy("effective_date").collect()] == ["a", "b", "c"]
 
 
 def test_appends_are_repeatable(spark, tmp_path):
@@ -241,6 +247,72 @@ def test_appends_are_repeatable(spark, tmp_path):
     assert sorted(r["id"] for r in stored.read_loaded(spark, path).collect()) == [1, 2, 3]
 
 
+def test_a_load_with_one_change_touches_one_bucket(spark, tmp_path):
+    from cadastra.operators import stored
+
+    path = str(tmp_path / "h")
+    deliver = lambda rows: spark.createDataFrame(rows, "id int, v string, w string")
+    written = lambda n: sorted({p.parent.name for p in tmp_path.rglob(f"rows/version={n}/**/*.parquet")})
+    first = [(i, f"v{i}", None) for i in range(500)]
+    assert len(stored.load_history(spark, path, deliver(first), ["id"], "2024-01-01", "2024-01-01", 16)) == 16
+    # The same rows in another order change nothing.
+    assert stored.load_history(spark, path, deliver(first[::-1]), ["id"], "2024-01-02", "2024-01-02") == []
+    assert written(20240102) == [] and stored.read_history(spark, path).count() == 500
+    # A value that moves to the next column is a change, in one bucket.
+    moved = [(i, None, v) if i == 7 else (i, v, w) for i, v, w in first]
+    one = stored.load_history(spark, path, deliver(moved), ["id"], "2024-01-03", "2024-01-03")
+    assert len(one) == 1 and written(20240103) == [f"_bucket={one[0]}"]
+    rows = stored.read_history(spark, path)
+    assert rows.count() == 501 and rows.filter("is_current").count() == 500
+    assert [(r["v"], r["w"], r["is_current"]) for r in rows.filter("id = 7").orderBy("effective_date").collect()] == [("v7", None, False), (None, "v7", True)]
+    # All rows of the other buckets go.
+    left = [r for r in moved if r[0] == 7]
+    assert len(stored.load_history(spark, path, deliver(left), ["id"], "2024-01-04", "2024-01-04")) == 16
+    rows = stored.read_history(spark, path)
+    assert rows.filter("is_current").count() == 1 and rows.count() == 501
+    for bad in ([(7, "x", None), (7, "y", None)], [(None, "x", None)]):
+        with pytest.raises(ValueError):
+            stored.load_history(spark, path, deliver(bad), ["id"], "2024-01-05", "2024-01-05")
+    with pytest.raises(ValueError):
+        stored.load_history(spark, path, deliver(left).drop("w"), ["id"], "2024-01-05", "2024-01-05")
+    assert stored.read_history(spark, path).count() == 501
+
+
+def test_stored_loads_equal_the_merge_of_whole_tables(spark, tmp_path):
+    import random
+
+    from cadastra.operators import history, stored
+
+    draw = random.Random(5)
+    path, kind = str(tmp_path / "h"), "a int, b string, v double, s struct<x:int,y:int>"
+    whole = history.empty_history(spark, spark.createDataFrame([], kind).schema)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"):
+        keys = [(a, b) for a in range(12) for b in "pqr" if draw.random() < 0.7] if day != "2024-01-03" else []
+        rows = [(a, b, draw.choice([None, 0.0, 1.5]), draw.choice([(1, None), (None, 1), None])) for a, b in keys]
+        incoming = spark.createDataFrame(rows, kind)
+        stored.load_history(spark, path, incoming, ["a", "b"], day, day, 5)
+        whole = spark.createDataFrame(history.scd2_merge(whole, incoming, ["a", "b"], day, day).collect(), whole.schema)
+        order = lambda df: sorted(map(repr, df.select(whole.columns).collect()))
+        assert order(stored.read_history(spark, path)) == order(whole)
+
+
+def test_appends_look_at_changed_buckets_only(spark, tmp_path):
+    from cadastra.operators import stored
+
+    path = str(tmp_path / "f")
+    deliver = lambda *ids: spark.createDataFrame([(i, "x") for i in ids], "id int, v string")
+    stored.load_new(spark, path, deliver(), ["id"], "2024-01-01", "2024-01-01", 8)
+    assert stored.read_loaded(spark, path).count() == 0
+    stored.load_new(spark, path, deliver(*range(100)), ["id"], "2024-01-02", "2024-01-02")
+    assert stored.load_new(spark, path, deliver(*range(100)), ["id"], "2024-01-03", "2024-01-03") == []
+    assert len(stored.load_new(spark, path, deliver(*range(101)), ["id"], "2024-01-04", "2024-01-04")) == 1
+    assert sorted(r["id"] for r in stored.read_loaded(spark, path).collect()) == list(range(101))
+    # Keys with a NULL are never known, whether their bucket changes or not.
+    for day in ("2024-01-05", "2024-01-06"):
+        stored.load_new(spark, path, deliver(None), ["id"], day, day)
+    assert stored.read_loaded(spark, path).filter("id is null").count() == 2
+
+
 def test_a_file_above_two_gigabytes_is_hashed(spark, tmp_path):
     import hashlib
 
