@@ -28,6 +28,8 @@ CHAIN = 2
 LIKENESS = 0.8
 RUN = 3
 GAP = 20
+# Signatures are counted in so many slots, of which the driver gets one number each.
+SLOTS = 1 << 16
 # A word is common if it is at least this share of the words of a language, and occurs so often.
 COMMON_SHARE = 0.005
 COMMON_TIMES = 20
@@ -225,38 +227,97 @@ def compare_edits(
     )
 
 
-def near_pairs(
+def _slots(signed: DataFrame) -> list[int]:
+    """How often the signatures of each of ``SLOTS`` slots occur, as twice the binary logarithm (below 128)."""
+    slot = F.pmod(F.col("hash"), F.lit(SLOTS)).cast("int")
+    times = signed.select(F.explode("set").alias("hash")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
+    found = {r["slot"]: r["n"] for r in times.collect()}
+    return [int(2 * math.log2(found.get(i, 1))) for i in range(SLOTS)]
+
+
+def _first(n: Column, share: float) -> Column:
+    """How many of the first of ``n`` signatures hold one of any ``share`` of them."""
+    return (n - F.ceil(n * F.lit(share) - 1e-9) + 1).cast("int")
+
+
+def near_classes(
     docs: DataFrame, least: float = LIKENESS, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs). members: doc_id and class_id (the smallest id with the same signature
-    set) of every row of ``docs``; pairs: a, b (class ids, a < b) and likeness of all classes whose
-    sets have a likeness of at least ``least``. Empty sets form a class without pairs."""
-    signed = pin(docs.select("doc_id", spot_signatures(F.col("text"), common, chain, run).alias("set")))
-    classes = pin(signed.groupBy("set").agg(F.min("doc_id").alias("class_id")))
-    members = signed.join(classes, "set").select("doc_id", "class_id")
-    sized_sets = classes.filter(F.size("set") > 0).select("class_id", "set", F.size("set").alias("n"))
-    # Length partition: sizes up to a factor 1/least share one or neighbour.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(least))).cast("int")
-    keep = (F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1).cast("int")
-    # Rare signatures first, so that a common one hardly ever brings texts together.
-    each = sized_sets.select("class_id", "n", F.explode("set").alias("hash"))
-    shares = each.groupBy("hash").agg(F.count("*").alias("texts"))
-    rare_first = each.join(shares, "hash").groupBy("class_id", "n").agg(
-        F.array_sort(F.collect_list(F.struct("texts", "hash"))).alias("ranked")
-    )
-    spread = rare_first.withColumn("band", band).select(
-        "class_id", "n", "band", F.posexplode(F.slice("ranked.hash", F.lit(1), keep)).alias("at", "hash")
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, classes, pairs) of ``docs`` (doc_id, text). Rows with the same signature set form a class.
+
+    members: doc_id and class_id of every row. classes: fingerprint, class_id (the smallest id), links (how many
+    other classes are near). pairs: a, b (class ids, a < b) and likeness of all classes whose sets have a
+    likeness of at least ``least``.
+
+    Empty sets (null and empty texts, texts without words) form a class without links. Repeated rows are in
+    one class. Rows without an id have a class, but a class of such rows alone has no id and no links. Rows that
+    share an id and differ in text are in several classes of that id; these are not linked to each other,
+    and others are linked to the likest. Other columns are ignored. Empty table: no rows.
+
+    A text's signatures are ordered by how often their slot occurs in all texts, rarest first. If two sets are
+    near, the first of the smaller (those left when the least overlap is taken off, and one) share one with the
+    first of the larger. So a signature that many texts have is looked up only where a text has hardly any
+    other, and a signature met late in both sets shows that the rest cannot suffice.
+    """
+    signed = pin(
+        docs.select("doc_id", spot_signatures(F.col("text"), common, chain, run).alias("set"))
+        .withColumn("fingerprint", print_of(F.col("set")))
     )
-    left = spread.toDF("a", "na", "band", "pa", "hash")
-    right = spread.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1))).toDF("b", "nb", "band", "pb", "hash")
-    order = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    wanted = F.lit(least) / (1 + least) * (F.col("na") + F.col("nb")) - 1e-9
-    reach = 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    met = left.join(right, ["band", "hash"]).filter(order & (F.col("na") >= F.col("nb") * least) & (reach >= wanted))
-    pairs = met.select("a", "b").distinct()
-    sets = sized_sets.select("class_id", "set")
-    joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    likeness = joined.withColumn("likeness", pruned_jaccard(F.col("sa"), F.col("sb"), least)).filter(
-        F.col("likeness") >= least
+    classes = pin(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id")))
+    members = signed.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", "class_id")
+    known = classes.filter("class_id IS NOT NULL").withColumnRenamed("fingerprint", "known")
+    heads = (F.col("doc_id") == F.col("class_id")) & (F.col("fingerprint") == F.col("known"))
+    ranks = F.split(F.lit(",".join(map(str, _slots(signed)))), ",").cast("array<bigint>")
+    # The rank of the slot, then the upper 56 bits: equal signatures give equal tokens.
+    tokens = F.array_sort(F.transform("set", lambda h: F.shiftleft(
+        F.get(ranks, F.pmod(h, F.lit(SLOTS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    n = F.col("n")
+    ordered = signed.filter(F.size("set") > 0).select(
+        "doc_id", "fingerprint", F.size("set").alias("n"), tokens.alias("tokens")
+    ).select("doc_id", "fingerprint", "n", F.slice("tokens", F.lit(1), _first(n, least)).alias("tokens"))
+    # Length partition: sizes up to a factor 1/least share one or neighbour.
+    band = F.floor(F.log(n.cast("double")) / F.lit(-math.log(least)) + 1e-9)
+    reps = pin(ordered.join(known, heads, "left_semi").select(
+        F.col("doc_id").alias("id"), "n", band.cast("int").alias("band"), "tokens"))
+    key = F.xxhash64(F.col("at_band"), F.col("token"))
+    place = F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("at").cast("long"))
+    small = reps.select(
+        "id", "n", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("at_band"),
+        F.slice("tokens", F.lit(1), _first(n, 2 * least / (1 + least))).alias("tokens"),
+    ).select("id", "n", "at_band", F.posexplode("tokens").alias("at", "token"))
+    large = reps.select("id", "n", F.col("band").alias("at_band"), F.posexplode("tokens").alias("at", "token"))
+    one = small.select(key.alias("key"), F.col("id").alias("a"), place.alias("pa"))
+    two = large.select(key.alias("key"), F.col("id").alias("b"), place.alias("pb"))
+    na, nb = F.shiftright("pa", 32), F.shiftright("pb", 32)
+    after = lambda p, size: size - p.bitwiseAND(F.lit(0xFFFFFFFF)) - 1
+    reach = 1 + F.least(after(F.col("pa"), na), after(F.col("pb"), nb))
+    order = (na < nb) | ((na == nb) & (F.col("a") < F.col("b")))
+    wanted = F.lit(least / (1 + least)) * (na + nb) - 1e-9
+    met = one.join(two, "key").filter(order & (F.col("a") != F.col("b")) & (na >= nb * F.lit(least) - 1e-9) & (reach >= wanted))
+    pairs = pin(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    ids = pin(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    drawn = pin(signed.join(ids, F.col("doc_id") == F.col("id"), "left_semi").join(known, heads, "left_semi").select("doc_id", "set"))
+    likeness = pairs.join(drawn.toDF("a", "sa"), "a").join(drawn.toDF("b", "sb"), "b").groupBy("a", "b").agg(
+        F.max(pruned_jaccard(F.col("sa"), F.col("sb"), least)).alias("likeness")
     )
-    return members, likeness.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
+    found = pin(likeness.filter(F.col("likeness") >= least))
+    links = found.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    linked = classes.join(links, "class_id", "left").select(
+        "fingerprint", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
+    return members, linked, found
+
+
+def near_pairs(
+    docs: DataFrame, least: float = LIKENESS, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The members and pairs of ``near_classes``."""
+    members, _, pairs = near_classes(docs, least, common, chain, run)
+    return members, pairs
+
+
+def compare_and_link(
+    docs: DataFrame, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None, least: float = LIKENESS
+) -> DataFrame:
+    """``compare_edits`` with the class of each row and the number of other classes that are near."""
+    _, classes, _ = near_classes(docs, least, common, chain, run)
+    return compare_edits(docs, common, chain, run).join(classes, "fingerprint", "left")

@@ -428,6 +428,41 @@ def test_near_pairs_match_brute_force(df, docs, least):
     assert {(r.a, r.b): r.likeness for r in pairs.collect()} == pytest.approx(want)
 
 
+def test_linked_classes_match_brute_force(spark):
+    """Near texts of many lengths, a signature that all share, copies, null ids and texts, an id with two texts."""
+    r = random.Random(11)
+    name = lambda: "".join(r.choice("kolamiseru") for _ in range(5))
+    prose = lambda n: " ".join(("the " if r.random() < 0.4 else "") + name() for _ in range(n))
+    shared = "the same old words of every single page the"
+    docs = []
+    for base in range(12):
+        words = prose(r.choice([4, 15, 40, 120])).split()
+        for copy in range(6):
+            changed = [name() if r.random() < 0.01 * copy else w for w in words]
+            docs.append((len(docs) + 1, shared + " " + " ".join(changed)))
+    docs += [(len(docs) + 1, docs[3][1]), (len(docs) + 2, None), (len(docs) + 3, ""), (len(docs) + 4, shared)]
+    frame = table(spark, docs)
+    common = ["the", "of"]
+    sets = {i: spot_runs(t, common) for i, t in docs}
+    heads = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    links = {
+        i: sum(bool(sets[i] and sets[j]) and brute.likeness(sets[i], sets[j]) >= 0.8 for j in set(heads.values()) - {heads[i]})
+        for i in sets
+    }
+    got = spots.compare_and_link(frame, common, run=3).collect()
+    assert {x.doc_id: (x.class_id, x.links) for x in got} == {i: (heads[i], links[i]) for i in sets}
+    assert sum(links.values()) > 20 and len(got) == len(docs)
+
+    first, second, third = (prose(30) for _ in range(3))
+    odd = [(1, first), (2, second), (2, third), (2, second), (3, f"{second} end"), (None, first), (None, "the lonely words of one")]
+    rows = spots.compare_and_link(table(spark, odd), common, run=3).collect()
+    assert len(rows) == len(odd)
+    assert {x.class_id for x in rows if x.doc_id is None} == {1, None}
+    assert [x.class_id for x in rows if x.doc_id == 2] == [2] * 3
+    assert [(x.class_id, x.links) for x in rows if x.doc_id == 3] == [(3, 1)]
+    assert spots.compare_and_link(frame.limit(0), common, run=3).count() == 0
+
+
 def spot_runs(text, common, run=3, gap=20, chain=2):
     """Chains, and runs of words where no chain begins, by plain Python."""
     found = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
