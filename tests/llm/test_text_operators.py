@@ -248,6 +248,31 @@ def test_urls_match_brute_force_on_both_paths(spark):
         assert got == want
 
 
+def test_urls_by_shards_match_one_trie(spark):
+    """Many rules, one host with a third of them, hosts of many depths, paths that end within a segment."""
+    r = random.Random(2)
+    label = lambda: r.choice(["a", "b", "cc", "d1", "example", "x-y"])
+    host = lambda: ".".join([label() for _ in range(r.randint(1, 5))] + [r.choice(["net", "org"])])
+    path = lambda: "".join("/" + r.choice(["de", "en", "e", "fr", "page1", ""]) for _ in range(r.randint(0, 3)))
+    rules = [(r.choice(["allow", "block"]), host(), path()) for _ in range(300)]
+    rules += [("block", "hot.example.net", f"/u{r.randrange(400)}{path()}") for _ in range(150)] + [("allow", "net", "")]
+    known = list({(h, p): (v, h, p) for v, h, p in rules}.values())
+    urls_ = [f"http://{host()}{path()}/{r.choice(['', 'de', 'english', 'q?x'])}" for _ in range(500)]
+    urls_ += [f"https://www.hot.example.net/u{r.randrange(400)}/en" for _ in range(300)] + [None, "", "x://", "x://a..net/"]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    table_ = spark.createDataFrame([*known, (None, "net", "/"), ("block", None, "/"), ("block", "org", None)], "verdict string, host string, path string")
+    trie = urls.build_trie(known)
+    for most_bytes in (600, 5000):
+        got = {x.page_id: (x.host, x.path, x.rule, x.verdict) for x in urls.judge(pages, table_, most=10, most_bytes=most_bytes).collect()}
+        assert len(got) == len(urls_)
+        for host_, path_, rule, verdict in got.values():
+            assert (rule, verdict) == (urls.match(trie, host_, path_) or (None, "allow"))
+    for i, u in list(enumerate(urls_))[::40]:
+        (rule, verdict), h, p = brute.url_rule(u, known)
+        assert got[i] == (h, p, rule, verdict)
+    assert sum(x[2] is not None for x in got.values()) > 500
+
+
 def test_urls_without_rules_or_rows(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     assert urls.judge(pages, [], default="block").first().verdict == "block"
