@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from cadastra.plans import visits as V
 from cadastra.queries import derived  # noqa: F401
 from cadastra.queries import expected as W
 from cadastra.queries.registry import CHECK_PARTS, Tables, query
-from cadastra.session import pin
+from cadastra.session import ensure_checkpoint_dir, pin
 
 # -- tables shared by several queries --------------------------------------------------------
 
@@ -287,8 +289,11 @@ def fact_salaries(t: Tables):
 
 
 def unemployment(t: Tables):
-    """The yearly deliveries: prefixed columns, one frame per year that the data has."""
-    labour = t.stored("labour", lambda: t.labour)
+    """The yearly deliveries: prefixed columns, one frame per year that the data has. They are stored by year, so
+    that each frame reads its own files only."""
+    path = f"{ensure_checkpoint_dir(t.spark)}/labour-{uuid.uuid4().hex}"
+    t.labour.write.partitionBy("y").parquet(path)
+    labour = t.spark.read.schema(t.labour.schema).parquet(path)
     frames = []
     for (year,) in sorted(labour.select("y").distinct().collect()):
         rows = labour.filter(F.col("y") == year)
