@@ -34,7 +34,8 @@ def _number(day: str) -> int:
     return int(day.replace("-", ""))
 
 
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The hash bucket of a key."""
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
@@ -122,7 +123,7 @@ def load_history(
         raise ValueError(f"{path}: a load of {known[-1]} is there, {number} is not after it")
     _start(spark, path, history.empty_history(spark, incoming.schema).schema)
     before = _list(spark, path, known[-1] if known else 0, buckets)
-    place = _bucket(keys, len(before))
+    place = bucket_of(keys, len(before))
     columns = [*keys, *sorted(history.business_columns(incoming, keys))]
     delivered = incoming.withColumn("_bucket", place)
     changed = _compare(before, delivered, keys, columns)
@@ -149,23 +150,24 @@ def load_new(
     spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], as_of: str, loaded_at: str,
     buckets: int = BUCKETS,
 ) -> list[int]:
-    """Add the rows whose key no earlier load brought; returns the buckets that were looked at: those whose
-    keys are not the ones delivered last time. Files of earlier loads stay as they are."""
+    """Add the rows whose key no earlier load brought; returns the buckets that were looked at: those with
+    rows whose keys are not the ones delivered last time. Files of earlier loads stay as they are."""
     number = _number(as_of)
     earlier = [n for n in versions(spark, f"{path}/current") if n < number]
     _start(spark, path, loads.full_reload(incoming, loaded_at).schema)
     before = _list(spark, path, earlier[-1] if earlier else 0, buckets)
-    place = _bucket(keys, len(before))
+    place = bucket_of(keys, len(before))
     changed = _compare(before, incoming.withColumn("_bucket", place), keys, keys)
-    part = incoming.filter(place.isin(list(changed)))
+    met = sorted(b for b, digest in changed.items() if digest["rows"])
+    part = incoming.filter(place.isin(met))
     if earlier:
-        seen = _rows(spark, path, earlier).filter(F.col("_bucket").isin(list(changed)))
+        seen = _rows(spark, path, earlier).filter(F.col("_bucket").isin(met))
         rows = loads.append_new(seen, part, keys, loaded_at)
     else:
         rows = loads.full_reload(part, loaded_at)
     _write(rows.withColumns({"_open": F.lit(1), "_bucket": place}), path, number)
     _commit(spark, path, number, before, changed)
-    return sorted(changed)
+    return met
 
 
 def read_loaded(spark: SparkSession, path: str) -> DataFrame:

@@ -165,6 +165,9 @@ def test_arrivals(spark, tmp_path):
         query.awaitTermination(120)
     got = spark.read.parquet(table)
     assert sorted((r["id"], r["v"]) for r in got.collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    # Each batch holds the buckets of the keys it brought.
+    held = lambda n: {p.parent.name for p in (tmp_path / "table" / f"batch={n}").rglob("*.parquet")}
+    assert len(held(0)) == 2 and len(held(1)) == 1 and not held(0) & held(1)
 
 
 def test_build_and_check(spark, tmp_path):
