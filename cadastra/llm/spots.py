@@ -241,13 +241,15 @@ def _first(n: Column, share: float) -> Column:
 
 
 def near_classes(
-    docs: DataFrame, least: float = LIKENESS, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None
+    docs: DataFrame, least: float = LIKENESS, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None,
+    asked: Column | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, pairs) of ``docs`` (doc_id, text). Rows with the same signature set form a class.
 
     members: doc_id and class_id of every row. classes: fingerprint, class_id (the smallest id), links (how many
     other classes are near). pairs: a, b (class ids, a < b) and likeness of all classes whose sets have a
-    likeness of at least ``least``.
+    likeness of at least ``least``. With ``asked``, a condition on doc_id, only classes with such a row are
+    looked up, against all; other classes have NULL links and meet in no pair.
 
     Empty sets (null and empty texts, texts without words) form a class without links. Repeated rows are in
     one class. Rows without an id have a class, but a class of such rows alone has no id and no links. Rows that
@@ -263,7 +265,8 @@ def near_classes(
         docs.select("doc_id", spot_signatures(F.col("text"), common, chain, run).alias("set"))
         .withColumn("fingerprint", print_of(F.col("set")))
     )
-    classes = pin(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id")))
+    wish = F.lit(True) if asked is None else F.coalesce(asked, F.lit(False))
+    classes = pin(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"), F.max(wish).alias("asked")))
     members = signed.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", "class_id")
     known = classes.filter("class_id IS NOT NULL").withColumnRenamed("fingerprint", "known")
     heads = (F.col("doc_id") == F.col("class_id")) & (F.col("fingerprint") == F.col("known"))
@@ -277,23 +280,34 @@ def near_classes(
     ).select("doc_id", "fingerprint", "n", F.slice("tokens", F.lit(1), _first(n, least)).alias("tokens"))
     # Length partition: sizes up to a factor 1/least share one or neighbour.
     band = F.floor(F.log(n.cast("double")) / F.lit(-math.log(least)) + 1e-9)
-    reps = pin(ordered.join(known, heads, "left_semi").select(
-        F.col("doc_id").alias("id"), "n", band.cast("int").alias("band"), "tokens"))
+    reps = pin(ordered.join(known, heads).select(
+        F.col("doc_id").alias("id"), "n", band.cast("int").alias("band"), "tokens", "asked"))
     key = F.xxhash64(F.col("at_band"), F.col("token"))
     place = F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("at").cast("long"))
-    small = reps.select(
-        "id", "n", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("at_band"),
-        F.slice("tokens", F.lit(1), _first(n, 2 * least / (1 + least))).alias("tokens"),
-    ).select("id", "n", "at_band", F.posexplode("tokens").alias("at", "token"))
-    large = reps.select("id", "n", F.col("band").alias("at_band"), F.posexplode("tokens").alias("at", "token"))
-    one = small.select(key.alias("key"), F.col("id").alias("a"), place.alias("pa"))
-    two = large.select(key.alias("key"), F.col("id").alias("b"), place.alias("pb"))
+
+    def smaller(rows: DataFrame) -> DataFrame:
+        each = rows.select(
+            "id", "n", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("at_band"),
+            F.slice("tokens", F.lit(1), _first(n, 2 * least / (1 + least))).alias("tokens"),
+        ).select("id", "n", "at_band", F.posexplode("tokens").alias("at", "token"))
+        return each.select(key.alias("key"), F.col("id").alias("a"), place.alias("pa"))
+
+    def larger(rows: DataFrame) -> DataFrame:
+        each = rows.select("id", "n", F.col("band").alias("at_band"), F.posexplode("tokens").alias("at", "token"))
+        return each.select(key.alias("key"), F.col("id").alias("b"), place.alias("pb"))
+
     na, nb = F.shiftright("pa", 32), F.shiftright("pb", 32)
     after = lambda p, size: size - p.bitwiseAND(F.lit(0xFFFFFFFF)) - 1
     reach = 1 + F.least(after(F.col("pa"), na), after(F.col("pb"), nb))
     order = (na < nb) | ((na == nb) & (F.col("a") < F.col("b")))
     wanted = F.lit(least / (1 + least)) * (na + nb) - 1e-9
-    met = one.join(two, "key").filter(order & (F.col("a") != F.col("b")) & (na >= nb * F.lit(least) - 1e-9) & (reach >= wanted))
+    fits = order & (F.col("a") != F.col("b")) & (na >= nb * F.lit(least) - 1e-9) & (reach >= wanted)
+    if asked is None:
+        met = smaller(reps).join(larger(reps), "key").filter(fits)
+    else:
+        some, rest = reps.filter("asked"), reps.filter("not asked")
+        met = pin(smaller(some)).join(larger(reps), "key").filter(fits).unionByName(
+            smaller(rest).join(pin(larger(some)), "key").filter(fits))
     pairs = pin(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     ids = pin(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     drawn = pin(signed.join(ids, F.col("doc_id") == F.col("id"), "left_semi").join(known, heads, "left_semi").select("doc_id", "set"))
@@ -303,7 +317,7 @@ def near_classes(
     found = pin(likeness.filter(F.col("likeness") >= least))
     links = found.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
     linked = classes.join(links, "class_id", "left").select(
-        "fingerprint", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
+        "fingerprint", "class_id", F.when(F.col("asked"), F.coalesce("links", F.lit(0))).alias("links"))
     return members, linked, found
 
 
@@ -316,8 +330,10 @@ def near_pairs(
 
 
 def compare_and_link(
-    docs: DataFrame, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None, least: float = LIKENESS
+    docs: DataFrame, common: list[str] = COMMON, chain: int = CHAIN, run: int | None = None, least: float = LIKENESS,
+    asked: Column | None = None,
 ) -> DataFrame:
-    """``compare_edits`` with the class of each row and the number of other classes that are near."""
-    _, classes, _ = near_classes(docs, least, common, chain, run)
+    """``compare_edits`` with the class of each row and the number of other classes that are near (NULL if the
+    class is not ``asked`` for)."""
+    _, classes, _ = near_classes(docs, least, common, chain, run, asked)
     return compare_edits(docs, common, chain, run).join(classes, "fingerprint", "left")

@@ -477,6 +477,9 @@ def test_linked_classes_match_brute_force(spark):
     got = spots.compare_and_link(frame, common, run=3).collect()
     assert {x.doc_id: (x.class_id, x.links) for x in got} == {i: (heads[i], links[i]) for i in sets}
     assert sum(links.values()) > 20 and len(got) == len(docs)
+    asked = {heads[i] for i in sets if i % 3 == 0}
+    some = spots.compare_and_link(frame, common, run=3, asked=F.col("doc_id") % 3 == 0).collect()
+    assert {x.doc_id: x.links for x in some} == {i: links[i] if heads[i] in asked else None for i in sets}
 
     first, second, third = (prose(30) for _ in range(3))
     odd = [(1, first), (2, second), (2, third), (2, second), (3, f"{second} end"), (None, first), (None, "the lonely words of one")]
