@@ -265,23 +265,26 @@ def near_classes(
         docs.select("doc_id", spot_signatures(F.col("text"), common, chain, run).alias("set"))
         .withColumn("fingerprint", print_of(F.col("set")))
     )
-    wish = F.lit(True) if asked is None else F.coalesce(asked, F.lit(False))
-    classes = pin(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"), F.max(wish).alias("asked")))
-    members = signed.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", "class_id")
-    known = classes.filter("class_id IS NOT NULL").withColumnRenamed("fingerprint", "known")
-    heads = (F.col("doc_id") == F.col("class_id")) & (F.col("fingerprint") == F.col("known"))
     ranks = F.split(F.lit(",".join(map(str, _slots(signed)))), ",").cast("array<bigint>")
     # The rank of the slot, then the upper 56 bits: equal signatures give equal tokens.
     tokens = F.array_sort(F.transform("set", lambda h: F.shiftleft(
         F.get(ranks, F.pmod(h, F.lit(SLOTS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    wish = F.lit(True) if asked is None else F.coalesce(asked, F.lit(False))
+    # A class takes the first tokens of its smallest id along, so that sets are not shuffled for it.
+    ordered = signed.select("doc_id", "fingerprint", F.size("set").alias("n"), tokens.alias("tokens"))
     n = F.col("n")
-    ordered = signed.filter(F.size("set") > 0).select(
-        "doc_id", "fingerprint", F.size("set").alias("n"), tokens.alias("tokens")
-    ).select("doc_id", "fingerprint", "n", F.slice("tokens", F.lit(1), _first(n, least)).alias("tokens"))
+    classes = pin(
+        ordered.select("doc_id", "fingerprint", wish.alias("asked"), "n", F.slice("tokens", F.lit(1), _first(n, least)).alias("tokens"))
+        .groupBy("fingerprint").agg(
+            F.min("doc_id").alias("class_id"), F.max("asked").alias("asked"), F.max("n").alias("n"),
+            F.min_by("tokens", "doc_id").alias("tokens"),
+        )
+    )
+    members = signed.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", "class_id")
     # Length partition: sizes up to a factor 1/least share one or neighbour.
     band = F.floor(F.log(n.cast("double")) / F.lit(-math.log(least)) + 1e-9)
-    reps = pin(ordered.join(known, heads).select(
-        F.col("doc_id").alias("id"), "n", band.cast("int").alias("band"), "tokens", "asked"))
+    reps = classes.filter("class_id IS NOT NULL AND n > 0").select(
+        F.col("class_id").alias("id"), "n", band.cast("int").alias("band"), "tokens", "asked")
     key = F.xxhash64(F.col("at_band"), F.col("token"))
     place = F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("at").cast("long"))
 
@@ -310,13 +313,16 @@ def near_classes(
             smaller(rest).join(pin(larger(some)), "key").filter(fits))
     pairs = pin(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     ids = pin(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    drawn = pin(signed.join(ids, F.col("doc_id") == F.col("id"), "left_semi").join(known, heads, "left_semi").select("doc_id", "set"))
+    heads = classes.join(ids, F.col("class_id") == F.col("id"), "left_semi").select(
+        F.col("class_id").alias("id"), F.col("fingerprint").alias("known"))
+    own = (F.col("doc_id") == F.col("id")) & (F.col("fingerprint") == F.col("known"))
+    drawn = pin(signed.join(pin(heads), own, "left_semi").select("doc_id", "set"))
     likeness = pairs.join(drawn.toDF("a", "sa"), "a").join(drawn.toDF("b", "sb"), "b").groupBy("a", "b").agg(
         F.max(pruned_jaccard(F.col("sa"), F.col("sb"), least)).alias("likeness")
     )
     found = pin(likeness.filter(F.col("likeness") >= least))
     links = found.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
-    linked = classes.join(links, "class_id", "left").select(
+    linked = classes.select("fingerprint", "class_id", "asked").join(links, "class_id", "left").select(
         "fingerprint", "class_id", F.when(F.col("asked"), F.coalesce("links", F.lit(0))).alias("links"))
     return members, linked, found
 
