@@ -46,11 +46,14 @@ def uncommented(html: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Named, decimal and hexadecimal character references to characters; numbers that are no
-    character become U+FFFD. The result of a reference is not read again."""
+    character become U+FFFD. The result of a reference is not read again. Most texts have none."""
+    return _let(text, lambda t: F.when(t.contains("&"), _references(t)).otherwise(t))
+
+
+def _references(text: Column) -> Column:
     out = text
     for name, char in ENTITIES.items():
         out = F.replace(out, F.lit(name), F.lit(char))
-    pieces = F.split(out, "&#(?=[0-9]+;|[xX][0-9a-fA-F]+;)")
 
     def decode(piece: Column) -> Column:
         code = F.substring_index(piece, ";", 1)
@@ -63,8 +66,11 @@ def unescape(text: Column) -> Column:
         shown = F.when(number == 38, F.lit("&amp;")).when(valid, char).otherwise(F.lit("\ufffd"))
         return F.concat(shown, F.substr(piece, F.length(code) + 2))
 
-    tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decode)
-    out = F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
+    def joined(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decode)
+        return F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
+
+    out = _let(F.split(out, "&#(?=[0-9]+;|[xX][0-9a-fA-F]+;)"), joined)
     return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 

@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import html as H
 from cadastra.functions.columns import not_blank, zfill
+from cadastra.session import shuffle_partitions
 
 # Kinds of destination named by a CSS class.
 DESTINATION_KINDS = ["mer", "montagne", "nature", "ville"]
 
 
+def dealt(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """Pages dealt to shuffle partitions. Taking a page apart costs far more than moving it, and a file of
+    many short pages is read by one task."""
+    return pages.repartition(shuffle_partitions(pages.sparkSession), key, "html")
+
+
 def destinations(pages: DataFrame) -> DataFrame:
     """Destination cards: name, department code and kind; incomplete cards are dropped."""
     card = F.col("card")
@@ -21,7 +28,7 @@ def destinations(pages: DataFrame) -> DataFrame:
     code = F.regexp_extract(H.text(place), r"\((\d+|2A|2B)\)", 1)
     name = H.first_text(H.inner(card, "h5"), "a")
     return (
-        pages.select("page_id", F.explode(H.blocks(F.col("html"), "article", "node--type-destination")).alias("card"))
+        dealt(pages).select("page_id", F.explode(H.blocks(F.col("html"), "article", "node--type-destination")).alias("card"))
         .select("page_id", name.alias("name"), F.nullif(code, F.lit("")).alias("department_code"), kind.alias("type"))
         .filter("name is not null and department_code is not null and type is not null")
     )
@@ -36,7 +43,7 @@ def city_pages(pages: DataFrame) -> DataFrame:
     html = F.col("html")
     place = H.first_text(html, "div", "location")
     after = F.when(place.contains(","), F.split_part(place, F.lit(","), F.lit(2))).otherwise(place)
-    return pages.select(
+    return dealt(pages).select(
         "page_id",
         F.lower(H.first_text(html, "h1", "cover-title")).alias("city"),
         F.nullif(F.lower(F.trim(after)), F.lit("")).alias("department"),
@@ -47,7 +54,7 @@ def villages(pages: DataFrame) -> DataFrame:
     """Listing entries with a name and a locality whose last word is the department."""
     card = F.col("card")
     return (
-        pages.select("page_id", F.explode(H.blocks(F.col("html"), "div", "result")).alias("card"))
+        dealt(pages).select("page_id", F.explode(H.blocks(F.col("html"), "div", "result")).alias("card"))
         .select(
             "page_id",
             F.lower(H.first_text(card, "div", "name")).alias("city"),
@@ -61,7 +68,7 @@ def labelled_towns(pages: DataFrame, cls: str = "ea-advanced-data-table") -> Dat
     """Second and fifth cell of each table row that has them."""
     cells = F.col("cells")
     return (
-        pages.select("page_id", F.explode(H.table_rows(F.col("html"), cls)).alias("cells"))
+        dealt(pages).select("page_id", F.explode(H.table_rows(F.col("html"), cls)).alias("cells"))
         .filter(F.size(cells) >= 5)
         .select(
             "page_id",
@@ -127,7 +134,7 @@ def village_pages(pages: DataFrame) -> DataFrame:
     practical = F.struct(
         last(hall).alias("mairie"), last(office).alias("tourist_office"), last(mail).alias("email")
     )
-    return pages.select(
+    return dealt(pages, "url").select(
         name.alias("name"),
         "url",
         fact(0).alias("region"),
