@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import html as X
 from cadastra.operators import extraction as E
+from cadastra.plans import demography as DEM
 
 
 def tasks_of(df):
@@ -26,3 +27,20 @@ def test_texts_without_references_are_left_as_they_are(spark):
     texts = [("plain; #65; text",), (None,), ("",), ("a & b",), ("&#65;&amp;#66; &lt;",)]
     got = [r[0] for r in spark.createDataFrame(texts, "t string").select(X.unescape(F.col("t"))).collect()]
     assert got == ["plain; #65; text", None, "", "a & b", "A&#66; <"]
+
+
+def test_sources_of_the_population_are_dealt_each(spark):
+    obs = "GEO string, GEO_OBJECT string, TIME_PERIOD string, OBS_VALUE string"
+    census = spark.createDataFrame([("c", "COM", "2015", "100"), ("c", "COM", "2015", "100"), (None, "COM", "2016", "7")], obs)
+    over = spark.createDataFrame([("c", "2016", "120")], "commune_id string, year string, population string")
+    births = spark.createDataFrame([("c", "COM", "2016", "3", "LVB")], obs + ", EC_MEASURE string")
+    deaths = spark.createDataFrame([("c", "COM", "2016", "1", "DTH", "A")], obs + ", EC_MEASURE string, OBS_STATUS string")
+    family = spark.createDataFrame([("c", "COM", "2015", "8", "CH0_Y_LT25", "_T")], obs + ", NCH string, TFN string")
+    migration = spark.createDataFrame([("c", "COM", "1", "1", "2")] * 2, "CODGEO string, NIVGEO string, IMMI string, SEXE string, NB string")
+    facts = DEM.fact_population(census, over, births, deaths, family, migration)
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 6
+    rows = {(r["id"], r["year"]): r for r in facts.collect()}
+    assert set(rows) == {("c", 2015), ("c", 2016), (None, 2016), ("c", 2022)}
+    assert (rows["c", 2016]["population"], rows["c", 2016]["year_evolution"], rows["c", 2016]["birth_death_diff"]) == (120, 20, 2)
+    assert rows["c", 2022]["number_migrant"] == 4 and rows[None, 2016]["population"] == 7
