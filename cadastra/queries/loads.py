@@ -14,7 +14,7 @@ from cadastra.operators import provenance as P
 from cadastra.operators import quality as Q
 from cadastra.operators import stored as S
 from cadastra.queries.registry import Tables, query
-from cadastra.session import ensure_checkpoint_dir
+from cadastra.session import ensure_checkpoint_dir, shuffle_partitions
 from cadastra.sources import catalog, readers, writers
 
 FIRST, SECOND = "2024-01-01", "2024-07-01"
@@ -463,7 +463,7 @@ def file_hashes(t: Tables):
     """M1: files listed and hashed; the ids of a source's documents, five hundred ids' range to a file."""
     folder = scratch(t, "files")
     part = F.floor(F.col("doc_id") / 500).cast("bigint").alias("part")
-    ids = t.documents.select("source", part, "doc_id").repartition("source", "part").sortWithinPartitions("source", "part", "doc_id")
+    ids = t.documents.select("source", part, "doc_id").repartition(shuffle_partitions(t.spark), "source", "part").sortWithinPartitions("source", "part", "doc_id")
     ids.select("source", "part", F.col("doc_id").cast("string")).write.partitionBy("source", "part").text(folder)
     files = M.hash_files(t.spark, f"{folder}/source=*/part=*", "part-*")
     found = lambda name: F.regexp_extract("path", f"{name}=([^/]+)/", 1)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import glob
 
 from pyspark.sql import functions as F
 
 from cadastra.functions import html as X
 from cadastra.operators import extraction as E
+from cadastra.operators import manifest as M
 from cadastra.plans import demography as DEM
+from cadastra.queries import QUERIES
 
 
 def tasks_of(df):
@@ -44,3 +47,16 @@ def test_sources_of_the_population_are_dealt_each(spark):
     assert set(rows) == {("c", 2015), ("c", 2016), (None, 2016), ("c", 2022)}
     assert (rows["c", 2016]["population"], rows["c", 2016]["year_evolution"], rows["c", 2016]["birth_death_diff"]) == (120, 20, 2)
     assert rows["c", 2022]["number_migrant"] == 4 and rows[None, 2016]["population"] == 7
+
+
+def test_files_to_hash_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    listed, real = [], M.hash_files
+    monkeypatch.setattr(M, "hash_files", lambda spark, path, pattern: (listed.extend(glob.glob(f"{path.removeprefix('file:')}/{pattern}")), real(spark, path, pattern))[1])
+    got = {(r["source"], r["part"]): (r["bytes"], r["md5"]) for r in QUERIES["file_hashes"](spark, str(tmp_path)).collect()}
+    assert len(listed) == 24 and len({f.rsplit("/", 1)[1][:10] for f in listed}) > 1
+    body = "".join(f"{i}\n" for i in range(500, 1000) if i % 3 == 1).encode()
+    assert len(got) == 24 and got["s1", 1] == (len(body), hashlib.md5(body).hexdigest())
