@@ -37,20 +37,34 @@ def distinct_buckets(
     entity: str,
     buckets: Mapping[str, Column],
     total: str,
+    traits: DataFrame | None = None,
+    by_trait: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Distinct entities per key in total and per condition.
 
     Rows are first folded to one per (key, entity) with a flag for every condition; counting
-    flags then needs no distinct aggregate, whose many-column form multiplies all rows.
+    flags then needs no distinct aggregate, whose many-column form multiplies all rows. Conditions
+    of ``by_trait`` are on ``traits``, rows of further columns by entity. They are folded to one row per
+    entity and joined to the folded rows, which so need no second fold; to an entity without a row
+    the columns are NULL.
     """
+    flag = lambda c: F.when(c, 1).otherwise(0)
     members = (
         df.filter(F.col(entity).isNotNull())
         .groupBy(*keys, entity)
-        .agg(*[F.max(F.when(c, 1).otherwise(0)).alias(name) for name, c in buckets.items()])
+        .agg(*[F.max(flag(c)).alias(name) for name, c in buckets.items()])
     )
+    by_trait = by_trait or {}
+    if traits is not None:
+        known = traits.groupBy(entity).agg(*[F.max(flag(c)).alias(name) for name, c in by_trait.items()])
+        blank = {f.name: F.lit(None).cast(f.dataType) for f in traits.schema.fields if f.name != entity}
+        joined = members.join(known, entity, "left").select(*keys, *buckets, *by_trait, *[c.alias(n) for n, c in blank.items()])
+        members = joined.select(
+            *keys, *buckets, *[F.coalesce(F.col(name), flag(c)).alias(name) for name, c in by_trait.items()]
+        )
     return members.groupBy(*keys).agg(
         F.count("*").alias(total),
-        *[F.sum(name).cast("bigint").alias(name) for name in buckets],
+        *[F.sum(name).cast("bigint").alias(name) for name in [*buckets, *by_trait]],
     )
 
 

@@ -73,20 +73,18 @@ FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def distinct_buckets(t: Tables):
     """Many conditional distinct counts without multiplying rows. The pairs of supplier and
     part are folded before the part table is joined."""
-    pairs = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.max(F.col("l_returnflag") == "R").alias("_r"))
     kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    rows = pairs.join(kinds, "l_partkey", "left")
     kind = F.col("p_type")
-    return A.distinct_buckets(
-        rows, ["l_suppkey"], "l_partkey",
+    counted = A.distinct_buckets(
+        t.lineitem, ["l_suppkey"], "l_partkey", {"returned": F.col("l_returnflag") == "R"}, "total",
+        kinds,
         {
             "promo": kind == "PROMO",
             "sized": kind.isin("SMALL", "LARGE"),
             "other": kind.isNull() | ~kind.isin("PROMO", "SMALL", "LARGE"),
-            "returned": F.col("_r"),
         },
-        "total",
     )
+    return counted.select("l_suppkey", "total", "promo", "sized", "other", "returned")
 
 
 @query("weighted_rate", """

@@ -7,6 +7,7 @@ import glob
 from pyspark.sql import functions as F
 
 from cadastra.functions import html as X
+from cadastra.operators import aggregates as A
 from cadastra.operators import extraction as E
 from cadastra.operators import manifest as M
 from cadastra.plans import demography as DEM
@@ -60,3 +61,20 @@ def test_files_to_hash_are_written_by_several_tasks(spark, tmp_path, monkeypatch
     assert len(listed) == 24 and len({f.rsplit("/", 1)[1][:10] for f in listed}) > 1
     body = "".join(f"{i}\n" for i in range(500, 1000) if i % 3 == 1).encode()
     assert len(got) == 24 and got["s1", 1] == (len(body), hashlib.md5(body).hexdigest())
+
+
+def test_traits_join_after_the_only_fold(spark):
+    rows = spark.createDataFrame([(1, 10, "R"), (1, 10, "A"), (1, 11, "A"), (1, 12, None), (None, 12, "R"), (2, None, "R")], "k int, e int, f string")
+    traits = spark.createDataFrame([(10, "x"), (10, "y"), (11, None), (None, "x")], "e int, kind string")
+    kind = F.col("kind")
+    counted = A.distinct_buckets(
+        rows, ["k"], "e", {"r": F.col("f") == "R"}, "total", traits, {"x": kind == "x", "other": kind.isNull() | (kind != "x")},
+    )
+    assert {tuple(r) for r in counted.select("k", "total", "r", "x", "other").collect()} == {(1, 3, 1, 1, 3), (None, 1, 1, 0, 1)}
+
+
+def test_pairs_are_folded_once(spark, folder):
+    import re
+
+    plan = QUERIES["distinct_buckets"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"HashAggregate\(keys=\[l_suppkey#\w+, l_partkey#\w+\]", plan)) == 2
