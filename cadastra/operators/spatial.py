@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cadastra.functions import geo
 from cadastra.functions.columns import round_exact
 from cadastra.operators.skew import skew_join
-from cadastra.session import pin
+from cadastra.session import pin, shuffle_partitions
 
 BOX = ["xmin", "ymin", "xmax", "ymax"]
 CELL = ["level", "cx", "cy"]
@@ -198,6 +198,8 @@ def neighbours(shapes: DataFrame, key: str, geometry: str, same: list[str] | Non
     known = shapes.select(key, geometry, *same)
     for c in same:
         known = known.filter(F.col(c).isNotNull())
+    # A small file of shapes is read by one task, and so would be all that is made of it.
+    known = known.repartition(shuffle_partitions(shapes.sparkSession), key, geometry)
     # Read for levels, both sides of the join and the index.
     edges = pin(outline_edges(known, key, geometry, same))
     home = _pieces(_strips(edges), [key, *same])

@@ -6,10 +6,12 @@ import glob
 
 from pyspark.sql import functions as F
 
+from cadastra.functions import geo
 from cadastra.functions import html as X
 from cadastra.operators import aggregates as A
 from cadastra.operators import extraction as E
 from cadastra.operators import manifest as M
+from cadastra.operators import spatial
 from cadastra.plans import demography as DEM
 from cadastra.queries import QUERIES
 
@@ -50,6 +52,17 @@ def test_sources_of_the_population_are_dealt_each(spark):
     assert rows["c", 2022]["number_migrant"] == 4 and rows[None, 2016]["population"] == 7
 
 
+def test_outlines_of_one_file_are_cut_in_several_tasks(spark, tmp_path, monkeypatch):
+    n = F.col("id").cast("double")
+    boxes = spark.range(60).select(F.col("id").alias("key"), geo.box_polygon(n, F.lit(0.0), n + 1, F.lit(1.0)).alias("geometry"))
+    boxes.coalesce(1).write.parquet(str(tmp_path / "boxes"))
+    seen, keep = [], spatial.pin
+    monkeypatch.setattr(spatial, "pin", lambda df: (seen.append(tasks_of(df)), keep(df))[1])
+    pairs = spatial.neighbours(spark.read.parquet(str(tmp_path / "boxes")), "key", "geometry")
+    assert seen[0] == 4
+    assert {tuple(r) for r in pairs.collect()} == {(i, j) for i in range(60) for j in (i - 1, i + 1) if 0 <= j < 60}
+
+
 def test_files_to_hash_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
     import hashlib
 
